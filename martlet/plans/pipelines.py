@@ -1,0 +1,143 @@
+"""User-level jobs (J-A .. J-G). They take and return DataFrames; I/O happens
+only at the edges (``run_stages`` reads and publishes tables).
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass, field
+
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from martlet.operators import cluster, columns, enrich, profile, rows
+from martlet.sources import tables
+
+# Columns of the product mart and the metadata columns the
+# exploration drops.
+MART_KEY = "code"
+MART_FEATURES = ["fat_100g", "carbohydrates_100g", "sugars_100g", "proteins_100g",
+                 "salt_100g", "sodium_100g"]
+EXPLORE_METADATA = ["creator", "created_t", "created_datetime", "last_modified_t",
+                    "last_modified_datetime", "last_modified_by", "last_updated_t",
+                    "last_updated_datetime", "last_image_t", "last_image_datetime"]
+EXPLORE_NAME_TOKENS = ["url", "states"]
+
+
+def preprocess(df: DataFrame, key: str, features: list[str], **clean_opts) -> DataFrame:
+    """J-A: wide table -> numeric mart (key + float features, cleaned)."""
+    return rows.clean_numeric(df, features, keys=[key], **clean_opts)
+
+
+@dataclass
+class ClusterResult:
+    predictions: DataFrame
+    model: object
+    silhouette: float
+    sizes: list[int]
+
+
+def clusterize(mart: DataFrame, features: list[str], k: int = cluster.DEFAULT_K,
+               seed: int = cluster.DEFAULT_SEED, keep: list[str] | None = None) -> ClusterResult:
+    """J-B: assemble -> fit -> predict -> silhouette.
+
+    The assembled frame is persisted (memory, spilling to disk) for the fit's
+    iterations and the evaluation, then released. The returned predictions are
+    lazy and recompute from the input with the fitted model, which is
+    deterministic; persistence is never needed for correctness.
+    """
+    assembled = cluster.assemble(mart, features).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        model = cluster.fit_kmeans(assembled, k=k, seed=seed)
+        scored = model.transform(assembled)
+        score = cluster.silhouette(scored)
+        sizes = list(model.summary.clusterSizes)
+    finally:
+        assembled.unpersist()
+    keep = keep if keep is not None else mart.columns
+    predictions = model.transform(cluster.assemble(mart, features)).select(*keep, "prediction")
+    return ClusterResult(predictions, model, score, sizes)
+
+
+def write_back(wide: DataFrame, predictions: DataFrame, key: str,
+               on_duplicate: str = "error") -> DataFrame:
+    """J-C: drop the stale ``prediction`` from the wide table and left-join the new one."""
+    return enrich.enrich_left_join(wide, predictions, key, ["prediction"], on_duplicate=on_duplicate)
+
+
+def explore_prune(df: DataFrame, useful: list[str], metadata: list[str] | None = None,
+                  name_tokens: list[str] | None = None, threshold: float = 50.0) -> DataFrame:
+    """J-D: drop metadata and name-token columns, profile the rest in one pass,
+    drop columns missing in more than ``threshold`` percent of rows, keep the
+    useful ones that survive and drop incomplete rows."""
+    df = columns.drop_named(df, metadata or [])
+    if name_tokens:
+        df = columns.drop_by_name_token(df, *name_tokens)
+    pct = profile.missing_percentages(df)
+    df = columns.drop_sparse_columns(df, pct, threshold)
+    return rows.drop_incomplete(df.select(*[c for c in useful if c in df.columns]))
+
+
+def mart_end_to_end(wide: DataFrame, key: str, features: list[str], k: int = cluster.DEFAULT_K,
+                    seed: int = cluster.DEFAULT_SEED, **clean_opts) -> tuple[DataFrame, ClusterResult]:
+    """J-F: clean -> cluster -> left-join the prediction back onto the wide table."""
+    mart = preprocess(wide, key, features, **clean_opts)
+    result = clusterize(mart, features, k=k, seed=seed, keep=[key])
+    return write_back(wide, result.predictions, key), result
+
+
+def mart_invariants(enriched: DataFrame) -> DataFrame:
+    """Figures that do not depend on k-means' arbitrary cluster numbering."""
+    return enriched.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count("prediction").alias("n_with_prediction"),
+        F.countDistinct("prediction").alias("n_clusters"),
+    )
+
+
+@dataclass
+class MartConfig:
+    """Names and parameters of the three-stage chain (entrypoint of the job)."""
+    wide_table: str
+    mart_table: str
+    base_dir: str
+    key: str = MART_KEY
+    features: list[str] = field(default_factory=lambda: list(MART_FEATURES))
+    k: int = cluster.DEFAULT_K
+    seed: int = cluster.DEFAULT_SEED
+    apply_range: bool = True
+
+
+STAGES = ("preprocess", "clusterize", "write")
+
+
+def run_stages(spark: SparkSession, stage_names, cfg: MartConfig) -> dict:
+    """J-G: run the named stages (case-insensitive) in chain order; the first
+    failing stage stops the chain. Stages hand over state only through tables,
+    each published as a new version (never written over its own input)."""
+    wanted = {s.lower() for s in stage_names}
+    unknown = wanted - set(STAGES)
+    if unknown:
+        raise ValueError(f"unknown stages: {sorted(unknown)}")
+    report: dict = {}
+    for stage in STAGES:
+        if stage not in wanted:
+            continue
+        if stage == "preprocess":
+            mart = preprocess(spark.table(cfg.wide_table), cfg.key, cfg.features,
+                              apply_range=cfg.apply_range)
+            report[stage] = tables.publish(spark, mart, cfg.mart_table, f"{cfg.base_dir}/{cfg.mart_table}")
+        elif stage == "clusterize":
+            mart = spark.table(cfg.mart_table)
+            res = clusterize(mart, cfg.features, k=cfg.k, seed=cfg.seed,
+                             keep=[c for c in mart.columns if c != "prediction"])
+            out = tables.publish(spark, res.predictions, cfg.mart_table, f"{cfg.base_dir}/{cfg.mart_table}")
+            out.update(silhouette=res.silhouette, cluster_sizes=res.sizes)
+            report[stage] = out
+        elif stage == "write":
+            mart = spark.table(cfg.mart_table)
+            if "prediction" not in mart.columns:
+                raise ValueError("stage 'write' needs a clustered mart (run 'clusterize' first)")
+            enriched = write_back(spark.table(cfg.wide_table), mart.select(cfg.key, "prediction"), cfg.key)
+            report[stage] = tables.publish(spark, enriched, cfg.wide_table, f"{cfg.base_dir}/{cfg.wide_table}")
+    return report

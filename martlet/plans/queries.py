@@ -14,8 +14,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martlet.functions.stopwords import default_stop_words, sql_in_list
-from martlet.operators import text
+from martlet.operators import cluster, columns, enrich, profile, rows, text
+from martlet.operators.index import with_row_index
+from martlet.plans import pipelines
 from martlet.plans.fixtures import dirty, dirty_part, table, with_dirty, with_dirty_part
+from martlet.session import shared_dir
+from martlet.sources import files, tables
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, QueryFn] = {}
@@ -87,5 +91,412 @@ def q_stopword_filter(spark, sf):
     return text.token_counts(table(spark, sf, "conversations"), "text", ["conv_id", "turn"])
 
 
+# ----------------------------------------------------------------- row cleaning
+_KEYS = ["l_orderkey", "l_linenumber"]
+
+
+def _clean_sql(cols):
+    conds = []
+    for c in cols:
+        x = f"try_cast({c} as float)"
+        conds += [f"{c} is not null", f"{x} is not null", f"not isnan({x})", f"{x} < 100", f"{x} >= 0"]
+    return " and ".join(conds)
+
+
+@register("clean_numeric", with_dirty(f"""
+select l_orderkey, l_linenumber, try_cast(qty as float) as qty, try_cast(tax as float) as tax
+from dirty where {_clean_sql(['qty', 'tax'])}
+"""))
+def q_clean_numeric(spark, sf):
+    return rows.clean_numeric(dirty(spark, sf), ["qty", "tax"], keys=_KEYS)
+
+
+@register("cast_numeric", with_dirty("""
+select l_orderkey, l_linenumber, try_cast(qty as float) as qty, try_cast(disc as float) as disc,
+  try_cast(tax as float) as tax, try_cast(price as float) as price
+from dirty
+"""))
+def q_cast_numeric(spark, sf):
+    return rows.cast_numeric(dirty(spark, sf), ["qty", "disc", "tax", "price"], "float")
+
+
+@register("drop_incomplete", with_dirty("""
+select * from dirty
+where l_orderkey is not null and l_linenumber is not null and qty is not null
+  and disc is not null and tax is not null and price is not null
+"""))
+def q_drop_incomplete(spark, sf):
+    return rows.drop_incomplete(dirty(spark, sf))
+
+
+@register("range_filter", with_dirty("""
+select * from (
+  select l_orderkey, l_linenumber, try_cast(qty as float) as qty, try_cast(disc as float) as disc,
+    try_cast(tax as float) as tax
+  from dirty)
+where qty < 100 and disc < 100 and tax < 100 and qty >= 0 and disc >= 0 and tax >= 0
+"""))
+def q_range_filter(spark, sf):
+    casted = rows.cast_numeric(dirty(spark, sf).select(*_KEYS, "qty", "disc", "tax"), ["qty", "disc", "tax"])
+    return rows.range_filter(casted, ["qty", "disc", "tax"], upper=100.0, lower=0.0)
+
+
+@register("hidden_column_filter", with_dirty("""
+select l_orderkey, l_linenumber, qty from dirty where try_cast(price as double) < 50000
+"""))
+def q_hidden_column_filter(spark, sf):
+    return rows.hidden_column_filter(dirty(spark, sf), {"price": 50000.0}, keep=[*_KEYS, "qty"])
+
+
+_STOP_ANY = r"""
+select conv_id, turn, word from (
+  select conv_id, turn, unnest(regexp_split_to_array(lower(text), '\W+')) as word from conversations)
+where word not in ({stop})
+"""
+
+
+@register("stop_list_filter", _STOP_ANY.format(stop=_STOP))
+def q_stop_list_filter(spark, sf):
+    toks = text.tokenize(table(spark, sf, "conversations"), "text", keep=["conv_id", "turn"])
+    return rows.stop_list_filter(toks, "word", default_stop_words())
+
+
+@register("limit_rows", "select * from orders order by o_orderkey limit 5000")
+def q_limit_rows(spark, sf):
+    return rows.limit_rows(table(spark, sf, "orders"), 5000, order_by=["o_orderkey"])
+
+
+@register("row_index", "select *, row_number() over (order by o_orderkey) - 1 as row_index from orders")
+def q_row_index(spark, sf):
+    return with_row_index(table(spark, sf, "orders"), "o_orderkey")
+
+
+# -------------------------------------------------------------------- profiling
+def _missing_sql(name, kind):
+    if kind == "string":
+        cond = (f"coalesce(contains({name}, 'None') or contains({name}, 'NULL') or contains({name}, 'unknown')"
+                f" or {name} = '' or {name} is null or isnan(try_cast({name} as double)), false)")
+    else:
+        cond = f"{name} is null"
+    return (f"select '{name}' as column_name, "
+            f"round(cast(count(*) filter (where {cond}) as double) / count(*) * 100, 6) as missing_pct from dirty")
+
+
+_DIRTY_COLS = [("l_orderkey", "num"), ("l_linenumber", "num"), ("qty", "string"), ("disc", "string"),
+               ("tax", "string"), ("price", "string")]
+
+
+@register("missing_profile", with_dirty(" union all ".join(_missing_sql(c, k) for c, k in _DIRTY_COLS)))
+def q_missing_profile(spark, sf):
+    return profile.missing_profile(dirty(spark, sf))
+
+
+@register("drop_sparse_columns", with_dirty("select l_orderkey, l_linenumber, qty, tax, price from dirty"))
+def q_drop_sparse_columns(spark, sf):
+    d = dirty(spark, sf)
+    return columns.drop_sparse_columns(d, profile.missing_percentages(d), 50.0)
+
+
+@register("explore_prune", with_dirty("""
+select l_orderkey, l_linenumber, qty, tax from dirty
+where l_orderkey is not null and l_linenumber is not null and qty is not null and tax is not null
+"""))
+def q_explore_prune(spark, sf):
+    useful = [*_KEYS, "qty", "disc", "tax", "price"]
+    return pipelines.explore_prune(dirty(spark, sf), useful, metadata=["l_comment"], name_tokens=["price"])
+
+
+_NUM_LINE = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+@register("row_count", "select count(*) as n_rows from lineitem")
+def q_row_count(spark, sf):
+    return profile.row_count(table(spark, sf, "lineitem"))
+
+
+@register("describe_numeric", " union all ".join(
+    f"select '{c}' as column_name, count({c}) as \"count\", round(avg({c}), 6) as mean, "
+    f"round(stddev_samp({c}), 6) as stddev, round(min({c}), 6) as \"min\", round(max({c}), 6) as \"max\" "
+    f"from lineitem" for c in _NUM_LINE))
+def q_describe_numeric(spark, sf):
+    return profile.describe_numeric(table(spark, sf, "lineitem"), _NUM_LINE)
+
+
+_BOX_SQL = """
+with s as ({union}),
+q as (select column_name, quantile_cont(v, 0.25) as q1, quantile_cont(v, 0.5) as med,
+             quantile_cont(v, 0.75) as q3 from s group by column_name)
+select q.column_name, round(any_value(q1), 6) as q1, round(any_value(med), 6) as median,
+  round(any_value(q3), 6) as q3, round(any_value(q3 - q1), 6) as iqr,
+  round(min(v) filter (where v >= q1 - 1.5 * (q3 - q1)), 6) as whisker_low,
+  round(max(v) filter (where v <= q3 + 1.5 * (q3 - q1)), 6) as whisker_high,
+  count(*) filter (where v < q1 - 1.5 * (q3 - q1) or v > q3 + 1.5 * (q3 - q1)) as n_outliers
+from q join s on q.column_name = s.column_name
+group by q.column_name
+"""
+
+
+@register("boxplot_stats", _BOX_SQL.format(union=" union all ".join(
+    f"select '{c}' as column_name, cast({c} as double) as v from lineitem" for c in _NUM_LINE)))
+def q_boxplot_stats(spark, sf):
+    return profile.boxplot_stats(spark, table(spark, sf, "lineitem"), _NUM_LINE)
+
+
+# ------------------------------------------------------------ column operators
+@register("project_cols", "select p_partkey, p_name, p_retailprice from part")
+def q_project_cols(spark, sf):
+    return columns.project(table(spark, sf, "part"), ["p_partkey", "p_name", "p_retailprice"])
+
+
+@register("drop_named", """
+select l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax,
+  l_linestatus from lineitem
+""")
+def q_drop_named(spark, sf):
+    return columns.drop_named(table(spark, sf, "lineitem"), ["l_shipdate", "l_returnflag", "l_comment"])
+
+
+@register("drop_by_name_token", "select page_id, html from pages")
+def q_drop_by_name_token(spark, sf):
+    return columns.drop_by_name_token(table(spark, sf, "pages"), "url")
+
+
+@register("select_by_type", "select p_partkey, p_retailprice from part")
+def q_select_by_type(spark, sf):
+    return columns.select_by_type(table(spark, sf, "part"), "double", "bigint")
+
+
+@register("schema_report", """
+select cast(ordinal_position as integer) as position, column_name,
+  case data_type when 'BIGINT' then 'bigint' when 'INTEGER' then 'int' when 'DOUBLE' then 'double'
+    when 'VARCHAR' then 'string' when 'TIMESTAMP' then 'timestamp_ntz' when 'FLOAT' then 'float'
+    else lower(data_type) end as data_type,
+  is_nullable = 'YES' as nullable
+from information_schema.columns where table_name = 'lineitem'
+""")
+def q_schema_report(spark, sf):
+    return columns.schema_report(spark, table(spark, sf, "lineitem"))
+
+
+@register("normalise_names", "select * from part")
+def q_normalise_names(spark, sf):
+    part = table(spark, sf, "part")
+    hyphenated = part.toDF(*[c.replace("_", "-") for c in part.columns])
+    return columns.normalise_names(hyphenated)
+
+
+# ------------------------------------------------------------------------ joins
+@register("add_null_column", "select doc_id, lang, source, n_chars, cast(null as integer) as prediction from documents")
+def q_add_null_column(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "lang", "source", "n_chars")
+    return enrich.add_null_column(enrich.add_null_column(docs, "prediction"), "prediction")
+
+
+@register("enrich_left_join", """
+select d.doc_id, d.lang, d.source, d.n_chars, l.quality, l.toxic
+from documents d left join labels l on d.doc_id = l.doc_id
+""")
+def q_enrich_left_join(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "lang", "source", "n_chars")
+    return enrich.enrich_left_join(docs, table(spark, sf, "labels"), "doc_id", ["quality", "toxic"])
+
+
+@register("enrich_left_join_dup", """
+select o.*, l.l_linenumber, l.l_quantity
+from orders o left join lineitem l on o.o_orderkey = l.l_orderkey
+""")
+def q_enrich_left_join_dup(spark, sf):
+    lines = table(spark, sf, "lineitem").withColumnRenamed("l_orderkey", "o_orderkey")
+    return enrich.enrich_left_join(table(spark, sf, "orders"), lines, "o_orderkey",
+                                   ["l_linenumber", "l_quantity"], on_duplicate="keep")
+
+
+# ------------------------------------------------------------------- clustering
+_CENTRE_KEYS = [0, 400, 800, 1200, 1600]
+
+
+@register("kmeans_assign_fixed", f"""
+with c as (
+  select row_number() over (order by p_partkey) - 1 as cid, cast(p_size as double) as cs, p_retailprice as cp
+  from part where p_partkey in ({", ".join(map(str, _CENTRE_KEYS))})),
+d as (
+  select p.p_partkey, c.cid,
+    (cast(p.p_size as double) - cs) * (cast(p.p_size as double) - cs)
+      + (p.p_retailprice - cp) * (p.p_retailprice - cp) as dist
+  from part p, c)
+select p_partkey, cast(first(cid order by dist, cid) as integer) as prediction from d group by p_partkey
+""")
+def q_kmeans_assign_fixed(spark, sf):
+    part = table(spark, sf, "part")
+    feats = ["p_size", "p_retailprice"]
+    # k rows: bounded, read on the driver to build the distance expressions.
+    centres = [tuple(float(r[c]) for c in feats) for r in
+               part.where(F.col("p_partkey").isin(_CENTRE_KEYS)).orderBy("p_partkey").select(*feats).collect()]
+    return cluster.assign_nearest(part.select("p_partkey", *feats), feats, centres).select("p_partkey", "prediction")
+
+
+@register("kmeans_blobs", "select p_partkey, cast(p_partkey % 5 as integer) as cluster from part")
+def q_kmeans_blobs(spark, sf):
+    part = table(spark, sf, "part").select(
+        "p_partkey",
+        ((F.col("p_partkey") % 5) * 1000 + F.col("p_size")).cast("double").alias("x"),
+        (F.col("p_retailprice") / 1000).alias("y"))
+    feats = cluster.assemble(part, ["x", "y"])
+    model = cluster.fit_kmeans(feats, k=5, seed=42)
+    return cluster.relabel_by_centre_order(model.transform(feats), model, dim=0).select("p_partkey", "cluster")
+
+
+@register("silhouette_by_label", """
+with e as (select vec_id, label, cast(embedding as double[]) as v from embeddings),
+sz as (select label, count(*) as n from e group by label),
+d as (select a.vec_id, a.label as la, b.label as lb, sum(pow(list_distance(a.v, b.v), 2)) as s
+      from e a join e b on a.vec_id <> b.vec_id group by a.vec_id, a.label, b.label),
+m as (select d.vec_id, d.la, d.lb,
+        case when d.la = d.lb then d.s / (sz.n - 1) else d.s / sz.n end as mean_d
+      from d join sz on sz.label = d.lb),
+p as (select vec_id, la, max(case when la = lb then mean_d end) as a,
+        min(case when la <> lb then mean_d end) as b from m group by vec_id, la)
+select round(avg(case when a is null then 0 else (b - a) / greatest(a, b) end), 6) as silhouette from p
+""")
+def q_silhouette_by_label(spark, sf):
+    emb = cluster.array_features(table(spark, sf, "embeddings"), "embedding")
+    score = cluster.silhouette(emb, prediction_col="label")
+    return spark.range(1).select(F.round(F.lit(score), 6).alias("silhouette"))
+
+
+@register("cluster_sizes", "select label, count(*) as size from embeddings group by label")
+def q_cluster_sizes(spark, sf):
+    return cluster.cluster_sizes(table(spark, sf, "embeddings"), "label")
+
+
+@register("assemble_vectors", "select p_partkey, [cast(p_size as double), p_retailprice] as features from part")
+def q_assemble_vectors(spark, sf):
+    v = cluster.assemble(table(spark, sf, "part"), ["p_size", "p_retailprice"])
+    return v.select("p_partkey", cluster.vector_as_array("features").alias("features"))
+
+
+_LINE_FEATS = ["l_quantity", "l_discount", "l_tax"]
+
+
+@register("kmeans_fit_invariants", """
+select cast(5 as bigint) as k, count(*) as n_rows, count(*) as sum_sizes, true as ids_in_range from lineitem
+""")
+def q_kmeans_fit_invariants(spark, sf):
+    feats = cluster.assemble(table(spark, sf, "lineitem"), _LINE_FEATS)
+    model = cluster.fit_kmeans(feats, k=5, seed=42)
+    k = len(model.clusterCenters())
+    sizes = sum(model.summary.clusterSizes)
+    return model.transform(feats).agg(
+        F.lit(k).cast("bigint").alias("k"),
+        F.count(F.lit(1)).alias("n_rows"),
+        F.lit(sizes).cast("bigint").alias("sum_sizes"),
+        F.bool_and(F.col("prediction").between(0, k - 1)).alias("ids_in_range"))
+
+
+@register("clusterize_invariants", """
+select count(*) as n_rows, count(*) as sum_sizes, cast(5 as bigint) as k, true as silhouette_in_range from part
+""")
+def q_clusterize_invariants(spark, sf):
+    mart = table(spark, sf, "part").select(F.col("p_partkey").cast("string").alias("code"),
+                                          F.col("p_size").cast("float").alias("size_g"),
+                                          (F.col("p_retailprice") / 10).cast("float").alias("price_g"))
+    res = pipelines.clusterize(mart, ["size_g", "price_g"], k=5, seed=42)
+    return res.predictions.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.lit(sum(res.sizes)).cast("bigint").alias("sum_sizes"),
+        F.lit(len(res.sizes)).cast("bigint").alias("k"),
+        F.lit(-1.0 <= res.silhouette <= 1.0).alias("silhouette_in_range"))
+
+
+@register("model_roundtrip", "select cast(5 as bigint) as k, count(*) as n_rows, cast(0 as bigint) as n_mismatch from part")
+def q_model_roundtrip(spark, sf):
+    feats = cluster.assemble(table(spark, sf, "part"), ["p_size", "p_retailprice"])
+    model = cluster.fit_kmeans(feats, k=5, seed=42)
+    loaded = cluster.load_model(cluster.save_model(model, shared_dir(spark, "kmeans_model")))
+    both = loaded.setPredictionCol("p2").transform(model.transform(feats))
+    return both.agg(F.lit(len(loaded.clusterCenters())).cast("bigint").alias("k"),
+                    F.count(F.lit(1)).alias("n_rows"),
+                    F.count_if(F.col("prediction") != F.col("p2")).alias("n_mismatch"))
+
+
+# ------------------------------------------------------------- sources / sinks
+@register("tsv_scan", """
+select cast(p_partkey as integer) as p_partkey, p_name, p_brand, p_type, p_size, p_retailprice from part
+""")
+def q_tsv_scan(spark, sf):
+    path = files.write_tsv(table(spark, sf, "part"), shared_dir(spark, "tsv_scan"))
+    return files.tsv_scan(spark, path)
+
+
+_BAD_EVERY = 1009
+
+
+@register("tolerant_load", f"select * from orders where o_orderkey % {_BAD_EVERY} <> 0")
+def q_tolerant_load(spark, sf):
+    orders = table(spark, sf, "orders")
+    broken = orders.withColumn("o_totalprice", F.when(F.col("o_orderkey") % _BAD_EVERY == 0, F.lit("n/a"))
+                               .otherwise(F.col("o_totalprice").cast("string")))
+    path = files.write_tsv(broken, shared_dir(spark, "tolerant_load"))
+    good, _bad = files.tolerant_load(spark, path, orders.schema, max_bad_rows=1000)
+    return good
+
+
+@register("source_by_format", "select * from orders")
+def q_source_by_format(spark, sf):
+    return files.read_source(spark, "parquet", f"{sf.rstrip('/')}/orders.parquet")
+
+
+@register("sorted_layout", "select * from part")
+def q_sorted_layout(spark, sf):
+    path = tables.write_sorted(table(spark, sf, "part"), shared_dir(spark, "sorted_layout"), "p_partkey")
+    return spark.read.parquet(path)
+
+
+def _ddl(df):
+    return ", ".join(f"{tables.quote(f.name)} {f.dataType.simpleString()}" for f in df.schema.fields)
+
+
+@register("table_lifecycle", "select * from orders")
+def q_table_lifecycle(spark, sf):
+    orders = table(spark, sf, "orders")
+    name = "martlet_lifecycle_" + shared_dir(spark, "x").rsplit("-", 1)[-1]
+    tables.drop_table(spark, name)
+    tables.create_table(spark, name, _ddl(orders), shared_dir(spark, "table_lifecycle"))
+    tables.insert_into(orders, name)
+    tables.truncate_table(spark, name)
+    tables.insert_into(orders, name)
+    return spark.table(name)
+
+
+@register("publish_replace", "select * from orders")
+def q_publish_replace(spark, sf):
+    orders = table(spark, sf, "orders")
+    base = shared_dir(spark, "publish")
+    name = "martlet_publish_" + base.rsplit("-", 1)[-1]
+    tables.publish(spark, orders, name, base)
+    tables.publish(spark, spark.table(name), name, base)   # republish from itself: never doubles
+    return spark.table(name)
+
+
+# ----------------------------------------------------------------- flagship job
+_FLAG_FEATS = ["size_g", "price_g"]
+
+
+def _flag_clean_sql():
+    return _clean_sql(_FLAG_FEATS)
+
+
+@register("mart_end_to_end", with_dirty_part(f"""
+, clean as (select code from dirty_part where {_flag_clean_sql()})
+select count(*) as n_rows, count(c.code) as n_with_prediction, cast(5 as bigint) as n_clusters
+from dirty_part d left join clean c on d.code = c.code
+"""))
+def q_mart_end_to_end(spark, sf):
+    enriched, _ = pipelines.mart_end_to_end(dirty_part(spark, sf), "code", _FLAG_FEATS, k=5, seed=42)
+    return pipelines.mart_invariants(enriched)
+
+
 def flagship(spark, sf):
-    return text.word_count(table(spark, sf, "documents"), "text")
+    """clean -> cluster -> enrich on the dirty part view; the enriched table."""
+    enriched, _ = pipelines.mart_end_to_end(dirty_part(spark, sf), "code", _FLAG_FEATS, k=5, seed=42)
+    return enriched
