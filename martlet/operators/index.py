@@ -32,9 +32,12 @@ def with_row_index(df: DataFrame, order_col: str, index_col: str = "row_index",
         splits = [float("-inf")] + sorted(set(float(x) for x in cuts)) + [float("inf")]
     else:
         splits = [float("-inf"), float("inf")]
-    bucketed = Bucketizer(splits=splits, inputCol=key_d, outputCol=bucket,
-                          handleInvalid="keep").transform(keyed)
-    bucketed = bucketed.withColumn(bucket, F.col(bucket).cast("int"))
+    if len(splits) > 2:
+        bucketed = Bucketizer(splits=splits, inputCol=key_d, outputCol=bucket,
+                              handleInvalid="keep").transform(keyed)
+        bucketed = bucketed.withColumn(bucket, F.col(bucket).cast("int"))
+    else:
+        bucketed = keyed.withColumn(bucket, F.lit(0))
     counts = {r[0]: r[1] for r in bucketed.groupBy(bucket).count().collect()}
     ids = sorted(counts)
     offsets = dict(zip(ids, accumulate([0] + [counts[i] for i in ids[:-1]])))

@@ -123,6 +123,9 @@ def run_stages(spark: SparkSession, stage_names, cfg: MartConfig) -> dict:
     for stage in STAGES:
         if stage not in wanted:
             continue
+        needed = cfg.wide_table if stage == "preprocess" else cfg.mart_table
+        if not spark.catalog.tableExists(needed):
+            raise ValueError(f"stage {stage!r} needs table {needed!r}, which does not exist")
         if stage == "preprocess":
             mart = preprocess(spark.table(cfg.wide_table), cfg.key, cfg.features,
                               apply_range=cfg.apply_range)

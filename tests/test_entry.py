@@ -1,0 +1,41 @@
+import math
+
+import duckdb
+import pytest
+
+import __spark_entry__ as entry
+from tests.conftest import SF_SMALL
+
+FAST = ["word_count", "clean_numeric", "missing_profile", "boxplot_stats", "enrich_left_join_dup",
+        "row_index", "kmeans_assign_fixed", "silhouette_by_label", "describe_numeric", "tolerant_load"]
+
+
+def test_entry_runs(spark):
+    df = entry.entry(spark)
+    assert df.columns == ["code", "p_name", "size_g", "price_g", "prediction"]
+    assert df.count() == 200
+
+
+def test_every_oracle_has_a_query():
+    assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def _norm(v):
+    if isinstance(v, float):
+        return ("nan",) if math.isnan(v) else round(v, 6)
+    return v
+
+
+@pytest.mark.parametrize("name", FAST)
+def test_query_matches_oracle_small(spark, name):
+    con = duckdb.connect()
+    for t in ["part", "orders", "lineitem", "documents", "labels", "embeddings", "conversations"]:
+        con.execute(f"create view {t} as select * from read_parquet('{SF_SMALL}/{t}.parquet')")
+    df = entry.queries()[name](spark, SF_SMALL)
+    rel = con.sql(entry.oracle_sql()[name])
+    assert sorted(df.columns) == sorted(rel.columns)
+    order = sorted(df.columns)
+    s = sorted((tuple(_norm(r[c]) for c in order) for r in df.collect()), key=repr)
+    idx = [rel.columns.index(c) for c in order]
+    o = sorted((tuple(_norm(r[i]) for i in idx) for r in rel.fetchall()), key=repr)
+    assert s == o

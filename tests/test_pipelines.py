@@ -1,0 +1,55 @@
+import pytest
+from pyspark.sql import functions as F
+
+from martlet.plans import pipelines
+from martlet.plans.fixtures import dirty_part
+from martlet.session import shared_dir
+from tests.conftest import SF_CHECK
+
+
+def _wide(spark):
+    rows = []
+    for i in range(300):
+        g = i % 3
+        rows.append((f"c{i:04d}", f"{g * 30 + (i % 7)}", f"{g * 20 + 1}", None if i % 10 == 0 else "x", None))
+    return spark.createDataFrame(rows, "code string, fat_100g string, sugars_100g string, url string, "
+                                       "prediction string")
+
+
+def test_run_stages_chain(spark):
+    wide = _wide(spark)
+    base = shared_dir(spark, "chain")
+    tag = base.rsplit("-", 1)[-1]
+    wname, mname = f"wide_{tag}", f"mart_{tag}"
+    wide.write.parquet(f"{base}/seed")
+    spark.sql(f"CREATE TABLE {wname} USING parquet LOCATION '{base}/seed'")
+    cfg = pipelines.MartConfig(wide_table=wname, mart_table=mname, base_dir=base,
+                               features=["fat_100g", "sugars_100g"], k=3)
+    with pytest.raises(ValueError):
+        pipelines.run_stages(spark, ["Write"], cfg)   # table missing / not clustered
+    rep = pipelines.run_stages(spark, ["PREPROCESS", "clusterize", "write"], cfg)
+    assert rep["preprocess"]["rows"] == 300
+    assert sum(rep["clusterize"]["cluster_sizes"]) == 300
+    out = spark.table(wname)
+    assert out.count() == 300                      # no doubling on write-back
+    assert out.where(F.col("prediction").isNull()).count() == 0
+    assert out.select("prediction").distinct().count() == 3
+
+
+def test_unknown_stage_rejected(spark):
+    with pytest.raises(ValueError):
+        pipelines.run_stages(spark, ["deploy"], pipelines.MartConfig("a", "b", "/nowhere"))
+
+
+def test_flagship_figures_at_sf001(spark):
+    enriched, res = pipelines.mart_end_to_end(dirty_part(spark, SF_CHECK), "code", ["size_g", "price_g"])
+    r = pipelines.mart_invariants(enriched).first()
+    assert (r.n_rows, r.n_with_prediction, r.n_clusters) == (2000, 1285, 5)
+    assert -1 <= res.silhouette <= 1 and sum(res.sizes) == 1285
+
+
+def test_explore_prune_drops_sparse(spark):
+    df = spark.createDataFrame([("a", None, "1"), ("b", None, "2"), ("c", "x", "unknown")],
+                               "code string, sparse string, v string")
+    out = pipelines.explore_prune(df, ["code", "sparse", "v"])
+    assert out.columns == ["code", "v"] and out.count() == 3

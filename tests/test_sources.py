@@ -1,0 +1,122 @@
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from martlet.operators import columns
+from martlet.session import shared_dir
+from martlet.sources import files, jdbc, tables
+from tests.conftest import SF_SMALL
+
+SCHEMA = "id int, name string, score double"
+
+
+def _write_lines(spark, lines):
+    path = shared_dir(spark, "tsv_lines")
+    local = path[len("file:"):] if path.startswith("file:") else path   # test-only local write
+    os.makedirs(local)
+    with open(os.path.join(local, "part-0.tsv"), "w") as fh:
+        fh.write("\n".join(["id\tname\tscore", *lines]) + "\n")
+    return path
+
+
+def _schema(spark):
+    return spark.createDataFrame([], SCHEMA).schema
+
+
+LINES = ["1\ta\t1.5", "2\t\t", "x\tb\t2.0", "4\tc\t1\textra", "5\td"]   # good, empty, bad type, long, short
+
+
+@pytest.mark.parametrize("budget,ok", [(2, False), (3, True), (4, True)])
+def test_tolerant_load_budget(spark, budget, ok):
+    path = _write_lines(spark, LINES)
+    if not ok:
+        with pytest.raises(files.BadRowBudgetExceeded):
+            files.tolerant_load(spark, path, _schema(spark), max_bad_rows=budget)
+        return
+    good, bad = files.tolerant_load(spark, path, _schema(spark), max_bad_rows=budget)
+    assert bad == 3
+    assert sorted(map(tuple, good.collect())) == [(1, "a", 1.5), (2, None, None)]
+    # a query selecting one column sees the same rows (no pruning-dependent parse)
+    assert good.select("id").count() == 2
+
+
+def test_tsv_scan_infers_then_pins(spark):
+    path = _write_lines(spark, ["1\ta\t1.5", "2\tb\t2.5"])
+    df = files.tsv_scan(spark, path)
+    assert df.dtypes == [("id", "int"), ("name", "string"), ("score", "double")]
+
+
+def test_read_source_by_format(spark):
+    df = files.read_source(spark, "parquet", f"{SF_SMALL}/region.parquet")
+    assert df.count() == 5
+
+
+def test_sorted_layout_files_are_ordered(spark):
+    part = spark.read.parquet(f"{SF_SMALL}/part.parquet")
+    path = tables.write_sorted(part, shared_dir(spark, "sorted"), "p_partkey", num_partitions=4)
+    back = spark.read.parquet(path)
+    ranges = (back.groupBy(F.input_file_name().alias("f"))
+              .agg(F.min("p_partkey").alias("lo"), F.max("p_partkey").alias("hi")).orderBy("lo").collect())
+    for a, b in zip(ranges, ranges[1:]):
+        assert a.hi < b.lo
+    per_file = back.withColumn("f", F.input_file_name()).collect()
+    assert back.count() == part.count() and len(per_file) == part.count()
+
+
+def test_sorted_layout_spreads_hot_key(spark):
+    df = spark.range(4000).select(F.when(F.col("id") < 2000, 7).otherwise(F.col("id")).alias("k"), "id")
+    path = tables.write_sorted(df, shared_dir(spark, "hot"), "k", num_partitions=4)
+    sizes = spark.read.parquet(path).groupBy(F.input_file_name()).count().collect()
+    assert max(r["count"] for r in sizes) < 2000    # the hot key is split over files
+
+
+def test_publish_twice_is_not_doubled(spark):
+    df = spark.range(100).selectExpr("id", "id % 3 as g")
+    base = shared_dir(spark, "pub")
+    name = "t_pub_" + base.rsplit("-", 1)[-1]
+    first = tables.publish(spark, df, name, base)
+    second = tables.publish(spark, spark.table(name), name, base)
+    assert first["rows"] == second["rows"] == 100
+    assert first["path"] != second["path"]
+    assert spark.table(name).count() == 100
+
+
+def test_lifecycle_truncate_external(spark):
+    name = "t_lc_" + shared_dir(spark, "x").rsplit("-", 1)[-1]
+    tables.drop_table(spark, name)
+    tables.create_table(spark, name, "id bigint", shared_dir(spark, "lc"))
+    tables.insert_into(spark.range(10), name)
+    tables.truncate_table(spark, name)
+    assert spark.table(name).count() == 0
+    tables.insert_into(spark.range(3), name)
+    assert spark.table(name).count() == 3
+    tables.drop_table(spark, name)
+    assert not spark.catalog.tableExists(name)
+
+
+def test_normalise_names_and_collision(spark):
+    df = spark.createDataFrame([(1, 2)], "`energy-kcal_100g` int, fat_100g int")
+    assert columns.normalise_names(df).columns == ["energy_kcal_100g", "fat_100g"]
+    clash = spark.createDataFrame([(1, 2)], "`a-b` int, a_b int")
+    with pytest.raises(ValueError):
+        columns.normalise_names(clash)
+
+
+def test_drop_by_token_and_select_by_type(spark):
+    df = spark.createDataFrame([(1, "u", "s", 1.0)], "id bigint, image_url string, states_tags string, x double")
+    assert columns.drop_by_name_token(df, "url", "states").columns == ["id", "x"]
+    assert columns.select_by_type(df, "double").columns == ["x"]
+    assert columns.drop_named(df, ["nope", "x"]).columns == ["id", "image_url", "states_tags"]
+
+
+def test_jdbc_partition_validation_and_options():
+    with pytest.raises(ValueError):
+        jdbc.validate_partitions(0)
+    with pytest.raises(ValueError):
+        jdbc.validate_partitions(101)
+    assert jdbc.validate_partitions("10") == 10
+    opts = jdbc.jdbc_options("jdbc:x://h/db", user="u", password="p", socket_timeout=300000)
+    assert opts == {"url": "jdbc:x://h/db", "user": "u", "password": "p", "socket_timeout": "300000"}
+    with pytest.raises(ValueError):
+        jdbc.read_table(None, opts)
