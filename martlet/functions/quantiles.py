@@ -2,19 +2,27 @@
 
 Spark's exact ``percentile`` merges a map of every distinct value into one final
 task per group; at scale that is one task holding a whole column. Here the
-order statistics are found by successive narrowing instead:
-
-1. one pass for ``count/min/max`` per column;
-2. each round, every row that falls in an unresolved target interval adds to an
-   equal-width histogram of ``bins`` buckets (partial aggregation, so a hot
-   value costs one row per partition); the driver receives at most
-   ``targets x bins`` small rows and narrows each interval to the bucket that
-   holds the wanted rank, using the bucket's real min/max;
-3. an interval whose min equals its max is resolved; one whose row count fits
-   ``final_rows`` is finished by a ``row_number`` window partitioned by target,
-   so no task ever sorts more than ``final_rows`` rows.
-
-NULL and NaN are ignored, as in ``quantile_cont`` over cleaned data.
+needed order statistics are selected instead:
+
+1. one aggregate pass: per column ``count/min/max`` and ``percentile_approx``
+   brackets around each wanted probability (``p +- 3/accuracy``). By the
+   approximation's rank guarantee each bracket holds the wanted rank and only
+   about ``8 n / accuracy`` ranks;
+2. one verification pass over all columns at once: per column the brackets are
+   merged into disjoint intervals and a CASE chain puts every value into exactly
+   one segment (a gap between brackets, counted; or a bracket, grouped by value,
+   so ties collapse and a hot value costs one row per partition after partial
+   aggregation). Each row lands in one group: no join, no row multiplication.
+   The driver walks the few groups to each exact rank.
+
+A bracket that would hold more than ``final_rows`` distinct values (very large
+``n``) is narrowed first by equal-width histograms of ``bins`` buckets, each
+round one pass; a bracket that turns out not to contain the rank (the guarantee
+is only trusted, never assumed) restarts from ``[min, max]``. The result is
+exact either way; at most ``targets x max(bins, final_rows)`` small rows ever
+reach the driver.
+
+NULL and NaN are ignored.
 """
 
 from __future__ import annotations
@@ -24,83 +32,84 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 
 @dataclass
 class _Target:
     tid: int
     column: str
-    rank: int          # 0-based order statistic wanted
+    rank: int           # 0-based order statistic wanted
+    n: int
+    vmin: float
+    vmax: float
     lo: float
     hi: float
-    below: int         # rows of `column` strictly below `lo`
-    count: int         # rows inside [lo, hi]
+    below: int | None   # rows strictly below `lo`, when known
+    est: int            # upper estimate of distinct values inside [lo, hi]
     value: float | None = None
+    resolved: bool = False
+
+
+def _valid(c: str):
+    x = F.col(c).cast("double")
+    return F.when(~F.isnan(x), x)
 
 
 def _long_values(df: DataFrame, cols: list[str]) -> DataFrame:
-    vals = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
-    long = vals.unpivot([], cols, "column_name", "v")
-    return long.where(F.col("v").isNotNull() & ~F.isnan("v"))
+    vals = df.select(*[_valid(c).alias(c) for c in cols])
+    return vals.unpivot([], cols, "column_name", "v").where(F.col("v").isNotNull())
 
 
 def exact_order_statistics(spark: SparkSession, df: DataFrame, cols: list[str],
-                           probs: list[float], bins: int = 1024, final_rows: int = 200_000,
-                           max_rounds: int = 16) -> dict[tuple[str, float], float | None]:
+                           probs: list[float], accuracy: int = 10000, bins: int = 1024,
+                           final_rows: int = 100_000, max_rounds: int = 24
+                           ) -> dict[tuple[str, float], float | None]:
     """Return ``{(column, p): quantile_cont(column, p)}``."""
-    long = _long_values(df, cols)
-    stats = {r["column_name"]: r for r in long.groupBy("column_name").agg(
-        F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).collect()}
+    eps = 3.0 / accuracy
+    brackets = sorted({min(1.0, max(0.0, p + d)) for p in probs for d in (-eps, eps)})
+    aggs = []
+    for i, c in enumerate(cols):
+        x = _valid(c)
+        aggs += [F.count(x).alias(f"n{i}"), F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}"),
+                 F.percentile_approx(x, brackets, accuracy).alias(f"q{i}")]
+    row = df.agg(*aggs).first()
 
     targets: dict[tuple[str, int], _Target] = {}
-    plan: dict[tuple[str, float], tuple] = {}
-    for c in cols:
-        st = stats.get(c)
-        if st is None or st["n"] == 0:
+    plan: dict[tuple[str, float], tuple | None] = {}
+    for i, c in enumerate(cols):
+        n = row[f"n{i}"]
+        if not n:
             for p in probs:
                 plan[(c, p)] = None
             continue
-        n = st["n"]
+        approx = dict(zip(brackets, row[f"q{i}"]))
+        vmin, vmax = row[f"lo{i}"], row[f"hi{i}"]
         for p in probs:
             h = (n - 1) * p
-            lo_r = int(math.floor(h))
-            hi_r = int(math.ceil(h))
+            lo_r, hi_r = int(math.floor(h)), int(math.ceil(h))
             for r in (lo_r, hi_r):
-                if (c, r) not in targets:
-                    targets[(c, r)] = _Target(len(targets), c, r, st["lo"], st["hi"], 0, n)
+                if (c, r) in targets:
+                    continue
+                p_lo, p_hi = min(1.0, max(0.0, p - eps)), min(1.0, max(0.0, p + eps))
+                lo = vmin if p_lo == 0.0 else min(approx[p_lo], vmax)
+                hi = vmax if p_hi == 1.0 else max(approx[p_hi], vmin)
+                lo, hi = min(lo, hi), max(lo, hi)
+                est = min(n, int(8 * n / accuracy) + 4)
+                targets[(c, r)] = _Target(len(targets), c, r, n, vmin, vmax, lo, hi, None, est)
             plan[(c, p)] = (lo_r, hi_r, h - lo_r)
 
-    def open_targets():
-        return [t for t in targets.values() if t.value is None]
-
-    for t in open_targets():
-        if t.lo == t.hi:
-            t.value = t.lo
-
-    for _ in range(max_rounds):
-        pending = [t for t in open_targets() if t.count > final_rows]
-        if not pending:
-            break
-        # Targets of one column usually share an interval: histogram it once.
-        intervals: dict[tuple, int] = {}
-        for t in pending:
-            intervals.setdefault((t.column, t.lo, t.hi), len(intervals))
-        hist = _histogram(spark, long, intervals, bins)
-        for t in pending:
-            rows = sorted(hist.get(intervals[(t.column, t.lo, t.hi)], []), key=lambda r: r[0])
-            acc = t.below
-            for _b, cnt, bmin, bmax in rows:
-                if acc + cnt > t.rank:
-                    t.lo, t.hi, t.below, t.count = bmin, bmax, acc, cnt
-                    break
-                acc += cnt
-            if t.lo == t.hi:
-                t.value = t.lo
-
-    rest = open_targets()
-    if rest:
-        _finish(spark, long, rest)
+    pending = list(targets.values())
+    if pending:
+        _segment_pass(df, pending, final_rows)
+        long = _long_values(df, cols)
+        for _ in range(max_rounds):
+            pending = [t for t in pending if not t.resolved]
+            if not pending:
+                break
+            _round(spark, long, pending, bins, final_rows)
+        unresolved = [t for t in targets.values() if not t.resolved]
+        if unresolved:
+            raise RuntimeError(f"quantile selection did not converge for {len(unresolved)} targets")
 
     out: dict[tuple[str, float], float | None] = {}
     for key, spec in plan.items():
@@ -114,39 +123,97 @@ def exact_order_statistics(spark: SparkSession, df: DataFrame, cols: list[str],
     return out
 
 
-def _targets_frame(spark: SparkSession, targets: list[_Target]) -> DataFrame:
-    rows = [(t.tid, t.column, float(t.lo), float(t.hi)) for t in targets]
-    tf = spark.createDataFrame(rows, "tid int, column_name string, t_lo double, t_hi double")
-    # Bounded by (#columns x #ranks): safe to broadcast.
-    return F.broadcast(tf)
-
+def _segment_pass(df: DataFrame, targets: list[_Target], final_rows: int) -> None:
+    """Exact pass over all columns at once, one output group per segment.
 
-def _histogram(spark, long: DataFrame, intervals: dict[tuple, int], bins: int):
-    rows = [(iid, c, float(lo), float(hi)) for (c, lo, hi), iid in intervals.items()]
-    tf = F.broadcast(spark.createDataFrame(rows, "tid int, column_name string, t_lo double, t_hi double"))
-    joined = long.join(tf, (long["column_name"] == tf["column_name"])
-                       & (long["v"] >= tf["t_lo"]) & (long["v"] <= tf["t_hi"]))
-    width = F.col("t_hi") - F.col("t_lo")
-    b = F.least(F.floor((F.col("v") - F.col("t_lo")) / width * bins), F.lit(bins - 1)).cast("int")
-    agg = (joined.select("tid", b.alias("b"), "v")
-           .groupBy("tid", "b")
-           .agg(F.count(F.lit(1)).alias("cnt"), F.min("v").alias("bmin"), F.max("v").alias("bmax")))
-    out: dict[int, list] = {}
-    for r in agg.collect():
-        out.setdefault(r["tid"], []).append((r["b"], r["cnt"], r["bmin"], r["bmax"]))
-    return out
+    Per column the brackets are merged into disjoint intervals; a CASE chain
+    puts every value into exactly one segment: even = gap (counted), odd =
+    interval (grouped by value when small, else counted with its min/max).
+    Each row lands in one group, so there is no join and no row multiplication.
+    """
+    by_col: dict[str, list[_Target]] = {}
+    for t in targets:
+        by_col.setdefault(t.column, []).append(t)
+    parts = []
+    for c, ts in by_col.items():
+        merged: list[list] = []            # [lo, hi, est]
+        for t in sorted(ts, key=lambda t: t.lo):
+            if merged and t.lo <= merged[-1][1]:
+                merged[-1][1] = max(merged[-1][1], t.hi)
+                merged[-1][2] += t.est
+            else:
+                merged.append([t.lo, t.hi, t.est])
+        x = _valid(c)
+        seg = None
+        for j, (lo, hi, _) in enumerate(merged):
+            seg = (F.when(x < lo, F.lit(2 * j)) if seg is None else seg.when(x < lo, F.lit(2 * j)))
+            seg = seg.when(x <= hi, F.lit(2 * j + 1))
+        seg = seg.otherwise(F.lit(2 * len(merged)))
+        small = [2 * j + 1 for j, (_, _, est) in enumerate(merged) if est <= final_rows]
+        key = F.when(seg.isin(small), x) if small else F.lit(None).cast("double")
+        parts.append(F.struct(F.lit(c).alias("column_name"), seg.alias("seg"), key.alias("k"), x.alias("v")))
+    rows = (df.select(F.explode(F.array(*parts)).alias("s")).select("s.*")
+            .where(F.col("v").isNotNull())
+            .groupBy("column_name", "seg", "k")
+            .agg(F.count(F.lit(1)).alias("cnt"), F.min("v").alias("vmin"), F.max("v").alias("vmax"))
+            .collect())
+    groups: dict[str, list] = {}
+    for r in rows:
+        groups.setdefault(r["column_name"], []).append(r)
+    for c, ts in by_col.items():
+        ordered = sorted(groups.get(c, []), key=lambda r: (r["seg"], -math.inf if r["k"] is None else r["k"]))
+        for t in ts:
+            acc = 0
+            for r in ordered:
+                if acc + r["cnt"] > t.rank:
+                    if r["k"] is not None or r["vmin"] == r["vmax"]:
+                        t.value, t.resolved = r["vmin"], True
+                    else:
+                        t.lo, t.hi, t.below, t.est = r["vmin"], r["vmax"], acc, r["cnt"]
+                    break
+                acc += r["cnt"]
 
 
-def _finish(spark, long: DataFrame, targets: list[_Target]):
-    tf = _targets_frame(spark, targets)
-    tf_rank = spark.createDataFrame([(t.tid, t.rank - t.below + 1) for t in targets],
-                                    "tid int, want long")
-    joined = long.join(tf, (long["column_name"] == tf["column_name"])
-                       & (long["v"] >= tf["t_lo"]) & (long["v"] <= tf["t_hi"]))
-    w = Window.partitionBy("tid").orderBy("v")
-    ranked = joined.select("tid", "v", F.row_number().over(w).alias("rn"))
-    picked = ranked.join(F.broadcast(tf_rank), (ranked["tid"] == tf_rank["tid"])
-                         & (ranked["rn"] == tf_rank["want"])).select(ranked["tid"], "v")
-    values = {r["tid"]: r["v"] for r in picked.collect()}
+def _round(spark: SparkSession, long: DataFrame, targets: list[_Target], bins: int, final_rows: int):
+    """One pass over the values for all pending targets, then narrow or resolve."""
+    rows = []
     for t in targets:
-        t.value = values.get(t.tid)
+        by_value = t.est <= final_rows or t.lo == t.hi
+        rows.append((t.tid, t.column, float(t.lo), float(t.hi), by_value))
+    tf = F.broadcast(spark.createDataFrame(   # (#columns x #ranks) rows: size is bounded
+        rows, "tid int, column_name string, t_lo double, t_hi double, by_value boolean"))
+    joined = long.join(tf, (long["column_name"] == tf["column_name"]) & (long["v"] <= tf["t_hi"]))
+    width = F.col("t_hi") - F.col("t_lo")
+    bucket = F.least(F.floor((F.col("v") - F.col("t_lo")) / width * bins), F.lit(bins - 1)).cast("double")
+    key = (F.when(F.col("v") < F.col("t_lo"), F.lit(None).cast("double"))
+           .when(F.col("by_value"), F.col("v"))
+           .otherwise(bucket))
+    agg = (joined.select("tid", key.alias("k"), "v")
+           .groupBy("tid", "k")
+           .agg(F.count(F.lit(1)).alias("cnt"), F.min("v").alias("vmin"), F.max("v").alias("vmax")))
+    got: dict[int, list] = {}
+    for r in agg.collect():
+        got.setdefault(r["tid"], []).append((r["k"], r["cnt"], r["vmin"], r["vmax"]))
+
+    for t, (_, _, _, _, by_value) in zip(targets, rows):
+        groups = got.get(t.tid, [])
+        below = sum(cnt for k, cnt, _, _ in groups if k is None)
+        inside = sorted(((k, cnt, a, b) for k, cnt, a, b in groups if k is not None), key=lambda g: g[0])
+        acc, hit = below, None
+        if t.rank >= below:
+            for k, cnt, a, b in inside:
+                if acc + cnt > t.rank:
+                    hit = (cnt, a, b)
+                    break
+                acc += cnt
+        if hit is None:
+            # The bracket missed the rank: restart from the whole range.
+            t.lo, t.hi, t.below, t.est = t.vmin, t.vmax, 0, t.n
+            if t.vmin == t.vmax:
+                t.value, t.resolved = t.vmin, True
+            continue
+        cnt, a, b = hit
+        if by_value or a == b:
+            t.value, t.resolved = a, True
+        else:
+            t.lo, t.hi, t.below, t.est = a, b, acc, cnt

@@ -17,15 +17,31 @@ from martlet.functions.stopwords import default_stop_words
 WORD_SPLIT_PATTERN = r"\W+"
 
 
+def spread_input(df: DataFrame) -> DataFrame:
+    """Rebalance a scan that yields fewer partitions than the cluster has cores.
+
+    Tokenising is CPU-bound, so a handful of large input splits would leave
+    cores idle. At scale the scan already has far more partitions than cores
+    and nothing is added; otherwise a round-robin repartition (which Spark makes
+    deterministic for task retries) spreads the rows, including duplicate texts.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
 def tokenize(df: DataFrame, text_col: str, word_col: str = "word",
              keep: list[str] | None = None, drop_empty: bool = False,
-             pattern: str = WORD_SPLIT_PATTERN) -> DataFrame:
+             pattern: str = WORD_SPLIT_PATTERN, rebalance: bool = True) -> DataFrame:
     """One row per token of ``lower(text)`` split on ``pattern``.
 
     NULL text yields no rows; ``''`` yields one empty token (Spark's split keeps
     leading/trailing empties). ``drop_empty`` removes empty tokens.
     """
     keep = keep or []
+    if rebalance:
+        df = spread_input(df.select(*keep, text_col))
     out = df.select(*keep, F.explode(F.split(F.lower(F.col(text_col)), pattern, -1)).alias(word_col))
     if drop_empty:
         out = out.where(F.col(word_col) != "")

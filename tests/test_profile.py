@@ -32,15 +32,17 @@ def _quantile_cont(values, p):
     return float(np.quantile(np.asarray(values, dtype=float), p, method="linear"))
 
 
-@pytest.mark.parametrize("bins,final_rows", [(1024, 200_000), (4, 10)])
-def test_exact_quantiles_match_numpy(spark, bins, final_rows):
+@pytest.mark.parametrize("bins,final_rows,accuracy", [(1024, 100_000, 10000), (4, 10, 10000), (4, 10, 50),
+                                                      (2, 3, 7)])
+def test_exact_quantiles_match_numpy(spark, bins, final_rows, accuracy):
     rng = np.random.default_rng(7)
     x = np.concatenate([rng.normal(50, 20, 3000), np.full(2000, 12.5)])   # hot value = 40% of rows
     y = rng.integers(0, 10, 5000).astype(float)
     pdf = pd.DataFrame({"x": x, "y": y})
     df = spark.createDataFrame(pdf).repartition(7)
     probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]
-    got = exact_order_statistics(spark, df, ["x", "y"], probs, bins=bins, final_rows=final_rows)
+    got = exact_order_statistics(spark, df, ["x", "y"], probs, bins=bins, final_rows=final_rows,
+                                 accuracy=accuracy)
     for c in ["x", "y"]:
         for p in probs:
             assert got[(c, p)] == pytest.approx(_quantile_cont(pdf[c], p), rel=1e-12, abs=1e-12)
