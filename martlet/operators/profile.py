@@ -78,6 +78,31 @@ def describe_numeric(df: DataFrame, cols: list[str], digits: int | None = 6) ->
     return _stack_long(df.agg(*aggs), cols, ["count", "mean", "stddev", "min", "max"])
 
 
+def describe_all(df: DataFrame, cols: list[str] | None = None, digits: int | None = 6) -> DataFrame:
+    """A4 over any columns, like ``df.describe()`` but in one typed pass.
+
+    count of non-NULL values; mean and sample stddev of the values that parse as
+    numbers (``try_cast``, so text columns never raise under ANSI); min and max
+    in the column's own order, rendered as text so all columns share a schema.
+    """
+    cols = list(cols or df.columns)
+    aggs = []
+    for i, c in enumerate(cols):
+        x = F.col(c).try_cast("double")
+        stats = {
+            "count": F.count(F.col(c)),
+            "mean": F.avg(x),
+            "stddev": F.stddev_samp(x),
+            "min": F.min(F.col(c)).cast("string"),
+            "max": F.max(F.col(c)).cast("string"),
+        }
+        for k, e in stats.items():
+            if digits is not None and k in ("mean", "stddev"):
+                e = F.round(e, digits)
+            aggs.append(e.alias(f"m{i}_{k}"))
+    return _stack_long(df.agg(*aggs), cols, ["count", "mean", "stddev", "min", "max"])
+
+
 def boxplot_stats(spark: SparkSession, df: DataFrame, cols: list[str], whisker: float = 1.5,
                   digits: int | None = 6, method: str = "exact", accuracy: int = 10000) -> DataFrame:
     """A5: the figures behind a box plot, per column.

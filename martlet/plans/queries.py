@@ -222,6 +222,14 @@ def q_describe_numeric(spark, sf):
     return profile.describe_numeric(table(spark, sf, "lineitem"), _NUM_LINE)
 
 
+@register("describe_all", with_dirty(" union all ".join(
+    f"select '{c}' as column_name, count({c}) as \"count\", round(avg(try_cast({c} as double)), 6) as mean, "
+    f"round(stddev_samp(try_cast({c} as double)), 6) as stddev, cast(min({c}) as varchar) as \"min\", "
+    f"cast(max({c}) as varchar) as \"max\" from dirty" for c, _ in _DIRTY_COLS)))
+def q_describe_all(spark, sf):
+    return profile.describe_all(dirty(spark, sf))
+
+
 _BOX_SQL = """
 with s as ({union}),
 q as (select column_name, quantile_cont(v, 0.25) as q1, quantile_cont(v, 0.5) as med,
@@ -496,6 +504,40 @@ def q_mart_end_to_end(spark, sf):
     return pipelines.mart_invariants(enriched)
 
 
+@register("mart_chain", with_dirty_part(f"""
+, clean as (select code from dirty_part where {_flag_clean_sql()})
+select count(*) as n_rows, count(c.code) as n_with_prediction, cast(5 as bigint) as n_clusters
+from dirty_part d left join clean c on d.code = c.code
+"""))
+def q_mart_chain(spark, sf):
+    """J-G: the three stages as separate steps that hand over state only
+    through published tables (wide -> mart -> mart+prediction -> wide)."""
+    base = shared_dir(spark, "chain")
+    tag = base.rsplit("-", 1)[-1]
+    wide_name, mart_name = f"martlet_wide_{tag}", f"martlet_mart_{tag}"
+    wide = enrich.add_null_column(dirty_part(spark, sf), "prediction")
+    tables.publish(spark, wide, wide_name, f"{base}/{wide_name}")
+    cfg = pipelines.MartConfig(wide_name, mart_name, base, key="code", features=_FLAG_FEATS, k=5, seed=42)
+    pipelines.run_stages(spark, ["preprocess", "clusterize", "write"], cfg)
+    return pipelines.mart_invariants(spark.table(wide_name))
+
+
+@register("word_count_stream", _ORACLES["word_count"])
+def q_word_count_stream(spark, sf):
+    """J-E as a stream over the documents file; equals the batch word count."""
+    from martlet.streaming.word_count import start_word_count
+
+    # The file stream source lists a directory or a glob; a one-character class
+    # makes the single table file a glob that matches exactly that file.
+    path = f"{sf.rstrip('/')}/documents.parque[t]"
+    base = shared_dir(spark, "wc_stream")
+    name = "martlet_wc_" + base.rsplit("-", 1)[-1]
+    q = start_word_count(spark, path, table(spark, sf, "documents").schema, "text",
+                         name, f"{base}/table", f"{base}/checkpoint", base_path=sf.rstrip("/"))
+    q.awaitTermination()
+    return tables.read_latest(spark, name)
+
+
 def flagship(spark, sf):
     """clean -> cluster -> enrich on the dirty part view; the enriched table."""
     enriched, _ = pipelines.mart_end_to_end(dirty_part(spark, sf), "code", _FLAG_FEATS, k=5, seed=42)

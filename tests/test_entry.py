@@ -7,7 +7,8 @@ import __spark_entry__ as entry
 from tests.conftest import SF_SMALL
 
 FAST = ["word_count", "clean_numeric", "missing_profile", "boxplot_stats", "enrich_left_join_dup",
-        "row_index", "kmeans_assign_fixed", "silhouette_by_label", "describe_numeric", "tolerant_load"]
+        "row_index", "kmeans_assign_fixed", "silhouette_by_label", "describe_numeric", "tolerant_load",
+        "describe_all", "mart_chain"]
 
 
 def test_entry_runs(spark):

@@ -84,3 +84,11 @@ def test_observe_count_fills_during_action(spark):
     df, obs = profile.observe_count(spark.range(123))
     df.write.format("noop").mode("overwrite").save()
     assert obs.get["n_rows"] == 123
+
+
+def test_describe_all_text_and_numbers(spark):
+    df = spark.createDataFrame([("1.5", 3), ("abc", 1), (None, 2), ("2.5", None)], "s string, n int")
+    got = {r.column_name: r for r in profile.describe_all(df).collect()}
+    assert got["s"]["count"] == 3 and got["s"]["mean"] == 2.0
+    assert (got["s"]["min"], got["s"]["max"]) == ("1.5", "abc")
+    assert (got["n"]["count"], got["n"]["min"], got["n"]["max"]) == (3, "1", "3")
