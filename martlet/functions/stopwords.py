@@ -1,6 +1,6 @@
 """English stop words, read from the list Spark MLlib ships.
 
-The word-count notebook filters with ``StopWordsRemover.loadDefaultStopWords
+The word count filters with ``StopWordsRemover.loadDefaultStopWords
 ("english")``. The same resource is read here straight from the MLlib jar so that
 the Spark filter and the SQL oracle share one list without needing a JVM.
 """

@@ -59,7 +59,7 @@ def hidden_column_filter(df: DataFrame, bounds: dict[str, float], keep: list[str
     """bound columns that are *not* in the output projection.
 
     The bound is evaluated on ``try_cast(col AS double)`` before the projection
-    (the notebook relied on the analyser resolving a pruned column); NULL drops
+    (rather than relying on the analyser to resolve a pruned column); NULL drops
     the row.
     """
     cond = all_of(to_number(c, dtype) < v for c, v in bounds.items())

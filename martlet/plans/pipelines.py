@@ -41,19 +41,21 @@ def clusterize(mart: DataFrame, features: list[str], k: int = cluster.DEFAULT_K,
                seed: int = cluster.DEFAULT_SEED, keep: list[str] | None = None) -> ClusterResult:
     """J-B: assemble -> fit -> predict -> silhouette.
 
-    The assembled frame is persisted (memory, spilling to disk) for the fit's
-    iterations and the evaluation, then released. The returned predictions are
-    lazy and recompute from the input with the fitted model, which is
-    deterministic; persistence is never needed for correctness.
+    The fit gets the unpersisted frame on purpose: MLlib then caches its own
+    decoded vectors for the iterations, which measured twice as fast as
+    iterating over a persisted DataFrame. The scored frame is persisted (memory,
+    spilling to disk) only for the evaluator's two passes, then released. The
+    returned predictions are lazy and recompute from the input with the fitted
+    model, which is deterministic; persistence is never needed for correctness.
     """
-    assembled = cluster.assemble(mart, features).persist(StorageLevel.MEMORY_AND_DISK)
+    assembled = cluster.assemble(mart, features)
+    model = cluster.fit_kmeans(assembled, k=k, seed=seed)
+    scored = model.transform(assembled).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        model = cluster.fit_kmeans(assembled, k=k, seed=seed)
-        scored = model.transform(assembled)
         score = cluster.silhouette(scored)
         sizes = list(model.summary.clusterSizes)
     finally:
-        assembled.unpersist()
+        scored.unpersist()
     keep = keep if keep is not None else mart.columns
     predictions = model.transform(cluster.assemble(mart, features)).select(*keep, "prediction")
     return ClusterResult(predictions, model, score, sizes)
