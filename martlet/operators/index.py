@@ -1,21 +1,39 @@
 """Deterministic row index over a key ordering (S3) without a global window.
 
 ``row_number() OVER (ORDER BY key)`` with no partition moves every row into one
-task. Here: approximate quantiles of the key cut it into ``buckets`` contiguous
-ranges (bounded list on the driver), one aggregate counts rows per bucket, the
-prefix sums become a literal map (bounded by ``buckets``), and the final
-``row_number`` runs per bucket. Each bucket holds about n / buckets rows for a
-key without heavy duplicates (the index is meant for a stable, unique key).
+task. Here:
+
+1. approximate quantiles of the key cut it into ``buckets`` contiguous ranges
+   (a bounded list of cut points on the driver);
+2. a value that repeats among the cut points holds more than ``1/buckets`` of
+   the rows; it gets a bucket of its own, and that bucket is split into
+   sub-buckets by a deterministic row hash, so one key holding a third of all
+   rows is numbered by many tasks instead of one;
+3. one aggregate counts rows per (bucket, sub-bucket); the prefix sums (bounded
+   by the number of buckets) become a literal map;
+4. ``row_number`` runs per (bucket, sub-bucket) and adds the offset.
+
+The order is total and deterministic: key, then ``tiebreak`` columns, then a
+hash of the whole row (rows equal in every column are interchangeable). Inside
+a split hot key the hash orders the rows, which is just one more deterministic
+tie-break among equal keys. Task retries after an executor loss reproduce the
+same numbers.
 """
 
 from __future__ import annotations
 
+import math
 from itertools import accumulate
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+_KEY_D = "__martlet_key_d"
+_BUCKET = "__martlet_bucket"
+_SUB = "__martlet_sub"
+_HASH = "__martlet_row_hash"
+
 
 def with_row_index(df: DataFrame, order_col: str, index_col: str = "row_index",
                    buckets: int | None = None, tiebreak: list[str] | None = None,
@@ -23,26 +41,59 @@ def with_row_index(df: DataFrame, order_col: str, index_col: str = "row_index",
     spark = df.sparkSession
     if buckets is None:
         buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
-    key_d = "__martlet_key_d"
-    bucket = "__martlet_bucket"
-    keyed = df.withColumn(key_d, F.col(order_col).cast("double"))
+    buckets = min(buckets, 1 << 19)   # slot = bucket * 2**20 + sub, and sub < buckets
+    tiebreak = list(tiebreak or [])
+    keyed = df.withColumn(_KEY_D, F.col(order_col).cast("double")).withColumn(
+        _HASH, F.xxhash64(*[F.col(c) for c in df.columns]))
+
+    cuts: list[float] = []
     if buckets > 1:
         probs = [i / buckets for i in range(1, buckets)]
-        cuts = keyed.agg(F.percentile_approx(key_d, probs, 10000).alias("q")).first()["q"] or []
-        splits = [float("-inf")] + sorted(set(float(x) for x in cuts)) + [float("inf")]
-    else:
-        splits = [float("-inf"), float("inf")]
+        cuts = [float(x) for x in (keyed.agg(F.percentile_approx(_KEY_D, probs, 10000)).first()[0] or [])]
+    repeats = {v: cuts.count(v) for v in set(cuts)}
+    hot = sorted(v for v, r in repeats.items() if r >= 2 and math.isfinite(v))
+    points = set(cuts) | {math.nextafter(v, math.inf) for v in hot}
+    splits = [-math.inf] + sorted(p for p in points if math.isfinite(p)) + [math.inf]
+    # bucket i covers [splits[i], splits[i+1]); a hot value v owns [v, nextafter(v)).
+    hot_subs = {splits.index(v): repeats[v] + 1 for v in hot}
+
     if len(splits) > 2:
-        bucketed = Bucketizer(splits=splits, inputCol=key_d, outputCol=bucket,
+        bucketed = Bucketizer(splits=splits, inputCol=_KEY_D, outputCol=_BUCKET,
                               handleInvalid="keep").transform(keyed)
-        bucketed = bucketed.withColumn(bucket, F.col(bucket).cast("int"))
+        bucketed = bucketed.withColumn(_BUCKET, F.col(_BUCKET).cast("int"))
     else:
-        bucketed = keyed.withColumn(bucket, F.lit(0))
-    counts = {r[0]: r[1] for r in bucketed.groupBy(bucket).count().collect()}
+        bucketed = keyed.withColumn(_BUCKET, F.lit(0))
+
+    def sub_expr(split_buckets: dict[int, int]):
+        expr = F.lit(0)
+        for b, s in split_buckets.items():
+            expr = F.when(F.col(_BUCKET) == b, F.pmod(F.col(_HASH), F.lit(s))).otherwise(expr)
+        return expr.cast("int")
+
+    stats = (bucketed.withColumn(_SUB, sub_expr(hot_subs))
+             .groupBy(_BUCKET, _SUB)
+             .agg(F.count(F.lit(1)).alias("n"), F.min(order_col).alias("kmin"), F.max(order_col).alias("kmax"))
+             .collect())
+    # Split a hot bucket only if it really holds one key value (distinct keys can
+    # share a double, e.g. longs beyond 2**53); otherwise number it unsplit.
+    span: dict[int, tuple] = {}
+    for r in stats:
+        lo, hi = span.get(r[_BUCKET], (r["kmin"], r["kmax"]))
+        span[r[_BUCKET]] = (min(lo, r["kmin"]), max(hi, r["kmax"]))
+    split_ok = {b: s for b, s in hot_subs.items() if b in span and span[b][0] == span[b][1]}
+    counts: dict[tuple[int, int], int] = {}
+    for r in stats:
+        key = (r[_BUCKET], r[_SUB] if r[_BUCKET] in split_ok else 0)
+        counts[key] = counts.get(key, 0) + r["n"]
+
     ids = sorted(counts)
     offsets = dict(zip(ids, accumulate([0] + [counts[i] for i in ids[:-1]])))
-    offset_map = F.create_map(*[x for b, o in offsets.items() for x in (F.lit(b), F.lit(o))])
-    w = Window.partitionBy(bucket).orderBy(F.col(order_col), *[F.col(c) for c in (tiebreak or [])])
-    out = bucketed.withColumn(
-        index_col, (F.row_number().over(w) - 1 + offset_map[F.col(bucket)] + start).cast("long"))
-    return out.drop(key_d, bucket)
+    offset_map = F.create_map(*[x for (b, s), o in offsets.items()
+                                for x in (F.lit(b * (1 << 20) + s).cast("long"), F.lit(o).cast("long"))])
+    numbered = bucketed.withColumn(_SUB, sub_expr(split_ok))
+    w = Window.partitionBy(_BUCKET, _SUB).orderBy(
+        F.col(order_col), *[F.col(c) for c in tiebreak], F.col(_HASH))
+    slot = F.col(_BUCKET).cast("long") * F.lit(1 << 20) + F.col(_SUB)
+    out = numbered.withColumn(
+        index_col, (F.row_number().over(w) - 1 + offset_map[slot] + start).cast("long"))
+    return out.drop(_KEY_D, _BUCKET, _SUB, _HASH)

@@ -21,3 +21,32 @@ def test_row_index_has_no_single_partition_window(spark):
     df = spark.range(1000).select(F.col("id").alias("k"))
     plan = with_row_index(df, "k", buckets=8)._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in plan
+
+
+def test_row_index_hot_key_is_split_and_exact(spark):
+    # a third of the rows share one key value
+    df = spark.range(0, 6000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(500)).otherwise(F.col("id")).alias("k"), F.col("id").alias("v"))
+    out = with_row_index(df, "k", buckets=16)
+    rows = out.collect()
+    idx = sorted(r.row_index for r in rows)
+    assert idx == list(range(6000))                       # a permutation of 0..n-1
+    by_k = sorted(rows, key=lambda r: r.row_index)
+    keys = [r.k for r in by_k]
+    assert keys == sorted(keys)                           # consistent with the key order
+    # the hot key is numbered by several window partitions, not one
+    parts = (out.where("k = 500").select(F.spark_partition_id().alias("p")).distinct().count())
+    assert parts > 1
+
+
+def test_row_index_is_deterministic(spark):
+    df = spark.range(0, 3000).select((F.col("id") % 7).alias("k"), F.col("id").alias("v")).repartition(5)
+    a = {r.v: r.row_index for r in with_row_index(df, "k", buckets=8).collect()}
+    b = {r.v: r.row_index for r in with_row_index(df.repartition(3), "k", buckets=8).collect()}
+    assert a == b
+
+
+def test_row_index_many_buckets(spark):
+    df = spark.range(0, 20000).select(F.col("id").alias("k"))
+    out = with_row_index(df, "k", buckets=3000)
+    assert out.where("row_index = k").count() == 20000
