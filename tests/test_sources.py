@@ -41,6 +41,12 @@ def test_tolerant_load_budget(spark, budget, ok):
     assert good.select("id").count() == 2
 
 
+def test_tolerant_load_row_cap(spark):
+    path = _write_lines(spark, [f"{i}\tn{i}\t{i}.5" for i in range(50)])
+    good, bad = files.tolerant_load(spark, path, _schema(spark), max_rows=10)
+    assert bad == 0 and good.count() == 10
+
+
 def test_tsv_scan_infers_then_pins(spark):
     path = _write_lines(spark, ["1\ta\t1.5", "2\tb\t2.5"])
     df = files.tsv_scan(spark, path)
