@@ -62,9 +62,15 @@ def _long_values(df: DataFrame, cols: list[str]) -> DataFrame:
 
 def exact_order_statistics(spark: SparkSession, df: DataFrame, cols: list[str],
                            probs: list[float], accuracy: int = 10000, bins: int = 1024,
-                           final_rows: int = 100_000, max_rounds: int = 24
+                           final_rows: int = 100_000, max_rounds: int = 24,
+                           driver_rows: int | None = None
                            ) -> dict[tuple[str, float], float | None]:
-    """Return ``{(column, p): quantile_cont(column, p)}``."""
+    """Return ``{(column, p): quantile_cont(column, p)}``.
+
+    ``driver_rows`` caps the grouped rows the verification pass may return
+    (default: 4 x final_rows per column + a small constant); beyond it every
+    target falls back to histogram narrowing.
+    """
     eps = 3.0 / accuracy
     brackets = sorted({min(1.0, max(0.0, p + d)) for p in probs for d in (-eps, eps)})
     aggs = []
@@ -100,7 +106,7 @@ def exact_order_statistics(spark: SparkSession, df: DataFrame, cols: list[str],
 
     pending = list(targets.values())
     if pending:
-        _segment_pass(df, pending, final_rows)
+        _segment_pass(df, pending, final_rows, driver_rows)
         long = _long_values(df, cols)
         for _ in range(max_rounds):
             pending = [t for t in pending if not t.resolved]
@@ -123,7 +129,8 @@ def exact_order_statistics(spark: SparkSession, df: DataFrame, cols: list[str],
     return out
 
 
-def _segment_pass(df: DataFrame, targets: list[_Target], final_rows: int) -> None:
+def _segment_pass(df: DataFrame, targets: list[_Target], final_rows: int,
+                  driver_rows: int | None = None) -> None:
     """Exact pass over all columns at once, one output group per segment.
 
     Per column the brackets are merged into disjoint intervals; a CASE chain
@@ -152,11 +159,21 @@ def _segment_pass(df: DataFrame, targets: list[_Target], final_rows: int) -> Non
         small = [2 * j + 1 for j, (_, _, est) in enumerate(merged) if est <= final_rows]
         key = F.when(seg.isin(small), x) if small else F.lit(None).cast("double")
         parts.append(F.struct(F.lit(c).alias("column_name"), seg.alias("seg"), key.alias("k"), x.alias("v")))
+    # Hard bound on what reaches the driver, even if a bracket held far more
+    # distinct values than the approximation promised.
+    cap = driver_rows if driver_rows is not None else 4 * final_rows * len(parts) + 4 * len(targets) + 1024
     rows = (df.select(F.explode(F.array(*parts)).alias("s")).select("s.*")
             .where(F.col("v").isNotNull())
             .groupBy("column_name", "seg", "k")
             .agg(F.count(F.lit(1)).alias("cnt"), F.min("v").alias("vmin"), F.max("v").alias("vmax"))
+            .limit(cap + 1)
             .collect())
+    if len(rows) > cap:
+        for t in targets:                 # fall back to histogram narrowing, still exact
+            t.lo, t.hi, t.below, t.est = t.vmin, t.vmax, 0, t.n
+            if t.vmin == t.vmax:
+                t.value, t.resolved = t.vmin, True
+        return
     groups: dict[str, list] = {}
     for r in rows:
         groups.setdefault(r["column_name"], []).append(r)

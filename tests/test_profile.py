@@ -92,3 +92,14 @@ def test_describe_all_text_and_numbers(spark):
     assert got["s"]["count"] == 3 and got["s"]["mean"] == 2.0
     assert (got["s"]["min"], got["s"]["max"]) == ("1.5", "abc")
     assert (got["n"]["count"], got["n"]["min"], got["n"]["max"]) == (3, "1", "3")
+
+
+def test_exact_quantiles_driver_cap_fallback(spark):
+    # a tiny driver cap makes the segment pass overflow and fall back to histograms
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=2000)
+    df = spark.createDataFrame([(float(v),) for v in x], "x double")
+    got = exact_order_statistics(spark, df, ["x"], [0.1, 0.5, 0.9], bins=8, final_rows=50,
+                                 accuracy=100, driver_rows=3)
+    for p in [0.1, 0.5, 0.9]:
+        assert got[("x", p)] == pytest.approx(float(np.quantile(x, p)), abs=1e-12)
