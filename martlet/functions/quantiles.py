@@ -19,8 +19,10 @@ A bracket that would hold more than ``final_rows`` distinct values (very large
 ``n``) is narrowed first by equal-width histograms of ``bins`` buckets, each
 round one pass; a bracket that turns out not to contain the rank (the guarantee
 is only trusted, never assumed) restarts from ``[min, max]``. The result is
-exact either way; at most ``targets x max(bins, final_rows)`` small rows ever
-reach the driver.
+exact either way. What reaches the driver is bounded by parameters, never by
+the row count: the verification pass returns at most ``driver_rows`` groups
+(else everything falls back to narrowing), each narrowing round at most
+``targets x max(bins, final_rows)`` rows.
 
 NULL and NaN are ignored.
 """
