@@ -12,8 +12,6 @@ from pyspark.sql import types as T
 # (case-sensitive, matched anywhere in the text).
 MISSING_MARKERS = ("None", "NULL", "unknown")
 
-NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
-                 T.DoubleType, T.DecimalType)
 FRACTIONAL_TYPES = (T.FloatType, T.DoubleType)
 
 

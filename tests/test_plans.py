@@ -1,6 +1,5 @@
 """Plan shape checks: pruning, pushdown, scans and exchanges per job."""
 
-from pyspark.sql import functions as F
 
 from martlet.operators import cluster, profile, rows, text
 from martlet.plans.fixtures import dirty
@@ -36,7 +35,7 @@ def test_missing_profile_is_one_scan_one_final_row(spark):
 
 def test_word_count_exchanges_hash_then_range(spark):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
-    plan = text.word_count(docs, "text", )._jdf.queryExecution().executedPlan().toString()
+    plan = text.word_count(docs, "text")._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(word" in plan and "rangepartitioning(count" in plan
     assert "ReadSchema: struct<text:string>" in plan
 

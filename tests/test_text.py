@@ -1,4 +1,3 @@
-from pyspark.sql import functions as F
 
 from martlet.functions.stopwords import default_stop_words
 from martlet.operators import text
