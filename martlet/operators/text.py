@@ -85,6 +85,6 @@ def token_counts(df: DataFrame, text_col: str, keys: list[str], stop_words=None)
     tokens = F.split(F.lower(F.col(text_col)), WORD_SPLIT_PATTERN, -1)
     return df.where(F.col(text_col).isNotNull()).select(
         *keys,
-        F.size(tokens).alias("n_tokens"),
-        F.size(F.filter(tokens, lambda w: ~w.isin(words))).alias("n_kept"),
+        F.size(tokens).cast("long").alias("n_tokens"),
+        F.size(F.filter(tokens, lambda w: ~w.isin(words))).cast("long").alias("n_kept"),
     )
