@@ -89,7 +89,8 @@ def with_row_index(df: DataFrame, order_col: str, index_col: str = "row_index",
     ids = sorted(counts)
     offsets = dict(zip(ids, accumulate([0] + [counts[i] for i in ids[:-1]])))
     offset_map = F.create_map(*[x for (b, s), o in offsets.items()
-                                for x in (F.lit(b * (1 << 20) + s).cast("long"), F.lit(o).cast("long"))])
+                                for x in (F.lit(b * (1 << 20) + s).cast("long"), F.lit(o).cast("long"))]
+                              ).cast("map<bigint,bigint>")
     numbered = bucketed.withColumn(_SUB, sub_expr(split_ok))
     w = Window.partitionBy(_BUCKET, _SUB).orderBy(
         F.col(order_col), *[F.col(c) for c in tiebreak], F.col(_HASH))

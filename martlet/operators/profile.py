@@ -47,7 +47,7 @@ def missing_profile(df: DataFrame, cols: list[str] | None = None, digits: int |
     total = F.count(F.lit(1))
     aggs = []
     for i, c in enumerate(cols):
-        pct = F.count_if(is_missing(df, c)).cast("double") / total * 100
+        pct = F.try_divide(F.count_if(is_missing(df, c)).cast("double"), total) * 100   # NULL when empty
         if digits is not None:
             pct = F.round(pct, digits)
         aggs.append(pct.alias(f"m{i}_missing_pct"))

@@ -50,3 +50,8 @@ def test_row_index_many_buckets(spark):
     df = spark.range(0, 20000).select(F.col("id").alias("k"))
     out = with_row_index(df, "k", buckets=3000)
     assert out.where("row_index = k").count() == 20000
+
+
+def test_row_index_of_an_empty_table(spark):
+    e = spark.createDataFrame([], "k long")
+    assert with_row_index(e, "k").columns == ["k", "row_index"] and with_row_index(e, "k").count() == 0

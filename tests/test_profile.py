@@ -103,3 +103,10 @@ def test_exact_quantiles_driver_cap_fallback(spark):
                                  accuracy=100, driver_rows=3)
     for p in [0.1, 0.5, 0.9]:
         assert got[("x", p)] == pytest.approx(float(np.quantile(x, p)), abs=1e-12)
+
+
+def test_profiles_of_an_empty_table(spark):
+    e = spark.createDataFrame([], "k long, s string, x double")
+    assert [r.missing_pct for r in profile.missing_profile(e).collect()] == [None, None, None]
+    assert profile.describe_numeric(e, ["x"]).first()["count"] == 0
+    assert profile.boxplot_stats(spark, e, ["x"]).first()["q1"] is None
