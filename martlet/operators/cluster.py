@@ -58,6 +58,8 @@ def squared_distance(cols: list[str], centre) -> Column:
 def assign_nearest(df: DataFrame, cols: list[str], centres, prediction_col: str = "prediction") -> DataFrame:
     """M3 for given centres: index of the nearest centre (squared euclidean);
     ties go to the lowest index."""
+    if not centres:
+        raise ValueError("assign_nearest needs at least one centre")
     dists = [squared_distance(cols, c) for c in centres]
     tmp = [f"__d{i}" for i in range(len(dists))]
     with_d = df.select("*", *[d.alias(t) for d, t in zip(dists, tmp)])

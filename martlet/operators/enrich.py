@@ -30,7 +30,8 @@ def unique_on_key(right: DataFrame, key: str, cols: list[str]) -> DataFrame:
     The check is evaluated lazily inside the same job as the join (a filter
     whose predicate raises), so it costs no separate pass.
     """
-    agg = right.groupBy(key).agg(F.count(F.lit(1)).alias(_N), *[F.first(c).alias(c) for c in cols])
+    # NULL keys never match in the join, so they can neither collide nor be kept.
+    agg = right.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias(_N), *[F.first(c).alias(c) for c in cols])
     guard = F.when(F.col(_N) > 1, F.raise_error(F.concat(
         F.lit(f"duplicate key in right side of enrichment join: {key}="), F.col(key).cast("string"))))
     return agg.where(guard.isNull()).drop(_N)

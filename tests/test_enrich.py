@@ -50,3 +50,10 @@ def test_guard_adds_no_extra_exchange_on_right(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_null_right_keys_do_not_trip_the_guard(spark):
+    left = spark.createDataFrame([("a", 1), (None, 2)], "code string, v int")
+    right = spark.createDataFrame([("a", 7), (None, 8), (None, 9)], "code string, prediction int")
+    out = enrich.enrich_left_join(left, right, "code", ["prediction"])
+    assert sorted(map(tuple, out.collect()), key=repr) == sorted([("a", 1, 7), (None, 2, None)], key=repr)
