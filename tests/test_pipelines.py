@@ -53,3 +53,20 @@ def test_explore_prune_drops_sparse(spark):
                                "code string, sparse string, v string")
     out = pipelines.explore_prune(df, ["code", "sparse", "v"])
     assert out.columns == ["code", "v"] and out.count() == 3
+
+
+def test_command_line_stages_and_wordcount(spark):
+    from martlet.__main__ import main
+
+    base = shared_dir(spark, "cli")
+    tag = base.rsplit("-", 1)[-1]
+    _wide(spark).write.parquet(f"{base}/seed")
+    spark.sql(f"CREATE TABLE wide_cli_{tag} USING parquet LOCATION '{base}/seed'")
+    rep = main(["stages", "preprocess", "CLUSTERIZE", "write", "--wide", f"wide_cli_{tag}", "--mart",
+                f"mart_cli_{tag}", "--base", base, "--features", "fat_100g,sugars_100g", "--k", "3"])
+    assert set(rep) == {"preprocess", "clusterize", "write"} and rep["write"]["rows"] == 300
+    docs = f"{base}/docs"
+    spark.createDataFrame([("the red fish",), ("red",)], "t string").write.parquet(docs)
+    main(["wordcount", "--input", docs, "--text-col", "t", "--output", f"{base}/wc"])
+    got = {r.word: r["count"] for r in spark.read.parquet(f"{base}/wc").collect()}
+    assert got == {"red": 2, "fish": 1}
