@@ -73,3 +73,16 @@ def test_assemble_errors_on_null_by_default(spark):
     with pytest.raises(Exception):
         cluster.assemble(df, ["a", "b"]).collect()
     assert cluster.assemble(df, ["a", "b"], handle_invalid="skip").count() == 0
+
+
+@pytest.mark.parametrize("parts", [1, 4, 7])
+def test_blobs_relabelled_are_partition_independent(spark, parts):
+    from tests.conftest import SF_CHECK
+    part = spark.read.parquet(f"{SF_CHECK}/part.parquet").select(
+        "p_partkey",
+        ((F.col("p_partkey") % 5) * 1000 + F.col("p_size")).cast("double").alias("x"),
+        (F.col("p_retailprice") / 1000).alias("y")).repartition(parts)
+    feats = cluster.assemble(part, ["x", "y"])
+    model = cluster.fit_kmeans(feats, k=5, seed=42)
+    out = cluster.relabel_by_centre_order(model.transform(feats), model, dim=0)
+    assert out.where(F.col("cluster") != (F.col("p_partkey") % 5)).count() == 0
