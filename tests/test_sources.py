@@ -126,3 +126,16 @@ def test_jdbc_partition_validation_and_options():
     assert opts == {"url": "jdbc:x://h/db", "user": "u", "password": "p", "socket_timeout": "300000"}
     with pytest.raises(ValueError):
         jdbc.read_table(None, opts)
+
+
+def test_deferred_budget_reads_once_and_guards_publish(spark):
+    path = _write_lines(spark, LINES)
+    good, budget = files.tolerant_load(spark, path, _schema(spark), max_bad_rows=2, deferred=True)
+    base = shared_dir(spark, "deferred")
+    name = "t_def_" + base.rsplit("-", 1)[-1]
+    with pytest.raises(files.BadRowBudgetExceeded):
+        tables.publish(spark, good, name, base, checks=[budget.check])
+    assert not spark.catalog.tableExists(name)          # over budget: never published
+    good, budget = files.tolerant_load(spark, path, _schema(spark), max_bad_rows=3, deferred=True)
+    rep = tables.publish(spark, good, name, base, checks=[budget.check])
+    assert rep["rows"] == 2 and budget.bad_rows == 3
