@@ -8,6 +8,9 @@ aggregate collapses it to one row per input partition before the shuffle.
 
 from __future__ import annotations
 
+import contextlib
+import io
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,6 +20,13 @@ from martlet.functions.stopwords import default_stop_words
 WORD_SPLIT_PATTERN = r"\W+"
 
 
+def _has_exchange(df: DataFrame) -> bool:
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()
+    return "Exchange" in buf.getvalue()
+
+
 def spread_input(df: DataFrame) -> DataFrame:
     """Rebalance a scan that yields fewer partitions than the cluster has cores.
 
@@ -24,7 +34,12 @@ def spread_input(df: DataFrame) -> DataFrame:
     cores idle. At scale the scan already has far more partitions than cores
     and nothing is added; otherwise a round-robin repartition (which Spark makes
     deterministic for task retries) spreads the rows, including duplicate texts.
+    Only a plan without a shuffle is inspected: asking a shuffled plan for its
+    partitions would make adaptive execution run the upstream stages, and after
+    a shuffle the partition count is the shuffle's anyway.
     """
+    if _has_exchange(df):
+        return df
     cores = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < cores:
         return df.repartition(cores)

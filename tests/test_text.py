@@ -52,3 +52,10 @@ def test_token_counts(spark):
     df = spark.createDataFrame([(1, "The cat and the hat"), (2, None)], "id int, t string")
     got = text.token_counts(df, "t", ["id"]).collect()
     assert [(r.id, r.n_tokens, r.n_kept) for r in got] == [(1, 5, 2)]
+
+
+def test_spread_input_skips_shuffled_plans(spark):
+    df = spark.range(100).selectExpr("cast(id % 7 as string) as t").groupBy("t").count()
+    assert text.spread_input(df) is df                      # no extra job, no extra shuffle
+    narrow = spark.createDataFrame([("a b",)], "t string").coalesce(1)
+    assert text.spread_input(narrow) is not narrow          # narrow scan gets spread
