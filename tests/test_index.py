@@ -55,3 +55,21 @@ def test_row_index_many_buckets(spark):
 def test_row_index_of_an_empty_table(spark):
     e = spark.createDataFrame([], "k long")
     assert with_row_index(e, "k").columns == ["k", "row_index"] and with_row_index(e, "k").count() == 0
+
+
+def test_row_index_string_key_spreads_and_matches(spark):
+    df = spark.range(0, 4000).select(F.format_string("c%05d", (F.col("id") * 7919) % 4001).alias("code"),
+                                     F.col("id").alias("v"))
+    out = with_row_index(df, "code", buckets=8)
+    got = {r.code: r.row_index for r in out.collect()}
+    want = {r.code: r.rn for r in df.select("code", (F.row_number().over(Window.orderBy("code")) - 1)
+                                            .alias("rn")).collect()}
+    assert got == want
+    assert out.select(F.spark_partition_id()).distinct().count() > 1
+
+
+def test_row_index_large_longs_keep_order(spark):
+    base = 2 ** 60
+    df = spark.range(0, 3000).select((F.lit(base) + F.col("id")).alias("k"))
+    got = [r.k for r in with_row_index(df, "k", buckets=8).orderBy("row_index").collect()]
+    assert got == sorted(got) and len(set(got)) == 3000
