@@ -40,10 +40,12 @@ def spread_input(df: DataFrame) -> DataFrame:
     """
     if _has_exchange(df):
         return df
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        narrow = df.rdd.getNumPartitions() < cores
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. a Spark Connect session): leave as is
+        return df
+    return df.repartition(cores) if narrow else df
 
 
 def tokenize(df: DataFrame, text_col: str, word_col: str = "word",

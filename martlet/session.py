@@ -52,13 +52,18 @@ def build_session(
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting a local one only if unset."""
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - no SparkContext (e.g. Spark Connect): config only
+        sc = None
+    current = sc.getCheckpointDir() if sc is not None else None
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         configured = tempfile.mkdtemp(prefix="martlet-ckpt-")
+    if sc is None:
+        return configured
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
