@@ -53,7 +53,11 @@ def clusterize(mart: DataFrame, features: list[str], k: int = cluster.DEFAULT_K,
     scored = model.transform(assembled).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         score = cluster.silhouette(scored)
-        sizes = list(model.summary.clusterSizes)
+        # Sizes from the cached scores (k rows); the training summary's own
+        # clusterSizes would re-read the unpersisted input once more.
+        sizes = [0] * len(model.clusterCenters())
+        for r in cluster.cluster_sizes(scored).collect():
+            sizes[r["prediction"]] = r["size"]
     finally:
         scored.unpersist()
     keep = keep if keep is not None else mart.columns
