@@ -57,3 +57,31 @@ def test_null_right_keys_do_not_trip_the_guard(spark):
     right = spark.createDataFrame([("a", 7), (None, 8), (None, 9)], "code string, prediction int")
     out = enrich.enrich_left_join(left, right, "code", ["prediction"])
     assert sorted(map(tuple, out.collect()), key=repr) == sorted([("a", 1, 7), (None, 2, None)], key=repr)
+
+
+def test_hot_left_key_is_split_by_aqe_skew_join(spark):
+    from pyspark.sql import functions as F
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        # a third of the left rows share one key
+        left = spark.range(30000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"),
+                                         F.col("id").alias("v"))
+        right = spark.range(30000).select(F.col("id").alias("k"), (F.col("id") % 5).alias("prediction"))
+        out = enrich.enrich_left_join(left, right, "k", ["prediction"])
+        assert len(out.collect()) == 30000      # run this DataFrame's own execution: final AQE plan
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin(skew=true)" in plan and "AQEShuffleRead skewed" in plan
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)

@@ -8,8 +8,8 @@ from tests.conftest import SF_SMALL
 
 
 def _plan(df):
-    df.write.format("noop").mode("overwrite").save()          # run once so AQE shows the final plan
-    return df._jdf.queryExecution().executedPlan().toString()
+    df.collect()                  # run this DataFrame's own execution so AQE shows the final plan
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
 
 
 def _dirty_parquet(spark):
