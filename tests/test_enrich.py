@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 from pyspark.errors import PySparkException
 from py4j.protocol import Py4JJavaError
 
@@ -38,15 +39,19 @@ def test_add_null_column_is_idempotent(spark):
 
 
 def test_guard_adds_no_extra_exchange_on_right(spark):
+    from tests.conftest import SF_SMALL
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        left = spark.range(1000).selectExpr("id as k", "id * 2 as v")
-        right = spark.range(1000).selectExpr("id as k", "id % 5 as prediction")
-        plan = enrich.enrich_left_join(left, right, "k", ["prediction"])._jdf.queryExecution() \
+        part = spark.read.parquet(f"{SF_SMALL}/part.parquet")
+        left = part.select("p_partkey", "p_name")
+        right = part.select("p_partkey", F.col("p_size").alias("prediction"))
+        plan = enrich.enrich_left_join(left, right, "p_partkey", ["prediction"])._jdf.queryExecution() \
             .executedPlan().toString()
-        # one exchange per side: the right side's aggregate already partitions by k
+        # one exchange per side: the guard's aggregate partitions the right side by
+        # the key, and the sort-merge join reuses that partitioning
         assert plan.count("Exchange hashpartitioning") == 2
+        assert "SortMergeJoin" in plan and plan.count("HashAggregate") == 2
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
