@@ -65,7 +65,6 @@ def test_null_right_keys_do_not_trip_the_guard(spark):
 
 
 def test_hot_left_key_is_split_by_aqe_skew_join(spark):
-    from pyspark.sql import functions as F
     conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
             "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
