@@ -139,3 +139,14 @@ def test_deferred_budget_reads_once_and_guards_publish(spark):
     good, budget = files.tolerant_load(spark, path, _schema(spark), max_bad_rows=3, deferred=True)
     rep = tables.publish(spark, good, name, base, checks=[budget.check])
     assert rep["rows"] == 2 and budget.bad_rows == 3
+
+
+def test_publish_refuses_to_drop_a_managed_table(spark):
+    tag = shared_dir(spark, "m").rsplit("-", 1)[-1]
+    name = f"t_managed_{tag}"
+    spark.range(5).write.saveAsTable(name)                   # managed, in the warehouse
+    changed = spark.range(5).selectExpr("id", "id * 2 as other")
+    with pytest.raises(ValueError):
+        tables.publish(spark, changed, name, shared_dir(spark, "m"))
+    assert spark.table(name).count() == 5                   # untouched
+    spark.sql(f"DROP TABLE {name}")
