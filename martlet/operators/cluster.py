@@ -36,11 +36,26 @@ def vector_as_array(col: str) -> Column:
     return vector_to_array(F.col(col))
 
 
+def repeatable_layout(df: DataFrame, key: str, num_partitions: int) -> DataFrame:
+    """Deterministic partition contents and row order: hash on ``key`` into a
+    fixed number of partitions, sorted by ``key`` inside each. MLlib's seeded
+    k-means depends on both, so this makes a fit repeatable whatever layout the
+    input arrived in."""
+    return df.repartition(num_partitions, F.col(key)).sortWithinPartitions(key)
+
+
 def fit_kmeans(df: DataFrame, k: int = DEFAULT_K, seed: int = DEFAULT_SEED,
                features_col: str = "features", prediction_col: str = "prediction",
-               max_iter: int = 20, tol: float = 1e-4) -> KMeansModel:
+               max_iter: int = 20, tol: float = 1e-4, order_key: str | None = None,
+               num_partitions: int | None = None) -> KMeansModel:
     """M2: ``KMeans(k).setSeed(seed).fit`` with MLlib defaults (k-means||, 2 init
-    steps, euclidean). Features are not scaled, as in the job."""
+    steps, euclidean). Features are not scaled, as in the job.
+
+    With a fixed seed the result still depends on the input partitioning; give a
+    unique ``order_key`` (and ``num_partitions``) for a repeatable fit."""
+    if order_key is not None:
+        n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+        df = repeatable_layout(df, order_key, n)
     km = KMeans(k=k, seed=seed, featuresCol=features_col, predictionCol=prediction_col,
                 maxIter=max_iter, tol=tol)
     return km.fit(df)

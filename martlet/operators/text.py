@@ -18,6 +18,8 @@ from martlet.functions.stopwords import default_stop_words
 
 # Fixed value: the tokeniser pattern (Java regex, ASCII \W), split limit -1.
 WORD_SPLIT_PATTERN = r"\W+"
+# Option: the same split with Unicode word characters (keeps accented letters).
+UNICODE_WORD_SPLIT_PATTERN = r"(?U)\W+"
 
 
 def _has_exchange(df: DataFrame) -> bool:
@@ -50,16 +52,20 @@ def spread_input(df: DataFrame) -> DataFrame:
 
 def tokenize(df: DataFrame, text_col: str, word_col: str = "word",
              keep: list[str] | None = None, drop_empty: bool = False,
-             pattern: str = WORD_SPLIT_PATTERN, rebalance: bool = True) -> DataFrame:
+             pattern: str = WORD_SPLIT_PATTERN, rebalance: bool = True,
+             outer: bool = False) -> DataFrame:
     """One row per token of ``lower(text)`` split on ``pattern``.
 
-    NULL text yields no rows; ``''`` yields one empty token (Spark's split keeps
-    leading/trailing empties). ``drop_empty`` removes empty tokens.
+    NULL text yields no rows (one row with a NULL token when ``outer``); ``''``
+    yields one empty token (Spark's split keeps leading/trailing empties).
+    ``drop_empty`` removes empty tokens; ``UNICODE_WORD_SPLIT_PATTERN`` keeps
+    accented letters inside words.
     """
     keep = keep or []
     if rebalance:
         df = spread_input(df.select(*keep, text_col))
-    out = df.select(*keep, F.explode(F.split(F.lower(F.col(text_col)), pattern, -1)).alias(word_col))
+    gen = F.explode_outer if outer else F.explode
+    out = df.select(*keep, gen(F.split(F.lower(F.col(text_col)), pattern, -1)).alias(word_col))
     if drop_empty:
         out = out.where(F.col(word_col) != "")
     return out

@@ -86,3 +86,14 @@ def test_blobs_relabelled_are_partition_independent(spark, parts):
     model = cluster.fit_kmeans(feats, k=5, seed=42)
     out = cluster.relabel_by_centre_order(model.transform(feats), model, dim=0)
     assert out.where(F.col("cluster") != (F.col("p_partkey") % 5)).count() == 0
+
+
+def test_fit_is_repeatable_with_an_order_key(spark):
+    from tests.conftest import SF_CHECK
+    part = spark.read.parquet(f"{SF_CHECK}/part.parquet").select("p_partkey", "p_size", "p_retailprice")
+    centres = []
+    for layout in (1, 6):
+        feats = cluster.assemble(part.repartition(layout), ["p_size", "p_retailprice"])
+        m = cluster.fit_kmeans(feats, k=5, seed=42, order_key="p_partkey", num_partitions=4)
+        centres.append(sorted(tuple(c) for c in m.clusterCenters()))
+    assert np.allclose(np.array(centres[0]), np.array(centres[1]))

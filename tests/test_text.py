@@ -59,3 +59,11 @@ def test_spread_input_skips_shuffled_plans(spark):
     assert text.spread_input(df) is df                      # no extra job, no extra shuffle
     narrow = spark.createDataFrame([("a b",)], "t string").coalesce(1)
     assert text.spread_input(narrow) is not narrow          # narrow scan gets spread
+
+
+def test_tokenize_outer_and_unicode_options(spark):
+    df = spark.createDataFrame([(1, None), (2, "Ünï café")], "id int, t string")
+    outer = [(r.id, r.word) for r in text.tokenize(df, "t", keep=["id"], outer=True).collect()]
+    assert (1, None) in outer
+    uni = [r.word for r in text.tokenize(df, "t", keep=["id"], pattern=text.UNICODE_WORD_SPLIT_PATTERN).collect()]
+    assert uni == ["ünï", "café"]
