@@ -8,6 +8,7 @@ surviving columns, so nothing here reads data.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _TYPE_NAMES = {
@@ -71,8 +72,19 @@ def drop_sparse_columns(df: DataFrame, missing_pct: dict[str, float], threshold:
     return df.drop(*[c for c, pct in missing_pct.items() if pct is not None and pct > threshold])
 
 
-def schema_report(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """P9 as data: one row per column (position, name, type, nullable)."""
-    rows = [(i + 1, f.name, f.dataType.simpleString(), f.nullable) for i, f in enumerate(df.schema.fields)]
-    schema = "position int, column_name string, data_type string, nullable boolean"
-    return spark.createDataFrame(rows, schema)
+def schema_report(spark: SparkSession, df: DataFrame, with_counts: bool = True) -> DataFrame:
+    """P9 as data: one row per column (position, name, type, nullable), plus the
+    number of non-NULL values when ``with_counts`` (one aggregate pass, so the
+    declared nullability can be checked against the data)."""
+    fields = df.schema.fields
+    if not with_counts:
+        rows = [(i + 1, f.name, f.dataType.simpleString(), f.nullable) for i, f in enumerate(fields)]
+        return spark.createDataFrame(rows, "position int, column_name string, data_type string, nullable boolean")
+    counts = df.agg(*[F.count(F.col(f.name)).alias(f"c{i}") for i, f in enumerate(fields)])
+    parts = []
+    for i, f in enumerate(fields):
+        name = f.name.replace("\\", "\\\\").replace("'", "\\'")
+        parts += [f"{i + 1}", f"'{name}'", f"'{f.dataType.simpleString()}'", "true" if f.nullable else "false",
+                  f"c{i}"]
+    return counts.selectExpr(
+        f"stack({len(fields)}, {', '.join(parts)}) as (position, column_name, data_type, nullable, n_non_null)")

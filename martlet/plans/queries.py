@@ -274,13 +274,22 @@ def q_select_by_type(spark, sf):
     return columns.select_by_type(table(spark, sf, "part"), "double", "bigint")
 
 
+_LINE_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+              "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
+
+
 @register("schema_report", """
-select cast(ordinal_position as integer) as position, column_name,
-  case data_type when 'BIGINT' then 'bigint' when 'INTEGER' then 'int' when 'DOUBLE' then 'double'
-    when 'VARCHAR' then 'string' when 'TIMESTAMP' then 'timestamp_ntz' when 'FLOAT' then 'float'
-    else lower(data_type) end as data_type,
-  is_nullable = 'YES' as nullable
-from information_schema.columns where table_name = 'lineitem'
+with m as (
+  select cast(ordinal_position as integer) as position, column_name,
+    case data_type when 'BIGINT' then 'bigint' when 'INTEGER' then 'int' when 'DOUBLE' then 'double'
+      when 'VARCHAR' then 'string' when 'TIMESTAMP' then 'timestamp_ntz' when 'FLOAT' then 'float'
+      else lower(data_type) end as data_type,
+    is_nullable = 'YES' as nullable
+  from information_schema.columns where table_name = 'lineitem'),
+c as (""" + " union all ".join(f"select '{c}' as column_name, count({c}) as n_non_null from lineitem"
+                               for c in _LINE_COLS) + """)
+select m.position, m.column_name, m.data_type, m.nullable, c.n_non_null
+from m join c on m.column_name = c.column_name
 """)
 def q_schema_report(spark, sf):
     return columns.schema_report(spark, table(spark, sf, "lineitem"))
