@@ -150,3 +150,11 @@ def test_publish_refuses_to_drop_a_managed_table(spark):
         tables.publish(spark, changed, name, shared_dir(spark, "m"))
     assert spark.table(name).count() == 5                   # untouched
     spark.sql(f"DROP TABLE {name}")
+
+
+def test_schema_report_with_counts(spark):
+    df = spark.createDataFrame([(1, "a"), (2, None)], "id bigint, `it's` string")
+    got = [tuple(r) for r in columns.schema_report(spark, df).orderBy("position").collect()]
+    assert got == [(1, "id", "bigint", True, 2), (2, "it's", "string", True, 1)]
+    plain = columns.schema_report(spark, df, with_counts=False)
+    assert plain.columns == ["position", "column_name", "data_type", "nullable"]
