@@ -19,7 +19,7 @@ import json
 import sys
 
 from martlet.operators import text
-from martlet.plans import pipelines
+from martlet.plans import jobs
 from martlet.session import build_session
 from martlet.sources import files
 
@@ -32,8 +32,8 @@ def _parser() -> argparse.ArgumentParser:
     st.add_argument("--wide", required=True, help="wide source table name")
     st.add_argument("--mart", required=True, help="mart table name")
     st.add_argument("--base", required=True, help="shared folder for published versions")
-    st.add_argument("--key", default=pipelines.MART_KEY)
-    st.add_argument("--features", default=",".join(pipelines.MART_FEATURES))
+    st.add_argument("--key", default=jobs.MART_KEY)
+    st.add_argument("--features", default=",".join(jobs.MART_FEATURES))
     st.add_argument("--k", type=int, default=5)
     st.add_argument("--seed", type=int, default=42)
     st.add_argument("--no-range", action="store_true", help="skip the [0, 100) bounds")
@@ -50,10 +50,10 @@ def main(argv: list[str] | None = None) -> dict:
     args = _parser().parse_args(argv)
     spark = build_session(app_name=f"martlet-{args.command}")
     if args.command == "stages":
-        cfg = pipelines.MartConfig(wide_table=args.wide, mart_table=args.mart, base_dir=args.base,
+        cfg = jobs.MartConfig(wide_table=args.wide, mart_table=args.mart, base_dir=args.base,
                                    key=args.key, features=[c for c in args.features.split(",") if c],
                                    k=args.k, seed=args.seed, apply_range=not args.no_range)
-        report = pipelines.run_stages(spark, args.stages, cfg)
+        report = jobs.run_stages(spark, args.stages, cfg)
     else:
         df = files.read_source(spark, args.format, args.input)
         out = text.word_topk(df, args.text_col, k=args.top) if args.top else text.word_count(df, args.text_col)

@@ -1 +1 @@
-"""User-level jobs (pipelines), fixture views and the query registry."""
+"""User-level jobs, fixture views and the query registry."""

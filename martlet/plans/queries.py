@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from martlet.functions.stopwords import default_stop_words, sql_in_list
 from martlet.operators import cluster, columns, enrich, profile, rows, text
 from martlet.operators.index import with_row_index
-from martlet.plans import pipelines
+from martlet.plans import jobs
 from martlet.plans.fixtures import dirty, dirty_part, table, with_dirty, with_dirty_part
 from martlet.session import shared_dir
 from martlet.sources import files, tables
@@ -203,7 +203,7 @@ where l_orderkey is not null and l_linenumber is not null and qty is not null an
 """))
 def q_explore_prune(spark, sf):
     useful = [*_KEYS, "qty", "disc", "tax", "price"]
-    return pipelines.explore_prune(dirty(spark, sf), useful, metadata=["l_comment"], name_tokens=["price"])
+    return jobs.explore_prune(dirty(spark, sf), useful, metadata=["l_comment"], name_tokens=["price"])
 
 
 _NUM_LINE = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -417,7 +417,7 @@ def q_clusterize_invariants(spark, sf):
     mart = table(spark, sf, "part").select(F.col("p_partkey").cast("string").alias("code"),
                                           F.col("p_size").cast("float").alias("size_g"),
                                           (F.col("p_retailprice") / 10).cast("float").alias("price_g"))
-    res = pipelines.clusterize(mart, ["size_g", "price_g"], k=5, seed=42)
+    res = jobs.clusterize(mart, ["size_g", "price_g"], k=5, seed=42)
     return res.predictions.agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.lit(sum(res.sizes)).cast("bigint").alias("sum_sizes"),
@@ -509,8 +509,8 @@ select count(*) as n_rows, count(c.code) as n_with_prediction, cast(5 as bigint)
 from dirty_part d left join clean c on d.code = c.code
 """))
 def q_mart_end_to_end(spark, sf):
-    enriched, _ = pipelines.mart_end_to_end(dirty_part(spark, sf), "code", _FLAG_FEATS, k=5, seed=42)
-    return pipelines.mart_invariants(enriched)
+    enriched, _ = jobs.mart_end_to_end(dirty_part(spark, sf), "code", _FLAG_FEATS, k=5, seed=42)
+    return jobs.mart_invariants(enriched)
 
 
 @register("mart_chain", with_dirty_part(f"""
@@ -526,9 +526,9 @@ def q_mart_chain(spark, sf):
     wide_name, mart_name = f"martlet_wide_{tag}", f"martlet_mart_{tag}"
     wide = enrich.add_null_column(dirty_part(spark, sf), "prediction")
     tables.publish(spark, wide, wide_name, f"{base}/{wide_name}")
-    cfg = pipelines.MartConfig(wide_name, mart_name, base, key="code", features=_FLAG_FEATS, k=5, seed=42)
-    pipelines.run_stages(spark, ["preprocess", "clusterize", "write"], cfg)
-    return pipelines.mart_invariants(spark.table(wide_name))
+    cfg = jobs.MartConfig(wide_name, mart_name, base, key="code", features=_FLAG_FEATS, k=5, seed=42)
+    jobs.run_stages(spark, ["preprocess", "clusterize", "write"], cfg)
+    return jobs.mart_invariants(spark.table(wide_name))
 
 
 @register("word_count_stream", _ORACLES["word_count"])
@@ -549,5 +549,5 @@ def q_word_count_stream(spark, sf):
 
 def flagship(spark, sf):
     """clean -> cluster -> enrich on the dirty part view; the enriched table."""
-    enriched, _ = pipelines.mart_end_to_end(dirty_part(spark, sf), "code", _FLAG_FEATS, k=5, seed=42)
+    enriched, _ = jobs.mart_end_to_end(dirty_part(spark, sf), "code", _FLAG_FEATS, k=5, seed=42)
     return enriched

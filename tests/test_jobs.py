@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from martlet.plans import pipelines
+from martlet.plans import jobs
 from martlet.plans.fixtures import dirty_part
 from martlet.session import shared_dir
 from tests.conftest import SF_CHECK
@@ -23,11 +23,11 @@ def test_run_stages_chain(spark):
     wname, mname = f"wide_{tag}", f"mart_{tag}"
     wide.write.parquet(f"{base}/seed")
     spark.sql(f"CREATE TABLE {wname} USING parquet LOCATION '{base}/seed'")
-    cfg = pipelines.MartConfig(wide_table=wname, mart_table=mname, base_dir=base,
+    cfg = jobs.MartConfig(wide_table=wname, mart_table=mname, base_dir=base,
                                features=["fat_100g", "sugars_100g"], k=3)
     with pytest.raises(ValueError):
-        pipelines.run_stages(spark, ["Write"], cfg)   # table missing / not clustered
-    rep = pipelines.run_stages(spark, ["PREPROCESS", "clusterize", "write"], cfg)
+        jobs.run_stages(spark, ["Write"], cfg)   # table missing / not clustered
+    rep = jobs.run_stages(spark, ["PREPROCESS", "clusterize", "write"], cfg)
     assert rep["preprocess"]["rows"] == 300
     assert sum(rep["clusterize"]["cluster_sizes"]) == 300
     out = spark.table(wname)
@@ -38,12 +38,12 @@ def test_run_stages_chain(spark):
 
 def test_unknown_stage_rejected(spark):
     with pytest.raises(ValueError):
-        pipelines.run_stages(spark, ["deploy"], pipelines.MartConfig("a", "b", "/nowhere"))
+        jobs.run_stages(spark, ["deploy"], jobs.MartConfig("a", "b", "/nowhere"))
 
 
 def test_flagship_figures_at_sf001(spark):
-    enriched, res = pipelines.mart_end_to_end(dirty_part(spark, SF_CHECK), "code", ["size_g", "price_g"])
-    r = pipelines.mart_invariants(enriched).first()
+    enriched, res = jobs.mart_end_to_end(dirty_part(spark, SF_CHECK), "code", ["size_g", "price_g"])
+    r = jobs.mart_invariants(enriched).first()
     assert (r.n_rows, r.n_with_prediction, r.n_clusters) == (2000, 1285, 5)
     assert -1 <= res.silhouette <= 1 and sum(res.sizes) == 1285
 
@@ -51,7 +51,7 @@ def test_flagship_figures_at_sf001(spark):
 def test_explore_prune_drops_sparse(spark):
     df = spark.createDataFrame([("a", None, "1"), ("b", None, "2"), ("c", "x", "unknown")],
                                "code string, sparse string, v string")
-    out = pipelines.explore_prune(df, ["code", "sparse", "v"])
+    out = jobs.explore_prune(df, ["code", "sparse", "v"])
     assert out.columns == ["code", "v"] and out.count() == 3
 
 
