@@ -70,3 +70,15 @@ def test_command_line_stages_and_wordcount(spark):
     main(["wordcount", "--input", docs, "--text-col", "t", "--output", f"{base}/wc"])
     got = {r.word: r["count"] for r in spark.read.parquet(f"{base}/wc").collect()}
     assert got == {"red": 2, "fish": 1}
+
+
+def test_command_line_exits_non_zero_on_unknown_stage():
+    import os
+    import subprocess
+    import sys
+
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    proc = subprocess.run([sys.executable, "-m", "martlet", "stages", "deploy", "--wide", "a", "--mart", "b",
+                           "--base", "/nowhere"], cwd=repo, capture_output=True, text=True, timeout=300)
+    assert proc.returncode == 1
+    assert "unknown stages" in proc.stderr
