@@ -206,6 +206,22 @@ def q_explore_prune(spark, sf):
     return jobs.explore_prune(dirty(spark, sf), useful, metadata=["l_comment"], name_tokens=["price"])
 
 
+@register("explore_raw_file", with_dirty("""
+select cast(l_orderkey as integer) as l_orderkey, l_linenumber, qty, cast(tax as double) as tax from dirty
+where qty is not null and qty <> '' and tax is not null
+"""))
+def q_explore_raw_file(spark, sf):
+    """J-D from a raw file: TSV with hyphenated header names -> inferred types ->
+    normalised names -> drop metadata/name tokens -> profile -> drop sparse ->
+    project -> drop incomplete. (Empty TSV fields read back as NULL.)"""
+    raw = dirty(spark, sf)
+    raw = raw.toDF(*[c.replace("_", "-") for c in raw.columns])
+    path = files.write_tsv(raw, shared_dir(spark, "explore_raw"))
+    df = columns.normalise_names(files.tsv_scan(spark, path))
+    useful = [*_KEYS, "qty", "disc", "tax", "price"]
+    return jobs.explore_prune(df, useful, metadata=["l_comment"], name_tokens=["price"])
+
+
 _NUM_LINE = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
