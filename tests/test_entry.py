@@ -40,3 +40,24 @@ def test_query_matches_oracle_small(spark, name):
     idx = [rel.columns.index(c) for c in order]
     o = sorted((tuple(_norm(r[i]) for i in idx) for r in rel.fetchall()), key=repr)
     assert s == o
+
+
+def test_every_query_has_an_oracle():
+    assert set(entry.queries()) == set(entry.oracle_sql())
+
+
+def test_bench_prints_one_json_line():
+    import json
+    import os
+    import subprocess
+    import sys
+
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = dict(os.environ, BENCH_SF_DIR=SF_SMALL, BENCH_CPUS="2", BENCH_QUERIES="row_count,word_topk",
+               BENCH_WARMUP_DIR="/nonexistent", BENCH_DRIVER_MEMORY="2g")
+    proc = subprocess.run([sys.executable, "bench.py"], cwd=repo, env=env, capture_output=True, text=True,
+                          timeout=600)
+    assert proc.returncode == 0, proc.stderr[-2000:]
+    lines = [line for line in proc.stdout.splitlines() if line.strip()]
+    out = json.loads(lines[-1])
+    assert out["unit"] == "sec" and set(out["queries"]) == {"row_count", "word_topk"} and out["sf"] == 0.001
