@@ -3,70 +3,62 @@
 ``row_number() OVER (ORDER BY key)`` with no partition moves every row into one
 task. Here:
 
-1. cut points split the key into ``buckets`` contiguous ranges: approximate
-   quantiles for numeric, date and timestamp keys, or quantiles of a bounded
-   deterministic sample for other orderable keys (strings); a bounded list on
-   the driver either way;
+1. every key maps to an order-preserving double (numbers as such, dates and
+   timestamps as day / microsecond counts, strings by their first 6 UTF-8
+   bytes, whose byte order is Spark's string order); approximate quantiles of
+   it give ``buckets - 1`` cut points (a bounded list on the driver);
 2. a value that repeats among the cut points holds more than ``1/buckets`` of
-   the rows; it gets a bucket of its own, split into sub-buckets by a
-   deterministic row hash, so one key holding a third of all rows is numbered
-   by many tasks instead of one;
-3. each row's bucket is found by a binary-search CASE tree of comparisons on the
-   key's own type (about log2(buckets) comparisons, inside codegen);
-4. one aggregate counts rows per (bucket, sub-bucket); the prefix sums (bounded
-   by the number of buckets) become a literal map;
-5. ``row_number`` runs per (bucket, sub-bucket) and adds the offset.
+   the rows and gets a bucket of its own; MLlib's ``Bucketizer`` (a binary
+   search in the JVM, any number of buckets) assigns every row its bucket.
+   Distinct keys that share a double only ever share a bucket, so buckets stay
+   contiguous in key order;
+3. one aggregate counts rows per (bucket, sub-bucket): a hot bucket that holds a
+   single key value, and the NULL keys (all ties, first in order), are split
+   into sub-buckets by a deterministic row hash, so one key holding a third of
+   all rows is numbered by many tasks instead of one; the prefix sums (one row
+   per bucket, so bounded by ``buckets``) form a small broadcast table;
+4. ``row_number`` runs per (bucket, sub-bucket) and the offset is added through
+   a broadcast hash join on (bucket, sub-bucket).
 
 The order is total and deterministic: key (NULLs first, Spark's default), then
 ``tiebreak`` columns, then a hash of the whole row (rows equal in every column
-are interchangeable). Inside a split hot key the hash orders the rows, one more
+are interchangeable); inside a split key the hash orders the rows, one more
 deterministic tie-break among equal keys. Task retries after an executor loss
 reproduce the same numbers.
 """
 
 from __future__ import annotations
 
+import math
 from itertools import accumulate
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+_KEY_D = "__martlet_key_d"
 _BUCKET = "__martlet_bucket"
 _SUB = "__martlet_sub"
 _HASH = "__martlet_row_hash"
-_SLOT = 1 << 20
-_QUANTILE_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
-                   T.DecimalType, T.DateType, T.TimestampType, T.TimestampNTZType)
-
-
-def _cut_points(df: DataFrame, key: str, buckets: int, sample_per_bucket: int = 50) -> list:
-    probs = [i / buckets for i in range(1, buckets)]
-    if isinstance(df.schema[key].dataType, _QUANTILE_TYPES):
-        return list(df.agg(F.percentile_approx(key, probs, 10000)).first()[0] or [])
-    # Other orderable keys: quantiles of a deterministic sample of bounded size.
-    n = df.count()
-    if n == 0:
-        return []
-    fraction = min(1.0, buckets * sample_per_bucket / n)
-    sample = sorted(r[0] for r in df.where(F.col(key).isNotNull()).select(key)
-                    .sample(False, fraction, seed=42).collect())
-    if not sample:
-        return []
-    return [sample[min(len(sample) - 1, int(p * len(sample)))] for p in probs]
-
-
-def _bucket_expr(key: Column, bounds: list[tuple]) -> Column:
-    """Number of boundaries the key has passed; ``bounds`` sorted, each
-    ``(value, inclusive)``: passed when key >= value, or key > value if inclusive."""
-    def tree(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        value, inclusive = bounds[mid]
-        passed = key > F.lit(value) if inclusive else key >= F.lit(value)
-        return F.when(passed, tree(mid + 1, hi)).otherwise(tree(lo, mid))
-    return tree(0, len(bounds))
+_NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
+
+
+def order_surrogate(df: DataFrame, key: str) -> Column:
+    """A double that never decreases as ``key`` increases (ties allowed)."""
+    dtype = df.schema[key].dataType
+    c = F.col(key)
+    if isinstance(dtype, _NUMERIC):
+        return c.cast("double")
+    if isinstance(dtype, T.DateType):
+        return F.unix_date(c).cast("double")
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(c.cast("timestamp")).cast("double")
+    if isinstance(dtype, (T.StringType, T.BinaryType)):
+        raw = F.encode(c, "UTF-8") if isinstance(dtype, T.StringType) else c
+        prefix = F.rpad(F.hex(F.substring(raw, 1, 6)), 12, "0")
+        return F.conv(prefix, 16, 10).cast("double")
+    raise TypeError(f"no order-preserving surrogate for key type {dtype.simpleString()}")
 
 
 def with_row_index(df: DataFrame, order_col: str, index_col: str = "row_index",
@@ -75,37 +67,70 @@ def with_row_index(df: DataFrame, order_col: str, index_col: str = "row_index",
     spark = df.sparkSession
     if buckets is None:
         buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
-    buckets = min(buckets, _SLOT // 2)   # slot = bucket * 2**20 + sub, and sub <= buckets
+    buckets = min(buckets, 1 << 20)      # the offsets table has at most about this many rows
     tiebreak = list(tiebreak or [])
-    hashed = df.withColumn(_HASH, F.xxhash64(*[F.col(c) for c in df.columns]))
-
-    cuts = _cut_points(df, order_col, buckets) if buckets > 1 else []
-    repeats: dict = {}
+    key = F.col(order_col)
+    keyed = (df.withColumn(_HASH, F.xxhash64(*[F.col(c) for c in df.columns]))
+             .withColumn(_KEY_D, order_surrogate(df, order_col)))
+
+    cuts: list[float] = []
+    if buckets > 1:
+        probs = [i / buckets for i in range(1, buckets)]
+        cuts = [float(x) for x in (keyed.agg(F.percentile_approx(_KEY_D, probs, 10000)).first()[0] or [])]
+    repeats: dict[float, int] = {}
     for v in cuts:
-        if v is not None:
+        if math.isfinite(v):
             repeats[v] = repeats.get(v, 0) + 1
     hot = {v for v, r in repeats.items() if r >= 2}
-    # A plain cut v starts a bucket at v; a hot value v also ends its own bucket
-    # right after v, so [v, v] holds exactly that key.
-    bounds = sorted({(v, False) for v in repeats} | {(v, True) for v in hot})
-    key = F.col(order_col)
-    bucketed = hashed.withColumn(_BUCKET, _bucket_expr(key, bounds) if bounds else F.lit(0))
-    hot_subs = {bounds.index((v, False)) + 1: repeats[v] + 1 for v in hot}
-
-    sub = F.lit(0)
-    for b, s in hot_subs.items():
-        sub = F.when(F.col(_BUCKET) == b, F.pmod(F.col(_HASH), F.lit(s))).otherwise(sub)
-    bucketed = bucketed.withColumn(_SUB, sub.cast("int"))
+    points = set(repeats) | {math.nextafter(v, math.inf) for v in hot}
+    splits = [-math.inf] + sorted(p for p in points if math.isfinite(p)) + [math.inf]
+    # bucket i covers [splits[i], splits[i+1]); a hot value v owns [v, nextafter(v)).
+    hot_subs = {splits.index(v): repeats[v] + 1 for v in hot}
+
+    if len(splits) > 2:
+        bucketed = Bucketizer(splits=splits, inputCol=_KEY_D, outputCol=_BUCKET,
+                              handleInvalid="keep").transform(keyed)
+        bucket = F.col(_BUCKET).cast("int")
+    else:
+        bucketed, bucket = keyed, F.lit(0)
+    # NULL keys sort first: bucket -1, always split by hash (they are all ties).
+    bucketed = bucketed.withColumn(_BUCKET, F.when(key.isNull(), F.lit(-1)).otherwise(bucket))
+
+    def sub_expr(split_buckets: dict[int, int]) -> Column:
+        expr = F.when(F.col(_BUCKET) == -1, F.pmod(F.col(_HASH), F.lit(buckets))).otherwise(F.lit(0))
+        for b, s in split_buckets.items():
+            expr = F.when(F.col(_BUCKET) == b, F.pmod(F.col(_HASH), F.lit(s))).otherwise(expr)
+        return expr.cast("int")
+
+    stats = (bucketed.withColumn(_SUB, sub_expr(hot_subs))
+             .groupBy(_BUCKET, _SUB)
+             .agg(F.count(F.lit(1)).alias("n"), F.min(order_col).alias("kmin"), F.max(order_col).alias("kmax"))
+             .collect())
+    # Split a hot bucket only if it holds one key value (distinct keys can share a
+    # double); otherwise it is numbered unsplit, still in key order.
+    span: dict[int, tuple] = {}
+    for r in stats:
+        if r[_BUCKET] == -1:
+            continue                      # the NULL keys: no span, always split
+        lo, hi = span.get(r[_BUCKET], (r["kmin"], r["kmax"]))
+        span[r[_BUCKET]] = (min(lo, r["kmin"]), max(hi, r["kmax"]))
+    split_ok = {b: s for b, s in hot_subs.items() if b in span and span[b][0] == span[b][1]}
+    counts: dict[tuple[int, int], int] = {}
+    for r in stats:
+        b = r[_BUCKET]
+        k = (b, r[_SUB] if (b == -1 or b in split_ok) else 0)
+        counts[k] = counts.get(k, 0) + r["n"]
 
-    counts = {(r[_BUCKET], r[_SUB]): r["n"] for r in
-              bucketed.groupBy(_BUCKET, _SUB).agg(F.count(F.lit(1)).alias("n")).collect()}
     ids = sorted(counts)
-    offsets = dict(zip(ids, accumulate([0] + [counts[i] for i in ids[:-1]])))
-    offset_map = F.create_map(*[x for (b, s), o in offsets.items()
-                                for x in (F.lit(b * _SLOT + s).cast("long"), F.lit(o).cast("long"))]
-                              ).cast("map<bigint,bigint>")
+    offsets = accumulate([0] + [counts[i] for i in ids[:-1]])
+    # One row per (bucket, sub-bucket): bounded by the bucket count, so broadcast.
+    offset_df = F.broadcast(spark.createDataFrame(
+        [(b, sb, o) for (b, sb), o in zip(ids, offsets)],
+        f"{_BUCKET} int, {_SUB} int, __martlet_offset long"))
+    numbered = bucketed.withColumn(_SUB, sub_expr(split_ok))
     w = Window.partitionBy(_BUCKET, _SUB).orderBy(key, *[F.col(c) for c in tiebreak], F.col(_HASH))
-    slot = F.col(_BUCKET).cast("long") * F.lit(_SLOT) + F.col(_SUB)
-    out = bucketed.withColumn(
-        index_col, (F.row_number().over(w) - 1 + offset_map[slot] + start).cast("long"))
-    return out.drop(_BUCKET, _SUB, _HASH)
+    ranked = numbered.withColumn("__martlet_rn", F.row_number().over(w))
+    out = ranked.join(offset_df, [_BUCKET, _SUB]).withColumn(
+        index_col, (F.col("__martlet_rn") - 1 + F.col("__martlet_offset") + start).cast("long"))
+    out = out.select(*df.columns, index_col)
+    return out

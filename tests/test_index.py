@@ -73,3 +73,20 @@ def test_row_index_large_longs_keep_order(spark):
     df = spark.range(0, 3000).select((F.lit(base) + F.col("id")).alias("k"))
     got = [r.k for r in with_row_index(df, "k", buckets=8).orderBy("row_index").collect()]
     assert got == sorted(got) and len(set(got)) == 3000
+
+
+def test_row_index_null_keys_first_and_split(spark):
+    df = spark.range(0, 3000).select(F.when(F.col("id") % 3 == 0, None).otherwise(F.col("id")).alias("k"),
+                                     F.col("id").alias("v"))
+    out = with_row_index(df, "k", buckets=8)
+    rows = sorted(out.collect(), key=lambda r: r.row_index)
+    assert [r.row_index for r in rows] == list(range(3000))
+    assert all(r.k is None for r in rows[:1000]) and [r.k for r in rows[1000:]] == sorted(r.k for r in rows[1000:])
+    assert out.where("k is null").select(F.spark_partition_id()).distinct().count() > 1
+
+
+def test_row_index_date_and_timestamp_keys(spark):
+    df = spark.range(0, 500).select(F.date_add(F.lit("2020-01-01").cast("date"), (F.col("id") * 37 % 500).cast("int"))
+                                    .alias("d"))
+    got = [r.d for r in with_row_index(df, "d", buckets=8).orderBy("row_index").collect()]
+    assert got == sorted(got)
