@@ -96,13 +96,17 @@ def with_row_index(df: DataFrame, order_col: str, index_col: str = "row_index",
     # NULL keys sort first: bucket -1, always split by hash (they are all ties).
     bucketed = bucketed.withColumn(_BUCKET, F.when(key.isNull(), F.lit(-1)).otherwise(bucket))
 
-    def sub_expr(split_buckets: dict[int, int]) -> Column:
-        expr = F.when(F.col(_BUCKET) == -1, F.pmod(F.col(_HASH), F.lit(buckets))).otherwise(F.lit(0))
-        for b, s in split_buckets.items():
-            expr = F.when(F.col(_BUCKET) == b, F.pmod(F.col(_HASH), F.lit(s))).otherwise(expr)
-        return expr.cast("int")
-
-    stats = (bucketed.withColumn(_SUB, sub_expr(hot_subs))
+    def with_sub(frame: DataFrame, split_buckets: dict[int, int]) -> DataFrame:
+        """Sub-bucket = row hash mod the range's split count (1 = unsplit), looked up
+        in a broadcast table with one row per split range (bounded by ``buckets``)."""
+        rows = [(b, s) for b, s in split_buckets.items()] + [(-1, buckets)]
+        table = F.broadcast(spark.createDataFrame(rows, "__martlet_b int, __martlet_nsub int"))
+        joined = frame.join(table, frame[_BUCKET] == table["__martlet_b"], "left")
+        nsub = F.coalesce(F.col("__martlet_nsub"), F.lit(1))
+        return (joined.withColumn(_SUB, F.pmod(F.col(_HASH), nsub).cast("int"))
+                .drop("__martlet_b", "__martlet_nsub"))
+
+    stats = (with_sub(bucketed, hot_subs)
              .groupBy(_BUCKET, _SUB)
              .agg(F.count(F.lit(1)).alias("n"), F.min(order_col).alias("kmin"), F.max(order_col).alias("kmax"))
              .collect())
@@ -127,7 +131,7 @@ def with_row_index(df: DataFrame, order_col: str, index_col: str = "row_index",
     offset_df = F.broadcast(spark.createDataFrame(
         [(b, sb, o) for (b, sb), o in zip(ids, offsets)],
         f"{_BUCKET} int, {_SUB} int, __martlet_offset long"))
-    numbered = bucketed.withColumn(_SUB, sub_expr(split_ok))
+    numbered = with_sub(bucketed, split_ok)
     w = Window.partitionBy(_BUCKET, _SUB).orderBy(key, *[F.col(c) for c in tiebreak], F.col(_HASH))
     ranked = numbered.withColumn("__martlet_rn", F.row_number().over(w))
     out = ranked.join(offset_df, [_BUCKET, _SUB]).withColumn(

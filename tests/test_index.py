@@ -90,3 +90,12 @@ def test_row_index_date_and_timestamp_keys(spark):
                                     .alias("d"))
     got = [r.d for r in with_row_index(df, "d", buckets=8).orderBy("row_index").collect()]
     assert got == sorted(got)
+
+
+def test_row_index_many_hot_values(spark):
+    # 300 equally common values with 2000 buckets: every value is "hot"
+    df = spark.range(0, 30000).select((F.col("id") % 300).alias("k"), F.col("id").alias("v"))
+    out = with_row_index(df, "k", buckets=2000)
+    rows = sorted(out.collect(), key=lambda r: r.row_index)
+    assert [r.row_index for r in rows] == list(range(30000))
+    assert [r.k for r in rows] == sorted(r.k for r in rows)
