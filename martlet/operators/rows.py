@@ -67,7 +67,16 @@ def hidden_column_filter(df: DataFrame, bounds: dict[str, float], keep: list[str
 
 
 def stop_list_filter(df: DataFrame, col: str, values) -> DataFrame:
-    """``col NOT IN values`` for a bounded constant list (NULL drops)."""
+    """``col NOT IN values`` (a NULL in ``col`` drops the row).
+
+    A Python list is a bounded constant, compiled into the filter (``InSet``).
+    A DataFrame of values (a list too large to inline) becomes a ``left_anti``
+    join; AQE broadcasts it only when its runtime size is under the threshold.
+    NULLs are removed first on both sides, so the result equals ``NOT IN``.
+    """
+    if isinstance(values, DataFrame):
+        stop = values.select(F.col(values.columns[0]).alias(col)).where(F.col(col).isNotNull()).distinct()
+        return df.where(F.col(col).isNotNull()).join(stop, col, "left_anti")
     return df.where(~F.col(col).isin(list(values)))
 
 

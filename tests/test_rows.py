@@ -62,3 +62,11 @@ def test_drop_incomplete_drops_nan_on_numbers(spark):
 def test_limit_rows_is_ordered(spark):
     df = spark.range(100).withColumn("k", 99 - F.col("id"))
     assert [r.k for r in rows.limit_rows(df, 3, order_by=["k"]).collect()] == [0, 1, 2]
+
+
+def test_stop_list_filter_list_and_frame_agree(spark):
+    words = spark.createDataFrame([(1, "the"), (2, "fish"), (3, None), (4, "and"), (5, "red")], "id int, word string")
+    by_list = rows.stop_list_filter(words, "word", ["the", "and"])
+    stop_df = spark.createDataFrame([("the",), ("and",), (None,), ("the",)], "w string")
+    by_frame = rows.stop_list_filter(words, "word", stop_df)
+    assert sorted(map(tuple, by_list.collect())) == sorted(map(tuple, by_frame.collect())) == [(2, "fish"), (5, "red")]
