@@ -76,7 +76,7 @@ def stop_list_filter(df: DataFrame, col: str, values) -> DataFrame:
     """
     if isinstance(values, DataFrame):
         stop = values.select(F.col(values.columns[0]).alias(col)).where(F.col(col).isNotNull()).distinct()
-        return df.where(F.col(col).isNotNull()).join(stop, col, "left_anti")
+        return df.where(F.col(col).isNotNull()).join(stop, col, "left_anti").select(*df.columns)
     return df.where(~F.col(col).isin(list(values)))
 
 
