@@ -43,3 +43,13 @@ def test_clean_is_idempotent_and_bounded(spark, xs):
     assert sorted(map(tuple, again.collect())) == sorted(map(tuple, once.collect()))
     pct = profile.missing_percentages(df)["x"]
     assert 0.0 <= pct <= 100.0
+
+
+@SETTINGS
+@given(words=st.lists(st.text(min_size=0, max_size=10), min_size=2, max_size=40))
+def test_string_order_surrogate_never_decreases(spark, words):
+    from martlet.operators.index import order_surrogate
+    df = spark.createDataFrame([(w,) for w in words], "w string")
+    got = df.select("w", order_surrogate(df, "w").alias("s")).orderBy("w").collect()
+    surrogates = [r.s for r in got]
+    assert surrogates == sorted(surrogates)
