@@ -43,6 +43,8 @@ def _parser() -> argparse.ArgumentParser:
     wc.add_argument("--text-col", required=True)
     wc.add_argument("--output", required=True)
     wc.add_argument("--top", type=int, default=0, help="keep only the top N words (0 = all)")
+    wc.add_argument("--option", action="append", default=[], metavar="KEY=VALUE",
+                    help="reader option, repeatable (e.g. header=true, sep=\\t)")
     return p
 
 
@@ -55,7 +57,8 @@ def main(argv: list[str] | None = None) -> dict:
                                    k=args.k, seed=args.seed, apply_range=not args.no_range)
         report = jobs.run_stages(spark, args.stages, cfg)
     else:
-        df = files.read_source(spark, args.format, args.input)
+        options = dict(o.split("=", 1) for o in args.option)
+        df = files.read_source(spark, args.format, args.input, **options)
         out = text.word_topk(df, args.text_col, k=args.top) if args.top else text.word_count(df, args.text_col)
         out.write.mode("error").parquet(args.output)
         report = {"output": args.output}

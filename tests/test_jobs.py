@@ -70,6 +70,10 @@ def test_command_line_stages_and_wordcount(spark):
     main(["wordcount", "--input", docs, "--text-col", "t", "--output", f"{base}/wc"])
     got = {r.word: r["count"] for r in spark.read.parquet(f"{base}/wc").collect()}
     assert got == {"red": 2, "fish": 1}
+    spark.createDataFrame([("the red fish",), ("red",)], "t string").write.option("header", "true").csv(f"{base}/csv")
+    main(["wordcount", "--input", f"{base}/csv", "--format", "csv", "--option", "header=true", "--text-col", "t",
+          "--output", f"{base}/wc_csv", "--top", "1"])
+    assert [(r.word, r["count"]) for r in spark.read.parquet(f"{base}/wc_csv").collect()] == [("red", 2)]
 
 
 def test_command_line_exits_non_zero_on_unknown_stage():
