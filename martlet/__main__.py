@@ -37,6 +37,7 @@ def _parser() -> argparse.ArgumentParser:
     st.add_argument("--k", type=int, default=5)
     st.add_argument("--seed", type=int, default=42)
     st.add_argument("--no-range", action="store_true", help="skip the [0, 100) bounds")
+    st.add_argument("--repeatable", action="store_true", help="repeatable k-means fit (layout by key)")
     wc = sub.add_parser("wordcount", help="word frequencies of a text column")
     wc.add_argument("--input", required=True)
     wc.add_argument("--format", default="parquet")
@@ -54,7 +55,8 @@ def main(argv: list[str] | None = None) -> dict:
     if args.command == "stages":
         cfg = jobs.MartConfig(wide_table=args.wide, mart_table=args.mart, base_dir=args.base,
                                    key=args.key, features=[c for c in args.features.split(",") if c],
-                                   k=args.k, seed=args.seed, apply_range=not args.no_range)
+                                   k=args.k, seed=args.seed, apply_range=not args.no_range,
+                                   repeatable=args.repeatable)
         report = jobs.run_stages(spark, args.stages, cfg)
     else:
         options = dict(o.split("=", 1) for o in args.option)

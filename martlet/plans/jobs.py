@@ -38,7 +38,8 @@ class ClusterResult:
 
 
 def clusterize(mart: DataFrame, features: list[str], k: int = cluster.DEFAULT_K,
-               seed: int = cluster.DEFAULT_SEED, keep: list[str] | None = None) -> ClusterResult:
+               seed: int = cluster.DEFAULT_SEED, keep: list[str] | None = None,
+               order_key: str | None = None, num_partitions: int | None = None) -> ClusterResult:
     """J-B: assemble -> fit -> predict -> silhouette.
 
     The fit gets the unpersisted frame on purpose: MLlib then caches its own
@@ -47,9 +48,10 @@ def clusterize(mart: DataFrame, features: list[str], k: int = cluster.DEFAULT_K,
     spilling to disk) only for the evaluator's two passes, then released. The
     returned predictions are lazy and recompute from the input with the fitted
     model, which is deterministic; persistence is never needed for correctness.
+    ``order_key`` (a unique key) makes the fit repeatable across input layouts.
     """
     assembled = cluster.assemble(mart, features)
-    model = cluster.fit_kmeans(assembled, k=k, seed=seed)
+    model = cluster.fit_kmeans(assembled, k=k, seed=seed, order_key=order_key, num_partitions=num_partitions)
     scored = model.transform(assembled).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         score = cluster.silhouette(scored)
@@ -112,6 +114,7 @@ class MartConfig:
     k: int = cluster.DEFAULT_K
     seed: int = cluster.DEFAULT_SEED
     apply_range: bool = True
+    repeatable: bool = False          # fit on a key-hashed, key-sorted layout
 
 
 STAGES = ("preprocess", "clusterize", "write")
@@ -139,7 +142,8 @@ def run_stages(spark: SparkSession, stage_names, cfg: MartConfig) -> dict:
         elif stage == "clusterize":
             mart = spark.table(cfg.mart_table)
             res = clusterize(mart, cfg.features, k=cfg.k, seed=cfg.seed,
-                             keep=[c for c in mart.columns if c != "prediction"])
+                             keep=[c for c in mart.columns if c != "prediction"],
+                             order_key=cfg.key if cfg.repeatable else None)
             out = tables.publish(spark, res.predictions, cfg.mart_table, f"{cfg.base_dir}/{cfg.mart_table}")
             out.update(silhouette=res.silhouette, cluster_sizes=res.sizes)
             report[stage] = out

@@ -86,3 +86,12 @@ def test_command_line_exits_non_zero_on_unknown_stage():
                            "--base", "/nowhere"], cwd=repo, capture_output=True, text=True, timeout=300)
     assert proc.returncode == 1
     assert "unknown stages" in proc.stderr
+
+
+def test_clusterize_repeatable_by_key(spark):
+    mart = dirty_part(spark, SF_CHECK)
+    clean = jobs.preprocess(mart, "code", ["size_g", "price_g"])
+    a = jobs.clusterize(clean, ["size_g", "price_g"], order_key="code", num_partitions=3)
+    b = jobs.clusterize(clean.repartition(5), ["size_g", "price_g"], order_key="code", num_partitions=3)
+    assert sorted(map(tuple, a.model.clusterCenters())) == sorted(map(tuple, b.model.clusterCenters()))
+    assert sorted(a.sizes) == sorted(b.sizes) and sum(a.sizes) == 1285
