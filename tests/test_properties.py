@@ -53,3 +53,17 @@ def test_string_order_surrogate_never_decreases(spark, words):
     got = df.select("w", order_surrogate(df, "w").alias("s")).orderBy("w").collect()
     surrogates = [r.s for r in got]
     assert surrogates == sorted(surrogates)
+
+
+@SETTINGS
+@given(keys=st.lists(st.one_of(st.none(), st.integers(-20, 20)), min_size=1, max_size=200),
+       buckets=st.sampled_from([1, 2, 7, 64]))
+def test_row_index_is_an_ordered_permutation(spark, keys, buckets):
+    from martlet.operators.index import with_row_index
+    df = spark.createDataFrame([(i, k) for i, k in enumerate(keys)], "id int, k int").repartition(3)
+    rows = sorted(with_row_index(df, "k", buckets=buckets).collect(), key=lambda r: r.row_index)
+    assert [r.row_index for r in rows] == list(range(len(keys)))
+    ordered = [(-1 if r.k is None else 0, r.k if r.k is not None else 0) for r in rows]
+    assert ordered == sorted(ordered)                      # NULLs first, then ascending keys
+    again = {r.id: r.row_index for r in with_row_index(df.repartition(5), "k", buckets=buckets).collect()}
+    assert again == {r.id: r.row_index for r in rows}       # independent of the input layout
