@@ -67,3 +67,21 @@ def test_row_index_is_an_ordered_permutation(spark, keys, buckets):
     assert ordered == sorted(ordered)                      # NULLs first, then ascending keys
     again = {r.id: r.row_index for r in with_row_index(df.repartition(5), "k", buckets=buckets).collect()}
     assert again == {r.id: r.row_index for r in rows}       # independent of the input layout
+
+
+VOCAB = [None, "", "None", "NULL", "unknown", "xunknowny", "none", "null", "NaN", "nan", "1.5", "abc", "Infinity"]
+
+
+def _missing(v):
+    if v is None or v == "" or any(m in v for m in ("None", "NULL", "unknown")):
+        return True
+    return v.strip().lower() == "nan"
+
+
+@SETTINGS
+@given(cells=st.lists(st.sampled_from(VOCAB), min_size=1, max_size=80))
+def test_missing_profile_matches_the_rule(spark, cells):
+    df = spark.createDataFrame([(c,) for c in cells], "c string")
+    want = round(sum(_missing(c) for c in cells) / len(cells) * 100, 6)
+    got = profile.missing_profile(df).first()["missing_pct"]
+    assert got == pytest.approx(want, abs=1e-6)
