@@ -158,3 +158,16 @@ def test_schema_report_with_counts(spark):
     assert got == [(1, "id", "bigint", True, 2), (2, "it's", "string", True, 1)]
     plain = columns.schema_report(spark, df, with_counts=False)
     assert plain.columns == ["position", "column_name", "data_type", "nullable"]
+
+
+def test_sorted_layout_string_key_hot_value(spark):
+    df = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("0000")).otherwise(F.format_string("c%05d", "id")).alias("code"), "id")
+    path = tables.write_sorted(df, shared_dir(spark, "sorted_str"), "code", num_partitions=4)
+    back = spark.read.parquet(path)
+    per_file = back.groupBy(F.input_file_name().alias("f")).agg(
+        F.min("code").alias("lo"), F.max("code").alias("hi"), F.count(F.lit(1)).alias("n")).collect()
+    assert sum(r.n for r in per_file) == 3000 and max(r.n for r in per_file) < 1000
+    ordered = sorted(per_file, key=lambda r: (r.lo, r.hi))
+    for a, b in zip(ordered, ordered[1:]):
+        assert a.hi <= b.lo                                  # files cover ordered, touching key ranges
