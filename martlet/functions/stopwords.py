@@ -1,37 +1,32 @@
-"""English stop words, read from the list Spark MLlib ships.
+"""English stop words: Spark MLlib's default list as package data.
 
-The word count filters with ``StopWordsRemover.loadDefaultStopWords
-("english")``. The same resource is read here straight from the MLlib jar so that
-the Spark filter and the SQL oracle share one list without needing a JVM.
+Importing this module needs no JVM, jar or Spark installation folder; a test
+compares the list with ``StopWordsRemover.loadDefaultStopWords("english")``.
 """
 
 from __future__ import annotations
 
-import functools
-import glob
-import os
-import zipfile
-
-_RESOURCE = "org/apache/spark/ml/feature/stopwords/{lang}.txt"
+# The default English stop words of Spark MLlib, in file order.
+_ENGLISH = """
+i me my myself we our ours ourselves you your yours yourself yourselves he him his himself she her
+hers herself it its itself they them their theirs themselves what which who whom this that these
+those am is are was were be been being have has had having do does did doing a an the and but if or
+because as until while of at by for with about against between into through during before after
+above below to from up down in out on off over under again further then once here there when where
+why how all any both each few more most other some such no nor not only own same so than too very s
+t can will just don should now i'll you'll he'll she'll we'll they'll i'd you'd he'd she'd we'd
+they'd i'm you're he's she's it's we're they're i've we've you've they've isn't aren't wasn't
+weren't haven't hasn't hadn't don't doesn't didn't won't wouldn't shan't shouldn't mustn't can't
+couldn't cannot could here's how's let's ought that's there's what's when's where's who's why's
+would
+"""
 
 
-@functools.lru_cache(maxsize=None)
 def default_stop_words(language: str = "english") -> tuple[str, ...]:
     """The default stop words of ``language`` in file order (181 for English)."""
-    import pyspark
-
-    jars = glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar"))
-    for jar in jars:
-        with zipfile.ZipFile(jar) as archive:
-            try:
-                text = archive.read(_RESOURCE.format(lang=language)).decode("utf-8")
-            except KeyError:
-                continue
-        return tuple(w for w in text.split("\n") if w)
-    # Fall back to the JVM (needs an active SparkContext).
-    from pyspark.ml.feature import StopWordsRemover
-
-    return tuple(StopWordsRemover.loadDefaultStopWords(language))
+    if language != "english":
+        raise ValueError(f"no stop-word list for {language!r}; only 'english' is bundled")
+    return tuple(_ENGLISH.split())
 
 
 def sql_in_list(words) -> str:
