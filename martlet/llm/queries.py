@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martlet.llm import bpe, mixing, quality, secrets, sharding, simhash, token_counts
+from martlet.llm import bpe, embedding_dedup, mixing, pii, quality, secrets, sharding, simhash, token_counts
 from martlet.llm.common import table
 
 #: Where the public vocabulary files are.
@@ -21,6 +21,14 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(table(spark, sf_dir, "documents"), f"{VOCABULARIES}/byte_bpe_50k.json")
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_pii(table(spark, sf_dir, "documents"))
+
+
+def op4_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_vectors(table(spark, sf_dir, "embeddings"), threshold=0.9)
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(table(spark, sf_dir, "documents"), shards=8)
 
@@ -43,7 +51,7 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_simhash, op2_bpe, op5_sharding, op6_token_counts, op7_mixing, op8_quality,
+    return {f.__name__: f for f in (op1_simhash, op2_bpe, op3_pii, op4_embeddings, op5_sharding, op6_token_counts, op7_mixing, op8_quality,
                                     op9_secrets)}
 
 

@@ -65,9 +65,11 @@ def _can_meet(fps: DataFrame, radius: int) -> DataFrame:
     halves = [F.shiftrightunsigned("fp", HALF), F.col("fp").bitwiseAND(F.lit((1 << HALF) - 1)) + F.lit(1 << HALF)]
     flips = _flips(_masks(range(HALF), radius // 2))
     there = fps.select(F.explode(F.array(*halves)).alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("n"))
-    probes = fps.select("fp", F.explode(F.flatten(F.array(
-        *[F.transform(flips, lambda m, h=h: F.struct(h.bitwiseXOR(m).alias("key"), (m == 0).alias("own"))) for h in halves]
-    ))).alias("p")).select("fp", "p.key", "p.own")
+
+    def probe(half):
+        return F.transform(flips, lambda m: F.struct(half.bitwiseXOR(m).alias("key"), (m == 0).alias("own")))
+
+    probes = (fps.select("fp", F.explode(F.concat(*map(probe, halves))).alias("p")).select("fp", "p.key", "p.own"))
     return probes.join(there, "key").where("not own or n > 1").select("fp").distinct()
 
 
