@@ -129,7 +129,7 @@ def encode_decode(docs: DataFrame, vocabulary: str, with_ids: bool = False) -> D
     """Encode and decode every whole text of ``docs(doc_id, text)``.
 
     Returns doc_id, n_tokens, ids_sha256, decoded_sha256, and with ``with_ids``
-    also ids (array of int) and decoded (string). A null text counts as empty
+    also ids (array of int). A null text counts as empty
     (no tokens, digests of nothing); repeated rows give repeated rows; an empty
     table gives none; other columns are not read. No shuffle: each row is
     encoded where it is read. ``vocabulary`` is a path the driver reads; its
@@ -146,8 +146,8 @@ def encode_decode(docs: DataFrame, vocabulary: str, with_ids: bool = False) -> D
                "ids_sha256": [hashlib.sha256(c).hexdigest() for c in coded],
                "decoded_sha256": [hashlib.sha256(d.encode()).hexdigest() for d in decoded]}
         if with_ids:
-            out |= {"ids": [np.frombuffer(c, "<u4").astype("i4") for c in coded], "decoded": decoded}
+            out["ids"] = [np.frombuffer(c, "<u4").astype("i4") for c in coded]
         return out
 
     schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
-    return map_texts(docs, run, schema + (", ids array<int>, decoded string" if with_ids else ""))
+    return map_texts(docs, run, schema + (", ids array<int>" if with_ids else ""))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martlet.llm import bpe, embedding_dedup, mixing, pii, quality, secrets, sharding, simhash, token_counts
+from martlet.llm import bpe, embedding_dedup, mixing, passages, pii, quality, secrets, sharding, simhash, token_counts
 from martlet.llm.common import table
 
 #: Where the public vocabulary files are.
@@ -50,9 +50,13 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find_secrets(table(spark, sf_dir, "documents"))
 
 
+def op10_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.remove_repeats(table(spark, sf_dir, "documents"), length=100)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_simhash, op2_bpe, op3_pii, op4_embeddings, op5_sharding, op6_token_counts, op7_mixing, op8_quality,
-                                    op9_secrets)}
+                                    op9_secrets, op10_passages)}
 
 
 def oracle_sql() -> dict[str, str]:
