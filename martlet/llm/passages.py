@@ -30,6 +30,8 @@ from martlet.llm.common import materialize
 GRAM = 32
 #: Bytes of text that are hashed at a time, held back for local counts, and indexed together.
 CHUNK, HELD, BATCH = 1 << 19, 1 << 24, 1 << 20
+#: Windows of a string that are streamed one after the other.
+STREAMED = 512
 _MULTIPLIERS = [np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
 
@@ -183,29 +185,30 @@ def _repeated(batches):
     yield pa.record_batch([pa.array(docs[start]), _lists(anchors, start)], schema=pa.schema([("doc", pa.int64()), ("anchors", _LIST)]))
 
 
-_CUT = pa.schema([("anchor", pa.int64()), ("bytes", pa.binary()), ("docs", _LIST), ("marks", _LIST), ("starts", _LIST)])
+_CUT = pa.schema([("anchor", pa.int64()), ("bytes", pa.binary()), ("recurs", pa.bool_()), ("docs", _LIST), ("marks", _LIST), ("starts", _LIST)])
 
 
 def _cut_out(batches, length: int):
     """Runs of windows with a repeated anchor, from rows (doc, mark, text, lists of
     repeated anchors). Equal ones of a task become one row with their places."""
-    found: dict[tuple[int, bytes], list] = {}
+    found: dict[tuple[int, bytes, bool], list] = {}
 
     def rows():
         keys, places = list(found), list(found.values())
         lists = [pa.array([[p[k] for p in x] for x in places], _LIST) for k in range(3)]
-        return pa.record_batch([pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.binary()), *lists], schema=_CUT)
+        return pa.record_batch([pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.binary()),
+                                pa.array([k[2] for k in keys], pa.bool_()), *lists], schema=_CUT)
 
     size = 0
     for chunk in _chunks(batches, 2, CHUNK):
         texts = [r[2] for r in chunk]
-        text, start, windows, anchor, _ = anchor_runs(texts, length)
+        text, start, windows, anchor, recurs = anchor_runs(texts, length)
         wanted = np.unique(np.array([a for r in chunk for x in r[3] for a in x], np.int64))
         keep = np.isin(anchor, wanted)
-        for t, s, w, a in zip(*(x[keep].tolist() for x in (text, start, windows, anchor))):
+        for t, s, w, a, r in zip(*(x[keep].tolist() for x in (text, start, windows, anchor, recurs))):
             cut = texts[t][s:s + w + length - 1]
-            if (places := found.get((a, cut))) is None:
-                places = found[a, cut] = []
+            if (places := found.get((a, cut, r))) is None:
+                places = found[a, cut, r] = []
                 size += len(cut)
             size += 24
             places.append((chunk[t][0], chunk[t][1], s))
@@ -281,20 +284,24 @@ class RunLengthIndex:
 
     def first_copies(self, strings: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """Stream the indexed ``strings`` from right to left, all at once: for each step
-        (string, start in it, place of the first copy of the window that starts there)."""
-        sizes = np.array([len(s) for s in strings])
+        (string, start in it, place of the first copy of the window that starts there).
+        A long string is streamed as pieces of ``STREAMED`` windows."""
+        pieces = [(k, at, min(len(s), at + STREAMED + self.length - 1)) for k, s in enumerate(strings)
+                  for at in range(0, len(s) - self.length + 1, STREAMED)]
+        string, first, end = np.array(pieces).T
+        sizes = end - first
         flat = np.frombuffer(b"".join(strings), np.uint8)
-        last = np.cumsum(sizes)
+        base = np.cumsum([0, *map(len, strings)])[:-1]
         live = np.argsort(-sizes, kind="stable")  # longest first: the ones that go on are a prefix
-        by_size, row = sizes[live], np.zeros(len(strings), np.int64)
+        by_size, row = sizes[live], np.zeros(len(live), np.int64)
+        string, end, last = string[live], end[live], (base[string] + end)[live]
         for step in range(1, int(by_size[0]) + 1):
             k = int(np.searchsorted(-by_size, -step, "right"))
-            which = live[:k]
-            row[:k] = self.extend(row[:k], flat[last[which] - step].astype(np.int64) + 1)
+            row[:k] = self.extend(row[:k], flat[last[:k] - step].astype(np.int64) + 1)
             if step >= self.length:
                 context = self.context(row[:k])
                 row[:k] = self.context_row[context]  # cut the match back to its first ``length`` bytes
-                yield which, sizes[which] - step, self.sample[context]
+                yield string[:k], end[:k] - step, self.sample[context]
 
 
 _COVERED = pa.schema([("doc", pa.int64()), ("mark", pa.int64()), ("start", pa.int64()), ("end", pa.int64())])
@@ -305,15 +312,24 @@ def _covered(batches, length: int):
 
     def stretches(rows: list[tuple]):
         places: dict[bytes, list] = {}
-        for _, cut, *lists in rows:
-            places.setdefault(cut, []).extend(zip(*lists))
-        strings = sorted(((min(at), cut) for cut, at in places.items()))  # by first place, so that an earlier copy comes first
-        cuts = [cut for _, cut in strings]
+        anchors: dict[bytes, int] = {}
+        alike: dict[int, int] = {}  # different strings by anchor; one that recurs in itself counts as several
+        for anchor, cut, recurs, *lists in rows:
+            if cut not in places:
+                places[cut], anchors[cut] = [], anchor
+                alike[anchor] = alike.get(anchor, 0) + 1 + recurs
+            places[cut].extend(zip(*lists))
         docs, marks, starts, ends = [], [], [], []
-        for at, cut in strings:
-            for d, m, s in set(places[cut]) - {at}:  # all of a later copy of a whole string is covered
+        strings = []
+        for cut, found in places.items():
+            at = min(found)
+            for d, m, s in set(found) - {at}:  # all of a later copy of a whole string is covered
                 docs.append(d), marks.append(m), starts.append(s), ends.append(s + len(cut))
-        if len(cuts) > 1 or len(cuts) == 1 and len(cuts[0]) > length:
+            if alike[anchors[cut]] > 1:  # else no window of it is anywhere else
+                strings.append((at, cut))
+        strings.sort()  # by first place, so that an earlier copy comes first
+        cuts = [cut for _, cut in strings]
+        if cuts:
             base = np.cumsum([len(c) + 1 for c in cuts]) - [len(c) + 1 for c in cuts]
             which, where = [], []
             for string, start, copy in RunLengthIndex(cuts, length).first_copies(cuts):
@@ -370,7 +386,7 @@ def covered_stretches(docs: DataFrame, length: int = 100) -> DataFrame:
                .repartition("part").mapInArrow(_repeated, "doc bigint, anchors array<bigint>"))
     wanted = counted.groupBy("doc").agg(F.collect_list("anchors").alias("anchors"))
     cut = (docs.join(materialize(wanted, "passages-wanted"), "doc").select("doc", "mark", "bytes", "anchors")
-           .mapInArrow(lambda it: _cut_out(it, length), "anchor bigint, bytes binary, docs array<bigint>, marks array<bigint>, starts array<bigint>"))
+           .mapInArrow(lambda it: _cut_out(it, length), "anchor bigint, bytes binary, recurs boolean, docs array<bigint>, marks array<bigint>, starts array<bigint>"))
     return (cut.repartition("anchor").sortWithinPartitions("anchor")
             .mapInArrow(lambda it: _covered(it, length), "doc bigint, mark bigint, start bigint, end bigint"))
 
