@@ -22,8 +22,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from martlet.llm.common import materialize
 
@@ -185,25 +188,39 @@ def _repeated(batches):
     yield pa.record_batch([pa.array(docs[start]), _lists(anchors, start)], schema=pa.schema([("doc", pa.int64()), ("anchors", _LIST)]))
 
 
-_CUT = pa.schema([("anchor", pa.int64()), ("bytes", pa.binary()), ("recurs", pa.bool_()), ("docs", _LIST), ("marks", _LIST), ("starts", _LIST)])
+_CUT = pa.schema([("anchor", pa.int64()), ("bytes", pa.binary()), ("recurs", pa.bool_()), ("places", pa.binary())])
+_PLACE = np.dtype([("doc", "<i8"), ("mark", "<i8"), ("start", "<i8")])
+
+
+def _packed(batches):
+    """Rows (doc_id, doc, mark, text) with the text compressed, for the shuffles it takes part in."""
+    pack = zstandard.ZstdCompressor(level=3).compress
+    for batch in batches:
+        for at in range(0, batch.num_rows, 256):
+            part = batch.slice(at, 256)
+            texts = pa.array([pack(t) for t in part.column(3).to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([*part.columns[:3], texts], names=["doc_id", "doc", "mark", "packed"])
+
+
+def _unpack(packed: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(packed)
 
 
 def _cut_out(batches, length: int):
-    """Runs of windows with a repeated anchor, from rows (doc, mark, text, lists of
+    """Runs of windows with a repeated anchor, from rows (doc, mark, packed text, its
     repeated anchors). Equal ones of a task become one row with their places."""
     found: dict[tuple[int, bytes, bool], list] = {}
 
     def rows():
-        keys, places = list(found), list(found.values())
-        lists = [pa.array([[p[k] for p in x] for x in places], _LIST) for k in range(3)]
+        keys, places = list(found), [np.array(x, _PLACE).tobytes() for x in found.values()]
         return pa.record_batch([pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.binary()),
-                                pa.array([k[2] for k in keys], pa.bool_()), *lists], schema=_CUT)
+                                pa.array([k[2] for k in keys], pa.bool_()), pa.array(places, pa.binary())], schema=_CUT)
 
     size = 0
-    for chunk in _chunks(batches, 2, CHUNK):
-        texts = [r[2] for r in chunk]
+    for chunk in _chunks(batches, 2, CHUNK // 2):
+        texts = [_unpack(r[2]) for r in chunk]
         text, start, windows, anchor, recurs = anchor_runs(texts, length)
-        wanted = np.unique(np.array([a for r in chunk for x in r[3] for a in x], np.int64))
+        wanted = np.unique(np.array([a for r in chunk for a in r[3]], np.int64))
         keep = np.isin(anchor, wanted)
         for t, s, w, a, r in zip(*(x[keep].tolist() for x in (text, start, windows, anchor, recurs))):
             cut = texts[t][s:s + w + length - 1]
@@ -314,11 +331,11 @@ def _covered(batches, length: int):
         places: dict[bytes, list] = {}
         anchors: dict[bytes, int] = {}
         alike: dict[int, int] = {}  # different strings by anchor; one that recurs in itself counts as several
-        for anchor, cut, recurs, *lists in rows:
+        for anchor, cut, recurs, packed in rows:
             if cut not in places:
                 places[cut], anchors[cut] = [], anchor
                 alike[anchor] = alike.get(anchor, 0) + 1 + recurs
-            places[cut].extend(zip(*lists))
+            places[cut].extend(np.frombuffer(packed, _PLACE).tolist())
         docs, marks, starts, ends = [], [], [], []
         strings = []
         for cut, found in places.items():
@@ -361,7 +378,8 @@ def _covered(batches, length: int):
 
 def _removed(ids: list, texts: list, stretches: list) -> dict[str, list]:
     out = {"doc_id": ids, "n_bytes": [], "n_removed": [], "n_spans": [], "kept_sha256": []}
-    for text, covered in zip(texts, stretches):
+    for packed, covered in zip(texts, stretches):
+        text = _unpack(packed)
         kept, end, spans = [], 0, 0
         for a, b in sorted((x["start"], x["end"]) for x in covered or ()):
             if a > end or not spans:
@@ -377,16 +395,17 @@ def _removed(ids: list, texts: list, stretches: list) -> dict[str, list]:
     return out
 
 
-def covered_stretches(docs: DataFrame, length: int = 100) -> DataFrame:
-    """(doc, mark, start, end): covered bytes of ``docs(doc, mark, bytes)``; they may overlap."""
+def covered_stretches(docs: DataFrame, packed: DataFrame, length: int = 100) -> DataFrame:
+    """(doc, mark, start, end): covered bytes of ``docs(doc, bytes)``, which are also in
+    ``packed(doc, mark, packed)``; stretches may overlap."""
     if length < GRAM:
         raise ValueError(f"length must be at least {GRAM}")
     parts = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     counted = (docs.select("doc", "bytes").mapInArrow(lambda it: _anchor_parts(it, length, parts), "part int, kind int, anchors array<bigint>, docs array<bigint>")
                .repartition("part").mapInArrow(_repeated, "doc bigint, anchors array<bigint>"))
-    wanted = counted.groupBy("doc").agg(F.collect_list("anchors").alias("anchors"))
-    cut = (docs.join(materialize(wanted, "passages-wanted"), "doc").select("doc", "mark", "bytes", "anchors")
-           .mapInArrow(lambda it: _cut_out(it, length), "anchor bigint, bytes binary, recurs boolean, docs array<bigint>, marks array<bigint>, starts array<bigint>"))
+    wanted = materialize(counted.groupBy("doc").agg(F.flatten(F.collect_list("anchors")).alias("anchors")), "passages-wanted")
+    cut = (packed.join(wanted, "doc").select("doc", "mark", "packed", "anchors")
+           .mapInArrow(lambda it: _cut_out(it, length), "anchor bigint, bytes binary, recurs boolean, places binary"))
     return (cut.repartition("anchor").sortWithinPartitions("anchor")
             .mapInArrow(lambda it: _covered(it, length), "doc bigint, mark bigint, start bigint, end bigint"))
 
@@ -404,13 +423,13 @@ def remove_repeats(docs: DataFrame, length: int = 100) -> DataFrame:
     gives no rows; other columns are not read.
     """
     d = docs.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1)).alias("doc"),
-                    F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("bytes")).withColumn("mark", F.xxhash64("bytes"))
-    covered = covered_stretches(d.select("doc", "mark", "bytes"), length)
+                    F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("bytes"))
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+    packed = d.select("doc_id", "doc", F.xxhash64("bytes").alias("mark"), "bytes").mapInArrow(
+        _packed, f"doc_id {id_type}, doc bigint, mark bigint, packed binary")
+    covered = covered_stretches(d, packed, length)
     per_doc = materialize(covered.groupBy("doc", "mark").agg(F.collect_list(F.struct("start", "end")).alias("covered")), "passages-covered")
-    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import StructType
-
+    schema = f"doc_id {id_type}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
     arrow = to_arrow_schema(StructType.fromDDL(schema))
 
     def batches(it):
@@ -419,4 +438,4 @@ def remove_repeats(docs: DataFrame, length: int = 100) -> DataFrame:
                 out = _removed(*(c.to_pylist() for c in batch.slice(at, 256).columns))
                 yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in arrow], schema=arrow)
 
-    return d.join(per_doc, ["doc", "mark"], "left").select("doc_id", "bytes", "covered").mapInArrow(batches, schema)
+    return packed.join(per_doc, ["doc", "mark"], "left").select("doc_id", "packed", "covered").mapInArrow(batches, schema)
