@@ -169,8 +169,11 @@ def _anchor_parts(batches, length: int, parts: int):
         yield from dealt(held)
 
 
-def _repeated(batches):
-    """Per document the anchors of it that are repeated, from all rows of some parts."""
+_GROUPS = pa.schema([("group", pa.int32()), ("anchors", _LIST), ("docs", _LIST)])
+
+
+def _repeated(batches, groups: int):
+    """The repeated anchors and their documents, by group of documents, from all rows of some parts."""
     lists = {kind: ([], []) for kind in (_ONCE, _AGAIN, _SETTLED)}
     for batch in batches:
         kinds = batch.column(1).to_numpy()
@@ -179,10 +182,25 @@ def _repeated(batches):
                 to.append(batch.column(column)[at].values.to_numpy())
     none = np.zeros(0, np.int64)
     (once, once_docs), (again, _), (anchors, docs) = ([np.concatenate([none, *x]) for x in lists[k]] for k in (_ONCE, _AGAIN, _SETTLED))
-    values, place, counts = np.unique(np.r_[once, np.unique(again)], return_inverse=True, return_counts=True)
-    twice = (counts > 1)[place[:len(once)]] | np.isin(once, again)
+    _, place, counts = np.unique(np.r_[once, np.unique(again)], return_inverse=True, return_counts=True)
+    twice = (counts > 1)[place[:len(once)]]
     anchors, docs = np.r_[anchors, once[twice]], np.r_[docs, once_docs[twice]]
-    order = np.argsort(docs, kind="stable")
+    group = docs % groups
+    order = np.argsort(group, kind="stable")
+    anchors, docs, group = anchors[order], docs[order], group[order]
+    start = np.flatnonzero(np.r_[True, group[1:] != group[:-1]][:len(group)])
+    yield pa.record_batch([pa.array(group[start].astype(np.int32)), _lists(anchors, start), _lists(docs, start)], schema=_GROUPS)
+
+
+def _by_document(batches):
+    """One row (doc, anchors) per document, from all rows of some groups."""
+    none = np.zeros(0, np.int64)
+    parts = [[none], [none]]
+    for batch in batches:
+        for to, column in zip(parts, (1, 2)):
+            to.append(batch.column(column).flatten().to_numpy())
+    anchors, docs = map(np.concatenate, parts)
+    order = np.lexsort((anchors, docs))
     anchors, docs = anchors[order], docs[order]
     start = np.flatnonzero(np.r_[True, docs[1:] != docs[:-1]][:len(docs)])
     yield pa.record_batch([pa.array(docs[start]), _lists(anchors, start)], schema=pa.schema([("doc", pa.int64()), ("anchors", _LIST)]))
@@ -402,8 +420,8 @@ def covered_stretches(docs: DataFrame, packed: DataFrame, length: int = 100) ->
         raise ValueError(f"length must be at least {GRAM}")
     parts = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     counted = (docs.select("doc", "bytes").mapInArrow(lambda it: _anchor_parts(it, length, parts), "part int, kind int, anchors array<bigint>, docs array<bigint>")
-               .repartition("part").mapInArrow(_repeated, "doc bigint, anchors array<bigint>"))
-    wanted = materialize(counted.groupBy("doc").agg(F.flatten(F.collect_list("anchors")).alias("anchors")), "passages-wanted")
+               .repartition("part").mapInArrow(lambda it: _repeated(it, parts), "group int, anchors array<bigint>, docs array<bigint>"))
+    wanted = materialize(counted.repartition("group").mapInArrow(_by_document, "doc bigint, anchors array<bigint>"), "passages-wanted")
     cut = (packed.join(wanted, "doc").select("doc", "mark", "packed", "anchors")
            .mapInArrow(lambda it: _cut_out(it, length), "anchor bigint, bytes binary, recurs boolean, places binary"))
     return (cut.repartition("anchor").sortWithinPartitions("anchor")
