@@ -18,10 +18,7 @@ import numpy as np
 import regex
 from pyspark.sql import DataFrame
 
-from martlet.llm.common import map_texts
-
-#: Pre-tokens remembered by a worker before it starts afresh; bounds its memory only.
-REMEMBERED = 400_000
+from martlet.llm.common import Remembered, map_texts
 
 # The pre-token pattern of byte-level BPE vocabularies.
 BYTE_LEVEL_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -41,42 +38,30 @@ def merge_symbols(symbols: list[str], ranks: dict[tuple[str, str], int]) -> list
     n = len(symbols)
     if n < 2:
         return symbols
+    look, pop, push = ranks.get, heapq.heappop, heapq.heappush
     symbols = list(symbols)
     before, after = list(range(-1, n - 1)), [*range(1, n), -1]
-    queue = [(rank, i, a, b) for i, (a, b) in enumerate(zip(symbols, symbols[1:]))
-             if (rank := ranks.get((a, b))) is not None]
+    # A queue entry is rank and place of the left symbol in one number: lowest rank, then leftmost.
+    queue = [rank << 32 | i for i, rank in enumerate(map(look, zip(symbols, symbols[1:]))) if rank is not None]
     heapq.heapify(queue)
     while queue:
-        _, i, a, b = heapq.heappop(queue)
+        entry = pop(queue)
+        i = entry & 0xFFFFFFFF
         j = after[i]
-        if symbols[i] != a or j < 0 or symbols[j] != b:
+        if j < 0 or look((symbols[i], symbols[j])) != entry >> 32:
             continue  # stale: one of the two has been merged with another neighbour
-        symbols[i], symbols[j] = a + b, ""
+        symbols[i] = merged = symbols[i] + symbols[j]
         after[i] = k = after[j]
-        after[j] = -1
+        symbols[j], after[j] = "", -1
         if k >= 0:
             before[k] = i
-            if (rank := ranks.get((a + b, symbols[k]))) is not None:
-                heapq.heappush(queue, (rank, i, a + b, symbols[k]))
-        if (h := before[i]) >= 0 and (rank := ranks.get((symbols[h], a + b))) is not None:
-            heapq.heappush(queue, (rank, h, symbols[h], a + b))
+            if (rank := look((merged, symbols[k]))) is not None:
+                push(queue, rank << 32 | i)
+        if (h := before[i]) >= 0 and (rank := look((symbols[h], merged))) is not None:
+            push(queue, rank << 32 | h)
     return [s for s in symbols if s]
 
 
-class _Remembered(dict):
-    """Little-endian ids by pre-token, merged on first sight."""
-
-    def __init__(self, encode):
-        super().__init__()
-        self.encode = encode
-
-    def __missing__(self, pre_token: str) -> bytes:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        found = self[pre_token] = self.encode(pre_token)
-        return found
-
-
 class BytePairCodec:
     """Encoder and decoder for a byte-level BPE vocabulary in the tokenizers format."""
 
@@ -92,14 +77,15 @@ class BytePairCodec:
             self.strings[number] = bytes(by_char[c] for c in token)
         for token, number in self.added.items():
             self.strings[number] = token.encode()
+        self.id_bytes = {s: n.to_bytes(4, "little") for s, n in self.vocab.items()}
         self.pre_tokens = regex.compile(BYTE_LEVEL_PATTERN).findall
         self.specials = regex.compile("(" + "|".join(map(regex.escape, self.added)) + ")") if self.added else None
-        self.by_pre_token = _Remembered(self._encode_pre_token)
+        self.by_pre_token = Remembered(self._encode_pre_token)
 
     def _encode_pre_token(self, pre_token: str) -> bytes:
         chars = byte_chars()
         symbols = merge_symbols([chars[b] for b in pre_token.encode()], self.ranks)
-        return np.array([self.vocab[s] for s in symbols], "<u4").tobytes()
+        return b"".join([self.id_bytes[s] for s in symbols])
 
     def encode(self, text: str) -> bytes:
         """Ids of the whole text, as little-endian unsigned 32-bit integers."""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import weakref
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -14,6 +15,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+class Remembered(dict):
+    """Values by key, made on first sight, of which at most ``room`` are kept.
+
+    Only the newest of a worker process holds any: starting one empties the others,
+    so that operators that follow each other in one worker do not add up.
+    """
+
+    _all: weakref.WeakValueDictionary = weakref.WeakValueDictionary()
+
+    def __init__(self, make: Callable, room: int = 400_000):
+        super().__init__()
+        self.make, self.room = make, room
+        for other in self._all.values():
+            other.clear()
+        self._all[id(self)] = self
+
+    def __missing__(self, key):
+        if len(self) >= self.room:
+            self.clear()
+        found = self[key] = self.make(key)
+        return found
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once under the cluster's shared folder and read it back.
 

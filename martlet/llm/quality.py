@@ -19,10 +19,8 @@ import regex
 import sentencepiece
 from pyspark.sql import DataFrame
 
-from martlet.llm.common import map_texts
+from martlet.llm.common import Remembered, map_texts
 
-#: Chunks remembered by a worker before it starts afresh; bounds its memory only.
-REMEMBERED = 400_000
 #: A repeated window is this many words.
 WINDOW = 5
 _SYMBOLS = str.maketrans("", "", "#*$%&|<>")
@@ -60,22 +58,6 @@ def script_of(text: str) -> str:
     return best if 2 * n[best] >= letters else "other"
 
 
-class _Pieces(dict):
-    """Token ids (little-endian 32-bit) by space-led chunk, encoded on first sight."""
-
-    def __init__(self, model: sentencepiece.SentencePieceProcessor):
-        super().__init__()
-        self.model = model
-
-    def __missing__(self, chunk: str) -> bytes:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        # The library puts a space before what it encodes (unless that is nothing), in the place of the one taken off.
-        ids = self.model.encode(chunk[1:], num_threads=1) if chunk != " " else [self.model.PieceToId("\u2581")]
-        found = self[chunk] = np.array(ids, "<u4").tobytes()
-        return found
-
-
 class Fertility:
     """Measures texts with a sentencepiece vocabulary that falls back to bytes.
 
@@ -86,9 +68,14 @@ class Fertility:
     def __init__(self, model: bytes):
         self.model = sentencepiece.SentencePieceProcessor(model_proto=model)
         self.is_byte = np.array([self.model.IsByte(i) for i in range(self.model.GetPieceSize())])
-        self.pieces = _Pieces(self.model)
+        self.pieces = Remembered(self._chunk_ids)
         self.chunks = re.compile(" +[^ ]*").findall
 
+    def _chunk_ids(self, chunk: str) -> bytes:
+        # The library puts a space before what it encodes (unless that is nothing), in the place of the one taken off.
+        ids = self.model.encode(chunk[1:], num_threads=1) if chunk != " " else [self.model.PieceToId("\u2581")]
+        return np.array(ids, "<u4").tobytes()
+
     def ids(self, text: str) -> np.ndarray:
         return np.frombuffer(b"".join(map(self.pieces.__getitem__, self.chunks(" " + text))), "<u4") if text else np.zeros(0, "<u4")
 

@@ -15,8 +15,8 @@ import unicodedata
 import regex
 from pyspark.sql import DataFrame
 
-from martlet.llm.bpe import REMEMBERED, byte_chars, merge_symbols
-from martlet.llm.common import map_texts
+from martlet.llm.bpe import byte_chars, merge_symbols
+from martlet.llm.common import Remembered, map_texts
 
 # The pre-token pattern and word-end mark of the vocabulary format.
 WORD_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"""
@@ -26,22 +26,6 @@ NEW_CAPITALS = {0xA7CB: 0x264, 0xA7CC: 0xA7CD, 0xA7DA: 0xA7DB, 0xA7DC: 0x19B} |
 _NEW_CAPITAL = regex.compile("[" + "".join(map(chr, NEW_CAPITALS)) + "]")
 
 
-class _Counts(dict):
-    """Tokens by pre-token: whole ones are there from the start, others are merged."""
-
-    def __init__(self, whole: frozenset[str], merged):
-        super().__init__(dict.fromkeys(whole, 1))
-        self.merged, self.room = merged, len(whole) + REMEMBERED
-        self.whole = whole
-
-    def __missing__(self, pre_token: str) -> int:
-        if len(self) >= self.room:
-            self.clear()
-            self.update(dict.fromkeys(self.whole, 1))
-        found = self[pre_token] = self.merged(pre_token)
-        return found
-
-
 class WordCounter:
     """Counts tokens as a BPE vocabulary with word ends does."""
 
@@ -53,7 +37,8 @@ class WordCounter:
         added = [t["content"] for t in spec.get("added_tokens", [])]
         self.specials = regex.compile("|".join(map(regex.escape, added))) if added else None
         self.pre_tokens = regex.compile(WORD_PATTERN).findall
-        self.counts = _Counts(self.prove_whole() if whole is None else whole, self.merged)
+        self.whole = self.prove_whole() if whole is None else whole
+        self.counts = Remembered(lambda pre_token: 1 if pre_token in self.whole else self.merged(pre_token))
 
     def prove_whole(self) -> frozenset[str]:
         """The pre-tokens that encode alone as one token: a vocabulary string with a
@@ -108,7 +93,7 @@ def token_counts(docs: DataFrame, vocabulary: str, limit: int = 2048) -> DataFra
     """
     with open(vocabulary, "rb") as f:
         raw = f.read()
-    shared = docs.sparkSession.sparkContext.broadcast((raw, counter(raw, None).counts.whole))
+    shared = docs.sparkSession.sparkContext.broadcast((raw, counter(raw, None).whole))
 
     def run(ids: list, texts: list) -> dict[str, list]:
         counting = counter(*shared.value)
