@@ -1,12 +1,12 @@
 """Putting predictions back onto the wide table.
 
-The right side is made unique on the key by a ``groupBy(key)``. That aggregate
-hash-partitions the right side on the key, which is the partitioning the
-sort-merge join needs anyway, so the uniqueness guard adds no exchange; when the
-right side is small AQE turns the join into a broadcast join from runtime
-statistics (``spark.sql.adaptive.autoBroadcastJoinThreshold`` is the size
-check). A hot key on the left is split by AQE's skew-join handling, which
-supports splitting the streamed side of a left outer join.
+The right side must be unique on the key. That is checked once, before the join,
+by a count per key over the key column alone, and the join itself is a plain
+left join of two shuffled sides. So AQE can split a key value (or the NULL keys)
+that holds a large part of the left rows; an aggregate between the shuffle and
+the join would prevent that. When the right side is small AQE turns the join into
+a broadcast join from runtime statistics
+(``spark.sql.adaptive.autoBroadcastJoinThreshold`` is the size check).
 """
 
 from __future__ import annotations
@@ -24,17 +24,15 @@ def add_null_column(df: DataFrame, name: str, dtype: str = "int") -> DataFrame:
     return df.withColumn(name, F.lit(None).cast(dtype))
 
 
-def unique_on_key(right: DataFrame, key: str, cols: list[str]) -> DataFrame:
-    """Right side with one row per key; a duplicated key fails the query.
+def check_unique(right: DataFrame, key: str) -> None:
+    """Raise when a key value occurs twice. NULL keys never match, so they don't count.
 
-    The check is evaluated lazily inside the same job as the join (a filter
-    whose predicate raises), so it costs no separate pass.
+    One job over the key column; nothing but its end reaches the driver.
     """
-    # NULL keys never match in the join, so they can neither collide nor be kept.
-    agg = right.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias(_N), *[F.first(c).alias(c) for c in cols])
+    counts = right.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias(_N))
     guard = F.when(F.col(_N) > 1, F.raise_error(F.concat(
         F.lit(f"duplicate key in right side of enrichment join: {key}="), F.col(key).cast("string"))))
-    return agg.where(guard.isNull()).drop(_N)
+    counts.where(guard.isNotNull()).count()
 
 
 def enrich_left_join(left: DataFrame, right: DataFrame, key: str, cols: list[str],
@@ -42,13 +40,13 @@ def enrich_left_join(left: DataFrame, right: DataFrame, key: str, cols: list[str
     """``left.drop(cols) LEFT JOIN right(key, cols) USING (key)``.
 
     Key comes first in the output, unmatched rows get NULLs.
-    ``on_duplicate="error"`` (default) raises on a duplicated right key;
-    ``"keep"`` multiplies left rows like a plain join.
+    ``on_duplicate="error"`` (default) raises on a duplicated right key, when
+    called; ``"keep"`` multiplies left rows like a plain join.
     """
     if on_duplicate not in ("error", "keep"):
         raise ValueError("on_duplicate must be 'error' or 'keep'")
     base = left.drop(*cols)
     side = right.select(key, *cols)
     if on_duplicate == "error":
-        side = unique_on_key(side, key, cols)
+        check_unique(right.select(key), key)
     return base.join(side, key, "left")

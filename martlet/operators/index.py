@@ -1,140 +1,58 @@
 """Deterministic row index over a key ordering (S3) without a global window.
 
 ``row_number() OVER (ORDER BY key)`` with no partition moves every row into one
-task. Here:
-
-1. every key maps to an order-preserving double (numbers as such, dates and
-   timestamps as day / microsecond counts, strings by their first 6 UTF-8
-   bytes, whose byte order is Spark's string order); approximate quantiles of
-   it give ``buckets - 1`` cut points (a bounded list on the driver);
-2. a value that repeats among the cut points holds more than ``1/buckets`` of
-   the rows and gets a bucket of its own; MLlib's ``Bucketizer`` (a binary
-   search in the JVM, any number of buckets) assigns every row its bucket.
-   Distinct keys that share a double only ever share a bucket, so buckets stay
-   contiguous in key order;
-3. one aggregate counts rows per (bucket, sub-bucket): a hot bucket that holds a
-   single key value, and the NULL keys (all ties, first in order), are split
-   into sub-buckets by a deterministic row hash, so one key holding a third of
-   all rows is numbered by many tasks instead of one; the prefix sums (one row
-   per bucket, so bounded by ``buckets``) form a small broadcast table;
-4. ``row_number`` runs per (bucket, sub-bucket) and the offset is added through
-   a broadcast hash join on (bucket, sub-bucket).
+task. Here Spark's own range partitioner lays the rows out by (key, tie-break
+columns, row hash) and each partition sorts itself, so partitions are contiguous
+in that order whatever the key's type, and a hot key value or the NULL keys are
+cut between partitions by the hash. The layout is written once to the shared
+folder together with each row's partition and place
+(``monotonically_increasing_id``); rows per partition (one row per partition)
+give the offsets, and the index is offset plus place.
 
 The order is total and deterministic: key (NULLs first, Spark's default), then
 ``tiebreak`` columns, then a hash of the whole row (rows equal in every column
-are interchangeable); inside a split key the hash orders the rows, one more
-deterministic tie-break among equal keys. Task retries after an executor loss
-reproduce the same numbers.
+are interchangeable). Where the partitioner cuts depends on its sample, the
+index does not. What is written stays, so a lost executor renumbers nothing.
 """
 
 from __future__ import annotations
 
-import math
-from itertools import accumulate
-
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-_KEY_D = "__martlet_key_d"
-_BUCKET = "__martlet_bucket"
-_SUB = "__martlet_sub"
-_HASH = "__martlet_row_hash"
-_NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
+from martlet.session import shared_dir
 
-def order_surrogate(df: DataFrame, key: str) -> Column:
-    """A double that never decreases as ``key`` increases (ties allowed)."""
-    dtype = df.schema[key].dataType
-    c = F.col(key)
-    if isinstance(dtype, _NUMERIC):
-        return c.cast("double")
-    if isinstance(dtype, T.DateType):
-        return F.unix_date(c).cast("double")
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(c.cast("timestamp")).cast("double")
-    if isinstance(dtype, (T.StringType, T.BinaryType)):
-        raw = F.encode(c, "UTF-8") if isinstance(dtype, T.StringType) else c
-        prefix = F.rpad(F.hex(F.substring(raw, 1, 6)), 12, "0")
-        return F.conv(prefix, 16, 10).cast("double")
-    raise TypeError(f"no order-preserving surrogate for key type {dtype.simpleString()}")
+_HASH = "__martlet_row_hash"
+_PLACE = "__martlet_place"
+_PART = "__martlet_part"
+# monotonically_increasing_id: the partition above 33 bits of place.
+_PLACE_BITS = 33
 
 
 def with_row_index(df: DataFrame, order_col: str, index_col: str = "row_index",
                    buckets: int | None = None, tiebreak: list[str] | None = None,
                    start: int = 0) -> DataFrame:
-    spark = df.sparkSession
-    if buckets is None:
-        buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
-    buckets = min(buckets, 1 << 20)      # the offsets table has at most about this many rows
-    tiebreak = list(tiebreak or [])
-    key = F.col(order_col)
-    keyed = (df.withColumn(_HASH, F.xxhash64(*[F.col(c) for c in df.columns]))
-             .withColumn(_KEY_D, order_surrogate(df, order_col)))
+    """``df`` with a gapless ``index_col`` from ``start`` in the order of ``order_col``.
 
-    cuts: list[float] = []
-    if buckets > 1:
-        probs = [i / buckets for i in range(1, buckets)]
-        cuts = [float(x) for x in (keyed.agg(F.percentile_approx(_KEY_D, probs, 10000)).first()[0] or [])]
-    repeats: dict[float, int] = {}
-    for v in cuts:
-        if math.isfinite(v):
-            repeats[v] = repeats.get(v, 0) + 1
-    hot = {v for v, r in repeats.items() if r >= 2}
-    points = set(repeats) | {math.nextafter(v, math.inf) for v in hot}
-    splits = [-math.inf] + sorted(p for p in points if math.isfinite(p)) + [math.inf]
-    # bucket i covers [splits[i], splits[i+1]); a hot value v owns [v, nextafter(v)).
-    hot_subs = {splits.index(v): repeats[v] + 1 for v in hot}
-
-    if len(splits) > 2:
-        bucketed = Bucketizer(splits=splits, inputCol=_KEY_D, outputCol=_BUCKET,
-                              handleInvalid="keep").transform(keyed)
-        bucket = F.col(_BUCKET).cast("int")
-    else:
-        bucketed, bucket = keyed, F.lit(0)
-    # NULL keys sort first: bucket -1, always split by hash (they are all ties).
-    bucketed = bucketed.withColumn(_BUCKET, F.when(key.isNull(), F.lit(-1)).otherwise(bucket))
-
-    def with_sub(frame: DataFrame, split_buckets: dict[int, int]) -> DataFrame:
-        """Sub-bucket = row hash mod the range's split count (1 = unsplit), looked up
-        in a broadcast table with one row per split range (bounded by ``buckets``)."""
-        rows = [(b, s) for b, s in split_buckets.items()] + [(-1, buckets)]
-        table = F.broadcast(spark.createDataFrame(rows, "__martlet_b int, __martlet_nsub int"))
-        joined = frame.join(table, frame[_BUCKET] == table["__martlet_b"], "left")
-        nsub = F.coalesce(F.col("__martlet_nsub"), F.lit(1))
-        return (joined.withColumn(_SUB, F.pmod(F.col(_HASH), nsub).cast("int"))
-                .drop("__martlet_b", "__martlet_nsub"))
-
-    stats = (with_sub(bucketed, hot_subs)
-             .groupBy(_BUCKET, _SUB)
-             .agg(F.count(F.lit(1)).alias("n"), F.min(order_col).alias("kmin"), F.max(order_col).alias("kmax"))
-             .collect())
-    # Split a hot bucket only if it holds one key value (distinct keys can share a
-    # double); otherwise it is numbered unsplit, still in key order.
-    span: dict[int, tuple] = {}
-    for r in stats:
-        if r[_BUCKET] == -1:
-            continue                      # the NULL keys: no span, always split
-        lo, hi = span.get(r[_BUCKET], (r["kmin"], r["kmax"]))
-        span[r[_BUCKET]] = (min(lo, r["kmin"]), max(hi, r["kmax"]))
-    split_ok = {b: s for b, s in hot_subs.items() if b in span and span[b][0] == span[b][1]}
-    counts: dict[tuple[int, int], int] = {}
-    for r in stats:
-        b = r[_BUCKET]
-        k = (b, r[_SUB] if (b == -1 or b in split_ok) else 0)
-        counts[k] = counts.get(k, 0) + r["n"]
-
-    ids = sorted(counts)
-    offsets = accumulate([0] + [counts[i] for i in ids[:-1]])
-    # One row per (bucket, sub-bucket): bounded by the bucket count, so broadcast.
-    offset_df = F.broadcast(spark.createDataFrame(
-        [(b, sb, o) for (b, sb), o in zip(ids, offsets)],
-        f"{_BUCKET} int, {_SUB} int, __martlet_offset long"))
-    numbered = with_sub(bucketed, split_ok)
-    w = Window.partitionBy(_BUCKET, _SUB).orderBy(key, *[F.col(c) for c in tiebreak], F.col(_HASH))
-    ranked = numbered.withColumn("__martlet_rn", F.row_number().over(w))
-    out = ranked.join(offset_df, [_BUCKET, _SUB]).withColumn(
-        index_col, (F.col("__martlet_rn") - 1 + F.col("__martlet_offset") + start).cast("long"))
-    out = out.select(*df.columns, index_col)
-    return out
+    ``buckets`` is the number of range partitions (default
+    ``spark.sql.shuffle.partitions``). An array, map or variant column must be
+    hashable by ``xxhash64`` (maps are not).
+    """
+    spark = df.sparkSession
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    order = [F.col(order_col), *[F.col(c) for c in tiebreak or []], F.col(_HASH)]
+    laid = (df.withColumn(_HASH, F.xxhash64(*[F.col(c) for c in df.columns]))
+            .repartitionByRange(n, *order).sortWithinPartitions(*order)
+            .withColumn(_PLACE, F.monotonically_increasing_id()).drop(_HASH))
+    path = shared_dir(spark, "row_index")
+    laid.write.parquet(path)
+    placed = (spark.read.schema(laid.schema).parquet(path)
+              .withColumn(_PART, F.shiftrightunsigned(_PLACE, _PLACE_BITS)))
+    sizes = placed.groupBy(_PART).agg(F.count(F.lit(1)).alias("n"))
+    before = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
+    # One row per range partition: the broadcast and the window are bounded by ``buckets``.
+    offsets = sizes.select(_PART, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__martlet_offset"))
+    place = F.col(_PLACE).bitwiseAND(F.lit((1 << _PLACE_BITS) - 1))
+    return placed.join(F.broadcast(offsets), _PART).select(
+        *[F.col(f"`{c}`") for c in df.columns],
+        (F.col("__martlet_offset") + place + start).cast("long").alias(index_col))

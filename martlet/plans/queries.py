@@ -171,6 +171,13 @@ def q_row_index(spark, sf):
     return with_row_index(table(spark, sf, "orders"), "o_orderkey")
 
 
+@register("row_index_text", """
+select page_id, url, row_number() over (order by url, page_id) - 1 as row_index from pages
+""")
+def q_row_index_text(spark, sf):
+    return with_row_index(table(spark, sf, "pages").select("page_id", "url"), "url", tiebreak=["page_id"])
+
+
 # -------------------------------------------------------------------- profiling
 def _missing_sql(name, kind):
     if kind == "string":

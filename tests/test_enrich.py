@@ -38,25 +38,6 @@ def test_add_null_column_is_idempotent(spark):
     assert twice.first()["prediction"] is None
 
 
-def test_guard_adds_no_extra_exchange_on_right(spark):
-    from tests.conftest import SF_SMALL
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        part = spark.read.parquet(f"{SF_SMALL}/part.parquet")
-        left = part.select("p_partkey", "p_name")
-        right = part.select("p_partkey", F.col("p_size").alias("prediction"))
-        plan = enrich.enrich_left_join(left, right, "p_partkey", ["prediction"])._jdf.queryExecution() \
-            .executedPlan().toString()
-        # one exchange per side: the guard's aggregate partitions the right side by
-        # the key, and the sort-merge join reuses that partitioning
-        assert plan.count("Exchange hashpartitioning") == 2
-        assert "SortMergeJoin" in plan and plan.count("HashAggregate") == 2
-    finally:
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-
-
 def test_null_right_keys_do_not_trip_the_guard(spark):
     left = spark.createDataFrame([("a", 1), (None, 2)], "code string, v int")
     right = spark.createDataFrame([("a", 7), (None, 8), (None, 9)], "code string, prediction int")
@@ -64,22 +45,25 @@ def test_null_right_keys_do_not_trip_the_guard(spark):
     assert sorted(map(tuple, out.collect()), key=repr) == sorted([("a", 1, 7), (None, 2, None)], key=repr)
 
 
-def test_hot_left_key_is_split_by_aqe_skew_join(spark):
+@pytest.mark.parametrize("hot", ["F.lit(7)", "F.lit(None)"])
+@pytest.mark.parametrize("on_duplicate", ["error", "keep"])
+def test_hot_or_null_left_key_is_split_on_parquet_inputs(spark, tmp_path, hot, on_duplicate):
     conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
             "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
             "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    # a third of the left rows share one key, or have none
+    key = F.when(F.col("id") % 3 == 0, eval(hot)).otherwise(F.col("id"))
+    spark.range(30000).select(key.alias("k"), F.col("id").alias("v")).repartition(6).write.parquet(f"{tmp_path}/l")
+    spark.range(30000).select(F.col("id").alias("k"), (F.col("id") % 5).alias("prediction")).write.parquet(f"{tmp_path}/r")
     old = {k: spark.conf.get(k, None) for k in conf}
     for k, v in conf.items():
         spark.conf.set(k, v)
     try:
-        # a third of the left rows share one key
-        left = spark.range(30000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"),
-                                         F.col("id").alias("v"))
-        right = spark.range(30000).select(F.col("id").alias("k"), (F.col("id") % 5).alias("prediction"))
-        out = enrich.enrich_left_join(left, right, "k", ["prediction"])
+        out = enrich.enrich_left_join(spark.read.parquet(f"{tmp_path}/l"), spark.read.parquet(f"{tmp_path}/r"), "k",
+                                      ["prediction"], on_duplicate=on_duplicate)
         assert len(out.collect()) == 30000      # run this DataFrame's own execution: final AQE plan
         plan = out._jdf.queryExecution().executedPlan().toString()
         assert "SortMergeJoin(skew=true)" in plan and "AQEShuffleRead skewed" in plan

@@ -47,12 +47,11 @@ def test_clean_is_idempotent_and_bounded(spark, xs):
 
 @SETTINGS
 @given(words=st.lists(st.text(min_size=0, max_size=10), min_size=2, max_size=40))
-def test_string_order_surrogate_never_decreases(spark, words):
-    from martlet.operators.index import order_surrogate
+def test_row_index_orders_any_string_key(spark, words):
+    from martlet.operators.index import with_row_index
     df = spark.createDataFrame([(w,) for w in words], "w string")
-    got = df.select("w", order_surrogate(df, "w").alias("s")).orderBy("w").collect()
-    surrogates = [r.s for r in got]
-    assert surrogates == sorted(surrogates)
+    got = [r["w"] for r in with_row_index(df, "w", buckets=3).orderBy("row_index").collect()]
+    assert got == sorted(words, key=lambda w: w.encode())
 
 
 @SETTINGS
