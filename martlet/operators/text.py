@@ -8,9 +8,6 @@ aggregate collapses it to one row per input partition before the shuffle.
 
 from __future__ import annotations
 
-import contextlib
-import io
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,48 +19,21 @@ WORD_SPLIT_PATTERN = r"\W+"
 UNICODE_WORD_SPLIT_PATTERN = r"(?U)\W+"
 
 
-def _has_exchange(df: DataFrame) -> bool:
-    buf = io.StringIO()
-    with contextlib.redirect_stdout(buf):
-        df.explain()
-    return "Exchange" in buf.getvalue()
-
-
-def spread_input(df: DataFrame) -> DataFrame:
-    """Rebalance a scan that yields fewer partitions than the cluster has cores.
-
-    Tokenising is CPU-bound, so a handful of large input splits would leave
-    cores idle. At scale the scan already has far more partitions than cores
-    and nothing is added; otherwise a round-robin repartition (which Spark makes
-    deterministic for task retries) spreads the rows, including duplicate texts.
-    Only a plan without a shuffle is inspected: asking a shuffled plan for its
-    partitions would make adaptive execution run the upstream stages, and after
-    a shuffle the partition count is the shuffle's anyway.
-    """
-    if _has_exchange(df):
-        return df
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        narrow = df.rdd.getNumPartitions() < cores
-    except Exception:  # noqa: BLE001 - no RDD view (e.g. a Spark Connect session): leave as is
-        return df
-    return df.repartition(cores) if narrow else df
-
-
 def tokenize(df: DataFrame, text_col: str, word_col: str = "word",
              keep: list[str] | None = None, drop_empty: bool = False,
-             pattern: str = WORD_SPLIT_PATTERN, rebalance: bool = True,
+             pattern: str = WORD_SPLIT_PATTERN, partitions: int | None = None,
              outer: bool = False) -> DataFrame:
     """One row per token of ``lower(text)`` split on ``pattern``.
 
     NULL text yields no rows (one row with a NULL token when ``outer``); ``''``
     yields one empty token (Spark's split keeps leading/trailing empties).
     ``drop_empty`` removes empty tokens; ``UNICODE_WORD_SPLIT_PATTERN`` keeps
-    accented letters inside words.
+    accented letters inside words. ``partitions`` deals the texts out anew, for an
+    input of a few large splits; by default nothing is shuffled before the split.
     """
     keep = keep or []
-    if rebalance:
-        df = spread_input(df.select(*keep, text_col))
+    if partitions is not None:
+        df = df.select(*keep, text_col).repartition(partitions)
     gen = F.explode_outer if outer else F.explode
     out = df.select(*keep, gen(F.split(F.lower(F.col(text_col)), pattern, -1)).alias(word_col))
     if drop_empty:
@@ -83,9 +53,9 @@ def remove_stop_words(df: DataFrame, word_col: str = "word", stop_words=None,
 
 
 def word_count(df: DataFrame, text_col: str, stop_words=None, drop_empty: bool = False,
-               sort: bool = True) -> DataFrame:
+               sort: bool = True, partitions: int | None = None) -> DataFrame:
     """(word, count) for all non-stop-words, most frequent first, ties by word."""
-    tokens = remove_stop_words(tokenize(df, text_col, drop_empty=drop_empty), stop_words=stop_words)
+    tokens = remove_stop_words(tokenize(df, text_col, drop_empty=drop_empty, partitions=partitions), stop_words=stop_words)
     counts = tokens.groupBy("word").agg(F.count(F.lit(1)).alias("count"))
     if sort:
         counts = counts.orderBy(F.col("count").desc(), F.col("word").asc())

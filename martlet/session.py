@@ -51,7 +51,8 @@ def build_session(
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, setting a local one only if unset."""
+    """Return the shared checkpoint folder. Unset, a local run gets a folder of its
+    own; on a cluster it is an error, as executors don't share local folders."""
     try:
         sc = spark.sparkContext
     except Exception:  # noqa: BLE001 - no SparkContext (e.g. Spark Connect): config only
@@ -61,6 +62,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        master = spark.conf.get("spark.master", "local")
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         configured = tempfile.mkdtemp(prefix="martlet-ckpt-")
     if sc is None:
         return configured

@@ -19,7 +19,7 @@ from martlet.sources import tables
 
 
 def word_counts_of(stream: DataFrame, text_col: str, stop_words=None) -> DataFrame:
-    tokens = text.tokenize(stream, text_col, rebalance=False)
+    tokens = text.tokenize(stream, text_col)
     tokens = text.remove_stop_words(tokens, stop_words=stop_words)
     return tokens.groupBy("word").agg(F.count(F.lit(1)).alias("count"))
 

@@ -10,3 +10,21 @@ def test_shared_dir_is_under_the_session_checkpoint_dir(spark):
 
 def test_build_session_reuses_the_active_session(spark):
     assert build_session(app_name="again") is spark
+
+
+def test_a_cluster_without_a_shared_folder_is_an_error():
+    from types import SimpleNamespace
+
+    import pytest
+
+    from martlet.session import ensure_checkpoint_dir
+
+    def session(conf):
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda k, default=None: conf.get(k, default)),
+                               sparkContext=SimpleNamespace(getCheckpointDir=lambda: None, setCheckpointDir=lambda d: None))
+
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]"):
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            ensure_checkpoint_dir(session({"spark.master": master}))
+    assert ensure_checkpoint_dir(session({"spark.master": "yarn", "spark.checkpoint.dir": "hdfs:///x"})) == "hdfs:///x"
+    assert ensure_checkpoint_dir(session({"spark.master": "local[4]"}))

@@ -2,6 +2,7 @@ import os
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from martlet.operators import columns
 from martlet.session import shared_dir
@@ -171,3 +172,64 @@ def test_sorted_layout_string_key_hot_value(spark):
     ordered = sorted(per_file, key=lambda r: (r.lo, r.hi))
     for a, b in zip(ordered, ordered[1:]):
         assert a.hi <= b.lo                                  # files cover ordered, touching key ranges
+
+
+@pytest.mark.parametrize("header, message", [("code\tenergy-kcal\tcolour", "unknown"), ("code", "missing"), ("code\tcode\tenergy_kcal", "unknown|twice")])
+def test_tolerant_load_refuses_headers_that_do_not_fit(spark, tmp_path, header, message):
+    (tmp_path / "t.tsv").write_text(header + "\n1\t2\t3\n")
+    with pytest.raises(ValueError, match=message):
+        files.tolerant_load(spark, str(tmp_path), T.StructType.fromDDL("code string, energy_kcal string"))
+
+
+def test_tolerant_load_maps_columns_by_header_name(spark, tmp_path):
+    (tmp_path / "t.tsv").write_text("energy-kcal\tcode\n12.5\tx\\ty\nbad\tz\n\tw\\\\t\n")
+    good, bad = files.tolerant_load(spark, str(tmp_path), T.StructType.fromDDL("code string, energy_kcal double"))
+    assert bad == 1 and sorted(map(tuple, good.collect())) == [("w\\t", None), ("x\ty", 12.5)]
+
+
+def test_write_tsv_keeps_tabs_backslashes_and_line_ends(spark):
+    texts = ["a\tb", "\\", "\\t", "\\\t\\\\n", "x\ny\r", "plain", "\\\\"]
+    path = files.write_tsv(spark.createDataFrame(list(enumerate(texts)), "k int, t string"), shared_dir(spark, "esc"))
+    schema = T.StructType.fromDDL("k int, t string")
+    assert {r.k: r.t for r in files.tolerant_load(spark, path, schema)[0].collect()} == dict(enumerate(texts))
+    assert {r.k: r.t for r in files.tsv_scan(spark, path, escaped=True).collect()} == dict(enumerate(texts))
+
+
+def test_types_inferred_on_a_sample_never_lose_values(spark, tmp_path):
+    (tmp_path / "t.tsv").write_text("k\n" + "\n".join("n/a" if k % 5000 == 4999 else str(k) for k in range(20000)) + "\n")
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST|malformed|n/a"):
+        files.tsv_scan(spark, str(tmp_path), sample_ratio=0.001).collect()
+    assert files.tsv_scan(spark, str(tmp_path)).where("k = 'n/a'").count() == 4
+
+
+def test_import_cap_takes_the_first_rows_in_file_order(spark, tmp_path):
+    for n in range(3):
+        (tmp_path / f"{n}.tsv").write_text("k\n" + "\n".join(str(1000 * n + k) for k in range(500)) + "\n")
+    schema = T.StructType.fromDDL("k int")
+    good, _ = files.tolerant_load(spark, str(tmp_path), schema, max_rows=700)
+    assert sorted(r.k for r in good.collect()) == [*range(500), *range(1000, 1200)]
+    with pytest.raises(ValueError, match="deferred"):
+        files.tolerant_load(spark, str(tmp_path), schema, max_rows=7, deferred=True)
+
+
+def test_publish_changes_the_schema_in_one_step_and_keeps_versions(spark):
+    base, name = shared_dir(spark, "versions"), "martlet_versions_test"
+    paths = [tables.publish(spark, spark.range(k + 1).selectExpr("id", *(["1 as more"] if k % 2 else [])), name, base)["path"] for k in range(5)]
+    assert spark.table(name).count() == 5 and spark.table(name).columns == ["id"]
+    assert tables.table_type(spark, name) == "VIEW"
+    local = base.removeprefix("file:")
+    assert sorted(os.listdir(local)) == sorted(os.path.basename(p) for p in paths[-3:])
+    tables.publish(spark, spark.table(name).selectExpr("id", "id as twice"), name, base)
+    assert spark.table(name).columns == ["id", "twice"] and spark.table(name).count() == 5
+    spark.sql(f"DROP VIEW {name}")
+
+
+def test_publish_refuses_a_managed_table_before_writing(spark):
+    base, name = shared_dir(spark, "managed"), "martlet_managed_test"
+    spark.sql(f"CREATE TABLE {name} (id bigint) USING parquet")
+    try:
+        with pytest.raises(ValueError, match="managed"):
+            tables.publish(spark, spark.range(3), name, base)
+        assert not os.path.exists(base.removeprefix("file:"))
+    finally:
+        spark.sql(f"DROP TABLE {name}")

@@ -54,11 +54,10 @@ def test_token_counts(spark):
     assert [(r.id, r.n_tokens, r.n_kept) for r in got] == [(1, 5, 2)]
 
 
-def test_spread_input_skips_shuffled_plans(spark):
-    df = spark.range(100).selectExpr("cast(id % 7 as string) as t").groupBy("t").count()
-    assert text.spread_input(df) is df                      # no extra job, no extra shuffle
+def test_tokenize_shuffles_only_when_asked(spark):
     narrow = spark.createDataFrame([("a b",)], "t string").coalesce(1)
-    assert text.spread_input(narrow) is not narrow          # narrow scan gets spread
+    assert "Exchange" not in text.tokenize(narrow, "t")._jdf.queryExecution().executedPlan().toString()
+    assert text.tokenize(narrow, "t", partitions=5).rdd.getNumPartitions() == 5
 
 
 def test_tokenize_outer_and_unicode_options(spark):
