@@ -50,7 +50,8 @@ def is_missing(df: DataFrame, name: str, markers=MISSING_MARKERS) -> Column:
     c = F.col(name)
     if isinstance(dtype, T.StringType):
         parts = [c.contains(m) for m in markers]
-        parts += [c == F.lit(""), c.isNull(), F.isnan(c.try_cast("double"))]
+        # Only text that holds "nan" can parse to NaN; other cells are not parsed.
+        parts += [c == F.lit(""), c.isNull(), F.when(c.ilike("%nan%"), F.isnan(c.try_cast("double"))).otherwise(False)]
         # NULL-safe: contains()/== on NULL give NULL; coalesce to FALSE.
         return F.coalesce(any_of(parts), F.lit(False))
     if isinstance(dtype, FRACTIONAL_TYPES):

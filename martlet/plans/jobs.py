@@ -13,15 +13,10 @@ from pyspark.sql import functions as F
 from martlet.operators import cluster, columns, enrich, profile, rows
 from martlet.sources import tables
 
-# Columns of the product mart and the metadata columns the
-# exploration drops.
+# Columns of the product mart.
 MART_KEY = "code"
 MART_FEATURES = ["fat_100g", "carbohydrates_100g", "sugars_100g", "proteins_100g",
                  "salt_100g", "sodium_100g"]
-EXPLORE_METADATA = ["creator", "created_t", "created_datetime", "last_modified_t",
-                    "last_modified_datetime", "last_modified_by", "last_updated_t",
-                    "last_updated_datetime", "last_image_t", "last_image_datetime"]
-EXPLORE_NAME_TOKENS = ["url", "states"]
 
 
 def preprocess(df: DataFrame, key: str, features: list[str], **clean_opts) -> DataFrame:
@@ -52,7 +47,7 @@ def clusterize(mart: DataFrame, features: list[str], k: int = cluster.DEFAULT_K,
     """
     assembled = cluster.assemble(mart, features)
     model = cluster.fit_kmeans(assembled, k=k, seed=seed, order_key=order_key, num_partitions=num_partitions)
-    scored = model.transform(assembled).persist(StorageLevel.MEMORY_AND_DISK)
+    scored = model.transform(assembled).select("features", "prediction").persist(StorageLevel.MEMORY_AND_DISK)
     try:
         score = cluster.silhouette(scored)
         # Sizes from the cached scores (k rows); the training summary's own

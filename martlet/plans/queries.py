@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from martlet.functions.stopwords import default_stop_words, sql_in_list
@@ -198,6 +198,45 @@ def q_missing_profile(spark, sf):
     return profile.missing_profile(dirty(spark, sf))
 
 
+def _wide_columns():
+    """207 text columns over all columns of lineitem, with the dirty cells of a wide product table."""
+    base = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+            "l_returnflag", "l_linestatus"]
+    return [(f"w{j}", base[j % len(base)], j) for j in range(207)]
+
+
+def _wide_sql(string_type):
+    cells = ", ".join(
+        f"case when (l_orderkey + {j}) % {j % 13 + 2} = 0 then null when (l_orderkey + {j}) % 11 = 0 then 'unknown' "
+        f"when (l_orderkey + {j}) % 17 = 0 then 'NaN' when (l_orderkey + {j}) % 19 = 0 then '' "
+        f"else cast({c} as {string_type}) end as {name}" for name, c, j in _wide_columns())
+    return f"select {cells} from "
+
+
+_WIDE_MISSING = ", ".join(
+    f"round(cast(count(*) filter (where coalesce(contains({c}, 'None') or contains({c}, 'NULL') or contains({c}, 'unknown') "
+    f"or {c} = '' or {c} is null or isnan(try_cast({c} as double)), false)) as double) / count(*) * 100, 6) as {c}"
+    for c, _, _ in _wide_columns())
+
+
+@register("missing_profile_wide", f"""
+with wide as ({_wide_sql('varchar')} lineitem)
+select column_name, missing_pct
+from (unpivot (select {_WIDE_MISSING} from wide) on columns(*) into name column_name value missing_pct)
+""")
+def q_missing_profile_wide(spark, sf):
+    """A2 at the width of the studied table."""
+    wide = spark.sql(_wide_sql("string") + "{lineitem}", lineitem=table(spark, sf, "lineitem"))
+    return profile.missing_profile(wide)
+
+
+@register("feature_columns", "select p_name, p_size, p_retailprice from part")
+def q_feature_columns(spark, sf):
+    """P5: the useful columns less the metadata columns."""
+    part = table(spark, sf, "part")
+    return columns.project(part, columns.feature_columns(["p_name", "p_partkey", "p_size", "p_retailprice"], ["p_partkey", "p_comment"]))
+
+
 @register("drop_sparse_columns", with_dirty("select l_orderkey, l_linenumber, qty, tax, price from dirty"))
 def q_drop_sparse_columns(spark, sf):
     d = dirty(spark, sf)
@@ -565,6 +604,58 @@ def q_mart_chain(spark, sf):
     return jobs.mart_invariants(spark.table(wide_name))
 
 
+# Five groups well apart, some rows dirty: every row has one right cluster, so these
+# queries compare clusters row by row, numbered by the order of their centres.
+_BLOB_ROWS = """
+select cast(p_partkey as varchar) as code,
+  case when p_partkey % 7 = 0 or p_partkey % 11 = 0 or p_partkey % 13 = 0 then null
+       else cast(p_partkey % 5 as integer) end as cluster
+from part
+"""
+
+
+def _blobs(spark, sf):
+    key = F.col("p_partkey")
+    x = (key % 5) * 18 + F.col("p_size") / 10
+    return table(spark, sf, "part").select(
+        key.cast("string").alias("code"), "p_name",
+        F.when(key % 7 == 0, None).when(key % 11 == 0, "n/a").when(key % 13 == 0, "150").otherwise(x.cast("string")).alias("x"),
+        (F.col("p_retailprice") / 1000).cast("string").alias("y"))
+
+
+def _clusters_by_place(df):
+    """(code, cluster): predictions numbered by the mean of ``x`` (k groups, so a bounded broadcast)."""
+    means = df.where("prediction is not null").groupBy("prediction").agg(F.avg(F.col("x").try_cast("double")).alias("m"))
+    order = means.select("prediction", (F.row_number().over(Window.orderBy("m")) - 1).alias("cluster"))
+    return df.select("code", "prediction").join(F.broadcast(order), "prediction", "left").select("code", "cluster")
+
+
+@register("clusterize_rows", _BLOB_ROWS.replace("from part", "from part where p_partkey % 7 <> 0 and p_partkey % 11 <> 0 and p_partkey % 13 <> 0"))
+def q_clusterize_rows(spark, sf):
+    """J-B: the cluster of every row of the cleaned mart."""
+    mart = jobs.preprocess(_blobs(spark, sf), "code", ["x", "y"])
+    return _clusters_by_place(jobs.clusterize(mart, ["x", "y"], k=5, seed=42).predictions)
+
+
+@register("mart_end_to_end_rows", _BLOB_ROWS)
+def q_mart_end_to_end_rows(spark, sf):
+    """J-F: the cluster of every row of the enriched wide table."""
+    enriched, _ = jobs.mart_end_to_end(_blobs(spark, sf), "code", ["x", "y"], k=5, seed=42)
+    return _clusters_by_place(enriched)
+
+
+@register("mart_chain_rows", _BLOB_ROWS)
+def q_mart_chain_rows(spark, sf):
+    """J-G: the cluster of every row of the wide table that the stage chain republishes."""
+    base = shared_dir(spark, "chain_rows")
+    tag = base.rsplit("-", 1)[-1]
+    wide_name, mart_name = f"martlet_wide_{tag}", f"martlet_mart_{tag}"
+    tables.publish(spark, enrich.add_null_column(_blobs(spark, sf), "prediction"), wide_name, f"{base}/{wide_name}")
+    cfg = jobs.MartConfig(wide_name, mart_name, base, key="code", features=["x", "y"], k=5, seed=42)
+    jobs.run_stages(spark, ["preprocess", "clusterize", "write"], cfg)
+    return _clusters_by_place(spark.table(wide_name))
+
+
 @register("word_count_stream", _ORACLES["word_count"])
 def q_word_count_stream(spark, sf):
     """J-E as a stream over the documents file; equals the batch word count."""
