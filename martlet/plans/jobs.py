@@ -68,11 +68,37 @@ def write_back(wide: DataFrame, predictions: DataFrame, key: str,
     return enrich.enrich_left_join(wide, predictions, key, ["prediction"], on_duplicate=on_duplicate)
 
 
+@dataclass
+class Exploration:
+    """What J-D finds: the pruned rows, and the figures that led there."""
+    pruned: DataFrame
+    n_rows: int
+    missing: dict[str, float]         # percent, by column, before sparse columns went
+    figures: DataFrame                # A4 over the columns that were kept
+    dropped: list[str]                # useful columns that were absent or too sparse
+
+
+def explore(df: DataFrame, useful: list[str], metadata: list[str] | None = None,
+            name_tokens: list[str] | None = None, threshold: float = 50.0, strict: bool = False) -> Exploration:
+    """J-D: drop metadata and name-token columns, count rows (A1), profile the
+    rest, drop columns missing in more than ``threshold`` percent of rows, keep the
+    useful ones that survive, drop incomplete rows and describe what is left (A4).
+    With ``strict`` a useful column that does not survive is an error."""
+    df = columns.drop_named(df, metadata or [])
+    if name_tokens:
+        df = columns.drop_by_name_token(df, *name_tokens)
+    missing = profile.missing_percentages(df)
+    kept = columns.drop_sparse_columns(df, missing, threshold)
+    dropped = [c for c in useful if c not in kept.columns]
+    if strict and dropped:
+        raise ValueError(f"useful columns dropped or absent: {dropped}")
+    pruned = rows.drop_incomplete(kept.select(*[c for c in useful if c in kept.columns]))
+    return Exploration(pruned, profile.row_count(df).first()["n_rows"], missing, profile.describe_all(pruned), dropped)
+
+
 def explore_prune(df: DataFrame, useful: list[str], metadata: list[str] | None = None,
                   name_tokens: list[str] | None = None, threshold: float = 50.0) -> DataFrame:
-    """J-D: drop metadata and name-token columns, profile the rest in one pass,
-    drop columns missing in more than ``threshold`` percent of rows, keep the
-    useful ones that survive and drop incomplete rows."""
+    """The pruned rows of ``explore`` alone, without its count and description."""
     df = columns.drop_named(df, metadata or [])
     if name_tokens:
         df = columns.drop_by_name_token(df, *name_tokens)
@@ -89,6 +115,15 @@ def mart_end_to_end(wide: DataFrame, key: str, features: list[str], k: int = clu
     return write_back(wide, result.predictions, key), result
 
 
+def box_plots(wide: DataFrame, features: list[str], **clean_opts) -> DataFrame:
+    """A5 around the range filters of J-F: figures per feature before and after them."""
+    spark = wide.sparkSession
+    before = rows.clean_numeric(wide, features, **{**clean_opts, "apply_range": False})
+    after = rows.clean_numeric(wide, features, **clean_opts)
+    return (profile.boxplot_stats(spark, before, features).withColumn("stage", F.lit("before"))
+            .unionByName(profile.boxplot_stats(spark, after, features).withColumn("stage", F.lit("after"))))
+
+
 def mart_invariants(enriched: DataFrame) -> DataFrame:
     """Figures that do not depend on k-means' arbitrary cluster numbering."""
     return enriched.agg(
@@ -110,6 +145,8 @@ class MartConfig:
     seed: int = cluster.DEFAULT_SEED
     apply_range: bool = True
     repeatable: bool = False          # fit on a key-hashed, key-sorted layout
+    extra_bounds: dict[str, float] | None = None    # F4: upper bounds on columns outside the mart
+    model_path: str | None = None     # where to save the fitted model (K7)
 
 
 STAGES = ("preprocess", "clusterize", "write")
@@ -132,7 +169,7 @@ def run_stages(spark: SparkSession, stage_names, cfg: MartConfig) -> dict:
             raise ValueError(f"stage {stage!r} needs table {needed!r}, which does not exist")
         if stage == "preprocess":
             mart = preprocess(spark.table(cfg.wide_table), cfg.key, cfg.features,
-                              apply_range=cfg.apply_range)
+                              apply_range=cfg.apply_range, extra_bounds=cfg.extra_bounds)
             report[stage] = tables.publish(spark, mart, cfg.mart_table, f"{cfg.base_dir}/{cfg.mart_table}")
         elif stage == "clusterize":
             mart = spark.table(cfg.mart_table)
@@ -141,6 +178,8 @@ def run_stages(spark: SparkSession, stage_names, cfg: MartConfig) -> dict:
                              order_key=cfg.key if cfg.repeatable else None)
             out = tables.publish(spark, res.predictions, cfg.mart_table, f"{cfg.base_dir}/{cfg.mart_table}")
             out.update(silhouette=res.silhouette, cluster_sizes=res.sizes)
+            if cfg.model_path:
+                out["model"] = cluster.save_model(res.model, cfg.model_path)
             report[stage] = out
         elif stage == "write":
             mart = spark.table(cfg.mart_table)

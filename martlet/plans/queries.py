@@ -614,6 +614,20 @@ from part
 """
 
 
+# The cells of _blobs that are numbers, as single-precision floats like the mart's.
+_BLOB_SPREAD_SQL = """
+with v as (select cast(case when p_partkey % 13 = 0 then 150 else (p_partkey % 5) * 18 + p_size / 10.0 end as float) as x
+           from part where p_partkey % 7 <> 0 and p_partkey % 11 <> 0),
+s as (select 'before' as stage, cast(x as double) as x from v union all select 'after', cast(x as double) from v where x < 100 and x >= 0),
+q as (select stage, quantile_cont(x, 0.25) as q1, quantile_cont(x, 0.5) as median, quantile_cont(x, 0.75) as q3 from s group by stage)
+select q.stage, 'x' as column_name, round(q1, 6) as q1, round(median, 6) as median, round(q3, 6) as q3,
+  round(min(x) filter (where x >= q1 - 1.5 * (q3 - q1)), 6) as whisker_low,
+  round(max(x) filter (where x <= q3 + 1.5 * (q3 - q1)), 6) as whisker_high,
+  count(*) filter (where x < q1 - 1.5 * (q3 - q1) or x > q3 + 1.5 * (q3 - q1)) as n_outliers
+from q join s on q.stage = s.stage group by q.stage, q1, median, q3
+"""
+
+
 def _blobs(spark, sf):
     key = F.col("p_partkey")
     x = (key % 5) * 18 + F.col("p_size") / 10
@@ -644,6 +658,13 @@ def q_mart_end_to_end_rows(spark, sf):
     return _clusters_by_place(enriched)
 
 
+@register("mart_box_plots", _BLOB_SPREAD_SQL)
+def q_mart_box_plots(spark, sf):
+    """J-F's box-plot figures before and after the range filters."""
+    return jobs.box_plots(_blobs(spark, sf), ["x"]).select(
+        "stage", "column_name", "q1", "median", "q3", "whisker_low", "whisker_high", "n_outliers")
+
+
 @register("mart_chain_rows", _BLOB_ROWS)
 def q_mart_chain_rows(spark, sf):
     """J-G: the cluster of every row of the wide table that the stage chain republishes."""

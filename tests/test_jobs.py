@@ -95,3 +95,31 @@ def test_clusterize_repeatable_by_key(spark):
     b = jobs.clusterize(clean.repartition(5), ["size_g", "price_g"], order_key="code", num_partitions=3)
     assert sorted(map(tuple, a.model.clusterCenters())) == sorted(map(tuple, b.model.clusterCenters()))
     assert sorted(a.sizes) == sorted(b.sizes) and sum(a.sizes) == 1285
+
+
+def test_explore_reports_counts_figures_and_dropped_columns(spark):
+    df = spark.createDataFrame([("a", None, "1", "u"), ("b", None, "2", "u"), ("c", "x", "4", "u")],
+                               "code string, sparse string, v string, image_url string")
+    out = jobs.explore(df, ["code", "sparse", "v"], name_tokens=["url"])
+    assert out.n_rows == 3 and out.dropped == ["sparse"] and round(out.missing["sparse"], 3) == 66.667
+    assert "image_url" not in out.missing and out.pruned.columns == ["code", "v"]
+    assert {r.column_name: r["count"] for r in out.figures.collect()} == {"code": 3, "v": 3}
+    with pytest.raises(ValueError, match="sparse"):
+        jobs.explore(df, ["code", "sparse", "v"], strict=True)
+
+
+def test_chain_applies_extra_bounds_and_saves_the_model(spark):
+    from martlet.operators import cluster
+    from martlet.sources import tables
+
+    base = shared_dir(spark, "bounds")
+    tag = base.rsplit("-", 1)[-1]
+    wide = spark.range(120).selectExpr("cast(id as string) as code", "cast(id % 3 * 20 + id / 200 as string) as x",
+                                       "cast(id * 10 as string) as energy")
+    tables.publish(spark, wide, f"wide_{tag}", f"{base}/w")
+    cfg = jobs.MartConfig(f"wide_{tag}", f"mart_{tag}", base, key="code", features=["x"], k=3,
+                          extra_bounds={"energy": 900}, model_path=f"{base}/model")
+    report = jobs.run_stages(spark, ["preprocess", "clusterize", "write"], cfg)
+    assert report["preprocess"]["rows"] == 90 and report["write"]["rows"] == 120
+    assert len(cluster.load_model(report["clusterize"]["model"]).clusterCenters()) == 3
+    assert spark.table(f"wide_{tag}").where("prediction is not null").count() == 90
