@@ -13,6 +13,11 @@
    ``length``, which names the window's context and so the first copy.
 4. Windows whose first copy is elsewhere are covered; per document the covered
    bytes are removed from the text.
+
+An anchor with very many copies is hot and would be one large group. Of its strings
+each different one is kept once, with its first place, and the places of the copies
+are joined to that; different strings are indexed by anchor as before, and where
+these too are very many they are split by window.
 """
 
 from __future__ import annotations
@@ -22,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,6 +41,10 @@ GRAM = 32
 CHUNK, HELD, BATCH = 1 << 19, 1 << 24, 1 << 20
 #: Windows of a string that are streamed one after the other.
 STREAMED = 512
+#: Copies of an anchor, or different strings of it, that one group holds. Beyond it, and
+#: beyond this share of the copies of all such anchors, an anchor is hot: there are fewer
+#: than a million of them, whatever the input.
+HOT, HOT_SHARE = 4096, 1e-6
 _MULTIPLIERS = [np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
 
@@ -126,8 +136,8 @@ def _lists(values: np.ndarray, starts: np.ndarray) -> pa.ListArray:
 
 _LIST = pa.list_(pa.int64())
 _PARTS = pa.schema([("part", pa.int32()), ("kind", pa.int32()), ("anchors", _LIST), ("docs", _LIST)])
-#: An anchor met once in a task (with its document); one met again (to be counted on
-#: once); the documents of one met again, for which that settles it.
+#: An anchor met once in a task (with its document); one met again (with the number of
+#: copies in place of the document); the documents of one met again, for which that settles it.
 _ONCE, _AGAIN, _SETTLED = range(3)
 
 
@@ -151,7 +161,7 @@ def _anchor_parts(batches, length: int, parts: int):
         again = np.repeat(copies > 1, copies)
         part = (anchors.view(np.uint64) % np.uint64(parts)).astype(np.int64)
         yield rows(_ONCE, part[~again], anchors[~again], docs[~again])
-        yield rows(_AGAIN, part[again & first], anchors[again & first], docs[again & first])
+        yield rows(_AGAIN, part[again & first], anchors[again & first], copies[copies > 1])
         told = again & np.r_[True, (anchors[1:] != anchors[:-1]) | (docs[1:] != docs[:-1])][:len(anchors)]
         yield rows(_SETTLED, docs[told] % parts, anchors[told], docs[told])
 
@@ -169,11 +179,20 @@ def _anchor_parts(batches, length: int, parts: int):
         yield from dealt(held)
 
 
-_GROUPS = pa.schema([("group", pa.int32()), ("anchors", _LIST), ("docs", _LIST)])
+_GROUPS = pa.schema([("group", pa.int32()), ("anchors", _LIST), ("docs", _LIST), ("counted", pa.bool_())])
+
+
+def _repeated(batches, groups: int, hot: int):
+    """The repeated anchors and their documents, by group of documents, from all rows of some
+    parts; and, counted, anchors of more than ``hot`` copies with their number."""
 
+    def rows(group, anchors, docs, counted):
+        order = np.argsort(group, kind="stable")
+        anchors, docs, group = anchors[order], docs[order], group[order]
+        start = np.flatnonzero(np.r_[True, group[1:] != group[:-1]][:len(group)])
+        return pa.record_batch([pa.array(group[start].astype(np.int32)), _lists(anchors, start), _lists(docs, start),
+                                pa.array(np.full(len(start), counted))], schema=_GROUPS)
 
-def _repeated(batches, groups: int):
-    """The repeated anchors and their documents, by group of documents, from all rows of some parts."""
     lists = {kind: ([], []) for kind in (_ONCE, _AGAIN, _SETTLED)}
     for batch in batches:
         kinds = batch.column(1).to_numpy()
@@ -181,29 +200,39 @@ def _repeated(batches, groups: int):
             for to, column in zip(lists[kind], (2, 3)):
                 to.append(batch.column(column)[at].values.to_numpy())
     none = np.zeros(0, np.int64)
-    (once, once_docs), (again, _), (anchors, docs) = ([np.concatenate([none, *x]) for x in lists[k]] for k in (_ONCE, _AGAIN, _SETTLED))
-    _, place, counts = np.unique(np.r_[once, np.unique(again)], return_inverse=True, return_counts=True)
+    (once, once_docs), (again, copies), (anchors, docs) = ([np.concatenate([none, *x]) for x in lists[k]] for k in (_ONCE, _AGAIN, _SETTLED))
+    values, place = np.unique(np.r_[once, again], return_inverse=True)
+    counts = np.zeros(len(values), np.int64)
+    np.add.at(counts, place, np.r_[np.ones(len(once), np.int64), copies])
     twice = (counts > 1)[place[:len(once)]]
     anchors, docs = np.r_[anchors, once[twice]], np.r_[docs, once_docs[twice]]
-    group = docs % groups
-    order = np.argsort(group, kind="stable")
-    anchors, docs, group = anchors[order], docs[order], group[order]
-    start = np.flatnonzero(np.r_[True, group[1:] != group[:-1]][:len(group)])
-    yield pa.record_batch([pa.array(group[start].astype(np.int32)), _lists(anchors, start), _lists(docs, start)], schema=_GROUPS)
+    yield rows(docs % groups, anchors, docs, False)
+    many = counts > hot
+    yield rows(values[many] % groups, values[many], counts[many], True)
+
+
+_WANTED = pa.schema([("doc", pa.int64()), ("anchors", _LIST), ("copies", _LIST)])
 
 
 def _by_document(batches):
-    """One row (doc, anchors) per document, from all rows of some groups."""
+    """One row (doc, anchors) per document, from all rows of some groups, and one row
+    without a document that holds the counted anchors and their copies."""
     none = np.zeros(0, np.int64)
-    parts = [[none], [none]]
+    parts = {False: [[none], [none]], True: [[none], [none]]}
     for batch in batches:
-        for to, column in zip(parts, (1, 2)):
-            to.append(batch.column(column).flatten().to_numpy())
-    anchors, docs = map(np.concatenate, parts)
+        for counted, lists in parts.items():
+            some = batch.filter(pc.equal(batch.column(3), counted))
+            for to, column in zip(lists, (1, 2)):
+                to.append(some.column(column).flatten().to_numpy())
+    anchors, docs = map(np.concatenate, parts[False])
     order = np.lexsort((anchors, docs))
     anchors, docs = anchors[order], docs[order]
     start = np.flatnonzero(np.r_[True, docs[1:] != docs[:-1]][:len(docs)])
-    yield pa.record_batch([pa.array(docs[start]), _lists(anchors, start)], schema=pa.schema([("doc", pa.int64()), ("anchors", _LIST)]))
+    yield pa.record_batch([pa.array(docs[start]), _lists(anchors, start), pa.nulls(len(start), _LIST)], schema=_WANTED)
+    anchors, copies = map(np.concatenate, parts[True])
+    if len(anchors):
+        one = np.zeros(1, np.int64)
+        yield pa.record_batch([pa.nulls(1, pa.int64()), _lists(anchors, one), _lists(copies, one)], schema=_WANTED)
 
 
 _CUT = pa.schema([("anchor", pa.int64()), ("bytes", pa.binary()), ("recurs", pa.bool_()), ("places", pa.binary())])
@@ -224,9 +253,9 @@ def _unpack(packed: bytes) -> bytes:
     return zstandard.ZstdDecompressor().decompress(packed)
 
 
-def _cut_out(batches, length: int):
-    """Runs of windows with a repeated anchor, from rows (doc, mark, packed text, its
-    repeated anchors). Equal ones of a task become one row with their places."""
+def _cut_out(batches, length: int, hot: np.ndarray):
+    """Runs of windows with a repeated anchor that is not ``hot``, from rows (doc, mark, packed
+    text, its repeated anchors). Equal ones of a task become one row with their places."""
     found: dict[tuple[int, bytes, bool], list] = {}
 
     def rows():
@@ -239,7 +268,7 @@ def _cut_out(batches, length: int):
         texts = [_unpack(r[2]) for r in chunk]
         text, start, windows, anchor, recurs = anchor_runs(texts, length)
         wanted = np.unique(np.array([a for r in chunk for a in r[3]], np.int64))
-        keep = np.isin(anchor, wanted)
+        keep = np.isin(anchor, wanted) & ~np.isin(anchor, hot)
         for t, s, w, a, r in zip(*(x[keep].tolist() for x in (text, start, windows, anchor, recurs))):
             cut = texts[t][s:s + w + length - 1]
             if (places := found.get((a, cut, r))) is None:
@@ -254,6 +283,35 @@ def _cut_out(batches, length: int):
         yield rows()
 
 
+_FIRST = [("first_doc", pa.int64()), ("first_mark", pa.int64()), ("first_start", pa.int64())]
+_KEYED = pa.schema([("id", pa.binary()), *_CUT, *_FIRST])
+
+
+def _keyed(batches):
+    """Cut-out rows with a key of the string and the first of their places."""
+    for batch in batches:
+        ids = [hashlib.blake2b(cut, digest_size=16).digest() for cut in batch.column(1).to_pylist()]
+        first = [min(np.frombuffer(p, _PLACE).tolist()) for p in batch.column(3).to_pylist()]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(ids, pa.binary()), *batch.columns, *[pa.array([f[k] for f in first], pa.int64()) for k in range(3)]], schema=_KEYED)
+
+
+def _later_copies(batches):
+    """All places of rows (places, size, first place) but the first, as covered stretches."""
+    for batch in batches:
+        for packed, size, *first in zip(*[c.to_pylist() for c in batch.columns]):
+            at = np.frombuffer(packed, _PLACE)
+            at = at[at != np.array(tuple(first), _PLACE)]
+            yield pa.record_batch([pa.array(at["doc"]), pa.array(at["mark"]), pa.array(at["start"]), pa.array(at["start"] + size)], schema=_COVERED)
+
+
+def _at_first(batches):
+    """Rows (anchor, string, recurs, first place) as cut-out rows with that one place."""
+    for batch in batches:
+        places = [np.array([p], _PLACE).tobytes() for p in zip(*[c.to_pylist() for c in batch.columns[3:]])]
+        yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(places, pa.binary())], schema=_CUT)
+
+
 class RunLengthIndex:
     """A run-compressed Burrows-Wheeler transform of strings, with contexts of ``length`` bytes.
 
@@ -413,22 +471,76 @@ def _removed(ids: list, texts: list, stretches: list) -> dict[str, list]:
     return out
 
 
-def covered_stretches(docs: DataFrame, packed: DataFrame, length: int = 100) -> DataFrame:
+_CUT_DDL = "anchor bigint, bytes binary, recurs boolean, places binary"
+_COVERED_DDL = "doc bigint, mark bigint, start bigint, end bigint"
+
+
+def _indexed(cut: DataFrame, length: int) -> DataFrame:
+    return (cut.repartition("anchor").sortWithinPartitions("anchor")
+            .mapInArrow(lambda it: _covered(it, length), _COVERED_DDL))
+
+
+def _hot_anchors(wanted: DataFrame) -> np.ndarray:
+    """The anchors, fewer than ``1 / HOT_SHARE``, that hold at least that share of the copies counted."""
+    counted = wanted.where("doc is null").select(F.explode(F.arrays_zip("anchors", "copies")).alias("c")).select("c.*")
+    total = counted.agg(F.sum("copies")).first()[0] or 0
+    return np.sort(counted.where(F.col("copies") > HOT_SHARE * total).select("anchors").toArrow().column(0).to_numpy())
+
+
+def _hot_stretches(packed: DataFrame, wanted: DataFrame, hot, length: int, most: int) -> DataFrame:
+    """Covered stretches of the runs of windows whose anchor is in ``hot`` (a broadcast array)."""
+
+    def own(batches):
+        for batch in batches:
+            rows = [(d, [a for a, h in zip(x, np.isin(x, hot.value)) if h]) for d, x in zip(*[c.to_pylist() for c in batch.columns])]
+            rows = [r for r in rows if r[1]]
+            yield pa.record_batch([pa.array([d for d, _ in rows], pa.int64()), pa.array([x for _, x in rows], _LIST)], names=["doc", "anchors"])
+
+    docs = materialize(wanted.where("doc is not null").select("doc", "anchors").mapInArrow(own, "doc bigint, anchors array<bigint>"), "passages-hot-docs")
+    cut = materialize(
+        packed.join(docs, "doc").select("doc", "mark", "packed", "anchors").mapInArrow(
+            lambda it: _keyed(_cut_out(it, length, np.zeros(0, np.int64))),
+            f"id binary, {_CUT_DDL}, first_doc bigint, first_mark bigint, first_start bigint"), "passages-hot-cut")
+    first = F.struct("first_doc", "first_mark", "first_start")
+    strings = materialize(cut.groupBy("id", "anchor", "bytes").agg(F.max("recurs").alias("recurs"), F.min(first).alias("first"))
+                          .select("id", "anchor", "bytes", "recurs", "first.*"), "passages-hot-strings")
+    copies = (cut.select("id", "places", F.octet_length("bytes").alias("size"))
+              .join(strings.select("id", "first_doc", "first_mark", "first_start"), "id")
+              .select("places", "size", "first_doc", "first_mark", "first_start").mapInArrow(_later_copies, _COVERED_DDL))
+
+    # Different strings of an anchor; one that recurs in itself counts as several.
+    alike = materialize(strings.groupBy("anchor").agg(F.sum(1 + F.col("recurs").cast("int")).alias("alike")).where("alike > 1"), "passages-hot-alike")
+    told = strings.join(alike, "anchor").select("anchor", "bytes", "recurs", "first_doc", "first_mark", "first_start", "alike")
+    few = _indexed(told.where(F.col("alike") <= most).drop("alike").mapInArrow(_at_first, _CUT_DDL), length)
+    window = F.substring(F.col("bytes"), F.col("at") + 1, F.lit(length))
+    windows = (told.where(F.col("alike") > most)
+               .withColumn("at", F.explode(F.sequence(F.lit(0), F.octet_length("bytes") - length)))
+               .select(F.unhex(F.left(F.sha2(window, 256), F.lit(32))).alias("window"),
+                       F.struct(F.col("first_doc").alias("doc"), F.col("first_mark").alias("mark"),
+                                (F.col("first_start") + F.col("at")).alias("start")).alias("place")))
+    least = materialize(windows.groupBy("window").agg(F.min("place").alias("least")), "passages-hot-windows")
+    late = windows.join(least, "window").where("place <> least").select("place.*", (F.col("place.start") + length).alias("end"))
+    return copies.unionByName(few).unionByName(late)
+
+
+def covered_stretches(docs: DataFrame, packed: DataFrame, length: int = 100, hot: int = HOT) -> DataFrame:
     """(doc, mark, start, end): covered bytes of ``docs(doc, bytes)``, which are also in
     ``packed(doc, mark, packed)``; stretches may overlap."""
     if length < GRAM:
         raise ValueError(f"length must be at least {GRAM}")
     parts = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     counted = (docs.select("doc", "bytes").mapInArrow(lambda it: _anchor_parts(it, length, parts), "part int, kind int, anchors array<bigint>, docs array<bigint>")
-               .repartition("part").mapInArrow(lambda it: _repeated(it, parts), "group int, anchors array<bigint>, docs array<bigint>"))
-    wanted = materialize(counted.repartition("group").mapInArrow(_by_document, "doc bigint, anchors array<bigint>"), "passages-wanted")
+               .repartition("part").mapInArrow(lambda it: _repeated(it, parts, hot), "group int, anchors array<bigint>, docs array<bigint>, counted boolean"))
+    wanted = materialize(counted.repartition("group").mapInArrow(_by_document, "doc bigint, anchors array<bigint>, copies array<bigint>"), "passages-wanted")
+    anchors = _hot_anchors(wanted)
+    shared = docs.sparkSession.sparkContext.broadcast(anchors)
     cut = (packed.join(wanted, "doc").select("doc", "mark", "packed", "anchors")
-           .mapInArrow(lambda it: _cut_out(it, length), "anchor bigint, bytes binary, recurs boolean, places binary"))
-    return (cut.repartition("anchor").sortWithinPartitions("anchor")
-            .mapInArrow(lambda it: _covered(it, length), "doc bigint, mark bigint, start bigint, end bigint"))
+           .mapInArrow(lambda it: _cut_out(it, length, shared.value), _CUT_DDL))
+    covered = _indexed(cut, length)
+    return covered.unionByName(_hot_stretches(packed, wanted, shared, length, hot)) if len(anchors) else covered
 
 
-def remove_repeats(docs: DataFrame, length: int = 100) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = 100, hot: int = HOT) -> DataFrame:
     """Remove every byte that a ``length``-byte string covers which also starts earlier.
 
     Works on the UTF-8 bytes of the whole texts of ``docs(doc_id, text)``; earlier
@@ -438,14 +550,15 @@ def remove_repeats(docs: DataFrame, length: int = 100) -> DataFrame:
     empty; a text shorter than ``length`` is left whole; null doc_ids come after
     all others; of rows that share a doc_id the one with the smaller text hash
     counts as earlier, and rows equal in both are one document; an empty table
-    gives no rows; other columns are not read.
+    gives no rows; other columns are not read. An anchor with more than ``hot``
+    copies is not gathered in one group; results don't depend on it.
     """
     d = docs.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1)).alias("doc"),
                     F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("bytes"))
     id_type = docs.schema["doc_id"].dataType.simpleString()
     packed = d.select("doc_id", "doc", F.xxhash64("bytes").alias("mark"), "bytes").mapInArrow(
         _packed, f"doc_id {id_type}, doc bigint, mark bigint, packed binary")
-    covered = covered_stretches(d, packed, length)
+    covered = covered_stretches(d, packed, length, hot)
     per_doc = materialize(covered.groupBy("doc", "mark").agg(F.collect_list(F.struct("start", "end")).alias("covered")), "passages-covered")
     schema = f"doc_id {id_type}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
     arrow = to_arrow_schema(StructType.fromDDL(schema))

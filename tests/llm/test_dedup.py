@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import pytest
 import xxhash
 
 from martlet.llm import embedding_dedup, passages, simhash
@@ -141,13 +142,15 @@ def plain_repeats(docs, length):
     return out
 
 
-def test_passages_against_brute_force(spark):
+@pytest.mark.parametrize("hot", [passages.HOT, 3])
+def test_passages_against_brute_force(spark, hot):
     docs = [(r["doc_id"], (r["text"] or "").encode()) for r in table(spark, SF_SMALL, "documents").orderBy("doc_id").collect()]
-    found = passages.remove_repeats(table(spark, SF_SMALL, "documents"))
+    found = passages.remove_repeats(table(spark, SF_SMALL, "documents"), hot=hot)
     assert {r[0]: tuple(r)[1:] for r in found.collect()} == plain_repeats(docs, 100)
 
 
-def test_passages_on_edge_rows_periodic_and_binary_texts(spark, edge_rows, edge_docs, no_docs):
+@pytest.mark.parametrize("hot", [passages.HOT, 1, 4])
+def test_passages_on_edge_rows_periodic_and_binary_texts(spark, edge_rows, edge_docs, no_docs, hot):
     rng = random.Random(2)
     words = ["".join(rng.choices("abé \0", k=5)) for _ in range(12)]
     more = [(100 + k, "".join(rng.choices(words, k=rng.choice([3, 40, 200])))) for k in range(40)]
@@ -155,12 +158,24 @@ def test_passages_on_edge_rows_periodic_and_binary_texts(spark, edge_rows, edge_
     df = spark.createDataFrame(more, "doc_id long, text string").unionByName(edge_docs.select("doc_id", "text"))
     docs = {(i, t or "") for i, t in more} | {(i if i is not None else 2**63 - 1, t or "") for i, t, _ in edge_rows}
     want = plain_repeats([(i, t.encode()) for i, t in sorted(docs)], 100)
-    found = passages.remove_repeats(df).collect()
+    found = passages.remove_repeats(df, hot=hot).collect()
     assert len(found) == len(more) + len(edge_rows)
     assert all(tuple(r)[1:] == want[r[0] if r[0] is not None else 2**63 - 1] for r in found)
     assert passages.remove_repeats(no_docs).count() == 0
 
 
+def test_a_common_line_in_different_surroundings_is_split_by_window(spark):
+    rng = random.Random(6)
+    line = " this line of the licence stands in very many documents, each time between other words "
+
+    def noise(n):
+        return "".join(rng.choices("abcdefgh ", k=n))
+
+    docs = [(k, noise(60) + line + (noise(60) if k % 3 else line + noise(20))) for k in range(120)] + [(k, line * 3) for k in range(120, 160)]
+    found = passages.remove_repeats(spark.createDataFrame(docs, "doc_id long, text string"), hot=20)
+    assert {r[0]: tuple(r)[1:] for r in found.collect()} == plain_repeats([(i, t.encode()) for i, t in docs], 100)
+
+
 def test_very_long_texts_go_through_in_pieces(monkeypatch):
     text = random.Random(4).randbytes(30_000)
     whole = passages.anchor_runs([b"x", text, b""], 100)
