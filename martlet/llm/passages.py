@@ -23,6 +23,7 @@ these too are very many they are split by window.
 from __future__ import annotations
 
 import hashlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -253,29 +254,29 @@ def _unpack(packed: bytes) -> bytes:
     return zstandard.ZstdDecompressor().decompress(packed)
 
 
-def _cut_out(batches, length: int, hot: np.ndarray):
+def _cut_out(batches, length: int, hot: np.ndarray, unpack=_unpack):
     """Runs of windows with a repeated anchor that is not ``hot``, from rows (doc, mark, packed
     text, its repeated anchors). Equal ones of a task become one row with their places."""
-    found: dict[tuple[int, bytes, bool], list] = {}
+    found: dict[tuple[int, bytes, bool], array] = {}
 
     def rows():
-        keys, places = list(found), [np.array(x, _PLACE).tobytes() for x in found.values()]
+        keys, places = list(found), [x.tobytes() for x in found.values()]
         return pa.record_batch([pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.binary()),
                                 pa.array([k[2] for k in keys], pa.bool_()), pa.array(places, pa.binary())], schema=_CUT)
 
     size = 0
     for chunk in _chunks(batches, 2, CHUNK // 2):
-        texts = [_unpack(r[2]) for r in chunk]
+        texts = [unpack(r[2]) for r in chunk]
         text, start, windows, anchor, recurs = anchor_runs(texts, length)
         wanted = np.unique(np.array([a for r in chunk for a in r[3]], np.int64))
         keep = np.isin(anchor, wanted) & ~np.isin(anchor, hot)
         for t, s, w, a, r in zip(*(x[keep].tolist() for x in (text, start, windows, anchor, recurs))):
             cut = texts[t][s:s + w + length - 1]
             if (places := found.get((a, cut, r))) is None:
-                places = found[a, cut, r] = []
+                places = found[a, cut, r] = array("q")
                 size += len(cut)
             size += 24
-            places.append((chunk[t][0], chunk[t][1], s))
+            places.extend((chunk[t][0], chunk[t][1], s))
         if size >= HELD:
             yield rows()
             found, size = {}, 0
@@ -299,10 +300,14 @@ def _keyed(batches):
 def _later_copies(batches):
     """All places of rows (places, size, first place) but the first, as covered stretches."""
     for batch in batches:
-        for packed, size, *first in zip(*[c.to_pylist() for c in batch.columns]):
-            at = np.frombuffer(packed, _PLACE)
-            at = at[at != np.array(tuple(first), _PLACE)]
-            yield pa.record_batch([pa.array(at["doc"]), pa.array(at["mark"]), pa.array(at["start"]), pa.array(at["start"] + size)], schema=_COVERED)
+        for k in range(0, batch.num_rows, 256):
+            packed, size, *first = (c.to_numpy(zero_copy_only=False) for c in batch.slice(k, 256).columns)
+            copies = [len(p) // _PLACE.itemsize for p in packed]
+            at = np.frombuffer(b"".join(packed), _PLACE)
+            doc, mark, start, size = (np.repeat(x, copies) for x in (*first, size))
+            late = (at["doc"] != doc) | (at["mark"] != mark) | (at["start"] != start)
+            at, size = at[late], size[late]
+            yield pa.record_batch([pa.array(x) for x in (at["doc"], at["mark"], at["start"], at["start"] + size)], schema=_COVERED)
 
 
 def _at_first(batches):
@@ -487,19 +492,22 @@ def _hot_anchors(wanted: DataFrame) -> np.ndarray:
     return np.sort(counted.where(F.col("copies") > HOT_SHARE * total).select("anchors").toArrow().column(0).to_numpy())
 
 
-def _hot_stretches(packed: DataFrame, wanted: DataFrame, hot, length: int, most: int) -> DataFrame:
+def _hot_stretches(docs: DataFrame, wanted: DataFrame, hot, length: int, most: int) -> DataFrame:
     """Covered stretches of the runs of windows whose anchor is in ``hot`` (a broadcast array)."""
 
     def own(batches):
         for batch in batches:
-            rows = [(d, [a for a, h in zip(x, np.isin(x, hot.value)) if h]) for d, x in zip(*[c.to_pylist() for c in batch.columns])]
-            rows = [r for r in rows if r[1]]
-            yield pa.record_batch([pa.array([d for d, _ in rows], pa.int64()), pa.array([x for _, x in rows], _LIST)], names=["doc", "anchors"])
-
-    docs = materialize(wanted.where("doc is not null").select("doc", "anchors").mapInArrow(own, "doc bigint, anchors array<bigint>"), "passages-hot-docs")
+            anchors = batch.column(1).flatten().to_numpy()
+            row = np.repeat(np.arange(batch.num_rows), batch.column(1).value_lengths().to_numpy())
+            keep = np.isin(anchors, hot.value)
+            row, anchors = row[keep], anchors[keep]
+            start = np.flatnonzero(np.r_[True, row[1:] != row[:-1]][:len(row)])
+            yield pa.record_batch([batch.column(0).take(pa.array(row[start])), _lists(anchors, start)], names=["doc", "anchors"])
+
+    wanted = materialize(wanted.where("doc is not null").select("doc", "anchors").mapInArrow(own, "doc bigint, anchors array<bigint>"), "passages-hot-docs")
     cut = materialize(
-        packed.join(docs, "doc").select("doc", "mark", "packed", "anchors").mapInArrow(
-            lambda it: _keyed(_cut_out(it, length, np.zeros(0, np.int64))),
+        docs.join(wanted, "doc").select("doc", F.xxhash64("bytes").alias("mark"), "bytes", "anchors").mapInArrow(
+            lambda it: _keyed(_cut_out(it, length, np.zeros(0, np.int64), bytes)),
             f"id binary, {_CUT_DDL}, first_doc bigint, first_mark bigint, first_start bigint"), "passages-hot-cut")
     first = F.struct("first_doc", "first_mark", "first_start")
     strings = materialize(cut.groupBy("id", "anchor", "bytes").agg(F.max("recurs").alias("recurs"), F.min(first).alias("first"))
@@ -537,7 +545,7 @@ def covered_stretches(docs: DataFrame, packed: DataFrame, length: int = 100, hot
     cut = (packed.join(wanted, "doc").select("doc", "mark", "packed", "anchors")
            .mapInArrow(lambda it: _cut_out(it, length, shared.value), _CUT_DDL))
     covered = _indexed(cut, length)
-    return covered.unionByName(_hot_stretches(packed, wanted, shared, length, hot)) if len(anchors) else covered
+    return covered.unionByName(_hot_stretches(docs, wanted, shared, length, hot)) if len(anchors) else covered
 
 
 def remove_repeats(docs: DataFrame, length: int = 100, hot: int = HOT) -> DataFrame:
