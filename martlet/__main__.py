@@ -38,6 +38,10 @@ def _parser() -> argparse.ArgumentParser:
     st.add_argument("--seed", type=int, default=42)
     st.add_argument("--no-range", action="store_true", help="skip the [0, 100) bounds")
     st.add_argument("--repeatable", action="store_true", help="repeatable k-means fit (layout by key)")
+    for side, what in (("source", "read it from"), ("sink", "also write it to")):
+        for t in ("wide", "mart"):
+            st.add_argument(f"--{t}-{side}", metavar="FORMAT", help=f"format to {what} instead of the catalog alone")
+            st.add_argument(f"--{t}-{side}-option", action="append", default=[], metavar="KEY=VALUE")
     wc = sub.add_parser("wordcount", help="word frequencies of a text column")
     wc.add_argument("--input", required=True)
     wc.add_argument("--format", default="parquet")
@@ -53,10 +57,14 @@ def main(argv: list[str] | None = None) -> dict:
     args = _parser().parse_args(argv)
     spark = build_session(app_name=f"martlet-{args.command}")
     if args.command == "stages":
+        names = {"wide": args.wide, "mart": args.mart}
+        given = {side: {name: (fmt, dict(o.split("=", 1) for o in getattr(args, f"{t}_{side}_option")))
+                        for t, name in names.items() if (fmt := getattr(args, f"{t}_{side}"))}
+                 for side in ("source", "sink")}
         cfg = jobs.MartConfig(wide_table=args.wide, mart_table=args.mart, base_dir=args.base,
                                    key=args.key, features=[c for c in args.features.split(",") if c],
                                    k=args.k, seed=args.seed, apply_range=not args.no_range,
-                                   repeatable=args.repeatable)
+                                   repeatable=args.repeatable, sources=given["source"], sinks=given["sink"])
         report = jobs.run_stages(spark, args.stages, cfg)
     else:
         options = dict(o.split("=", 1) for o in args.option)

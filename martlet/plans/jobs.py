@@ -147,15 +147,42 @@ class MartConfig:
     repeatable: bool = False          # fit on a key-hashed, key-sorted layout
     extra_bounds: dict[str, float] | None = None    # F4: upper bounds on columns outside the mart
     model_path: str | None = None     # where to save the fitted model (K7)
+    sources: dict[str, tuple[str, dict]] = field(default_factory=dict)  # table -> (format, options) to read it from
+    sinks: dict[str, tuple[str, dict]] = field(default_factory=dict)    # table -> (format, options) to deliver it to
 
 
 STAGES = ("preprocess", "clusterize", "write")
 
 
+def _stage_input(spark: SparkSession, cfg: MartConfig, name: str, stage: str) -> DataFrame:
+    if name in cfg.sources:
+        fmt, options = cfg.sources[name]
+        return spark.read.format(fmt).options(**options).load()
+    if not spark.catalog.tableExists(name):
+        raise ValueError(f"stage {stage!r} needs table {name!r}, which does not exist")
+    return spark.table(name)
+
+
+def _stage_output(spark: SparkSession, cfg: MartConfig, df: DataFrame, name: str) -> dict:
+    """Publish ``df`` as the table ``name`` and, where it has a sink, deliver that version.
+
+    The sink is overwritten from the published copy, never from what the stage reads,
+    so it may be the very table that the stage was read from.
+    """
+    out = tables.publish(spark, df, name, f"{cfg.base_dir}/{name}")
+    if name in cfg.sinks:
+        fmt, options = cfg.sinks[name]
+        spark.read.parquet(out["path"]).write.format(fmt).options(**options).mode("overwrite").save()
+        out["sink"] = fmt
+    return out
+
+
 def run_stages(spark: SparkSession, stage_names, cfg: MartConfig) -> dict:
     """J-G: run the named stages (case-insensitive) in chain order; the first
     failing stage stops the chain. Stages hand over state only through tables,
-    each published as a new version (never written over its own input)."""
+    each published as a new version (never written over its own input). A table
+    with an entry in ``cfg.sources`` is read from that format with its options
+    instead of the catalog, and one in ``cfg.sinks`` is also written there."""
     wanted = {s.lower() for s in stage_names}
     unknown = wanted - set(STAGES)
     if unknown:
@@ -164,27 +191,25 @@ def run_stages(spark: SparkSession, stage_names, cfg: MartConfig) -> dict:
     for stage in STAGES:
         if stage not in wanted:
             continue
-        needed = cfg.wide_table if stage == "preprocess" else cfg.mart_table
-        if not spark.catalog.tableExists(needed):
-            raise ValueError(f"stage {stage!r} needs table {needed!r}, which does not exist")
         if stage == "preprocess":
-            mart = preprocess(spark.table(cfg.wide_table), cfg.key, cfg.features,
+            mart = preprocess(_stage_input(spark, cfg, cfg.wide_table, stage), cfg.key, cfg.features,
                               apply_range=cfg.apply_range, extra_bounds=cfg.extra_bounds)
-            report[stage] = tables.publish(spark, mart, cfg.mart_table, f"{cfg.base_dir}/{cfg.mart_table}")
+            report[stage] = _stage_output(spark, cfg, mart, cfg.mart_table)
         elif stage == "clusterize":
-            mart = spark.table(cfg.mart_table)
+            mart = _stage_input(spark, cfg, cfg.mart_table, stage)
             res = clusterize(mart, cfg.features, k=cfg.k, seed=cfg.seed,
                              keep=[c for c in mart.columns if c != "prediction"],
                              order_key=cfg.key if cfg.repeatable else None)
-            out = tables.publish(spark, res.predictions, cfg.mart_table, f"{cfg.base_dir}/{cfg.mart_table}")
+            out = _stage_output(spark, cfg, res.predictions, cfg.mart_table)
             out.update(silhouette=res.silhouette, cluster_sizes=res.sizes)
             if cfg.model_path:
                 out["model"] = cluster.save_model(res.model, cfg.model_path)
             report[stage] = out
         elif stage == "write":
-            mart = spark.table(cfg.mart_table)
+            mart = _stage_input(spark, cfg, cfg.mart_table, stage)
             if "prediction" not in mart.columns:
                 raise ValueError("stage 'write' needs a clustered mart (run 'clusterize' first)")
-            enriched = write_back(spark.table(cfg.wide_table), mart.select(cfg.key, "prediction"), cfg.key)
-            report[stage] = tables.publish(spark, enriched, cfg.wide_table, f"{cfg.base_dir}/{cfg.wide_table}")
+            wide = _stage_input(spark, cfg, cfg.wide_table, stage)
+            enriched = write_back(wide, mart.select(cfg.key, "prediction"), cfg.key)
+            report[stage] = _stage_output(spark, cfg, enriched, cfg.wide_table)
     return report

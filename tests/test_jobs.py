@@ -123,3 +123,25 @@ def test_chain_applies_extra_bounds_and_saves_the_model(spark):
     assert report["preprocess"]["rows"] == 90 and report["write"]["rows"] == 120
     assert len(cluster.load_model(report["clusterize"]["model"]).clusterCenters()) == 3
     assert spark.table(f"wide_{tag}").where("prediction is not null").count() == 90
+
+
+def test_stages_read_and_write_formats_with_options(spark):
+    from martlet import __main__ as cli
+
+    base = shared_dir(spark, "formats")
+    tag = base.rsplit("-", 1)[-1].replace("-", "_")
+    spark.range(90).selectExpr("cast(id as string) as code", "cast(id % 3 * 20 + id / 200 as string) as x").write.csv(
+        f"{base}/wide", header=True, sep="|")
+    report = cli.main([
+        "stages", "preprocess", "clusterize", "write", "--wide", f"w_{tag}", "--mart", f"m_{tag}", "--base", base, "--features", "x", "--k", "3",
+        "--wide-source", "csv", "--wide-source-option", f"path={base}/wide", "--wide-source-option", "header=true",
+        "--wide-source-option", "sep=|", "--mart-source", "json", "--mart-source-option", f"path={base}/mart",
+        "--mart-sink", "json", "--mart-sink-option", f"path={base}/mart",
+        # The wide table goes back to where it came from.
+        "--wide-sink", "csv", "--wide-sink-option", f"path={base}/wide", "--wide-sink-option", "header=true", "--wide-sink-option", "sep=|"])
+    assert report["preprocess"]["sink"] == "json" and report["clusterize"]["sink"] == "json" and report["write"]["sink"] == "csv"
+    back = spark.read.csv(f"{base}/wide", header=True, sep="|")
+    assert back.count() == 90 and back.select("prediction").distinct().count() == 3
+    assert spark.read.json(f"{base}/mart").where("prediction is not null").count() == 90
+    with pytest.raises(ValueError, match="does not exist"):
+        jobs.run_stages(spark, ["clusterize"], jobs.MartConfig(f"w_{tag}", "no_such_mart", base))
