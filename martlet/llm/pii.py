@@ -30,6 +30,8 @@ HINTS = {"email": r"@", "ip": r"[0-9]\.[0-9]", "card": r"(?:[0-9][\x20-]?){12}[0
 IDENTIFIER = r"(?<!\S)(?=(?:[^\s0-9]{0,60}[0-9]){4})\S{6,64}+(?!\S)"
 IDENTIFIER_HINT = r"[0-9]\S{0,60}[0-9]\S{0,60}[0-9]"
 LOOK_BACK = 50
+#: At least ``LOOK_BACK``.
+_CHUNK = 256
 
 
 def _digits(value: Column) -> Column:
@@ -49,17 +51,31 @@ def _valid(kind: str, value: Column) -> Column:
 _SPANS = "array<struct<kind:int,start:int,end:int,value:string>>"
 
 
+#: Matches that are located one after the other; growing a longer array by ones costs its square.
+_RUN = 256
+#: Spans by start before an identifier that may hold a base span reaching it.
+_NEIGHBOURS = 16
+
+
 def _located(matches: str, pieces: str, kind: int) -> Column:
-    """Spans of the ``matches`` between the ``pieces`` of a split text (two column names)."""
+    """Spans of the ``matches`` between the ``pieces`` of a split text (two column names):
+    first where each run of matches starts, then the matches of each run."""
+    n = F.size(matches)
+    runs = F.sequence(F.lit(0), F.floor((n - 1) / _RUN).cast("int"))
+    places = lambda r: F.sequence(r * _RUN, F.least(r * _RUN + _RUN, n) - 1)
     at = lambda acc, i: acc["at"] + F.length(F.get(F.col(pieces), i))
     end = lambda acc, i: at(acc, i) + F.length(F.get(F.col(matches), i))
-    return F.aggregate(
-        F.sequence(F.lit(0), F.size(matches) - 1),
-        F.struct(F.lit(0).alias("at"), F.array().cast(_SPANS).alias("out")),
+    size = lambda r: F.aggregate(places(r), F.lit(0), lambda acc, i: acc + F.length(F.get(F.col(pieces), i)) + F.length(F.get(F.col(matches), i)))
+    starts = F.aggregate(
+        F.slice(F.transform(runs, size), F.lit(1), F.size(runs) - 1), F.array(F.lit(0)),
+        lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + x)))
+    within = lambda start, r: F.aggregate(
+        places(r), F.struct(start.alias("at"), F.array().cast(_SPANS).alias("out")),
         lambda acc, i: F.struct(end(acc, i).alias("at"), F.concat(acc["out"], F.array(F.struct(
             F.lit(kind).alias("kind"), at(acc, i).alias("start"), end(acc, i).alias("end"),
             F.get(F.col(matches), i).alias("value")))).cast(_SPANS).alias("out")),
         lambda acc: acc["out"])
+    return F.flatten(F.transform(starts, within))
 
 
 def _with_spans(df: DataFrame, name: str, form: str, hint: str, kind: int) -> DataFrame:
@@ -71,9 +87,13 @@ def _with_spans(df: DataFrame, name: str, form: str, hint: str, kind: int) -> Da
             .drop(m, p))
 
 
-def _pattern(text: Column, start: Column) -> Column:
-    """The words before ``start``: one that ends like a label, or two; null without."""
-    before = F.substring(text, F.greatest(start - LOOK_BACK, F.lit(0)) + 1, F.least(start, F.lit(LOOK_BACK)))
+def _pattern(chunks: Column, start: Column) -> Column:
+    """The words before ``start``: one that ends like a label, or two; null without.
+    ``chunks`` is the text in pieces of ``_CHUNK``: a place in a long text costs its length to find."""
+    k = F.floor(start / _CHUNK).cast("int")
+    at = F.when(k > 0, start - (k - 1) * _CHUNK).otherwise(start)
+    around = F.concat(F.when(k > 0, F.get(chunks, k - 1)).otherwise(""), F.get(chunks, k))
+    before = F.substring(around, F.greatest(at - LOOK_BACK, F.lit(0)) + 1, F.least(at, F.lit(LOOK_BACK)))
     last = F.regexp_extract(before, r"(\S{1,24})\s*$", 1)
     two = F.regexp_extract(before, r"(\S{1,24})\s+\S{1,24}\s*$", 1)
     return F.when(last.rlike("[:=#]$"), F.lower(last)).when(two != "", F.lower(F.concat_ws(" ", two, last)))
@@ -89,10 +109,18 @@ def _read(docs: DataFrame) -> DataFrame:
         df = df.withColumn(kind, F.filter(kind, lambda s: _valid(kind, s["value"])))
     df = _with_spans(df, "identifier", IDENTIFIER, IDENTIFIER_HINT, len(FORMS))
     df = df.withColumn("base", F.concat(*FORMS))
-    free = F.filter("identifier", lambda c: ~F.exists("base", lambda s: (s["start"] < c["end"]) & (c["start"] < s["end"])))
+    # Base spans around an identifier are its neighbours by start: one of up to 19 digits that
+    # reaches it has few others inside, and the first that starts inside it comes next.
+    brief = lambda name: F.transform(name, lambda s: F.struct(
+        s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"), s["value"].alias("value")))
+    df = df.withColumn("places", F.array_sort(F.concat(brief("base"), brief("identifier"))))
+    near = lambda i: F.slice("places", F.greatest(i + 1 - _NEIGHBOURS, F.lit(1)), _NEIGHBOURS + 2)
+    free = F.filter("places", lambda c, i: (c["kind"] == len(FORMS)) & ~F.exists(
+        near(i), lambda s: (s["kind"] < len(FORMS)) & (s["start"] < c["end"]) & (c["start"] < s["end"])))
     told = lambda c, known: F.struct(c["start"].alias("start"), c["end"].alias("end"), c["value"].alias("value"),
-                                     _pattern(F.col("text"), c["start"]).alias("pattern"), F.lit(known).alias("known"))
-    return df.withColumn("free", free).select(
+                                     _pattern(F.col("chunks"), c["start"]).alias("pattern"), F.lit(known).alias("known"))
+    chunks = F.when(F.size("places") > 0, F.regexp_extract_all("text", F.lit(f"(?s).{{1,{_CHUNK}}}"), F.lit(0)))
+    return df.withColumn("free", free).withColumn("chunks", chunks).select(
         "doc_id", "mark", F.transform("base", lambda s: F.struct(s["kind"], s["start"], s["end"])).alias("base"),
         F.concat(F.transform("base", lambda s: told(s, 1)), F.transform("free", lambda s: told(s, 0))).alias("seen"))
 

@@ -150,3 +150,11 @@ def test_keep_good_keeps_whole_rows(edge_docs):
     kept = quality.keep_good(edge_docs, PIECES)
     want = {r["doc_id"] for r in quality.quality(edge_docs, PIECES).where("kept").collect()}
     assert kept.columns == edge_docs.columns and {r["doc_id"] for r in kept.collect()} == want and want
+
+
+def test_a_text_with_very_many_matches(spark):
+    line = "ip 10.0.0.7 or id AB12345x, mail me@ex.org call +1 555 010 9999 12345678 "
+    text = line * 5000
+    found = pii.find_pii(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    spans = plain_pii(text)
+    assert found["base_sha256"] == digest(spans) and found["n_ip"] == found["n_email"] == 5000
