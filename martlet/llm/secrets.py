@@ -5,7 +5,8 @@ alone. A credential often comes in parts: an access identifier, a secret and an
 endpoint, each too weak to report. The parts of a text are sorted by place and
 joined by interval inside their scope (lines without a blank line between them,
 parts at most ``REACH`` characters apart); a weak part is reported only when an
-identifier and a secret co-occur, and an endpoint only beside both.
+identifier and a secret co-occur side by side (one string is never both), and an
+endpoint only beside both. Names may have a prefix, as in ``aws_access_key_id``.
 """
 
 from __future__ import annotations
@@ -31,8 +32,8 @@ _KEYWORD = re.compile(r"(?ai:passw|secret|token|api_?key)")
 REACH = 200
 #: Bits per character below which a string is taken for a word, not a secret.
 LEAST_ENTROPY = 3.0
-_IDENTIFIER = re.compile(r"""(?ai:\b(?:access_?key(?:_?id)?|key_?id|client_?id|account_?id|user(?:name)?|login))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.@-]{4,})""")
-_ENDPOINT = re.compile(r"""(?a:\b(?:https?|ftp|jdbc:[a-z]+|postgres(?:ql)?|mysql|mongodb|redis|amqp|s3)://[A-Za-z0-9._:/@-]{4,})|(?ai:\b(?:endpoint|host(?:name)?))["']?\x20*[:=]\x20*["']?[A-Za-z0-9._:/-]{4,}""")
+_IDENTIFIER = re.compile(r"""(?ai:(?<![A-Za-z0-9])(?<!secret[_-])(?:access_?key(?:_?id)?|key_?id|client_?id|account_?id|user(?:name)?|login))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.@-]{4,})""")
+_ENDPOINT = re.compile(r"""(?a:(?<![A-Za-z0-9])(?:https?|ftp|jdbc:[a-z]+|postgres(?:ql)?|mysql|mongodb|redis|amqp|s3)://[A-Za-z0-9._:/@-]{4,})|(?ai:(?<![A-Za-z0-9])(?:endpoint|host(?:name)?))["']?\x20*[:=]\x20*["']?[A-Za-z0-9._:/-]{4,}""")
 _SECRET = re.compile(r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]{0,80}[0-9])(?=[0-9+/_=-]{0,80}[A-Za-z])[A-Za-z0-9+/_=-]{16,80}(?![A-Za-z0-9+/_=-])")
 _CUE = re.compile(r"(?ai:access_?key|key_?id|client_?id|account_?id|user|login|AKIA)")
 
@@ -69,7 +70,8 @@ def linked_parts(text: str, base: list[tuple[int, int, int]], reach: int = REACH
 
     def beside(part, others):
         scope = bisect.bisect(breaks, part[0])
-        return [o for o in near(others, part, reach) if o != part and bisect.bisect(breaks, o[0]) == scope]
+        return [o for o in near(others, part, reach)
+                if (o[1] <= part[0] or part[1] <= o[0]) and bisect.bisect(breaks, o[0]) == scope]
 
     found = set()
     for ident in identifiers:

@@ -109,6 +109,21 @@ def test_weak_parts_are_reported_only_together():
     assert kinds("user=anna wrote antidisestablishmentarianism") == []
 
 
+def linked(text):
+    return [(k, text[a:b]) for a, b, k in secrets.linked_parts(text, secrets.base_spans(text))]
+
+
+def test_names_of_parts_may_have_a_prefix():
+    value = "wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY"
+    assert linked(f"aws_access_key_id = ASIAIOSFODNN7EXAMPLE\naws_secret_access_key = {value}") == [
+        ("weak_id", "access_key_id = ASIAIOSFODNN7EXAMPLE"), ("weak_secret", value)]
+    assert [k for k, _ in linked("DB_HOST=db7.internal\nDB_USER=deploy7\nDB_PASS=kJ8sQ2xV9bT4mN7w")] == [
+        "weak_endpoint", "weak_id", "weak_secret"]
+    assert [k for k, _ in linked(f"AZURE_CLIENT_ID=0a1b-2c3d\nkey: {value}")] == ["weak_id", "weak_secret"]
+    assert linked(f"aws_secret_access_key = {value}") == linked(f"my_access_key = {value}") == []  # one part alone
+    assert linked(f"superuser=deploy7 {value}") == []
+
+
 def plain_counts(text):
     text = text or ""
     words = re.findall(r"[^\x20\x09-\x0D]+", text)
