@@ -34,7 +34,9 @@ REACH = 200
 LEAST_ENTROPY = 3.0
 _IDENTIFIER = re.compile(r"""(?ai:(?<![A-Za-z0-9])(?<!secret[_-])(?:access_?key(?:_?id)?|key_?id|client_?id|account_?id|user(?:name)?|login))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.@-]{4,})""")
 _ENDPOINT = re.compile(r"""(?a:(?<![A-Za-z0-9])(?:https?|ftp|jdbc:[a-z]+|postgres(?:ql)?|mysql|mongodb|redis|amqp|s3)://[A-Za-z0-9._:/@-]{4,})|(?ai:(?<![A-Za-z0-9])(?:endpoint|host(?:name)?))["']?\x20*[:=]\x20*["']?[A-Za-z0-9._:/-]{4,}""")
-_SECRET = re.compile(r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]{0,80}[0-9])(?=[0-9+/_=-]{0,80}[A-Za-z])[A-Za-z0-9+/_=-]{16,80}(?![A-Za-z0-9+/_=-])")
+# A run of at least 16, whatever its length, without a name and '=' before it. Possessive, so that it is linear.
+_SECRET = re.compile(r"(?<![A-Za-z0-9+/_=-])(?:[A-Za-z0-9+/_-]*+=(?=[A-Za-z0-9+/_-]))?+"
+                     r"((?=[A-Za-z+/_=-]*+[0-9])(?=[0-9+/_=-]*+[A-Za-z])[A-Za-z0-9+/_=-]{16,}+)")
 _CUE = re.compile(r"(?ai:access_?key|key_?id|client_?id|account_?id|user|login|AKIA)")
 
 
@@ -62,7 +64,7 @@ def linked_parts(text: str, base: list[tuple[int, int, int]], reach: int = REACH
     if not identifiers:
         return []
     taken = [(s, e) for s, _, e in base]
-    secrets = [(m.start(), m.end()) for m in _SECRET.finditer(text) if entropy(m[0]) >= LEAST_ENTROPY]
+    secrets = [m.span(1) for m in _SECRET.finditer(text) if entropy(m[1]) >= LEAST_ENTROPY]
     secrets = sorted({*secrets, *((s, e) for s, kind, e in base if kind != 1)})
     secrets = [x for x in secrets if not any(s <= x[0] < e for s, e in near(access, x, 0))]
     endpoints = sorted((m.start(), m.end()) for m in _ENDPOINT.finditer(text))

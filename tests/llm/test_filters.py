@@ -1,3 +1,4 @@
+import base64
 import hashlib
 import re
 
@@ -124,6 +125,18 @@ def test_names_of_parts_may_have_a_prefix():
     assert linked(f"superuser=deploy7 {value}") == []
 
 
+def test_weak_secrets_of_any_length_without_their_name():
+    key = hashlib.sha512(b"x").digest()
+    for value in [base64.b64encode(key).decode(), base64.b64encode(key * 50).decode(), "kJ8sQ2xV9bT4mN7w"]:
+        for name in ["", "AccountKey=", "AccountKey =", "--key="]:
+            assert linked(f"account_id: store77\n{name}{value}") == [("weak_id", "account_id: store77"), ("weak_secret", value)]
+    assert len(base64.b64encode(key)) == 88
+    # The name counts neither for the length nor for the letters and the entropy.
+    assert linked("user: deploy7 a_very_long_name1=short") == linked("user: deploy7 name=1234567890123456") == []
+    assert linked("user: deploy7 n1=" + "xyxy1" * 40) == []
+    assert linked("user: deploy7 " + "x" * 1_000_000 + "=" * 1_000_000 + " " + "1=" * 1_000_000) == []  # linear
+
+
 def plain_counts(text):
     text = text or ""
     words = re.findall(r"[^\x20\x09-\x0D]+", text)
