@@ -63,11 +63,12 @@ def linked_parts(text: str, base: list[tuple[int, int, int]], reach: int = REACH
     identifiers = sorted({*access, *((m.start(), m.end()) for m in _IDENTIFIER.finditer(text))})
     if not identifiers:
         return []
-    taken = [(s, e) for s, _, e in base]
+    taken = {(s, e) for s, _, e in base}
     secrets = [m.span(1) for m in _SECRET.finditer(text) if entropy(m[1]) >= LEAST_ENTROPY]
     secrets = sorted({*secrets, *((s, e) for s, kind, e in base if kind != 1)})
-    secrets = [x for x in secrets if not any(s <= x[0] < e for s, e in near(access, x, 0))]
-    endpoints = sorted((m.start(), m.end()) for m in _ENDPOINT.finditer(text))
+    access = by_length(access)
+    secrets = by_length(x for x in secrets if not any(s <= x[0] < e for s, e in near(access, x, 0)))
+    endpoints = by_length(sorted((m.start(), m.end()) for m in _ENDPOINT.finditer(text)))
     breaks = [m.start() for m in re.finditer(r"\n[\x20\t]*\n", text)]
 
     def beside(part, others):
@@ -81,16 +82,27 @@ def linked_parts(text: str, base: list[tuple[int, int, int]], reach: int = REACH
             found.add((*ident, "weak_id"))
             found.update((*p, "weak_secret") for p in partners)
             for end in beside(ident, endpoints):
-                if any(abs(end[0] - p[0]) <= 2 * reach for p in partners):
+                if any(max(end[0] - p[1], p[0] - end[1]) <= 2 * reach for p in partners):
                     found.add((*end, "weak_endpoint"))
-    return sorted(x for x in found if x[:2] not in set(taken))
+    return sorted(x for x in found if x[:2] not in taken)
 
 
-def near(parts: list[tuple[int, int]], part: tuple[int, int], reach: int) -> list[tuple[int, int]]:
-    """The ``parts`` (sorted by start, each shorter than 4,096) within ``reach`` of ``part``."""
-    lo = bisect.bisect_left(parts, (part[0] - reach - 4096,))
-    hi = bisect.bisect_right(parts, (part[1] + reach, math.inf))
-    return [p for p in parts[lo:hi] if p[1] + reach >= part[0]]
+def by_length(parts) -> dict[int, list[tuple[int, int]]]:
+    """``parts`` (sorted by start) by the bits of their length, so that each list knows its longest within a factor of two."""
+    out: dict[int, list[tuple[int, int]]] = {}
+    for p in parts:
+        out.setdefault((p[1] - p[0]).bit_length(), []).append(p)
+    return out
+
+
+def near(parts: dict[int, list[tuple[int, int]]], part: tuple[int, int], reach: int) -> list[tuple[int, int]]:
+    """The ``parts`` (by length) of any length within ``reach`` of ``part``."""
+    found = []
+    for bits, some in parts.items():
+        lo = bisect.bisect_left(some, (part[0] - reach - (1 << bits),))
+        hi = bisect.bisect_right(some, (part[1] + reach, math.inf))
+        found += [p for p in some[lo:hi] if p[1] + reach >= part[0]]
+    return found
 
 
 def find_secrets(docs: DataFrame) -> DataFrame:

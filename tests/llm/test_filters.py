@@ -1,5 +1,6 @@
 import base64
 import hashlib
+import random
 import re
 
 import pytest
@@ -137,6 +138,19 @@ def test_weak_secrets_of_any_length_without_their_name():
     assert linked("user: deploy7 " + "x" * 1_000_000 + "=" * 1_000_000 + " " + "1=" * 1_000_000) == []  # linear
 
 
+def test_parts_of_any_length_are_joined():
+    for n in (3000, 5000, 200_000):
+        assert linked(f"token={'Ab1.' * (n // 4)}\nuser=deploy7") == [("weak_id", "user=deploy7")]
+        assert linked(f"user={'ab.' * (n // 3)}\nkey: kJ8sQ2xV9bT4mN7w")[1:] == [("weak_secret", "kJ8sQ2xV9bT4mN7w")]
+        assert linked(f"token={'Ab1.' * (n // 4)}\nuser=deploy7\nhost=db7.example") == [
+            ("weak_id", "user=deploy7"), ("weak_endpoint", "host=db7.example")]
+    draw = random.Random(5)
+    parts = sorted({(a, a + draw.choice([1, 7, 60, 900, 5000, 40_000])) for a in draw.choices(range(100_000), k=400)})
+    for a in range(0, 100_000, 997):
+        assert sorted(secrets.near(secrets.by_length(parts), (a, a + 50), 200)) == [
+            p for p in parts if p[0] <= a + 250 and p[1] + 200 >= a]
+
+
 def plain_counts(text):
     text = text or ""
     words = re.findall(r"[^\x20\x09-\x0D]+", text)
