@@ -2,7 +2,7 @@
 
 A public vocabulary reads every whole text; characters per token, the share of
 byte-fallback tokens and the entropy of the tokens must lie in the band of the
-text's script. Plain counts (words, symbols, repeated lines and windows) come
+text's script and writing. Plain counts (words, symbols, repeated lines and windows) come
 beside them.
 """
 
@@ -28,20 +28,38 @@ _SYMBOLS = str.maketrans("", "", "#*$%&|<>")
 
 @dataclass(frozen=True)
 class Band:
-    """What a script's text may measure: each pair is the least and the most."""
+    """What a writing's text may measure: each pair is the least and the most."""
     chars_per_token: tuple[float, float]
     byte_share: tuple[float, float]
     entropy: tuple[float, float]  # bits a token, as a share of what EVEN_TOKENS equally frequent ones have
+    bits_per_char: tuple[float, float] = (0.0, math.inf)  # both together: the entropy in bits over characters per token
 
 
-#: Bands by script, wide enough for prose with names and numbers in any language of
-#: the script; the vocabulary spells scripts it doesn't hold in bytes.
+#: Bands by script, which hold for the shortest texts: their figures vary most.
 BANDS = {
     "latin": Band((1.2, 8.0), (0.0, 0.10), (0.70, 1.6)),
     "cyrillic": Band((1.0, 8.0), (0.0, 0.20), (0.65, 1.6)),
     "han": Band((0.3, 3.0), (0.0, 0.95), (0.55, 1.6)),
     "other": Band((0.2, 8.0), (0.0, 1.0), (0.50, 1.6)),
 }
+#: Bands by writing for texts of EVEN_TOKENS tokens and more; edges of shorter ones lie between these and those of the
+#: script. Latin is fitted on the documents at hand, the others on prose of their languages (tests/llm/test_filters.py).
+#: Writings that the vocabulary spells in letters or bytes differ from noise in their byte share; "other" is any that
+#: has no band, perhaps in bytes alone, and "unknown" is code points without a script, which no language is written in.
+WRITINGS = {
+    "latin": Band((1.7, 8.0), (0.0, 0.10), (0.72, 1.6), (0.0, 4.3)),
+    "latin_marked": Band((1.0, 8.0), (0.0, 0.30), (0.60, 1.6)),
+    "cyrillic": Band((1.4, 8.0), (0.0, 0.20), (0.65, 1.6)),
+    "han": Band((0.45, 3.0), (0.0, 0.85), (0.55, 1.6)),
+    "kana": Band((0.70, 3.0), (0.0, 0.40), (0.50, 1.6)),
+    "hangul": Band((0.50, 3.0), (0.0, 0.75), (0.50, 1.6)),
+    "arabic": Band((0.75, 3.0), (0.0, 0.35), (0.45, 1.6)),
+    "devanagari": Band((0.70, 3.0), (0.0, 0.40), (0.45, 1.6)),
+    "greek": Band((0.75, 3.0), (0.0, 0.40), (0.45, 1.6)),
+    "hebrew": Band((0.75, 3.0), (0.0, 0.35), (0.45, 1.6)),
+    "other": Band((0.2, 8.0), (0.0, 1.0), (0.45, 1.6)),
+    "unknown": Band((math.inf, math.inf), (0.0, 0.0), (0.0, 0.0)),
+}
 #: Entropy is measured against texts with this many equally frequent tokens, or as many as they hold.
 EVEN_TOKENS = 256
 _NOT_LATIN = regex.compile(r"[^\x00-\u024F\u1E00-\u1EFF\u2000-\u206F]")
@@ -58,6 +76,33 @@ def script_of(text: str) -> str:
     return best if 2 * n[best] >= letters else "other"
 
 
+_FINER = {name: regex.compile(rf"[{scripts}]+") for name, scripts in (
+    ("kana", r"\p{Hiragana}\p{Katakana}\u30FC"), ("hangul", r"\p{Hangul}"), ("arabic", r"\p{Arabic}"),
+    ("devanagari", r"\p{Devanagari}"), ("greek", r"\p{Greek}"), ("hebrew", r"\p{Hebrew}"))}
+_UNKNOWN = regex.compile(r"[\p{Co}\p{Cn}]+")
+_MARKED = re.compile("[\u0300-\u036F\u1E00-\u1EFF]")
+
+
+def writing_of(text: str, script: str) -> str:
+    """The writing, a finer script, by which a text of ``script`` is judged."""
+    if text.isascii():
+        return script
+    if script == "latin" and not _NOT_LATIN.search(text):
+        return "latin_marked" if 20 * len(_MARKED.findall(text)) >= len(text) else "latin"
+    letters = sum(map(str.isalpha, text))
+    if sum(map(len, _UNKNOWN.findall(text))) > letters:
+        return "unknown"
+    if script == "latin":
+        return "latin_marked" if 20 * len(_MARKED.findall(text)) >= len(text) else "latin"
+    if script != "other":
+        return script
+    n = {name: sum(map(len, pattern.findall(text))) for name, pattern in _FINER.items()}
+    if n["kana"]:
+        n["kana"] += sum(map(len, _SCRIPTS["Han"].findall(text)))  # Japanese
+    best = max(n, key=n.get)
+    return best if 2 * n[best] >= letters else "other"
+
+
 class Fertility:
     """Measures texts with a sentencepiece vocabulary that falls back to bytes.
 
@@ -81,14 +126,18 @@ class Fertility:
 
     def measure(self, text: str) -> tuple[float, float, float]:
         """Characters per token, byte share, relative entropy. Under two tokens there is nothing to compare."""
+        return self.measured(text)[1:]
+
+    def measured(self, text: str) -> tuple[int, float, float, float]:
+        """The number of tokens, and what ``measure`` gives."""
         ids = self.ids(text)
         n = len(ids)
         if n < 2:
-            return float(len(text)), 0.0, 1.0
+            return n, float(len(text)), 0.0, 1.0
         counts = np.bincount(ids)
         shares = counts[counts > 0] / n
         bits = float(-(shares * np.log2(shares)).sum())
-        return len(text) / n, float(counts[self.is_byte[:len(counts)]].sum() / n), bits / math.log2(min(n, EVEN_TOKENS))
+        return n, len(text) / n, float(counts[self.is_byte[:len(counts)]].sum() / n), bits / math.log2(min(n, EVEN_TOKENS))
 
 
 @functools.lru_cache(maxsize=1)
@@ -128,13 +177,22 @@ def base_counts(text: str) -> dict[str, int | bool]:
             "n_dup_lines": dup, "n_repeat_words": repeated, "base_failed": n < 10 or 100 * repeated > 20 * n}
 
 
-def verdict(text: str, gauge: Fertility, bands: dict[str, Band] = BANDS) -> tuple[bool, dict]:
-    """Whether every measure lies in the band of the text's script, and the measures."""
-    chars, byte_share, entropy = gauge.measure(text)
+def _edges(short: tuple[float, float], whole: tuple[float, float], part: float) -> tuple[float, float]:
+    """The edges of a text that has ``part`` of the tokens for which ``whole`` holds."""
+    return whole if part >= 1 else tuple(a if a == b else a + (b - a) * part for a, b in zip(short, whole))
+
+
+def verdict(text: str, gauge: Fertility, bands: dict[str, Band] = BANDS, writings: dict[str, Band] = WRITINGS) -> tuple[bool, dict]:
+    """Whether every measure lies in the band of the text's script and writing, and the measures."""
+    n, chars, byte_share, entropy = gauge.measured(text)
     script = script_of(text)
-    band = bands[script]
-    ok = all(lo <= x <= hi for x, (lo, hi) in ((chars, band.chars_per_token), (byte_share, band.byte_share),
-                                               (entropy, band.entropy)))
+    short, whole = bands[script], writings[writing_of(text, script)]
+    part = min(1.0, n / EVEN_TOKENS)
+    bits = entropy * math.log2(EVEN_TOKENS) / chars if part >= 1 else 0.0
+    ok = all(lo <= x <= hi for x, (lo, hi) in ((chars, _edges(short.chars_per_token, whole.chars_per_token, part)),
+                                               (byte_share, _edges(short.byte_share, whole.byte_share, part)),
+                                               (entropy, _edges(short.entropy, whole.entropy, part)),
+                                               (bits, whole.bits_per_char)))
     return ok, {"script": script, "chars_per_token": chars, "byte_share": byte_share, "token_entropy": entropy}
 
 
@@ -142,17 +200,17 @@ SCHEMA = ("n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigi
           "base_failed boolean, kept boolean, script string, chars_per_token double, byte_share double, token_entropy double")
 
 
-def _judge(texts: list, model: bytes, bands: dict[str, Band]) -> dict[str, list]:
+def _judge(texts: list, model: bytes, bands: dict[str, Band], writings: dict[str, Band]) -> dict[str, list]:
     gauge, out = fertility(model), {c.split()[0]: [] for c in SCHEMA.split(", ")}
     for text in texts:
         found = base_counts(text or "")
-        ok, measures = verdict(text or "", gauge, bands)
+        ok, measures = verdict(text or "", gauge, bands, writings)
         for k, v in (found | measures | {"kept": ok and not found["base_failed"]}).items():
             out[k].append(v)
     return out
 
 
-def quality(docs: DataFrame, vocabulary: str, bands: dict[str, Band] = BANDS) -> DataFrame:
+def quality(docs: DataFrame, vocabulary: str, bands: dict[str, Band] = BANDS, writings: dict[str, Band] = WRITINGS) -> DataFrame:
     """Counts and verdict for every whole text of ``docs(doc_id, text)``.
 
     A null text has no words and fails; so does an empty one. Repeated rows give
@@ -161,11 +219,11 @@ def quality(docs: DataFrame, vocabulary: str, bands: dict[str, Band] = BANDS) ->
     """
     with open(vocabulary, "rb") as f:
         shared = docs.sparkSession.sparkContext.broadcast(f.read())
-    return map_texts(docs, lambda ids, texts: {"doc_id": ids} | _judge(texts, shared.value, bands),
+    return map_texts(docs, lambda ids, texts: {"doc_id": ids} | _judge(texts, shared.value, bands, writings),
                      f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, {SCHEMA}")
 
 
-def keep_good(docs: DataFrame, vocabulary: str, bands: dict[str, Band] = BANDS) -> DataFrame:
+def keep_good(docs: DataFrame, vocabulary: str, bands: dict[str, Band] = BANDS, writings: dict[str, Band] = WRITINGS) -> DataFrame:
     """The rows of ``docs`` that ``quality`` keeps, with all their columns, in one pass."""
     with open(vocabulary, "rb") as f:
         shared = docs.sparkSession.sparkContext.broadcast(f.read())
@@ -175,6 +233,6 @@ def keep_good(docs: DataFrame, vocabulary: str, bands: dict[str, Band] = BANDS)
         for batch in it:
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)
-                yield part.filter(pa.array(_judge(part.column(at).to_pylist(), shared.value, bands)["kept"], pa.bool_()))
+                yield part.filter(pa.array(_judge(part.column(at).to_pylist(), shared.value, bands, writings)["kept"], pa.bool_()))
 
     return docs.mapInArrow(batches, docs.schema)

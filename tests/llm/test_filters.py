@@ -2,6 +2,7 @@ import base64
 import hashlib
 import random
 import re
+import string
 
 import pytest
 import sentencepiece
@@ -188,6 +189,63 @@ def test_script(text, script):
     assert quality.script_of(text) == script
 
 
+PROSE = {
+    "latin": [
+        "All human beings are born free and equal in dignity and rights. They are endowed with reason and conscience and should act towards one another in a spirit of brotherhood. Everyone has the right to life, liberty and security of person.",
+        "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem i powinni postępować wobec innych w duchu braterstwa. Każdy człowiek ma prawo do życia, wolności i bezpieczeństwa swej osoby."],
+    "latin_marked": [
+        "Tất cả mọi người sinh ra đều được tự do và bình đẳng về nhân phẩm và quyền lợi. Mọi con người đều được tạo hóa ban cho lý trí và lương tâm và cần phải đối xử với nhau trong tình bằng hữu. Ai cũng có quyền sống, tự do và an toàn thân thể.",
+        "Gbogbo ènìyàn ni a bí ní òmìnira; iyì àti ẹ̀tọ́ kọ̀ọ̀kan sì dọ́gba. Wọ́n ní ẹ̀bùn ti làákàyè àti ti ẹ̀rí-ọkàn, ó sì yẹ kí wọn ó máa hùwà sí ara wọn gẹ́gẹ́ bí ọmọ ìyá."],
+    "cyrillic": [
+        "Все люди рождаются свободными и равными в своем достоинстве и правах. Они наделены разумом и совестью и должны поступать в отношении друг друга в духе братства. Каждый человек имеет право на жизнь, на свободу и на личную неприкосновенность.",
+        "Хүн бүр төрж мэндлэхдээ эрх чөлөөтэй, адилхан нэр төртэй, ижил эрхтэй байдаг. Оюун ухаан, нандин чанар заяасан хүн гэгч өөр хоорондоо ахан дүүгийн үзэл санаагаар харьцах учиртай."],
+    "han": [
+        "人人生而自由，在尊严和权利上一律平等。他们赋有理性和良心，并应以兄弟关系的精神相对待。人人有资格享有本宣言所载的一切权利和自由，不分种族、肤色、性别、语言、宗教、政治或其他见解、国籍或社会出身、财产、出生或其他身分等任何区别。人人有权享有生命、自由和人身安全。",
+        "天地玄黃宇宙洪荒日月盈昃辰宿列張寒來暑往秋收冬藏閏餘成歲律呂調陽雲騰致雨露結為霜金生麗水玉出崑岡劍號巨闕珠稱夜光果珍李柰菜重芥薑海鹹河淡鱗潛羽翔龍師火帝鳥官人皇始制文字乃服衣裳"],
+    "kana": [
+        "すべての人間は、生まれながらにして自由であり、かつ、尊厳と権利とについて平等である。人間は、理性と良心とを授けられており、互いに同胞の精神をもって行動しなければならない。すべて人は、生命、自由及び身体の安全に対する権利を有する。",
+        "むかしむかし、あるところに、おじいさんとおばあさんがいました。おじいさんは山へしばかりに、おばあさんは川へせんたくに行きました。おばあさんが川でせんたくをしていると、大きな桃がながれてきました。"],
+    "hangul": [
+        "모든 인간은 태어날 때부터 자유로우며 그 존엄과 권리에 있어 동등하다. 인간은 천부적으로 이성과 양심을 부여받았으며 서로 형제애의 정신으로 행동하여야 한다. 모든 사람은 생명과 신체의 자유와 안전에 대한 권리를 가진다.",
+        "오늘은 날씨가 맑아서 친구와 함께 공원에 갔다. 우리는 나무 아래에 앉아 도시락을 먹고 오랫동안 이야기를 나누었다. 저녁이 되자 바람이 차가워져서 집으로 돌아왔다."],
+    "arabic": [
+        "يولد جميع الناس أحرارا متساوين في الكرامة والحقوق. وقد وهبوا عقلا وضميرا وعليهم أن يعامل بعضهم بعضا بروح الإخاء. لكل إنسان حق التمتع بكافة الحقوق والحريات الواردة في هذا الإعلان، دون أي تمييز. لكل فرد الحق في الحياة والحرية وسلامة شخصه.",
+        "تمام انسان آزاد اور حقوق و عزت کے اعتبار سے برابر پیدا ہوئے ہیں۔ انہیں ضمیر اور عقل ودیعت ہوئی ہے۔ اس لئے انہیں ایک دوسرے کے ساتھ بھائی چارے کا سلوک کرنا چاہئے۔"],
+    "devanagari": [
+        "सभी मनुष्यों को गौरव और अधिकारों के मामले में जन्मजात स्वतन्त्रता और समानता प्राप्त है। उन्हें बुद्धि और अन्तरात्मा की देन प्राप्त है और परस्पर उन्हें भाईचारे के भाव से बर्ताव करना चाहिए। प्रत्येक व्यक्ति को जीवन, स्वाधीनता और वैयक्तिक सुरक्षा का अधिकार है।",
+        "सबै व्यक्तिहरू जन्मजात स्वतन्त्र हुन् ती सबैको समान अधिकार र महत्व छ। निजहरूमा विचार शक्ति र सद्विचार भएकोले निजहरूले आपसमा भातृत्वको भावनाबाट व्यवहार गर्नु पर्छ।"],
+    "greek": [
+        "Όλοι οι άνθρωποι γεννιούνται ελεύθεροι και ίσοι στην αξιοπρέπεια και τα δικαιώματα. Είναι προικισμένοι με λογική και συνείδηση, και οφείλουν να συμπεριφέρονται μεταξύ τους με πνεύμα αδελφοσύνης. Κάθε άτομο έχει δικαίωμα στη ζωή, την ελευθερία και την προσωπική του ασφάλεια.",
+        "Ἄνδρα μοι ἔννεπε, Μοῦσα, πολύτροπον, ὃς μάλα πολλὰ πλάγχθη, ἐπεὶ Τροίης ἱερὸν πτολίεθρον ἔπερσε· πολλῶν δ᾽ ἀνθρώπων ἴδεν ἄστεα καὶ νόον ἔγνω, πολλὰ δ᾽ ὅ γ᾽ ἐν πόντῳ πάθεν ἄλγεα ὃν κατὰ θυμόν."],
+    "hebrew": [
+        "כל בני האדם נולדו בני חורין ושווים בערכם ובזכויותיהם. כולם חוננו בתבונה ובמצפון, לפיכך חובה עליהם לנהוג איש ברעהו ברוח של אחווה. כל אדם יש לו הזכות לחיים, לחירות ולביטחון אישי.",
+        "בְּרֵאשִׁית בָּרָא אֱלֹהִים אֵת הַשָּׁמַיִם וְאֵת הָאָרֶץ וְהָאָרֶץ הָיְתָה תֹהוּ וָבֹהוּ וְחֹשֶׁךְ עַל פְּנֵי תְהוֹם וְרוּחַ אֱלֹהִים מְרַחֶפֶת עַל פְּנֵי הַמָּיִם"],
+    "other": [
+        "มนุษย์ทั้งหลายเกิดมามีอิสระและเสมอภาคกันในเกียรติศักดิ์และสิทธิ ต่างมีเหตุผลและมโนธรรม และควรปฏิบัติต่อกันด้วยเจตนารมณ์แห่งภราดรภาพ",
+        "የሰው ልጅ ሁሉ ሲወለድ ነጻና በክብርና በመብትም እኩልነት ያለው ነው። የተፈጥሮ ማስተዋልና ሕሊና ስላለው አንዱ ሌላውን በወንድማማችነት መንፈስ መመልከት ይገባዋል።"],
+}
+# Words of random letters, by the writing that judges them.
+JUNK = {"latin": [string.ascii_lowercase, string.ascii_letters, string.ascii_letters + string.digits, string.punctuation],
+        "cyrillic": [range(0x430, 0x450)], "han": [range(0x4E00, 0x9FFF)], "kana": [range(0x3042, 0x3094)], "hangul": [range(0xAC00, 0xD7A4)],
+        "arabic": [range(0x620, 0x6D4)], "devanagari": [range(0x904, 0x94D)], "greek": [range(0x370, 0x400)], "unknown": [range(0xE000, 0xF8FF)]}
+
+
+@pytest.mark.parametrize("writing", PROSE | JUNK)
+def test_bands_keep_prose_and_reject_random_letters(writing):
+    with open(PIECES, "rb") as f:
+        gauge = quality.Fertility(f.read())
+    for text in PROSE.get(writing, []):
+        assert quality.writing_of(text, quality.script_of(text)) == writing
+        band = quality.WRITINGS[writing]
+        assert quality.verdict(text, gauge)[0]
+        assert all(lo <= x <= hi for x, (lo, hi) in zip(gauge.measure(text), (band.chars_per_token, band.byte_share, band.entropy)))
+    draw = random.Random(7)
+    for letters in JUNK.get(writing, []):
+        letters = [c for c in letters if isinstance(c, str)] or [chr(c) for c in letters]
+        text = " ".join("".join(draw.choices(letters, k=draw.randint(2, 10))) for _ in range(300))
+        assert not quality.verdict(text, gauge)[0]
+
+
 def test_keep_good_keeps_whole_rows(edge_docs):
     kept = quality.keep_good(edge_docs, PIECES)
     want = {r["doc_id"] for r in quality.quality(edge_docs, PIECES).where("kept").collect()}
