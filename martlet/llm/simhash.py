@@ -70,7 +70,8 @@ def _can_meet(fps: DataFrame, radius: int) -> DataFrame:
         return F.transform(flips, lambda m: F.struct(half.bitwiseXOR(m).alias("key"), (m == 0).alias("own")))
 
     probes = (fps.select("fp", F.explode(F.concat(*map(probe, halves))).alias("p")).select("fp", "p.key", "p.own"))
-    return probes.join(there, "key").where("not own or n > 1").select("fp").distinct()
+    # The size Spark expects of the probes is that of the rows they are made of, so it might broadcast them.
+    return probes.hint("merge").join(there, "key").where("not own or n > 1").select("fp").distinct()
 
 
 def _edges(batches, radius: int):
@@ -154,7 +155,21 @@ def near_duplicates(docs: DataFrame, words: int = 3, radius: int = 3) -> DataFra
 
 def keep_one(docs: DataFrame, words: int = 3, radius: int = 3) -> DataFrame:
     """``docs`` without the near duplicates of a document with a smaller id, with all
-    columns. Rows without a doc_id stay."""
-    found = near_duplicates(docs, words, radius)
+    columns.
+
+    A document is a doc_id and a text, so a row goes or stays by both: of texts
+    that share a doc_id only the near duplicates go. Rows without a doc_id come
+    after the others, and one of equal ones stays. A row given again with its
+    doc_id and text is the same document and stays.
+    """
+    key = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id"), F.unhex(F.md5(F.col("text").cast("binary"))).alias("digest"))
+    found = near_duplicates(docs.select(key.alias("doc_id"), "text"), words, radius)
     gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == F.col("__gone"), "left_anti")
+    kept = docs.join(gone, key == F.col("__gone"), "left_anti")
+    if found.where("doc_id.no_id").isEmpty():
+        return kept
+    # One of equal rows, by partial aggregates; maps can't be hashed, so they don't take part in the choice.
+    plain = [F.col(f"`{c}`") for c, kind in docs.dtypes if "map<" not in kind]
+    one = (kept.where("doc_id is null").groupBy(F.md5(F.col("text").cast("binary")).alias("__digest"))
+           .agg(F.min_by(F.struct(*[F.col(f"`{c}`") for c in docs.columns]), F.xxhash64(*plain)).alias("__row")))
+    return kept.where("doc_id is not null").unionByName(one.select(*[F.col(f"__row.`{c}`").alias(c) for c in docs.columns]))

@@ -90,6 +90,23 @@ def test_keep_one_keeps_columns_and_the_smallest_id(edge_docs):
     assert sorted(r["doc_id"] for r in kept.select("doc_id").collect() if r["doc_id"] is not None) == [1, 3, 4, 5, 5, 6, 8, 11, 12, 13]
 
 
+def test_keep_one_goes_by_doc_id_and_text(spark):
+    text = "the quick brown fox jumps over the lazy dog while nine sleepy cats watch from the old stone wall near the river bank"
+    other = "a completely different report on harvest yields, rainfall and grain prices in the northern valleys last autumn"
+    alone = "seven violins and one piano played slow music beside the frozen lake until every lamp in town went dark"
+    data = [(1, text, "a"), (2, text, "b"), (2, other, "c"), (None, text, "d"), (None, alone, "e"), (None, alone, "e"),
+            (None, alone, "f"), (7, "", "g"), (7, None, "h"), (7, text.upper(), "i"), (8, other.upper(), "j"), (8, other.title(), "k")]
+    kept = simhash.keep_one(spark.createDataFrame(data, "doc_id long, text string, source string"))
+    assert kept.columns == ["doc_id", "text", "source"]
+    got = sorted((r["doc_id"] or 0, r["source"]) for r in kept.collect())
+    assert [x for x in got if x[0] in (1, 2, 8)] == [(1, "a"), (2, "c")]
+    assert len([x for x in got if x[0] == 0]) == 1 and got[0][1] in "ef"
+    assert len([x for x in got if x[0] == 7]) == 1 and len(got) == 4
+    # Equal and near-equal texts of one doc_id, which no smaller id resembles: one document stays.
+    same = spark.createDataFrame([(3, text, "a"), (3, text.upper(), "b")], "doc_id long, text string, source string")
+    assert simhash.keep_one(same).count() == 1
+
+
 def test_embeddings_against_brute_force(spark):
     rng = np.random.default_rng(3)
     base = rng.normal(size=(60, 24))
