@@ -179,10 +179,11 @@ def hard_negatives(vectors: DataFrame, is_anchor: Column, positives: int = 5, ne
     anchors = rows.where("is_anchor")
     whole = F.array(F.lit((1 << 63) - 1))
     best = _against_all(anchors.withColumn("limits", whole).withColumn("lowest", F.lit(-(1 << 63))), rows, n_anchors, n_rows, True, positives)
-    # Limits by whole numbers: the largest score <= high_percent, the least >= low_percent of the positive's.
+    # Limits as whole numbers: the largest score <= high_percent, the least >= low_percent of the positive's.
+    wide = F.col("score").cast("decimal(20,0)")
     chosen = best.where("score >= 0").select("rid", "place", F.col("vec_id").alias("positive_id"), F.col("score").alias("positive_score"),
-                                              F.expr(f"(score * {high_percent} - pmod(score * {high_percent}, 100L)) div 100").alias("upper"),
-                                              F.expr(f"(score * {low_percent} + pmod(-score * {low_percent}, 100L)) div 100").alias("lower"))
+                                              F.floor(wide * high_percent / 100).cast("long").alias("upper"),
+                                              F.ceil(wide * low_percent / 100).cast("long").alias("lower"))
     wanted = materialize(chosen.groupBy("rid").agg(
         F.collect_list(F.struct("place", "positive_id", "positive_score", "upper", "lower")).alias("windows"),
         F.sort_array(F.collect_set("upper"), asc=False).alias("limits"), F.min("lower").alias("lowest")), "negative-windows")
