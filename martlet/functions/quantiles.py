@@ -1,238 +1,124 @@
-"""Exact quantiles (``quantile_cont`` semantics) without gathering a column.
-
-Spark's exact ``percentile`` merges a map of every distinct value into one final
-task per group; at scale that is one task holding a whole column. Here the
-needed order statistics are selected instead:
-
-1. one aggregate pass: per column ``count/min/max`` and ``percentile_approx``
-   brackets around each wanted probability (``p +- 3/accuracy``). By the
-   approximation's rank guarantee each bracket holds the wanted rank and only
-   about ``8 n / accuracy`` ranks;
-2. one verification pass over all columns at once: per column the brackets are
-   merged into disjoint intervals and a CASE chain puts every value into exactly
-   one segment (a gap between brackets, counted; or a bracket, grouped by value,
-   so ties collapse and a hot value costs one row per partition after partial
-   aggregation). Each row lands in one group: no join, no row multiplication.
-   The driver walks the few groups to each exact rank.
-
-A bracket that would hold more than ``final_rows`` distinct values (very large
-``n``) is narrowed first by equal-width histograms of ``bins`` buckets, each
-round one pass; a bracket that turns out not to contain the rank (the guarantee
-is only trusted, never assumed) restarts from ``[min, max]``. The result is
-exact either way. What reaches the driver is bounded by parameters, never by
-the row count: the verification pass returns at most ``driver_rows`` groups
-(else everything falls back to narrowing), each narrowing round at most
-``targets x max(bins, final_rows)`` rows.
-
-NULL and NaN are ignored.
+"""Exact quantiles (``quantile_cont`` semantics) by radix selection.
+
+Spark's exact ``percentile`` merges every distinct value of a column in one final
+task. Here order statistics are selected digit by digit instead. Each value becomes
+a 64-bit whole number whose order is the order of the values: sign, exponent and
+mantissa of the double, taken apart by exact arithmetic. The numbers are staged
+once; then four passes read 16 bits each, from the top. A pass counts the digits of
+the values that share a wanted rank's digits so far, sums the counts in the order
+of the digits, and keeps the digit in which the rank falls.
+
+The passes are always the same four, whatever the number of rows, the values and
+their ties. A pass holds at most 65,536 counts per column and rank (partial counts
+before the shuffle, running sums in one window for each), and one row per column and
+rank reaches the driver, so memory grows with neither rows nor values.
+
+NULL and NaN are ignored; ``-0.0`` counts as ``0.0``.
 """
 
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+import struct
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from martlet.session import stage, unstage
 
-@dataclass
-class _Target:
-    tid: int
-    column: str
-    rank: int           # 0-based order statistic wanted
-    n: int
-    vmin: float
-    vmax: float
-    lo: float
-    hi: float
-    below: int | None   # rows strictly below `lo`, when known
-    est: int            # upper estimate of distinct values inside [lo, hi]
-    value: float | None = None
-    resolved: bool = False
+DIGIT_BITS = 16
+_SHIFTS = (48, 32, 16, 0)
+# Parts of a 64-bit IEEE double.
+_MANTISSA_BITS, _BIAS, _LEAST_EXPONENT = 52, 1023, -1022
+#: Columns whose digits are counted by one aggregate.
+COLUMNS_AT_ONCE = 50
 
 
-def _valid(c: str):
-    x = F.col(c).cast("double")
-    return F.when(~F.isnan(x), x)
+def order_key(x: Column) -> Column:
+    """The bits of a double as a long that orders like it (negative for negative values);
+    NULL for NULL and NaN.
 
-
-def _long_values(df: DataFrame, cols: list[str]) -> DataFrame:
-    vals = df.select(*[_valid(c).alias(c) for c in cols])
-    return vals.unpivot([], cols, "column_name", "v").where(F.col("v").isNotNull())
-
-
-def exact_order_statistics(spark: SparkSession, df: DataFrame, cols: list[str],
-                           probs: list[float], accuracy: int = 10000, bins: int = 1024,
-                           final_rows: int = 100_000, max_rounds: int = 24,
-                           driver_rows: int | None = None
-                           ) -> dict[tuple[str, float], float | None]:
-    """Return ``{(column, p): quantile_cont(column, p)}``.
-
-    ``driver_rows`` caps the grouped rows the verification pass may return
-    (default: 4 x final_rows per column + a small constant); beyond it every
-    target falls back to histogram narrowing.
+    The exponent comes from a logarithm, set right by comparing with the powers of two
+    next to it; dividing by that power, and scaling what is left, are exact.
     """
-    eps = 3.0 / accuracy
-    brackets = sorted({min(1.0, max(0.0, p + d)) for p in probs for d in (-eps, eps)})
-    aggs = []
-    for i, c in enumerate(cols):
-        x = _valid(c)
-        aggs += [F.count(x).alias(f"n{i}"), F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}"),
-                 F.percentile_approx(x, brackets, accuracy).alias(f"q{i}")]
-    row = df.agg(*aggs).first()
-
-    targets: dict[tuple[str, int], _Target] = {}
-    plan: dict[tuple[str, float], tuple | None] = {}
-    for i, c in enumerate(cols):
-        n = row[f"n{i}"]
-        if not n:
-            for p in probs:
-                plan[(c, p)] = None
+    a = F.abs(x)
+    rough = F.floor(F.log2(a)).cast("double")
+    two = F.lit(2.0)
+    exponent = (F.when(F.pow(two, rough) > a, rough - 1).when(F.pow(two, rough + 1) <= a, rough + 1).otherwise(rough))
+    mantissa = ((a / F.pow(two, exponent) - 1) * float(1 << _MANTISSA_BITS)).cast("long")
+    normal = (exponent.cast("long") + _BIAS) * (1 << _MANTISSA_BITS) + mantissa
+    # Values below the least normal power are whole multiples of 2**-1074; two factors, as one would overflow.
+    tiny = (a * 2.0 ** 537 * 2.0 ** 537).cast("long")
+    bits = (F.when(a == 0, F.lit(0).cast("long")).when(a < 2.0 ** _LEAST_EXPONENT, tiny)
+            .when(a == float("inf"), F.lit(2047 << _MANTISSA_BITS)).otherwise(normal))
+    return F.when(x.isNull() | F.isnan(x), F.lit(None).cast("long")).when(x < 0, -bits).otherwise(bits)
+
+
+def value_of(key: int) -> float:
+    """The double of an ``order_key``."""
+    value = struct.unpack(">d", struct.pack(">Q", abs(key)))[0]
+    return -value if key < 0 else value
+
+
+def _digits(keys: DataFrame, columns: range, shift: int, wanted: dict[tuple[int, int], list[int]] | None) -> DataFrame:
+    """(col, prefix, digit, n): how often each digit follows a wanted prefix."""
+    parts = []
+    for i in columns:
+        key = F.col(f"k{i}")
+        prefix = F.shiftright(key, shift + DIGIT_BITS) if wanted else F.lit(0).cast("long")
+        there = sorted({p for c, p in wanted if c == i}) if wanted else []
+        if wanted is not None and not there:
             continue
-        approx = dict(zip(brackets, row[f"q{i}"]))
-        vmin, vmax = row[f"lo{i}"], row[f"hi{i}"]
-        for p in probs:
-            h = (n - 1) * p
-            lo_r, hi_r = int(math.floor(h)), int(math.ceil(h))
-            for r in (lo_r, hi_r):
-                if (c, r) in targets:
-                    continue
-                p_lo, p_hi = min(1.0, max(0.0, p - eps)), min(1.0, max(0.0, p + eps))
-                lo = vmin if p_lo == 0.0 else min(approx[p_lo], vmax)
-                hi = vmax if p_hi == 1.0 else max(approx[p_hi], vmin)
-                lo, hi = min(lo, hi), max(lo, hi)
-                est = min(n, int(8 * n / accuracy) + 4)
-                targets[(c, r)] = _Target(len(targets), c, r, n, vmin, vmax, lo, hi, None, est)
-            plan[(c, p)] = (lo_r, hi_r, h - lo_r)
-
-    pending = list(targets.values())
-    if pending:
-        _segment_pass(df, pending, final_rows, driver_rows)
-        long = _long_values(df, cols)
-        for _ in range(max_rounds):
-            pending = [t for t in pending if not t.resolved]
-            if not pending:
-                break
-            _round(spark, long, pending, bins, final_rows)
-        unresolved = [t for t in targets.values() if not t.resolved]
-        if unresolved:
-            raise RuntimeError(f"quantile selection did not converge for {len(unresolved)} targets")
+        keep = key.isNotNull() & prefix.isin(there) if wanted else key.isNotNull()
+        digit = F.shiftright(key, shift) if not wanted else F.shiftright(key, shift).bitwiseAND(F.lit((1 << DIGIT_BITS) - 1))
+        parts.append(F.when(keep, F.struct(F.lit(i).alias("col"), prefix.alias("prefix"), digit.alias("digit"))))
+    return (keys.select(F.explode(F.array_compact(F.array(*parts))).alias("d")).select("d.*")
+            .groupBy("col", "prefix", "digit").agg(F.count(F.lit(1)).alias("n")))
+
 
+def exact_order_statistics(spark: SparkSession, df: DataFrame, cols: list[str],
+                           probs: list[float]) -> dict[tuple[str, float], float | None]:
+    """Return ``{(column, p): quantile_cont(column, p)}``; None where a column has no value."""
     out: dict[tuple[str, float], float | None] = {}
-    for key, spec in plan.items():
-        if spec is None:
-            out[key] = None
-            continue
-        lo_r, hi_r, frac = spec
-        v_lo = targets[(key[0], lo_r)].value
-        v_hi = targets[(key[0], hi_r)].value
-        out[key] = v_lo if lo_r == hi_r else v_lo + (v_hi - v_lo) * frac
+    keys = stage(df.select(*[order_key(F.col(f"`{c}`").cast("double")).alias(f"k{i}") for i, c in enumerate(cols)]), "quantile-keys")
+    try:
+        for at in range(0, len(cols), COLUMNS_AT_ONCE):
+            _select(keys, range(at, min(at + COLUMNS_AT_ONCE, len(cols))), cols, probs, out)
+    finally:
+        unstage(keys)
     return out
 
 
-def _segment_pass(df: DataFrame, targets: list[_Target], final_rows: int,
-                  driver_rows: int | None = None) -> None:
-    """Exact pass over all columns at once, one output group per segment.
-
-    Per column the brackets are merged into disjoint intervals; a CASE chain
-    puts every value into exactly one segment: even = gap (counted), odd =
-    interval (grouped by value when small, else counted with its min/max).
-    Each row lands in one group, so there is no join and no row multiplication.
-    """
-    by_col: dict[str, list[_Target]] = {}
-    for t in targets:
-        by_col.setdefault(t.column, []).append(t)
-    parts = []
-    for c, ts in by_col.items():
-        merged: list[list] = []            # [lo, hi, est]
-        for t in sorted(ts, key=lambda t: t.lo):
-            if merged and t.lo <= merged[-1][1]:
-                merged[-1][1] = max(merged[-1][1], t.hi)
-                merged[-1][2] += t.est
-            else:
-                merged.append([t.lo, t.hi, t.est])
-        x = _valid(c)
-        seg = None
-        for j, (lo, hi, _) in enumerate(merged):
-            seg = (F.when(x < lo, F.lit(2 * j)) if seg is None else seg.when(x < lo, F.lit(2 * j)))
-            seg = seg.when(x <= hi, F.lit(2 * j + 1))
-        seg = seg.otherwise(F.lit(2 * len(merged)))
-        small = [2 * j + 1 for j, (_, _, est) in enumerate(merged) if est <= final_rows]
-        key = F.when(seg.isin(small), x) if small else F.lit(None).cast("double")
-        parts.append(F.struct(F.lit(c).alias("column_name"), seg.alias("seg"), key.alias("k"), x.alias("v")))
-    # Hard bound on what reaches the driver, even if a bracket held far more
-    # distinct values than the approximation promised.
-    cap = driver_rows if driver_rows is not None else 4 * final_rows * len(parts) + 4 * len(targets) + 1024
-    rows = (df.select(F.explode(F.array(*parts)).alias("s")).select("s.*")
-            .where(F.col("v").isNotNull())
-            .groupBy("column_name", "seg", "k")
-            .agg(F.count(F.lit(1)).alias("cnt"), F.min("v").alias("vmin"), F.max("v").alias("vmax"))
-            .limit(cap + 1)
-            .collect())
-    if len(rows) > cap:
-        for t in targets:                 # fall back to histogram narrowing, still exact
-            t.lo, t.hi, t.below, t.est = t.vmin, t.vmax, 0, t.n
-            if t.vmin == t.vmax:
-                t.value, t.resolved = t.vmin, True
-        return
-    groups: dict[str, list] = {}
-    for r in rows:
-        groups.setdefault(r["column_name"], []).append(r)
-    for c, ts in by_col.items():
-        ordered = sorted(groups.get(c, []), key=lambda r: (r["seg"], -math.inf if r["k"] is None else r["k"]))
-        for t in ts:
-            acc = 0
-            for r in ordered:
-                if acc + r["cnt"] > t.rank:
-                    if r["k"] is not None or r["vmin"] == r["vmax"]:
-                        t.value, t.resolved = r["vmin"], True
-                    else:
-                        t.lo, t.hi, t.below, t.est = r["vmin"], r["vmax"], acc, r["cnt"]
-                    break
-                acc += r["cnt"]
-
-
-def _round(spark: SparkSession, long: DataFrame, targets: list[_Target], bins: int, final_rows: int):
-    """One pass over the values for all pending targets, then narrow or resolve."""
-    rows = []
-    for t in targets:
-        by_value = t.est <= final_rows or t.lo == t.hi
-        rows.append((t.tid, t.column, float(t.lo), float(t.hi), by_value))
-    tf = F.broadcast(spark.createDataFrame(   # (#columns x #ranks) rows: size is bounded
-        rows, "tid int, column_name string, t_lo double, t_hi double, by_value boolean"))
-    joined = long.join(tf, (long["column_name"] == tf["column_name"]) & (long["v"] <= tf["t_hi"]))
-    width = F.col("t_hi") - F.col("t_lo")
-    bucket = F.least(F.floor((F.col("v") - F.col("t_lo")) / width * bins), F.lit(bins - 1)).cast("double")
-    key = (F.when(F.col("v") < F.col("t_lo"), F.lit(None).cast("double"))
-           .when(F.col("by_value"), F.col("v"))
-           .otherwise(bucket))
-    agg = (joined.select("tid", key.alias("k"), "v")
-           .groupBy("tid", "k")
-           .agg(F.count(F.lit(1)).alias("cnt"), F.min("v").alias("vmin"), F.max("v").alias("vmax")))
-    got: dict[int, list] = {}
-    for r in agg.collect():
-        got.setdefault(r["tid"], []).append((r["k"], r["cnt"], r["vmin"], r["vmax"]))
-
-    for t, (_, _, _, _, by_value) in zip(targets, rows):
-        groups = got.get(t.tid, [])
-        below = sum(cnt for k, cnt, _, _ in groups if k is None)
-        inside = sorted(((k, cnt, a, b) for k, cnt, a, b in groups if k is not None), key=lambda g: g[0])
-        acc, hit = below, None
-        if t.rank >= below:
-            for k, cnt, a, b in inside:
-                if acc + cnt > t.rank:
-                    hit = (cnt, a, b)
-                    break
-                acc += cnt
-        if hit is None:
-            # The bracket missed the rank: restart from the whole range.
-            t.lo, t.hi, t.below, t.est = t.vmin, t.vmax, 0, t.n
-            if t.vmin == t.vmax:
-                t.value, t.resolved = t.vmin, True
-            continue
-        cnt, a, b = hit
-        if by_value or a == b:
-            t.value, t.resolved = a, True
-        else:
-            t.lo, t.hi, t.below, t.est = a, b, acc, cnt
+def _select(keys: DataFrame, columns: range, cols: list[str], probs: list[float], out: dict) -> None:
+    # Top digits: running counts give each column's size and so the wanted ranks.
+    in_order = Window.partitionBy("col", "prefix").orderBy("digit").rowsBetween(Window.unboundedPreceding, -1)
+    running = _digits(keys, columns, _SHIFTS[0], None).withColumn("before", F.coalesce(F.sum("n").over(in_order), F.lit(0)))
+    sized = running.withColumn("total", F.sum("n").over(Window.partitionBy("col")))
+    place = [(F.col("total") - 1) * F.lit(float(p)) for p in probs]
+    ranks = F.array_distinct(F.array(*[f(x).cast("long") for x in place for f in (F.floor, F.ceil)]))
+    hits = (sized.withColumn("rank", F.explode(ranks)).where("rank >= before and rank < before + n")
+            .select("col", "digit", "rank", "before", "total").collect())
+    totals = {r["col"]: r["total"] for r in hits}
+    at = {(r["col"], r["rank"]): (r["digit"], r["rank"] - r["before"]) for r in hits}     # digits so far, rank among them
+    for shift in _SHIFTS[1:]:
+        if not at:
+            break
+        wanted: dict[tuple[int, int], list[int]] = {}
+        for (c, _), (prefix, rest) in at.items():
+            wanted.setdefault((c, prefix), []).append(rest)
+        asked = F.broadcast(keys.sparkSession.createDataFrame(          # one row per column and rank
+            [(c, prefix, rest) for (c, prefix), rests in wanted.items() for rest in sorted(set(rests))], "col int, prefix long, rest long"))
+        running = _digits(keys, columns, shift, wanted).withColumn("before", F.coalesce(F.sum("n").over(in_order), F.lit(0)))
+        found = {(r["col"], r["prefix"], r["rest"]): (r["digit"], r["before"]) for r in
+                 running.join(asked, ["col", "prefix"]).where("rest >= before and rest < before + n").collect()}
+        for key, (prefix, rest) in at.items():
+            digit, before = found[key[0], prefix, rest]
+            at[key] = ((prefix << DIGIT_BITS) | digit, rest - before)
+    for i in columns:
+        for p in probs:
+            if i not in totals:
+                out[cols[i], p] = None
+                continue
+            h = (totals[i] - 1) * p
+            low, high = (value_of(at[i, f(h)][0]) for f in (math.floor, math.ceil))
+            out[cols[i], p] = low if low == high else low + (high - low) * (h - math.floor(h))

@@ -12,6 +12,7 @@ from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -99,18 +100,53 @@ def silhouette(df: DataFrame, features_col: str = "features", prediction_col: st
     return ev.evaluate(df)
 
 
+def cluster_statistics(df: DataFrame, features_col: str = "features", prediction_col: str = "prediction") -> DataFrame:
+    """Per cluster what the silhouette needs of it: n, the sum of its vectors and of their squared lengths."""
+    x = vector_to_array(F.col(features_col))
+    return df.where(F.col(prediction_col).isNotNull()).groupBy(F.col(prediction_col).alias("cluster")).agg(
+        F.count(F.lit(1)).alias("n"), vector_to_array(Summarizer.sum(F.col(features_col))).alias("vector_sum"),
+        F.sum(_dot(x, x)).alias("square_sum"))
+
+
+def _dot(a: Column, b: Column) -> Column:
+    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
+
+
+def silhouette_rows(df: DataFrame, features_col: str = "features", prediction_col: str = "prediction") -> DataFrame:
+    """M4 per row: ``df`` with ``silhouette`` (squared euclidean).
+
+    The mean squared distance of a row to a cluster follows from the cluster's
+    statistics, so rows never meet each other: k rows of statistics, one array in a
+    scalar subquery, go to every row. 0 in a cluster of one row or where there is no
+    other cluster; NULL without a cluster.
+    """
+    stats = cluster_statistics(df, features_col, prediction_col).agg(F.collect_list(F.struct("cluster", "n", "vector_sum", "square_sum"))).scalar()
+    x, own = vector_to_array(F.col(features_col)), F.col(prediction_col)
+
+    def mean(s: Column) -> Column:       # over the other rows of the cluster: a row is at no distance from itself
+        total = s.n * F.col("__xx") + s.square_sum - 2 * _dot(F.col("__x"), s.vector_sum)
+        return F.struct(s.cluster.alias("cluster"), (total / F.when(s.cluster == own, F.greatest(s.n - 1, F.lit(1))).otherwise(s.n)).alias("d"), s.n.alias("n"))
+
+    far = df.withColumn("__x", x).withColumn("__xx", _dot(F.col("__x"), F.col("__x"))).withColumn("__stats", stats).withColumn(
+        "__far", F.transform("__stats", mean))
+    same = F.filter("__far", lambda s: s.cluster == own)[0]
+    b = F.array_min(F.transform(F.filter("__far", lambda s: s.cluster != own), lambda s: s.d))
+    a = same.d
+    value = F.when(own.isNull(), F.lit(None).cast("double")).when((same.n == 1) | b.isNull() | (F.greatest(a, b) == 0), F.lit(0.0)).otherwise((b - a) / F.greatest(a, b))
+    return far.withColumn("silhouette", value).drop("__x", "__xx", "__stats", "__far")
+
+
+def silhouette_by_cluster(df: DataFrame, features_col: str = "features", prediction_col: str = "prediction") -> DataFrame:
+    """M4 per cluster: rows, and the mean silhouette of its rows."""
+    return silhouette_rows(df, features_col, prediction_col).groupBy(prediction_col).agg(
+        F.count(F.lit(1)).alias("size"), F.avg("silhouette").alias("silhouette"))
+
+
 def cluster_sizes(df: DataFrame, prediction_col: str = "prediction") -> DataFrame:
     """Rows per cluster."""
     return df.groupBy(prediction_col).agg(F.count(F.lit(1)).alias("size"))
 
 
-def model_summary(model: KMeansModel) -> dict:
-    """M5: k, cluster sizes and whether a training summary is attached."""
-    has = model.hasSummary
-    return {"k": len(model.clusterCenters()), "has_summary": has,
-            "cluster_sizes": list(model.summary.clusterSizes) if has else None}
-
-
 def relabel_by_centre_order(df: DataFrame, model: KMeansModel, dim: int = 0,
                             prediction_col: str = "prediction", output_col: str = "cluster") -> DataFrame:
     """Cluster ids renumbered by the ``dim`` coordinate of their centre, so

@@ -29,11 +29,6 @@ def drop_named(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.drop(*cols)
 
 
-def columns_with_token(df: DataFrame, token: str) -> list[str]:
-    """Names that contain ``token`` (case-sensitive substring)."""
-    return [c for c in df.columns if token in c]
-
-
 def drop_by_name_token(df: DataFrame, *tokens: str) -> DataFrame:
     """Drop every column whose name contains any of ``tokens``."""
     doomed = [c for c in df.columns if any(t in c for t in tokens)]
@@ -88,3 +83,19 @@ def schema_report(spark: SparkSession, df: DataFrame, with_counts: bool = True)
                   f"c{i}"]
     return counts.selectExpr(
         f"stack({len(fields)}, {', '.join(parts)}) as (position, column_name, data_type, nullable, n_non_null)")
+
+
+def layout_report(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """P9 of a table's files: per file its size, its rows, and the tasks that read it.
+
+    One scan without any column of the data; partial counts per file and task.
+    """
+    rows = spark.read.format(fmt).load(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("bytes"), F.spark_partition_id().alias("task"))
+    return rows.groupBy("file", "bytes", "task").agg(F.count(F.lit(1)).alias("n")).groupBy("file", "bytes").agg(
+        F.sum("n").alias("n_rows"), F.count(F.lit(1)).alias("n_tasks"), F.max("n").alias("most_rows_of_a_task"))
+
+
+def partition_report(df: DataFrame) -> DataFrame:
+    """P9 of a frame: rows per partition, empty ones left out."""
+    return df.select(F.spark_partition_id().alias("partition")).groupBy("partition").agg(F.count(F.lit(1)).alias("n_rows"))

@@ -1,4 +1,4 @@
-"""Deterministic row index over a key ordering (S3) without a global window.
+"""Deterministic row index over a key ordering (S3) and row cap (F6) without a global window.
 
 ``row_number() OVER (ORDER BY key)`` with no partition moves every row into one
 task. Here Spark's own range partitioner lays the rows out by (key, tie-break
@@ -17,10 +17,10 @@ index does not. What is written stays, so a lost executor renumbers nothing.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from martlet.session import shared_dir
+from martlet.session import stage
 
 _HASH = "__martlet_row_hash"
 _PLACE = "__martlet_place"
@@ -29,6 +29,45 @@ _PART = "__martlet_part"
 _PLACE_BITS = 33
 
 
+def ranged(df: DataFrame, order: list[Column], parts: int | None, name: str) -> DataFrame:
+    """``df`` laid out once in ``parts`` range partitions of a total order (``order``, then
+    a hash of the whole row), each sorted, with every row's partition and place in
+    ``__martlet_place``. Without ``order`` rows stay in the partitions they are in."""
+    spark = df.sparkSession
+    if order:
+        n = parts or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+        by = [*order, F.col(_HASH)]
+        df = (df.withColumn(_HASH, F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
+              .repartitionByRange(n, *by).sortWithinPartitions(*by).drop(_HASH))
+    return stage(df.withColumn(_PLACE, F.monotonically_increasing_id()), name)
+
+
+def _sizes(laid: DataFrame) -> DataFrame:
+    """Rows of each partition and of all before it; one row per partition."""
+    sizes = laid.groupBy(F.shiftrightunsigned(_PLACE, _PLACE_BITS).alias(_PART)).agg(F.count(F.lit(1)).alias("n"))
+    before = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
+    return sizes.select(_PART, "n", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+
+
+def first_rows(df: DataFrame, n: int, order: list[Column], parts: int | None = None) -> DataFrame:
+    """The first ``n`` rows of ``df`` in ``order``, for any ``n``.
+
+    Rows are laid out in ranges, the partition that holds the n-th row is found from
+    the partitions' sizes, and one comparison of places, which Parquet's statistics
+    answer for whole row groups, cuts inside that partition and leaves out the ones
+    behind it. No task holds more than its range; one row reaches the driver.
+    """
+    laid = ranged(df, order, parts, "first_rows")
+    cut = _sizes(laid).where((F.col("before") < n) & (F.col("before") + F.col("n") >= n)).first()
+    if n <= 0:
+        kept = laid.where(F.lit(False))
+    elif cut is None:
+        kept = laid
+    else:
+        kept = laid.where(F.col(_PLACE) < (cut[_PART] << _PLACE_BITS) + n - cut["before"])
+    return kept.drop(_PLACE)
+
+
 def with_row_index(df: DataFrame, order_col: str, index_col: str = "row_index",
                    buckets: int | None = None, tiebreak: list[str] | None = None,
                    start: int = 0) -> DataFrame:
@@ -38,20 +77,10 @@ def with_row_index(df: DataFrame, order_col: str, index_col: str = "row_index",
     ``spark.sql.shuffle.partitions``). An array, map or variant column must be
     hashable by ``xxhash64`` (maps are not).
     """
-    spark = df.sparkSession
-    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    order = [F.col(order_col), *[F.col(c) for c in tiebreak or []], F.col(_HASH)]
-    laid = (df.withColumn(_HASH, F.xxhash64(*[F.col(c) for c in df.columns]))
-            .repartitionByRange(n, *order).sortWithinPartitions(*order)
-            .withColumn(_PLACE, F.monotonically_increasing_id()).drop(_HASH))
-    path = shared_dir(spark, "row_index")
-    laid.write.parquet(path)
-    placed = (spark.read.schema(laid.schema).parquet(path)
-              .withColumn(_PART, F.shiftrightunsigned(_PLACE, _PLACE_BITS)))
-    sizes = placed.groupBy(_PART).agg(F.count(F.lit(1)).alias("n"))
-    before = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
+    laid = ranged(df, [F.col(order_col), *[F.col(c) for c in tiebreak or []]], buckets, "row_index")
+    placed = laid.withColumn(_PART, F.shiftrightunsigned(_PLACE, _PLACE_BITS))
     # One row per range partition: the broadcast and the window are bounded by ``buckets``.
-    offsets = sizes.select(_PART, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__martlet_offset"))
+    offsets = _sizes(laid).select(_PART, F.col("before").alias("__martlet_offset"))
     place = F.col(_PLACE).bitwiseAND(F.lit((1 << _PLACE_BITS) - 1))
     return placed.join(F.broadcast(offsets), _PART).select(
         *[F.col(f"`{c}`") for c in df.columns],

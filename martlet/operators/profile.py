@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import functools
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from martlet.functions.expressions import is_missing
@@ -57,11 +57,14 @@ def missing_profile(df: DataFrame, cols: list[str] | None = None, digits: int |
     return functools.reduce(DataFrame.unionAll, parts)
 
 
+def _missing_pct(df: DataFrame, c: str) -> Column:
+    return F.try_divide(F.count_if(is_missing(df, c)).cast("double"), F.count(F.lit(1))) * 100   # NULL when empty
+
+
 def _missing_profile(df: DataFrame, cols: list[str], digits: int | None) -> DataFrame:
-    total = F.count(F.lit(1))
     aggs = []
     for i, c in enumerate(cols):
-        pct = F.try_divide(F.count_if(is_missing(df, c)).cast("double"), total) * 100   # NULL when empty
+        pct = _missing_pct(df, c)
         if digits is not None:
             pct = F.round(pct, digits)
         aggs.append(pct.alias(f"m{i}_missing_pct"))
@@ -92,6 +95,12 @@ def describe_numeric(df: DataFrame, cols: list[str], digits: int | None = 6) ->
     return _stack_long(df.agg(*aggs), cols, ["count", "mean", "stddev", "min", "max"])
 
 
+def _description(c: str) -> dict[str, Column]:
+    x = F.col(c).try_cast("double")
+    return {"count": F.count(F.col(c)), "mean": F.avg(x), "stddev": F.stddev_samp(x),
+            "min": F.min(F.col(c)).cast("string"), "max": F.max(F.col(c)).cast("string")}
+
+
 def describe_all(df: DataFrame, cols: list[str] | None = None, digits: int | None = 6) -> DataFrame:
     """A4 over any columns, like ``df.describe()`` but in one typed pass.
 
@@ -102,21 +111,30 @@ def describe_all(df: DataFrame, cols: list[str] | None = None, digits: int | Non
     cols = list(cols or df.columns)
     aggs = []
     for i, c in enumerate(cols):
-        x = F.col(c).try_cast("double")
-        stats = {
-            "count": F.count(F.col(c)),
-            "mean": F.avg(x),
-            "stddev": F.stddev_samp(x),
-            "min": F.min(F.col(c)).cast("string"),
-            "max": F.max(F.col(c)).cast("string"),
-        }
-        for k, e in stats.items():
+        for k, e in _description(c).items():
             if digits is not None and k in ("mean", "stddev"):
                 e = F.round(e, digits)
             aggs.append(e.alias(f"m{i}_{k}"))
     return _stack_long(df.agg(*aggs), cols, ["count", "mean", "stddev", "min", "max"])
 
 
+def column_report(df: DataFrame, cols: list[str] | None = None, digits: int | None = 6, at_once: int = COLUMNS_AT_ONCE) -> DataFrame:
+    """A1, A2 and A4 fused: per column n_rows, missing_pct, count, mean, stddev, min and max.
+
+    One aggregate, and so one read of the columns, per ``at_once`` columns.
+    """
+    cols = list(cols or df.columns)
+    parts = []
+    for k in range(0, len(cols), at_once):
+        some, aggs = cols[k:k + at_once], []
+        for i, c in enumerate(some):
+            stats = {"n_rows": F.count(F.lit(1)), "missing_pct": _missing_pct(df, c), **_description(c)}
+            aggs += [(F.round(e, digits) if digits is not None and m in ("missing_pct", "mean", "stddev") else e).alias(f"m{i}_{m}")
+                     for m, e in stats.items()]
+        parts.append(_stack_long(df.agg(*aggs), some, ["n_rows", "missing_pct", "count", "mean", "stddev", "min", "max"]))
+    return functools.reduce(DataFrame.unionAll, parts)
+
+
 def boxplot_stats(spark: SparkSession, df: DataFrame, cols: list[str], whisker: float = 1.5,
                   digits: int | None = 6, method: str = "exact", accuracy: int = 10000) -> DataFrame:
     """A5: the figures behind a box plot, per column.

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martlet.functions.expressions import all_of, to_number
+from martlet.operators.index import first_rows
 
 
 def drop_incomplete(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
@@ -54,6 +55,11 @@ def range_filter(df: DataFrame, cols: list[str], upper: float | None = 100.0,
     return df.where(bound_condition(cols, upper=upper, lower=lower))
 
 
+def bound_by(bounds: dict[str, float], dtype: str = "double") -> Column:
+    """every column below its bound, as numbers; NULL and other text fail."""
+    return all_of(to_number(c, dtype) < v for c, v in bounds.items())
+
+
 def hidden_column_filter(df: DataFrame, bounds: dict[str, float], keep: list[str],
                          dtype: str = "double") -> DataFrame:
     """bound columns that are *not* in the output projection.
@@ -62,8 +68,7 @@ def hidden_column_filter(df: DataFrame, bounds: dict[str, float], keep: list[str
     (rather than relying on the analyser to resolve a pruned column); NULL drops
     the row.
     """
-    cond = all_of(to_number(c, dtype) < v for c, v in bounds.items())
-    return df.where(cond).select(*keep)
+    return df.where(bound_by(bounds, dtype)).select(*keep)
 
 
 def stop_list_filter(df: DataFrame, col: str, values) -> DataFrame:
@@ -80,12 +85,21 @@ def stop_list_filter(df: DataFrame, col: str, values) -> DataFrame:
     return df.where(~F.col(col).isin(list(values)))
 
 
-def limit_rows(df: DataFrame, n: int, order_by: list[str] | None = None) -> DataFrame:
-    """row cap. Ordered first when ``order_by`` is given, so the cap is
-    reproducible; this plans as ``TakeOrderedAndProject`` (top n per partition)."""
-    if order_by:
-        df = df.orderBy(*order_by)
-    return df.limit(n)
+def limit_rows(df: DataFrame, n: int, order_by: list[str | Column] | None = None) -> DataFrame:
+    """the first ``n`` rows in the order of ``order_by`` (names or sort columns), ties
+    by a hash of the row, so the cap is reproducible. Without an order it is any ``n``
+    rows, those of the first partitions.
+
+    ``n`` may be any part of the table: rows stay spread over range partitions, only
+    the one that holds the n-th row is cut, and no task collects the ``n`` rows.
+    """
+    order = [F.col(c) if isinstance(c, str) else c for c in order_by or []]
+    return first_rows(df, n, order)
+
+
+def clean_numbers(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Keep rows in which no number of ``cols`` is NULL or NaN."""
+    return df.where(all_of(F.col(c).isNotNull() & ~F.isnan(F.col(c)) for c in cols))
 
 
 def clean_numeric(df: DataFrame, features: list[str], keys: list[str] | None = None,
@@ -101,11 +115,11 @@ def clean_numeric(df: DataFrame, features: list[str], keys: list[str] | None = N
     """
     keys = list(keys or [])
     if extra_bounds:
-        df = df.where(all_of(to_number(c, "double") < v for c, v in extra_bounds.items()))
+        df = df.where(bound_by(extra_bounds))
     out = drop_incomplete(df.select(*keys, *features))
     out = cast_numeric(out, features, dtype)
     if drop_after_cast:
-        out = out.where(all_of(F.col(c).isNotNull() & ~F.isnan(F.col(c)) for c in features))
+        out = clean_numbers(out, features)
     if apply_range:
         out = range_filter(out, features, upper=upper, lower=lower)
     return out

@@ -19,7 +19,7 @@ from martlet.operators.index import with_row_index
 from martlet.plans import jobs
 from martlet.plans.fixtures import dirty, dirty_part, table, with_dirty, with_dirty_part
 from martlet.session import shared_dir
-from martlet.sources import files, tables
+from martlet.sources import colocated, files, tables
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, QueryFn] = {}
@@ -166,6 +166,16 @@ def q_limit_rows(spark, sf):
     return rows.limit_rows(table(spark, sf, "orders"), 5000, order_by=["o_orderkey"])
 
 
+@register("limit_rows_half", """
+select * from lineitem order by l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_shipdate
+limit 30000
+""")
+def q_limit_rows_half(spark, sf):
+    """A cap inside a table whose keys repeat, cut in one partition."""
+    order = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_shipdate"]
+    return rows.limit_rows(table(spark, sf, "lineitem"), 30000, order_by=order)
+
+
 @register("row_index", "select *, row_number() over (order by o_orderkey) - 1 as row_index from orders")
 def q_row_index(spark, sf):
     return with_row_index(table(spark, sf, "orders"), "o_orderkey")
@@ -249,7 +259,19 @@ where l_orderkey is not null and l_linenumber is not null and qty is not null an
 """))
 def q_explore_prune(spark, sf):
     useful = [*_KEYS, "qty", "disc", "tax", "price"]
-    return jobs.explore_prune(dirty(spark, sf), useful, metadata=["l_comment"], name_tokens=["price"])
+    return jobs.explore(dirty(spark, sf), useful, metadata=["l_comment"], name_tokens=["price"], strict=False).pruned
+
+
+@register("explore", with_dirty(" union all ".join(
+    f"select '{c}' as column_name, count(*) as n_rows, {_missing_sql(c, k).split('as column_name, ')[1].removesuffix(' from dirty')}, "
+    f"count({c}) as \"count\", round(avg(try_cast({c} as double)), 6) as mean, round(stddev_samp(try_cast({c} as double)), 6) as stddev, "
+    f"cast(min({c}) as varchar) as \"min\", cast(max({c}) as varchar) as \"max\", {c not in ('disc', 'price')} as kept, "
+    f"(select count(*) from dirty where qty is not null and tax is not null) as n_pruned from dirty" for c, k in _DIRTY_COLS)))
+def q_explore(spark, sf):
+    """J-D's counts, missing percentages and descriptions of all columns, and what it keeps."""
+    found = jobs.explore(dirty(spark, sf), [*_KEYS, "qty", "tax"], metadata=["l_comment"], name_tokens=["price"])
+    figures = found.figures.withColumns({c: F.round(c, 6) for c in ("missing_pct", "mean", "stddev")})
+    return figures.crossJoin(found.pruned.agg(F.count(F.lit(1)).alias("n_pruned")))
 
 
 @register("explore_raw_file", with_dirty("""
@@ -265,7 +287,7 @@ def q_explore_raw_file(spark, sf):
     path = files.write_tsv(raw, shared_dir(spark, "explore_raw"))
     df = columns.normalise_names(files.tsv_scan(spark, path))
     useful = [*_KEYS, "qty", "disc", "tax", "price"]
-    return jobs.explore_prune(df, useful, metadata=["l_comment"], name_tokens=["price"])
+    return jobs.explore(df, useful, metadata=["l_comment"], name_tokens=["price"], strict=False).pruned
 
 
 _NUM_LINE = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -357,6 +379,21 @@ def q_schema_report(spark, sf):
     return columns.schema_report(spark, table(spark, sf, "lineitem"))
 
 
+@register("layout_report", """
+select cast(6 as bigint) as n_files, count(*) as n_rows, true as bytes_known, true as spread, cast(6 as bigint) as n_partitions, count(*) as n_partition_rows
+from lineitem
+""")
+def q_layout_report(spark, sf):
+    """P9 of files and partitions: lineitem laid out in six sorted files."""
+    path = tables.write_sorted(table(spark, sf, "lineitem"), shared_dir(spark, "layout_report"), "l_orderkey", num_partitions=6)
+    files_ = columns.layout_report(spark, path).agg(
+        F.count(F.lit(1)).alias("n_files"), F.sum("n_rows").alias("n_rows"), F.bool_and(F.col("bytes") > 0).alias("bytes_known"),
+        (F.max("n_rows") < F.sum("n_rows") / 2).alias("spread"))
+    parts = columns.partition_report(spark.read.parquet(path).repartition(6, "l_orderkey")).agg(
+        F.count(F.lit(1)).alias("n_partitions"), F.sum("n_rows").alias("n_partition_rows"))
+    return files_.crossJoin(parts)
+
+
 @register("normalise_names", "select * from part")
 def q_normalise_names(spark, sf):
     part = table(spark, sf, "part")
@@ -380,6 +417,38 @@ def q_enrich_left_join(spark, sf):
     return enrich.enrich_left_join(docs, table(spark, sf, "labels"), "doc_id", ["quality", "toxic"])
 
 
+@register("enrich_left_join_laid_out", """
+with x as (select case when l_orderkey % 3 = 0 then 7 when l_orderkey % 5 = 0 then null else l_partkey end as p_partkey,
+             l_orderkey, l_linenumber, l_quantity from lineitem)
+select x.*, p.p_size, p.p_brand from x left join part p on x.p_partkey = p.p_partkey
+""")
+def q_enrich_left_join_laid_out(spark, sf):
+    """J1 on tables bucketed alike, with one key on a third of the rows and many NULL keys."""
+    key = F.when(F.col("l_orderkey") % 3 == 0, 7).when(F.col("l_orderkey") % 5 == 0, None).otherwise(F.col("l_partkey"))
+    lines = table(spark, sf, "lineitem").select(key.cast("long").alias("p_partkey"), "l_orderkey", "l_linenumber", "l_quantity")
+    base = shared_dir(spark, "laid_out")
+    tag = base.rsplit("-", 1)[-1]
+    left, right = f"martlet_lines_{tag}", f"martlet_parts_{tag}"
+    hot = colocated.lay_out_left(lines, left, f"{base}/left", "p_partkey", 16)
+    colocated.lay_out_right(table(spark, sf, "part").select("p_partkey", "p_size", "p_brand"), right, f"{base}/right", "p_partkey", 16, hot)
+    return colocated.colocated_left_join(spark, left, right, "p_partkey", ["p_size", "p_brand"])
+
+
+@register("write_back_laid_out", """
+select cast(p_partkey as varchar) as code, p_name, cast(p_size % 5 as integer) as prediction from part
+""")
+def q_write_back_laid_out(spark, sf):
+    """J-C twice over one layout of the wide table; the second prediction replaces the first."""
+    part = table(spark, sf, "part")
+    wide = enrich.add_null_column(part.select(F.col("p_partkey").cast("string").alias("code"), "p_name"), "prediction")
+    base = shared_dir(spark, "write_back")
+    laid = jobs.lay_out_wide(wide, "martlet_wide_" + base.rsplit("-", 1)[-1], base, "code", 8)
+    for modulus in (7, 5):
+        mart = part.select(F.col("p_partkey").cast("string").alias("code"), (F.col("p_size") % modulus).cast("int").alias("prediction"))
+        enriched = jobs.write_back_laid_out(laid, mart)
+    return enriched
+
+
 @register("enrich_left_join_dup", """
 select o.*, l.l_linenumber, l.l_quantity
 from orders o left join lineitem l on o.o_orderkey = l.l_orderkey
@@ -425,7 +494,8 @@ def q_kmeans_blobs(spark, sf):
     return cluster.relabel_by_centre_order(model.transform(feats), model, dim=0).select("p_partkey", "cluster")
 
 
-@register("silhouette_by_label", """
+# Every pair of vectors: the definition that the statistics per cluster replace.
+_SILHOUETTE_SQL = """
 with e as (select vec_id, label, cast(embedding as double[]) as v from embeddings),
 sz as (select label, count(*) as n from e group by label),
 d as (select a.vec_id, a.label as la, b.label as lb, sum(pow(list_distance(a.v, b.v), 2)) as s
@@ -433,14 +503,31 @@ d as (select a.vec_id, a.label as la, b.label as lb, sum(pow(list_distance(a.v,
 m as (select d.vec_id, d.la, d.lb,
         case when d.la = d.lb then d.s / (sz.n - 1) else d.s / sz.n end as mean_d
       from d join sz on sz.label = d.lb),
-p as (select vec_id, la, max(case when la = lb then mean_d end) as a,
-        min(case when la <> lb then mean_d end) as b from m group by vec_id, la)
-select round(avg(case when a is null then 0 else (b - a) / greatest(a, b) end), 6) as silhouette from p
-""")
+p as (select vec_id, la as label, max(case when la = lb then mean_d end) as a,
+        min(case when la <> lb then mean_d end) as b from m group by vec_id, la),
+s as (select vec_id, label, case when a is null then 0 else (b - a) / greatest(a, b) end as silhouette from p)
+"""
+
+
+def _embedded(spark, sf):
+    return cluster.array_features(table(spark, sf, "embeddings"), "embedding").select("vec_id", "label", "features")
+
+
+@register("silhouette_by_label", _SILHOUETTE_SQL + "select round(avg(silhouette), 6) as silhouette from s")
 def q_silhouette_by_label(spark, sf):
-    emb = cluster.array_features(table(spark, sf, "embeddings"), "embedding")
-    score = cluster.silhouette(emb, prediction_col="label")
-    return spark.range(1).select(F.round(F.lit(score), 6).alias("silhouette"))
+    return cluster.silhouette_rows(_embedded(spark, sf), prediction_col="label").agg(F.round(F.avg("silhouette"), 6).alias("silhouette"))
+
+
+@register("silhouette_rows", _SILHOUETTE_SQL + "select vec_id, label, round(silhouette, 6) as silhouette from s")
+def q_silhouette_rows(spark, sf):
+    return cluster.silhouette_rows(_embedded(spark, sf), prediction_col="label").select("vec_id", "label", F.round("silhouette", 6).alias("silhouette"))
+
+
+@register("silhouette_clusters", _SILHOUETTE_SQL + """
+select label, count(*) as size, round(avg(silhouette), 6) as silhouette from s group by label
+""")
+def q_silhouette_clusters(spark, sf):
+    return cluster.silhouette_by_cluster(_embedded(spark, sf), prediction_col="label").withColumn("silhouette", F.round("silhouette", 6))
 
 
 @register("cluster_sizes", "select label, count(*) as size from embeddings group by label")
@@ -515,20 +602,46 @@ select o_orderkey, o_custkey, o_orderstatus || chr(9) || 'a' || chr(92) || 'b' |
   o_totalprice, o_orderdate, o_orderpriority from orders where o_orderkey % {_BAD_EVERY} <> 0
 """)
 def q_tolerant_load(spark, sf):
-    """The file has hyphenated names in another order, bad prices, and tabs, backslashes
-    and line ends in a text cell; it is read once, on its way into a published table."""
+    """The text is read once, and its good rows go into a published table."""
     orders = table(spark, sf, "orders")
+    good, budget = files.tolerant_load(spark, _broken_orders(spark, orders), orders.schema, max_bad_rows=1000, deferred=True)
+    base = shared_dir(spark, "tolerant_table")
+    name = "martlet_import_" + base.rsplit("-", 1)[-1]
+    tables.publish(spark, good, name, base, checks=[budget.check])
+    return spark.table(name)
+
+
+def _broken_orders(spark, orders):
+    """A file with hyphenated names in another order, bad prices, and tabs, backslashes
+    and line ends in a text cell."""
     broken = orders.select(
         F.col("o_orderdate").alias("o-orderdate"),
         F.when(F.col("o_orderkey") % _BAD_EVERY == 0, F.lit("n/a")).otherwise(F.col("o_totalprice").cast("string")).alias("o-totalprice"),
         F.concat("o_orderstatus", F.lit("\ta\\b\n")).alias("o-orderstatus"),
         F.col("o_custkey").alias("o-custkey"), "o_orderpriority", "o_orderkey")
-    path = files.write_tsv(broken, shared_dir(spark, "tolerant_load"))
-    good, budget = files.tolerant_load(spark, path, orders.schema, max_bad_rows=1000, deferred=True)
-    base = shared_dir(spark, "tolerant_table")
-    name = "martlet_import_" + base.rsplit("-", 1)[-1]
-    tables.publish(spark, good, name, base, checks=[budget.check])
-    return spark.table(name)
+    return files.write_tsv(broken, shared_dir(spark, "tolerant_load"))
+
+
+@register("tolerant_load_rejected", f"""
+select o_orderkey, 'o_totalprice' as reason, cast(6 as integer) as n_fields, true as placed from orders where o_orderkey % {_BAD_EVERY} = 0
+""")
+def q_tolerant_load_rejected(spark, sf):
+    """The rejected lines with their reason; lines are numbered from 2, after the header."""
+    orders = table(spark, sf, "orders")
+    cells = F.split("value", "\t", -1)
+    return files.tolerant_import(spark, _broken_orders(spark, orders), orders.schema).rejected.select(
+        cells[5].cast("long").alias("o_orderkey"), "reason", F.size(cells).alias("n_fields"), (F.col("line") > 1).alias("placed"))
+
+
+@register("tolerant_load_header_row", """
+select cast(page_id as varchar) as page_id, url from pages union all select 'page_id', 'url' from pages where page_id % 50 = 0
+""")
+def q_tolerant_load_header_row(spark, sf):
+    """Data rows that read like the header line stay."""
+    pages = table(spark, sf, "pages").select(F.col("page_id").cast("string"), "url")
+    alike = table(spark, sf, "pages").where("page_id % 50 = 0").select(F.lit("page_id").alias("page_id"), F.lit("url").alias("url"))
+    path = files.write_tsv(pages.unionByName(alike), shared_dir(spark, "header_row"))
+    return files.tolerant_load(spark, path, pages.schema)[0]
 
 
 @register("source_by_format", "select * from orders")
@@ -614,11 +727,13 @@ from part
 """
 
 
-# The cells of _blobs that are numbers, as single-precision floats like the mart's.
+# The cells of _blobs that are numbers, as single-precision floats like the mart's, after each filter.
 _BLOB_SPREAD_SQL = """
-with v as (select cast(case when p_partkey % 13 = 0 then 150 else (p_partkey % 5) * 18 + p_size / 10.0 end as float) as x
+with v as (select cast(case when p_partkey % 13 = 0 then 150 else (p_partkey % 5) * 18 + p_size / 10.0 end as float) as x, p_retailprice / 1000 < 0.95 as near
            from part where p_partkey % 7 <> 0 and p_partkey % 11 <> 0),
-s as (select 'before' as stage, cast(x as double) as x from v union all select 'after', cast(x as double) from v where x < 100 and x >= 0),
+s as (select 'cast' as stage, cast(x as double) as x from v union all select 'extra', cast(x as double) from v where near
+      union all select 'upper', cast(x as double) from v where near and x < 100
+      union all select 'lower', cast(x as double) from v where near and x < 100 and x >= 0),
 q as (select stage, quantile_cont(x, 0.25) as q1, quantile_cont(x, 0.5) as median, quantile_cont(x, 0.75) as q3 from s group by stage)
 select q.stage, 'x' as column_name, round(q1, 6) as q1, round(median, 6) as median, round(q3, 6) as q3,
   round(min(x) filter (where x >= q1 - 1.5 * (q3 - q1)), 6) as whisker_low,
@@ -628,9 +743,9 @@ from q join s on q.stage = s.stage group by q.stage, q1, median, q3
 """
 
 
-def _blobs(spark, sf):
+def _blobs(spark, sf, spread=10):
     key = F.col("p_partkey")
-    x = (key % 5) * 18 + F.col("p_size") / 10
+    x = (key % 5) * 18 + F.col("p_size") / spread
     return table(spark, sf, "part").select(
         key.cast("string").alias("code"), "p_name",
         F.when(key % 7 == 0, None).when(key % 11 == 0, "n/a").when(key % 13 == 0, "150").otherwise(x.cast("string")).alias("x"),
@@ -660,11 +775,24 @@ def q_mart_end_to_end_rows(spark, sf):
 
 @register("mart_box_plots", _BLOB_SPREAD_SQL)
 def q_mart_box_plots(spark, sf):
-    """J-F's box-plot figures before and after the range filters."""
-    return jobs.box_plots(_blobs(spark, sf), ["x"]).select(
+    """J-F's box-plot figures around each of its three filters."""
+    return jobs.box_plots(_blobs(spark, sf), "code", ["x"], extra_bounds={"y": 0.95}).select(
         "stage", "column_name", "q1", "median", "q3", "whisker_low", "whisker_high", "n_outliers")
 
 
+@register("mart_job", _BLOB_ROWS.replace("p_partkey % 13 = 0 then null", "p_partkey % 13 = 0 or p_retailprice / 1000 >= 0.95 then null"))
+def q_mart_job(spark, sf):
+    """J-F as one job: the cluster of every row of the wide table that it republishes, by the model that it saved."""
+    base = shared_dir(spark, "mart_job")
+    report = jobs.full_mart(_blobs(spark, sf, 1000), "martlet_job_" + base.rsplit("-", 1)[-1], base, "code", ["x", "y"], extra_bounds={"y": 0.95}, repeatable=8)
+    saved = cluster.load_model(report.model_path)
+    scored = saved.setPredictionCol("again").transform(cluster.assemble(
+        report.enriched.where("prediction is not null").select("code", *[F.col(c).cast("float") for c in ("x", "y")]), ["x", "y"]))
+    same = report.enriched.join(scored.select("code", "again"), "code", "left").withColumn(
+        "prediction", F.when(F.col("prediction").eqNullSafe(F.col("again")), F.col("prediction")))
+    return _clusters_by_place(same)
+
+
 @register("mart_chain_rows", _BLOB_ROWS)
 def q_mart_chain_rows(spark, sf):
     """J-G: the cluster of every row of the wide table that the stage chain republishes."""

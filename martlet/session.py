@@ -11,7 +11,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Defaults that matter for correctness and scale; submit-time config wins.
 DEFAULT_CONF = {
@@ -80,3 +80,26 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     """
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base.rstrip("/"), "martlet", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def stage(df: DataFrame, name: str, **write_options) -> DataFrame:
+    """``df`` written once under the shared folder and read back, so that several
+    consumers don't compute it again. ``unstage`` deletes it."""
+    path = shared_dir(df.sparkSession, name)
+    df.write.options(**write_options).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._martlet_staged = path
+    return out
+
+
+def unstage(df: DataFrame) -> None:
+    """Delete what ``stage`` wrote for a frame that nothing reads any more."""
+    path = getattr(df, "_martlet_staged", None)
+    if path:
+        delete_path(df.sparkSession, path)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder of whatever file system ``path`` names."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -97,3 +97,28 @@ def test_fit_is_repeatable_with_an_order_key(spark):
         m = cluster.fit_kmeans(feats, k=5, seed=42, order_key="p_partkey", num_partitions=4)
         centres.append(sorted(tuple(c) for c in m.clusterCenters()))
     assert np.allclose(np.array(centres[0]), np.array(centres[1]))
+
+
+def test_silhouette_per_row_equals_the_definition(spark):
+    rng = np.random.default_rng(4)
+    x = np.r_[rng.normal(0, 1, (40, 3)), rng.normal(3, 1, (30, 3)), rng.normal(-4, 2, (20, 3)), [[9.0, 9.0, 9.0]]]
+    label = [0] * 40 + [1] * 30 + [2] * 20 + [3]
+    df = cluster.array_features(spark.createDataFrame([(i, v.tolist(), c) for i, (v, c) in enumerate(zip(x, label))], "id int, a array<double>, c int"), "a")
+    d = ((x[:, None] - x[None]) ** 2).sum(-1)
+    label = np.array(label)
+    want = []
+    for i, c in enumerate(label):
+        own = (label == c).sum()
+        b = min(d[i, label == o].mean() for o in set(label) - {c})
+        a = d[i, label == c].sum() / max(1, own - 1)
+        want.append(0.0 if own == 1 else (b - a) / max(a, b))
+    got = {r.id: r.silhouette for r in cluster.silhouette_rows(df, prediction_col="c").collect()}
+    assert [got[i] for i in range(len(x))] == pytest.approx(want, abs=1e-9)
+    assert cluster.silhouette(df, prediction_col="c") == pytest.approx(np.mean(want), abs=1e-6)
+    per = {r.c: (r["size"], r.silhouette) for r in cluster.silhouette_by_cluster(df, prediction_col="c").collect()}
+    assert per[1] == (30, pytest.approx(np.mean(np.array(want)[label == 1]), abs=1e-9)) and per[3] == (1, 0.0)
+
+
+def test_silhouette_of_one_cluster_and_of_rows_without_one(spark):
+    df = cluster.array_features(spark.createDataFrame([(1, [1.0], 0), (2, [2.0], 0), (3, [5.0], None)], "id int, a array<double>, c int"), "a")
+    assert {r.id: r.silhouette for r in cluster.silhouette_rows(df, prediction_col="c").collect()} == {1: 0.0, 2: 0.0, 3: None}

@@ -3,7 +3,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from martlet.functions.quantiles import exact_order_statistics
+from martlet.functions.quantiles import exact_order_statistics, order_key, value_of
 from martlet.operators import profile
 
 
@@ -32,20 +32,44 @@ def _quantile_cont(values, p):
     return float(np.quantile(np.asarray(values, dtype=float), p, method="linear"))
 
 
-@pytest.mark.parametrize("bins,final_rows,accuracy", [(1024, 100_000, 10000), (4, 10, 10000), (4, 10, 50),
-                                                      (2, 3, 7)])
-def test_exact_quantiles_match_numpy(spark, bins, final_rows, accuracy):
+@pytest.mark.parametrize("partitions", [1, 7])
+def test_exact_quantiles_match_numpy(spark, partitions):
     rng = np.random.default_rng(7)
     x = np.concatenate([rng.normal(50, 20, 3000), np.full(2000, 12.5)])   # hot value = 40% of rows
     y = rng.integers(0, 10, 5000).astype(float)
-    pdf = pd.DataFrame({"x": x, "y": y})
-    df = spark.createDataFrame(pdf).repartition(7)
+    z = rng.normal(0, 1, 5000) * 10.0 ** rng.integers(-300, 300, 5000)    # all exponents, both signs
+    pdf = pd.DataFrame({"x": x, "y": y, "z": z})
+    df = spark.createDataFrame(pdf).repartition(partitions)
     probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]
-    got = exact_order_statistics(spark, df, ["x", "y"], probs, bins=bins, final_rows=final_rows,
-                                 accuracy=accuracy)
-    for c in ["x", "y"]:
+    got = exact_order_statistics(spark, df, ["x", "y", "z"], probs)
+    for c in pdf:
         for p in probs:
-            assert got[(c, p)] == pytest.approx(_quantile_cont(pdf[c], p), rel=1e-12, abs=1e-12)
+            assert got[(c, p)] == pytest.approx(_quantile_cont(pdf[c], p), rel=1e-12, abs=0)
+
+
+EDGES = [0.0, -0.0, 5e-324, -5e-324, 2.2250738585072014e-308, 2.225073858507201e-308, 1.0, np.nextafter(1.0, 0), np.nextafter(1.0, 2), -1.0,
+         1.7976931348623157e308, -1.7976931348623157e308, float("inf"), float("-inf"), 0.1, 1 / 3, 1e22, 8.0, np.nextafter(8.0, 0), 2.0 ** 1023]
+
+
+def test_order_keys_are_the_bits_of_doubles(spark):
+    draw = np.random.default_rng(1).integers(0, 2 ** 64, 4000, dtype=np.uint64).view(np.float64)
+    values = [float(v) for v in EDGES + [v for v in draw if v == v]]
+    rows_ = spark.createDataFrame([(v,) for v in values], "x double").select("x", order_key(F.col("x")).alias("k")).collect()
+    assert all(value_of(r.k) == r.x for r in rows_)
+    assert [r.x for r in sorted(rows_, key=lambda r: r.k)] == sorted(values)
+    assert spark.createDataFrame([(None,), (float("nan"),)], "x double").where(order_key(F.col("x")).isNotNull()).count() == 0
+
+
+def test_exact_quantiles_of_many_distinct_values_send_a_row_per_rank(spark, monkeypatch):
+    """Once a bracket beyond a bound of rows changed the algorithm; now every pass brings the same few rows."""
+    from pyspark.sql.classic.dataframe import DataFrame
+    seen, collect = [], DataFrame.collect
+    monkeypatch.setattr(DataFrame, "collect", lambda self: seen.append(collect(self)) or seen[-1])
+    n = 300_000
+    df = spark.range(n).select((F.col("id") * 7919 % n).cast("double").alias("x"), F.lit(4.5).alias("same"))
+    got = exact_order_statistics(spark, df, ["x", "same"], [0.25, 0.5])
+    assert got == {("x", 0.25): (n - 1) * 0.25, ("x", 0.5): (n - 1) * 0.5, ("same", 0.25): 4.5, ("same", 0.5): 4.5}
+    assert len(seen) == 4 and all(len(found) <= 8 for found in seen)
 
 
 def test_exact_quantiles_ignore_null_and_empty(spark):
@@ -94,17 +118,6 @@ def test_describe_all_text_and_numbers(spark):
     assert (got["n"]["count"], got["n"]["min"], got["n"]["max"]) == (3, "1", "3")
 
 
-def test_exact_quantiles_driver_cap_fallback(spark):
-    # a tiny driver cap makes the segment pass overflow and fall back to histograms
-    rng = np.random.default_rng(11)
-    x = rng.normal(size=2000)
-    df = spark.createDataFrame([(float(v),) for v in x], "x double")
-    got = exact_order_statistics(spark, df, ["x"], [0.1, 0.5, 0.9], bins=8, final_rows=50,
-                                 accuracy=100, driver_rows=3)
-    for p in [0.1, 0.5, 0.9]:
-        assert got[("x", p)] == pytest.approx(float(np.quantile(x, p)), abs=1e-12)
-
-
 def test_profiles_of_an_empty_table(spark):
     e = spark.createDataFrame([], "k long, s string, x double")
     assert [r.missing_pct for r in profile.missing_profile(e).collect()] == [None, None, None]

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from martlet.operators import rows
@@ -61,7 +62,29 @@ def test_drop_incomplete_drops_nan_on_numbers(spark):
 
 def test_limit_rows_is_ordered(spark):
     df = spark.range(100).withColumn("k", 99 - F.col("id"))
-    assert [r.k for r in rows.limit_rows(df, 3, order_by=["k"]).collect()] == [0, 1, 2]
+    assert sorted(r.k for r in rows.limit_rows(df, 3, order_by=["k"]).collect()) == [0, 1, 2]
+    assert sorted(r.k for r in rows.limit_rows(df, 3, order_by=[F.desc("k")]).collect()) == [97, 98, 99]
+
+
+@pytest.mark.parametrize("n", [0, 1, 49, 50, 51, 500, 999, 1000, 5000])
+def test_limit_rows_cuts_anywhere(spark, n):
+    """With ties, a hot key and NULL keys; the same rows on every layout."""
+    df = spark.range(1000).select(F.when(F.col("id") % 3 == 0, None).when(F.col("id") % 3 == 1, 7).otherwise(F.col("id")).alias("k"), "id")
+    got = [sorted(r.id for r in rows.limit_rows(d, n, order_by=["k"]).collect()) for d in (df, df.repartition(5))]
+    assert got[0] == got[1] and len(got[0]) == min(n, 1000)
+    nulls = {i for i in range(1000) if i % 3 == 0}
+    assert set(got[0]) <= nulls if n <= len(nulls) else nulls <= set(got[0])
+    assert rows.limit_rows(df, n).count() == min(n, 1000)
+
+
+def test_limit_rows_has_no_single_task(spark):
+    """Half the table, a third of it on one key: no top-n in one task, and every file a share of the rows."""
+    df = spark.range(40_000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"), "id")
+    half = rows.limit_rows(df, 20_000, order_by=["k"])
+    plan = half._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrdered" not in plan and "GlobalLimit" not in plan and "Exchange" not in plan and "PushedFilters: [IsNotNull" in plan
+    per_file = [r["count"] for r in half.groupBy(F.input_file_name()).count().collect()]
+    assert sum(per_file) == 20_000 and max(per_file) < 2 * 40_000 / 8
 
 
 def test_stop_list_filter_list_and_frame_agree(spark):
