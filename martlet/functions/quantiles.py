@@ -24,6 +24,7 @@ import struct
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from martlet.functions.expressions import any_of
 from martlet.session import stage, unstage
 
 DIGIT_BITS = 16
@@ -34,53 +35,62 @@ _MANTISSA_BITS, _BIAS, _LEAST_EXPONENT = 52, 1023, -1022
 COLUMNS_AT_ONCE = 50
 
 
-def order_key(x: Column) -> Column:
-    """The bits of a double as a long that orders like it (negative for negative values);
-    NULL for NULL and NaN.
+def order_keys(df: DataFrame, cols: list[str], names: list[str] | None = None) -> DataFrame:
+    """Columns ``k0``, ``k1``, ... (or ``names``): the bits of each of ``cols`` as a double, in a
+    long that orders like it (negative for negative values); NULL for NULL and NaN.
 
     The exponent comes from a logarithm, set right by comparing with the powers of two
-    next to it; dividing by that power, and scaling what is left, are exact.
+    next to it; dividing by that power, and scaling what is left, are exact. Every step is
+    a projection of its own, so that no logarithm or power is computed twice.
     """
-    a = F.abs(x)
-    rough = F.floor(F.log2(a)).cast("double")
-    two = F.lit(2.0)
-    exponent = (F.when(F.pow(two, rough) > a, rough - 1).when(F.pow(two, rough + 1) <= a, rough + 1).otherwise(rough))
-    mantissa = ((a / F.pow(two, exponent) - 1) * float(1 << _MANTISSA_BITS)).cast("long")
-    normal = (exponent.cast("long") + _BIAS) * (1 << _MANTISSA_BITS) + mantissa
-    # Values below the least normal power are whole multiples of 2**-1074; two factors, as one would overflow.
-    tiny = (a * 2.0 ** 537 * 2.0 ** 537).cast("long")
-    bits = (F.when(a == 0, F.lit(0).cast("long")).when(a < 2.0 ** _LEAST_EXPONENT, tiny)
-            .when(a == float("inf"), F.lit(2047 << _MANTISSA_BITS)).otherwise(normal))
-    return F.when(x.isNull() | F.isnan(x), F.lit(None).cast("long")).when(x < 0, -bits).otherwise(bits)
+    places = range(len(cols))
+    x, a, e, p = (lambda i, c=c: F.col(f"__{c}{i}") for c in "xaep")
+    at = df.select(*[F.col(f"`{c}`").cast("double").alias(f"__x{i}") for i, c in enumerate(cols)])
+    at = at.select("*", *[F.abs(x(i)).alias(f"__a{i}") for i in places])
+    at = at.select("*", *[F.least(F.floor(F.log2(a(i))).cast("double"), F.lit(float(_BIAS))).alias(f"__e{i}") for i in places])
+    at = at.select("*", *[F.pow(F.lit(2.0), e(i)).alias(f"__p{i}") for i in places])
+
+    def key(i: int) -> Column:
+        below, above = p(i) > a(i), p(i) * 2 <= a(i)
+        power = F.when(below, p(i) / 2).when(above, p(i) * 2).otherwise(p(i))
+        exponent = e(i).cast("long") + F.when(below, -1).when(above, 1).otherwise(0)
+        mantissa = ((a(i) / power - 1) * float(1 << _MANTISSA_BITS)).cast("long")
+        normal = (exponent + _BIAS) * (1 << _MANTISSA_BITS) + mantissa
+        # Values below the least normal power are whole multiples of 2**-1074; two factors, as one would overflow.
+        tiny = (a(i) * 2.0 ** 537 * 2.0 ** 537).cast("long")
+        bits = (F.when(a(i) == 0, F.lit(0).cast("long")).when(a(i) < 2.0 ** _LEAST_EXPONENT, tiny)
+                .when(a(i) == float("inf"), F.lit(2047 << _MANTISSA_BITS)).otherwise(normal))
+        return F.when(x(i).isNull() | F.isnan(x(i)), F.lit(None).cast("long")).otherwise(bits)
+
+    at = at.select("*", *[key(i).alias(f"__b{i}") for i in places])
+    return at.select(*[F.when(x(i) < 0, -F.col(f"__b{i}")).otherwise(F.col(f"__b{i}")).alias(names[i] if names else f"k{i}") for i in places])
 
 
 def value_of(key: int) -> float:
-    """The double of an ``order_key``."""
+    """The double of a key of ``order_keys``."""
     value = struct.unpack(">d", struct.pack(">Q", abs(key)))[0]
     return -value if key < 0 else value
 
 
 def _digits(keys: DataFrame, columns: range, shift: int, wanted: dict[tuple[int, int], list[int]] | None) -> DataFrame:
     """(col, prefix, digit, n): how often each digit follows a wanted prefix."""
-    parts = []
-    for i in columns:
-        key = F.col(f"k{i}")
-        prefix = F.shiftright(key, shift + DIGIT_BITS) if wanted else F.lit(0).cast("long")
-        there = sorted({p for c, p in wanted if c == i}) if wanted else []
-        if wanted is not None and not there:
-            continue
-        keep = key.isNotNull() & prefix.isin(there) if wanted else key.isNotNull()
-        digit = F.shiftright(key, shift) if not wanted else F.shiftright(key, shift).bitwiseAND(F.lit((1 << DIGIT_BITS) - 1))
-        parts.append(F.when(keep, F.struct(F.lit(i).alias("col"), prefix.alias("prefix"), digit.alias("digit"))))
-    return (keys.select(F.explode(F.array_compact(F.array(*parts))).alias("d")).select("d.*")
-            .groupBy("col", "prefix", "digit").agg(F.count(F.lit(1)).alias("n")))
+    names = [f"k{i}" for i in columns]
+    long = keys.select(*names).unpivot([], names, "name", "key").where("key is not null")
+    if wanted is None:
+        prefix, digit = F.lit(0).cast("long"), F.shiftright("key", shift)
+    else:
+        prefix, digit = F.shiftright("key", shift + DIGIT_BITS), F.shiftright("key", shift).bitwiseAND(F.lit((1 << DIGIT_BITS) - 1))
+        of_column = {i: sorted({p for c, p in wanted if c == i}) for i in columns}
+        long = long.where(any_of((F.col("name") == f"k{i}") & prefix.isin(there) for i, there in of_column.items() if there))
+    return (long.groupBy("name", prefix.alias("prefix"), digit.alias("digit")).agg(F.count(F.lit(1)).alias("n"))
+            .select(F.substring("name", 2, 9).cast("int").alias("col"), "prefix", "digit", "n"))
 
 
 def exact_order_statistics(spark: SparkSession, df: DataFrame, cols: list[str],
                            probs: list[float]) -> dict[tuple[str, float], float | None]:
     """Return ``{(column, p): quantile_cont(column, p)}``; None where a column has no value."""
     out: dict[tuple[str, float], float | None] = {}
-    keys = stage(df.select(*[order_key(F.col(f"`{c}`").cast("double")).alias(f"k{i}") for i, c in enumerate(cols)]), "quantile-keys")
+    keys = stage(order_keys(df, cols), "quantile-keys")
     try:
         for at in range(0, len(cols), COLUMNS_AT_ONCE):
             _select(keys, range(at, min(at + COLUMNS_AT_ONCE, len(cols))), cols, probs, out)

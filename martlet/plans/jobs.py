@@ -102,11 +102,15 @@ class Exploration:
     """What J-D finds: the pruned rows, and the figures that led there."""
     pruned: DataFrame
     n_rows: int                       # of the table (A1)
-    n_pruned: int                     # of the pruned rows (A1)
     missing: dict[str, float | None]  # percent (A2), of the columns that their name did not drop
     figures: DataFrame                # A1, A2 and A4 of every column of the table, and whether it is kept
     dropped: list[str]                # useful columns that were absent or too sparse
 
+    @functools.cached_property
+    def n_pruned(self) -> int:
+        """Number of the pruned rows (A1)."""
+        return self.pruned.count()
+
 
 def explore(df: DataFrame, useful: list[str], metadata: list[str] | None = None,
             name_tokens: list[str] | None = None, threshold: float = 50.0, strict: bool = True) -> Exploration:
@@ -134,7 +138,7 @@ def explore(df: DataFrame, useful: list[str], metadata: list[str] | None = None,
     pruned = rows.drop_incomplete(kept.select(*keep))
     figures = report.withColumn("kept", F.col("column_name").isin(keep))
     n_rows = next((r["n_rows"] for r in by_name.values()), 0)
-    return Exploration(pruned, n_rows, pruned.count(), missing, figures, dropped)
+    return Exploration(pruned, n_rows, missing, figures, dropped)
 
 
 def mart_end_to_end(wide: DataFrame, key: str, features: list[str], k: int = cluster.DEFAULT_K,

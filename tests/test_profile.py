@@ -1,9 +1,11 @@
+from types import SimpleNamespace
+
 import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from martlet.functions.quantiles import exact_order_statistics, order_key, value_of
+from martlet.functions.quantiles import exact_order_statistics, order_keys, value_of
 from martlet.operators import profile
 
 
@@ -54,10 +56,12 @@ EDGES = [0.0, -0.0, 5e-324, -5e-324, 2.2250738585072014e-308, 2.225073858507201e
 def test_order_keys_are_the_bits_of_doubles(spark):
     draw = np.random.default_rng(1).integers(0, 2 ** 64, 4000, dtype=np.uint64).view(np.float64)
     values = [float(v) for v in EDGES + [v for v in draw if v == v]]
-    rows_ = spark.createDataFrame([(v,) for v in values], "x double").select("x", order_key(F.col("x")).alias("k")).collect()
+    rows_ = order_keys(spark.createDataFrame([(v, v) for v in values], "x double, y double"), ["x", "y"], ["k", "k2"])
+    rows_ = [SimpleNamespace(x=v, k=r.k) for v, r in zip(values, rows_.coalesce(1).collect())]
     assert all(value_of(r.k) == r.x for r in rows_)
     assert [r.x for r in sorted(rows_, key=lambda r: r.k)] == sorted(values)
-    assert spark.createDataFrame([(None,), (float("nan"),)], "x double").where(order_key(F.col("x")).isNotNull()).count() == 0
+    nothing = order_keys(spark.createDataFrame([(None,), (float("nan"),)], "x double"), ["x"])
+    assert nothing.where("k0 is not null").count() == 0
 
 
 def test_exact_quantiles_of_many_distinct_values_send_a_row_per_rank(spark, monkeypatch):
