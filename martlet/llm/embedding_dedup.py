@@ -120,7 +120,7 @@ def _block_pair(table: pa.Table, threshold: float, directions: int, recall: floa
             some_i.append((r + i).astype(np.int32))
             some_j.append((c + j).astype(np.int32))
     i, j = (np.concatenate([*parts, np.zeros(0, np.int32)]) for parts in (some_i, some_j))
-    by_id = np.argsort(ids, kind="stable")  # so that the least vertex is the least id
+    by_id = np.argsort(ids, kind="stable")  # so that the least place is the least vertex
     place = np.empty(len(ids), np.int64)
     place[by_id] = np.arange(len(ids))
     root = ids[by_id][_forest(len(ids), place[i], place[j])][place]
@@ -136,7 +136,9 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.9, directions: int = 3
     vec_id reachable, itself included), kept (vec_id = component_id). A vector
     that is null, empty, zero, or holds a null or a non-finite number links with
     nothing, as do vectors of different lengths; repeated rows and equal vectors
-    count each; an empty table gives no rows; other columns are not read.
+    count each; vectors that share a vec_id, or have none, are vectors of their own,
+    and null ids name no group (a group of nulls alone has a null component_id); an
+    empty table gives no rows; other columns are not read.
 
     Equal vectors are one vertex with a number of copies. The others fall by hash
     into blocks of about ``block_rows`` rows; every pair of blocks is one task.
@@ -146,8 +148,9 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.9, directions: int = 3
     ok = (F.size("embedding") > 0) & F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     rows = vectors.select("vec_id", "embedding", (F.coalesce(ok, F.lit(False)) & F.coalesce(
         F.exists("embedding", lambda x: x != 0), F.lit(False))).alias("ok"))
+    # A vertex of its own for every different vector: a vec_id may name several. Written, so that the numbers stay.
     reps = materialize(rows.where("ok").groupBy("embedding").agg(F.min("vec_id").alias("least_id"), F.count(F.lit(1)).alias("copies"))
-                       .withColumn("rep", F.coalesce("least_id", F.xxhash64("embedding"))), "embedding-reps")
+                       .withColumn("rep", F.monotonically_increasing_id()), "embedding-reps")
     blocks = max(1, math.ceil(reps.count() / block_rows))
     b, o = F.col("block"), F.col("other")
     paired = (reps.select("rep", "copies", "embedding", F.size("embedding").alias("d"),
