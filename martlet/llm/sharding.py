@@ -16,6 +16,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from martlet.llm.common import materialize
+
 LAW = "key"
 
 
@@ -77,41 +79,40 @@ def shard_of(key: Column, leaves: list[Leaf]) -> Column:
     return _descend(key, leaves, ["region", "rack", "shard"]).cast("int")
 
 
-def place(docs: DataFrame, shards: int = 8, cells: int = 512, key: str = "doc_id") -> DataFrame:
+def place(docs: DataFrame, shards: int = 8, cells: int = 512, key: str = "doc_id", chunk: int = 4096) -> DataFrame:
     """Shard, slot and next shard of every row of ``docs(doc_id, text)``.
 
     Returns doc_id, size (UTF-8 bytes of the text plus 1; a null text has none),
     text_crc32, law, shard, slot (gapless from 0 in each shard), grown_shard (the
-    shard once one more has been added). Equal keys go to one shard and get
-    neighbouring slots; a null key is placed like any other value; an empty table
-    gives no rows; other columns are not read.
-
-    Slots need no global sort: a shard is cut into ``cells`` hashed cells, whose
-    row counts (``shards * cells`` rows, from a scan of the key column alone) give
-    each cell its first slot, and rows are numbered inside their cell. The key is
-    taken to identify rows; ``cells`` bounds a cell to a ``cells``-th of a shard.
+    shard once one more has been added). Equal keys go to one shard; a null key is
+    placed like any other value; repeated rows get slots of their own; texts of any
+    length are hashed whole; an empty table gives no rows; other columns are not read.
+
+    Slots need no global sort: a shard is cut into ``cells`` cells by a hash of key and
+    text, whose row counts (``shards * cells`` rows) give each cell its first slot.
+    Inside a cell the different (key, text) are numbered, rows that are equal in both as
+    one with their number: they take a run of slots, handed out ``chunk`` at a time. So
+    neither a key nor a row that comes very often meets in one task.
     """
     leaves = topology(shards)
-    k = F.col(key)
     rows = docs.select(
-        k.alias("doc_id"),
-        F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("bytes"),
-        F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("text_crc32"),
-    ).select(
-        "doc_id", (F.col("bytes") + 1).alias("size"), "text_crc32",
+        F.col(key).alias("doc_id"),
+        (F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 1).alias("size"),
+        F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("text_crc32"))
+    equal = materialize(rows.groupBy("doc_id", "size", "text_crc32").agg(F.count(F.lit(1)).alias("rows")).select(
+        "doc_id", "size", "text_crc32", "rows",
         shard_of(F.col("doc_id"), leaves).alias("shard"),
         shard_of(F.col("doc_id"), add_shard(leaves)).alias("grown_shard"),
-        F.pmod(F.xxhash64(F.col("doc_id"), F.lit("cell")), F.lit(cells)).cast("int").alias("cell"),
-    )
-    keys = docs.select(k.alias("doc_id")).select(
-        shard_of(F.col("doc_id"), leaves).alias("shard"),
-        F.pmod(F.xxhash64(F.col("doc_id"), F.lit("cell")), F.lit(cells)).cast("int").alias("cell"))
-    counts = keys.groupBy("shard", "cell").agg(F.count(F.lit(1)).alias("rows"))
+        F.pmod(F.xxhash64("doc_id", "text_crc32", "size", F.lit("cell")), F.lit(cells)).cast("int").alias("cell")), "shard-rows")
+    counts = equal.groupBy("shard", "cell").agg(F.sum("rows").alias("n"))
     # One row per cell, shards * cells of them at most: a proven bound for the broadcast.
-    first = counts.select("shard", "cell", (F.sum("rows").over(
+    first = counts.select("shard", "cell", (F.sum("n").over(
         Window.partitionBy("shard").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1))).alias("before"))
-    numbered = rows.withColumn("n", F.row_number().over(
-        Window.partitionBy("shard", "cell").orderBy("doc_id", "text_crc32", "size")))
-    return (numbered.join(F.broadcast(first), ["shard", "cell"])
-            .select("doc_id", "size", "text_crc32", F.lit(LAW).alias("law"), "shard",
-                    (F.coalesce("before", F.lit(0)) + F.col("n") - 1).cast("long").alias("slot"), "grown_shard"))
+    inside = Window.partitionBy("shard", "cell").orderBy("doc_id", "text_crc32", "size").rowsBetween(Window.unboundedPreceding, -1)
+    runs = (equal.withColumn("within", F.sum("rows").over(inside)).join(F.broadcast(first), ["shard", "cell"])
+            .withColumn("from", F.coalesce("before", F.lit(0)) + F.coalesce("within", F.lit(0)))
+            .withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(rows - 1) div {chunk}")))))
+    last = F.least(F.col("rows"), (F.col("part") + 1) * chunk) - 1
+    return (runs.repartition("doc_id", "text_crc32", "part")
+            .withColumn("slot", F.explode(F.sequence(F.col("from") + F.col("part") * chunk, F.col("from") + last)))
+            .select("doc_id", "size", "text_crc32", F.lit(LAW).alias("law"), "shard", "slot", "grown_shard"))
