@@ -81,7 +81,7 @@ def shard_quotas(quotas: DataFrame, shards: int, slots: Column, seed: int) -> Da
 
 
 def mix(docs: DataFrame, weights=WEIGHTS, most: float = MOST_PASSES, blocks: int = 512, shards: int = 8,
-        seed: int = 7) -> DataFrame:
+        seed: int = 7, whole_rows: bool = False) -> DataFrame:
     """How often, and into which output shards, the mix takes each row of
     ``docs(doc_id, text, source)``.
 
@@ -91,15 +91,20 @@ def mix(docs: DataFrame, weights=WEIGHTS, most: float = MOST_PASSES, blocks: int
     words has target 0 and gives nothing; repeated rows count each; an empty
     table gives no rows; other columns are not read. The same input gives the
     same mix. A source comes within half its longest document of its target.
+    Texts of any length are counted whole; rows that share a doc_id, or have none,
+    are rows of their own. ``whole_rows`` adds the row itself as ``row``.
 
-    A source of any size is cut into ``blocks`` hashed blocks; block sums are
-    partial aggregates, running sums go over at most ``blocks`` rows per source,
-    and single rows are ordered only in the one block that the target cuts.
+    A source of any size is cut into ``blocks`` blocks by a hash of doc_id and text;
+    block sums are partial aggregates, running sums go over at most ``blocks`` rows per
+    source, and single rows are ordered only in the one block that the target cuts.
     """
+    own = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if whole_rows else []
+    text = F.xxhash64("text", F.lit(seed + 3))
     rows = materialize(docs.select(
-        "doc_id", "source",
+        "doc_id", "source", text.alias("text_hash"),
         F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-        F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(blocks)).cast("int").alias("block")), "mix-rows")
+        F.pmod(F.xxhash64("doc_id", text, F.lit(seed)), F.lit(blocks)).cast("int").alias("block"), *own), "mix-rows")
+    also = ["row"] if whole_rows else []
     by_block = rows.groupBy("source", "block").agg(F.sum("size").alias("words"))
     sized = by_block.groupBy("source").agg(F.sum("words").alias("source_size"), F.count(F.lit(1)).alias("n_blocks"))
     goal = (targets(sized.drop("n_blocks"), weights, most).alias("t")
@@ -131,9 +136,9 @@ def mix(docs: DataFrame, weights=WEIGHTS, most: float = MOST_PASSES, blocks: int
 
     joined = rows.alias("r").join(
         placed.alias("c"), F.col("r.source").eqNullSafe(F.col("c.source")) & (F.col("r.block") == F.col("c.block"))
-    ).select("r.doc_id", "r.size", "c.*")
+    ).select("r.doc_id", "r.text_hash", "r.size", *[f"r.{c}" for c in also], "c.*")
     cut_inside = (F.col("room") > 0) & (F.col("room") < F.col("words"))
-    inside = Window.partitionBy("source", "block").orderBy(F.xxhash64("doc_id", F.lit(seed + 2)), "doc_id", "size")
+    inside = Window.partitionBy("source", "block").orderBy(F.xxhash64("doc_id", "text_hash", F.lit(seed + 2)), "doc_id", "size")
     whole = joined.where(~cut_inside).withColumn(
         "more", ((F.col("room") > 0) & (F.col("room") >= F.col("words"))).cast("int"))
     part = (joined.where(cut_inside)
@@ -145,16 +150,14 @@ def mix(docs: DataFrame, weights=WEIGHTS, most: float = MOST_PASSES, blocks: int
     ).otherwise(F.array().cast("array<int>"))
     return whole.unionByName(part).withColumn("copies", F.col("passes") + F.col("more")).select(
         "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).cast("long").alias("taken"),
-        F.col("copies").cast("int").alias("copies"), drawn.alias("shards"), "source")
+        F.col("copies").cast("int").alias("copies"), drawn.alias("shards"), "source", *also)
 
 
 def mixed_documents(docs: DataFrame, seed: int = 7, **parameters) -> DataFrame:
     """The rows of ``docs`` as often as the mix takes them, in a hashed order
-    inside each partition, with the columns of ``docs``. Rows that share a
-    doc_id are taken equally often."""
-    picks = mix(docs, seed=seed, **parameters).groupBy("doc_id").agg(F.max_by("shards", "copies").alias("shards"))
-    d, p = docs.alias("d"), picks.where(F.size("shards") > 0).alias("p")
-    taken = d.join(p, F.col("d.doc_id").eqNullSafe(F.col("p.doc_id"))).select(
-        F.struct(*[F.col(f"d.`{c}`") for c in docs.columns]).alias("row"), F.posexplode("p.shards").alias("copy", "shard"))
-    return (taken.sortWithinPartitions("shard", F.xxhash64("row.doc_id", "copy", F.lit(seed + 3)))
+    inside each partition, with the columns of ``docs``. Every row is taken as often
+    as ``mix`` says of it, whatever it shares with others."""
+    taken = (mix(docs, seed=seed, whole_rows=True, **parameters).where(F.size("shards") > 0)
+             .select("row", F.posexplode("shards").alias("copy", "shard")))
+    return (taken.sortWithinPartitions("shard", F.xxhash64("row.doc_id", "row.text", "copy", F.lit(seed + 3)))
             .select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns]))
