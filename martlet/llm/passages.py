@@ -212,7 +212,7 @@ def _repeated(batches, groups: int, hot: int):
     yield rows(values[many] % groups, values[many], counts[many], True)
 
 
-_WANTED = pa.schema([("doc", pa.int64()), ("anchors", _LIST), ("copies", _LIST)])
+_WANTED = pa.schema([("own", pa.int64()), ("anchors", _LIST), ("copies", _LIST)])
 
 
 def _by_document(batches):
@@ -487,7 +487,7 @@ def _indexed(cut: DataFrame, length: int) -> DataFrame:
 
 def _hot_anchors(wanted: DataFrame) -> np.ndarray:
     """The anchors, fewer than ``1 / HOT_SHARE``, that hold at least that share of the copies counted."""
-    counted = wanted.where("doc is null").select(F.explode(F.arrays_zip("anchors", "copies")).alias("c")).select("c.*")
+    counted = wanted.where("own is null").select(F.explode(F.arrays_zip("anchors", "copies")).alias("c")).select("c.*")
     total = counted.agg(F.sum("copies")).first()[0] or 0
     return np.sort(counted.where(F.col("copies") > HOT_SHARE * total).select("anchors").toArrow().column(0).to_numpy())
 
@@ -502,11 +502,11 @@ def _hot_stretches(docs: DataFrame, wanted: DataFrame, hot, length: int, most: i
             keep = np.isin(anchors, hot.value)
             row, anchors = row[keep], anchors[keep]
             start = np.flatnonzero(np.r_[True, row[1:] != row[:-1]][:len(row)])
-            yield pa.record_batch([batch.column(0).take(pa.array(row[start])), _lists(anchors, start)], names=["doc", "anchors"])
+            yield pa.record_batch([batch.column(0).take(pa.array(row[start])), _lists(anchors, start)], names=["own", "anchors"])
 
-    wanted = materialize(wanted.where("doc is not null").select("doc", "anchors").mapInArrow(own, "doc bigint, anchors array<bigint>"), "passages-hot-docs")
+    wanted = materialize(wanted.where("own is not null").select("own", "anchors").mapInArrow(own, "own bigint, anchors array<bigint>"), "passages-hot-docs")
     cut = materialize(
-        docs.join(wanted, "doc").select("doc", F.xxhash64("bytes").alias("mark"), "bytes", "anchors").mapInArrow(
+        docs.join(wanted, "own").select("doc", F.xxhash64("bytes").alias("mark"), "bytes", "anchors").mapInArrow(
             lambda it: _keyed(_cut_out(it, length, np.zeros(0, np.int64), bytes)),
             f"id binary, {_CUT_DDL}, first_doc bigint, first_mark bigint, first_start bigint"), "passages-hot-cut")
     first = F.struct("first_doc", "first_mark", "first_start")
@@ -537,12 +537,16 @@ def covered_stretches(docs: DataFrame, packed: DataFrame, length: int = 100, hot
     if length < GRAM:
         raise ValueError(f"length must be at least {GRAM}")
     parts = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    counted = (docs.select("doc", "bytes").mapInArrow(lambda it: _anchor_parts(it, length, parts), "part int, kind int, anchors array<bigint>, docs array<bigint>")
+    # Anchors are told apart by document and text, so that no row gets the anchors of others
+    # that share its doc_id. Where two such hashes agree, both rows get anchors that are repeated anyway.
+    docs = docs.withColumn("own", F.xxhash64("doc", F.xxhash64("bytes")))
+    packed = packed.withColumn("own", F.xxhash64("doc", "mark"))
+    counted = (docs.select("own", "bytes").mapInArrow(lambda it: _anchor_parts(it, length, parts), "part int, kind int, anchors array<bigint>, docs array<bigint>")
                .repartition("part").mapInArrow(lambda it: _repeated(it, parts, hot), "group int, anchors array<bigint>, docs array<bigint>, counted boolean"))
-    wanted = materialize(counted.repartition("group").mapInArrow(_by_document, "doc bigint, anchors array<bigint>, copies array<bigint>"), "passages-wanted")
+    wanted = materialize(counted.repartition("group").mapInArrow(_by_document, "own bigint, anchors array<bigint>, copies array<bigint>"), "passages-wanted")
     anchors = _hot_anchors(wanted)
     shared = docs.sparkSession.sparkContext.broadcast(anchors)
-    cut = (packed.join(wanted, "doc").select("doc", "mark", "packed", "anchors")
+    cut = (packed.join(wanted, "own").select("doc", "mark", "packed", "anchors")
            .mapInArrow(lambda it: _cut_out(it, length, shared.value), _CUT_DDL))
     covered = _indexed(cut, length)
     return covered.unionByName(_hot_stretches(docs, wanted, shared, length, hot)) if len(anchors) else covered
@@ -558,16 +562,20 @@ def remove_repeats(docs: DataFrame, length: int = 100, hot: int = HOT) -> DataFr
     empty; a text shorter than ``length`` is left whole; null doc_ids come after
     all others; of rows that share a doc_id the one with the smaller text hash
     counts as earlier, and rows equal in both are one document; an empty table
-    gives no rows; other columns are not read. An anchor with more than ``hot``
-    copies is not gathered in one group; results don't depend on it.
+    gives no rows; other columns are not read. Very long texts are hashed, cut and
+    indexed in pieces that lose no match. An anchor with more than ``hot``
+    copies is not gathered in one group; results don't depend on it. A doc_id that
+    is no whole number is a ValueError.
     """
+    if docs.schema["doc_id"].dataType.simpleString() not in ("tinyint", "smallint", "int", "bigint"):
+        raise ValueError("doc_id must be a column of whole numbers")
     d = docs.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1)).alias("doc"),
                     F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("bytes"))
     id_type = docs.schema["doc_id"].dataType.simpleString()
     packed = d.select("doc_id", "doc", F.xxhash64("bytes").alias("mark"), "bytes").mapInArrow(
         _packed, f"doc_id {id_type}, doc bigint, mark bigint, packed binary")
     covered = covered_stretches(d, packed, length, hot)
-    per_doc = materialize(covered.groupBy("doc", "mark").agg(F.collect_list(F.struct("start", "end")).alias("covered")), "passages-covered")
+    per_doc = materialize(covered.groupBy("doc", "mark").agg(F.collect_set(F.struct("start", "end")).alias("covered")), "passages-covered")
     schema = f"doc_id {id_type}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
     arrow = to_arrow_schema(StructType.fromDDL(schema))
 
