@@ -16,7 +16,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 class Remembered(dict):
-    """Values by key, made on first sight, of which at most ``room`` are kept.
+    """Values by key, made on first sight, of which at most ``room`` are kept, and none
+    for keys of more than ``longest`` characters: so the bytes are bounded, whatever the texts.
 
     Only the newest of a worker process holds any: starting one empties the others,
     so that operators that follow each other in one worker do not add up.
@@ -24,14 +25,16 @@ class Remembered(dict):
 
     _all: weakref.WeakValueDictionary = weakref.WeakValueDictionary()
 
-    def __init__(self, make: Callable, room: int = 400_000):
+    def __init__(self, make: Callable, room: int = 400_000, longest: int = 64):
         super().__init__()
-        self.make, self.room = make, room
+        self.make, self.room, self.longest = make, room, longest
         for other in self._all.values():
             other.clear()
         self._all[id(self)] = self
 
     def __missing__(self, key):
+        if len(key) > self.longest:
+            return self.make(key)
         if len(self) >= self.room:
             self.clear()
         found = self[key] = self.make(key)
