@@ -14,6 +14,7 @@ import unicodedata
 
 import regex
 from pyspark.sql import DataFrame
+from tokenizers.normalizers import NFC
 
 from martlet.llm.bpe import byte_chars, merge_symbols
 from martlet.llm.common import Remembered, map_texts
@@ -23,6 +24,8 @@ WORD_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"""
 WORD_END = "</w>"
 # Capitals that Unicode 16 added, which Python's own tables may lack, and their small letters.
 NEW_CAPITALS = {0xA7CB: 0x264, 0xA7CC: 0xA7CD, 0xA7DA: 0xA7DB, 0xA7DC: 0x19B} | {c: c + 0x20 for c in range(0x10D50, 0x10D66)}
+#: Combining marks: their order is decided by the library's own tables, which may be older or newer than Python's.
+_MARK = regex.compile(r"\p{M}")
 _NEW_CAPITAL = regex.compile("[" + "".join(map(chr, NEW_CAPITALS)) + "]")
 
 
@@ -69,8 +72,9 @@ class WordCounter:
             pieces, total = self.specials.split(text), found
         for piece in pieces:
             if not piece.isascii():
+                piece = NFC().normalize_str(piece) if _MARK.search(piece) else unicodedata.normalize("NFC", piece)
                 # One character at a time: no special case for a sigma that ends a word.
-                piece = unicodedata.normalize("NFC", piece).replace("Σ", "σ")
+                piece = piece.replace("Σ", "σ")
                 if _NEW_CAPITAL.search(piece):
                     piece = piece.translate(NEW_CAPITALS)
             total += sum(map(self.counts.__getitem__, self.pre_tokens(piece.lower())))
@@ -87,7 +91,7 @@ def token_counts(docs: DataFrame, vocabulary: str, limit: int = 2048) -> DataFra
 
     Returns doc_id, n_bytes (UTF-8), n_tokens, over_limit (n_tokens > ``limit``).
     A null text counts as empty; repeated rows give repeated rows; an empty table
-    gives none; other columns are not read. No shuffle. The vocabulary (a fixed
+    gives none; other columns are not read; very long texts are counted whole. No shuffle. The vocabulary (a fixed
     file of about 2 MB) and the proven whole tokens (at most one per vocabulary
     entry) are broadcast.
     """
