@@ -18,10 +18,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from martlet.llm.common import materialize
+from martlet.operators.index import with_row_index
 
 # Weights of the sources in code-point order, repeating.
 WEIGHTS = (5, 2, 1)
 MOST_PASSES = 3
+#: Sources whose running sums go over one window.
+_CHUNK = 4096
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -31,31 +34,45 @@ def _unit(*parts) -> Column:
     return (bits.cast("double") + 0.5) / F.lit(float(2**52))
 
 
+def _running(rows: DataFrame, at: str, columns: list[str]) -> DataFrame:
+    """``rows`` with the sum of each of ``columns`` over smaller ``at`` (gapless from 0) as ``<column>_before``.
+
+    Sums go over chunks of ``_CHUNK`` rows and over one row per chunk, so no window spans all rows.
+    """
+    chunked = rows.withColumn("chunk", F.floor(F.col(at) / _CHUNK))
+    inside = Window.partitionBy("chunk").orderBy(at).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    chunks = chunked.groupBy("chunk").agg(*[F.sum(c).alias(c) for c in columns]).select(
+        "chunk", *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"{c}_chunk") for c in columns])
+    return chunked.join(chunks, "chunk").select(*rows.columns, *[
+        (F.col(f"{c}_chunk") + F.coalesce(F.sum(c).over(inside), F.lit(0))).alias(f"{c}_before") for c in columns])
+
+
 def targets(sizes: DataFrame, weights=WEIGHTS, most: float = MOST_PASSES) -> DataFrame:
     """Target words per source from ``sizes(source, source_size)``: shares by weight,
     none above ``most`` times its source, the excess shared again by weight.
 
     Sharing the excess until none is above has one fixed point, found directly:
     sources fill up in the order of ``cap / weight``, so the ones before the
-    first that is not filled take their cap and the rest share what is left. The
-    windows run over one row per source.
+    first that is not filled take their cap and the rest share what is left. There may
+    be any number of sources: ranks come from range partitions, running sums from
+    chunks, and two rows of totals reach the driver.
     """
     w = F.element_at(F.array(*[F.lit(float(x)) for x in weights]), (F.col("rank") % len(weights) + 1).cast("int"))
-    one = Window.partitionBy(F.lit(0))
-    ranked = (sizes.withColumn("rank", F.row_number().over(one.orderBy(F.col("source").asc_nulls_last())) - 1)
+    named = sizes.withColumn("name", F.struct(F.col("source").isNull().alias("none"), F.col("source").alias("source")))
+    ranked = (with_row_index(named, "name", "rank").drop("name")
               .withColumn("weight", w).withColumn("cap", F.lit(float(most)) * F.col("source_size")))
-    fill = one.orderBy(F.col("cap") / F.col("weight"), "rank")
-    before = fill.rowsBetween(Window.unboundedPreceding, -1)
-    return (ranked.withColumn("left", F.sum("source_size").over(one) - F.coalesce(F.sum("cap").over(before), F.lit(0.0)))
-            .withColumn("open", F.sum("weight").over(one) - F.coalesce(F.sum("weight").over(before), F.lit(0.0)))
-            .withColumn("level", F.col("left") / F.col("open"))
-            # The level at the first source that is not filled holds for all from there on.
-            .withColumn("place", F.row_number().over(fill))
-            .withColumn("first", F.min(F.when(F.col("level") * F.col("weight") < F.col("cap"),
-                                              F.struct("place", "level"))).over(one))
-            .withColumn("target", F.when(F.col("place") >= F.col("first.place"), F.col("first.level") * F.col("weight"))
-                        .otherwise(F.col("cap")))
-            .select("source", "source_size", "rank", "weight", "target"))
+    filling = materialize(_running(
+        with_row_index(ranked.withColumn("fill", F.struct((F.col("cap") / F.col("weight")).alias("fill"), F.col("rank").alias("rank"))), "fill", "place").drop("fill"),
+        "place", ["cap", "weight"]), "mix-filling")
+    total, weight = filling.agg(F.sum("source_size"), F.sum("weight")).first()
+    filling = filling.withColumn("level", (F.lit(total) - F.col("cap_before")) / (F.lit(weight) - F.col("weight_before")))
+    # The level at the first source that is not filled holds for all from there on.
+    first = filling.where(F.col("level") * F.col("weight") < F.col("cap")).agg(F.min(F.struct("place", "level"))).first()[0]
+    target = F.col("cap")
+    if first is not None:
+        target = F.when(F.col("place") >= first["place"], F.lit(first["level"]) * F.col("weight")).otherwise(target)
+    return filling.select("source", "source_size", "rank", "weight", target.alias("target"))
 
 
 def hypergeometric(left: Column, total: Column, drawn: Column, *seed) -> Column:
