@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,16 +12,13 @@ from martlet.llm import (bpe, decontamination, embedding_dedup, hard_negatives,
                          sharding, simhash, token_counts)
 from martlet.llm.common import table
 
-#: Where the public vocabulary files are.
-VOCABULARIES = "/opt/tokenizers"
-
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, radius=3)
 
 
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe.encode_decode(table(spark, sf_dir, "documents"), f"{VOCABULARIES}/byte_bpe_50k.json")
+    return bpe.encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,7 +34,7 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_counts.token_counts(table(spark, sf_dir, "documents"), f"{VOCABULARIES}/word_bpe_49k.json")
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,7 +43,7 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.quality(table(spark, sf_dir, "documents"), f"{VOCABULARIES}/piece_bpe_32k.model")
+    return quality.quality(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,13 +4,14 @@ import random
 import re
 import string
 
+import public_tokenizers
 import pytest
 import sentencepiece
 
 from martlet.llm import pii, quality, secrets
 from tests.llm.conftest import LONG, rows
 
-PIECES = "/opt/tokenizers/piece_bpe_32k.model"
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def digest(spans):
@@ -59,6 +60,9 @@ def test_patterns_of_seeds_discover_unseen_identifiers(spark):
     at = text.index("user_9912")
     assert found[50] == f"context:{at}:{at + len('user_9912(at)host')}"
     assert found[51] == found[52] == ""
+    long = "x7" * 400 + "-end"
+    far = pii.find_pii(spark.createDataFrame([*seeds, (60, f"e-mail: {long} tail"), (61, "q1" * 90_000)], "doc_id int, text string")).collect()
+    assert {r["doc_id"]: r["spans"] for r in far if r["doc_id"] >= 60} == {60: f"context:8:{8 + len(long)}", 61: ""}
     few = {r["doc_id"]: r["spans"] for r in pii.find_pii(spark.createDataFrame(seeds[:3] + unseen, "doc_id int, text string")).collect()}
     assert few[50] == ""  # three seeds are not enough
 

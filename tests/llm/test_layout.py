@@ -3,6 +3,7 @@ import zlib
 from collections import Counter
 
 import corpus_pipeline
+import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
@@ -63,6 +64,15 @@ def plain_targets(sizes):
     return out
 
 
+def test_targets_of_many_sources_need_no_window_over_all(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "_CHUNK", 16)
+    sizes = {f"s{k:03}": (k * 37) % 101 for k in range(300)} | {None: 9}
+    found = mixing.targets(spark.createDataFrame(list(sizes.items()), "source string, source_size long"))
+    got = {r["source"]: r["target"] for r in found.collect()}
+    want = plain_targets(sizes)
+    assert got.keys() == want.keys() and all(got[s] == pytest.approx(want[s], rel=1e-9) for s in want)
+
+
 @pytest.mark.parametrize("sizes", [{"a": 10, "b": 1000, "c": 1000, None: 5}, {"z": 0, "é": 7, "Z": 900}, {None: 3}, {f"s{k}": k * k for k in range(40)}])
 def test_targets_equal_sharing_round_by_round(spark, sizes):
     found = mixing.targets(spark.createDataFrame(list(sizes.items()), "source string, source_size long"))
@@ -118,7 +128,7 @@ def test_pipeline_stages_do_their_work_on_what_came_before(spark):
         assert docs.columns == before.columns
         kept[name] = (before, docs)
     before, after = kept["quality rules"]
-    good = {r["doc_id"] for r in quality.quality(before, f"{corpus_pipeline.VOCABULARIES}/piece_bpe_32k.model").where("kept").collect()}
+    good = {r["doc_id"] for r in quality.quality(before, public_tokenizers.path("piece_bpe_32k.model")).where("kept").collect()}
     assert {r["doc_id"] for r in after.collect()} == good
     before, after = kept["near dedup"]
     assert {r["doc_id"] for r in after.collect()} == {r["component_id"] for r in simhash.near_duplicates(before).collect()}
@@ -126,7 +136,7 @@ def test_pipeline_stages_do_their_work_on_what_came_before(spark):
     assert before.count() == after.count()
     assert pii.find_pii(after).agg(F.sum(F.expr("n_email + n_ip + n_card + n_phone"))).first()[0] == 0
     encoded = corpus_pipeline.STAGES[-1][1](spark, docs, SF_SMALL).collect()
-    with open(f"{corpus_pipeline.VOCABULARIES}/byte_bpe_50k.json", "rb") as f:
+    with open(public_tokenizers.path("byte_bpe_50k.json"), "rb") as f:
         codec = bpe.BytePairCodec(f.read())
     texts = {r["doc_id"]: r["text"] for r in docs.collect()}
     assert len(encoded) == docs.count() and all(codec.decode(r["ids"]) == texts[r["doc_id"]] for r in encoded)

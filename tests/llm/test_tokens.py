@@ -1,13 +1,15 @@
 import hashlib
 
 import numpy as np
+import public_tokenizers
 import pytest
+import regex
 from tokenizers import Tokenizer
 
 from martlet.llm import bpe, token_counts
 from tests.llm.conftest import rows
 
-BYTES, WORDS = "/opt/tokenizers/byte_bpe_50k.json", "/opt/tokenizers/word_bpe_49k.json"
+BYTES, WORDS = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
 ODD = ["", " ", "  a  b\n\n c\t\x1c\x85 x", "'s 'LL don't", "x" * 3000, "ab " * 500, "\x00\x01", "ΣΑΣ İstanbul ﬁ ² Ⅷ é",
        "a<|endoftext|> <|startoftext|>b", "😀👨‍👩‍👧 漢字 한국어", *("a" + chr(c) + "1 " + chr(c) for c in range(1, 0x2000, 7))]
 
@@ -53,6 +55,24 @@ def test_counts_equal_the_library_and_whole_tokens_are_proven():
     assert all(len(e.ids) == 1 for e in library.encode_batch(some, add_special_tokens=False))
 
 
+def test_counts_equal_the_library_on_all_combining_marks():
+    with open(WORDS, "rb") as f:
+        counter = token_counts.WordCounter(f.read())
+    library = Tokenizer.from_file(WORDS)
+    marks = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000 and regex.match(r"\p{M}", chr(c))]
+    some = [*"\u0301\u0327\u0e48\u08cd\u05b0\u0651\u094d\u3099\u0345\u1dfa\u0334\u0f71", "\U0001e08f"]
+    texts = [f"{base}{pair} b" for m in marks for o in some for pair in (m + o, o + m) for base in "e"] + [f"k{m}é" for m in marks]
+    wrong = [t for t, e in zip(texts, library.encode_batch(texts, add_special_tokens=False)) if len(e.ids) != counter.count(t)]
+    assert len(marks) > 2000 and not wrong
+
+
+def test_long_keys_are_not_remembered():
+    from martlet.llm.common import Remembered
+    made = Remembered(len, room=3, longest=4)
+    assert [made[k] for k in ("a", "bb", "ccccc", "ccccc", "dd")] == [1, 2, 5, 5, 2] and set(made) == {"a", "bb", "dd"}
+    assert made["x"] == 1 and set(made) == {"x"}
+
+
 def test_token_counts_on_edge_rows(edge_docs, edge_rows, no_docs):
     library = Tokenizer.from_file(WORDS)
     want = []
