@@ -7,9 +7,11 @@ sets its own when that is unset, which is the case in tests and local runs.
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -79,7 +81,28 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     executor and the driver see the same location.
     """
     base = ensure_checkpoint_dir(spark)
-    return os.path.join(base.rstrip("/"), "martlet", f"{name}-{uuid.uuid4().hex[:12]}")
+    path = os.path.join(base.rstrip("/"), "martlet", f"{name}-{uuid.uuid4().hex[:12]}")
+    for scope in _SCOPES[-1:]:
+        scope.append(path)
+    return path
+
+
+#: Paths given out inside each open ``scratch``, the innermost last.
+_SCOPES: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession, keep: Callable[[], str | None] = lambda: None) -> Iterator[None]:
+    """What ``shared_dir`` gives out inside is deleted at the end, but for the path that
+    ``keep`` names then: for a step whose result is written whole before it ends."""
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        kept = keep()
+        for path in _SCOPES.pop():
+            if path != kept:
+                delete_path(spark, path)
 
 
 def stage(df: DataFrame, name: str, **write_options) -> DataFrame:

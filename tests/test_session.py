@@ -28,3 +28,18 @@ def test_a_cluster_without_a_shared_folder_is_an_error():
             ensure_checkpoint_dir(session({"spark.master": master}))
     assert ensure_checkpoint_dir(session({"spark.master": "yarn", "spark.checkpoint.dir": "hdfs:///x"})) == "hdfs:///x"
     assert ensure_checkpoint_dir(session({"spark.master": "local[4]"}))
+
+
+def test_scratch_is_deleted_but_for_what_is_kept(spark):
+    import os
+
+    from martlet.session import scratch, shared_dir, stage
+    made = []
+    with scratch(spark, keep=lambda: made[1]._martlet_staged):
+        made += [stage(spark.range(3), "a"), stage(spark.range(4), "b")]
+        with scratch(spark):
+            inner = stage(spark.range(5), "c")._martlet_staged
+        assert not os.path.exists(inner.removeprefix("file:"))
+    gone, kept = (m._martlet_staged.removeprefix("file:") for m in made)
+    assert not os.path.exists(gone) and made[1].count() == 4 and os.path.exists(kept)
+    assert shared_dir(spark, "outside") not in (gone, kept)
