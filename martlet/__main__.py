@@ -21,7 +21,7 @@ import sys
 from martlet.operators import text
 from martlet.plans import jobs
 from martlet.session import build_session
-from martlet.sources import files
+from martlet.sources import files, jdbc
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -38,6 +38,7 @@ def _parser() -> argparse.ArgumentParser:
     st.add_argument("--seed", type=int, default=42)
     st.add_argument("--no-range", action="store_true", help="skip the [0, 100) bounds")
     st.add_argument("--repeatable", action="store_true", help="repeatable k-means fit (layout by key)")
+    st.add_argument("--resume", action="store_true", help="go on at the first stage that these inputs and parameters have not been through")
     for side, what in (("source", "read it from"), ("sink", "also write it to")):
         for t in ("wide", "mart"):
             st.add_argument(f"--{t}-{side}", metavar="FORMAT", help=f"format to {what} instead of the catalog alone")
@@ -61,11 +62,14 @@ def main(argv: list[str] | None = None) -> dict:
         given = {side: {name: (fmt, dict(o.split("=", 1) for o in getattr(args, f"{t}_{side}_option")))
                         for t, name in names.items() if (fmt := getattr(args, f"{t}_{side}"))}
                  for side in ("source", "sink")}
+        for _, options in given["source"].values():
+            if "numPartitions" in options:     # as the studied command line: 1 to 100
+                jdbc.validate_partitions(options["numPartitions"], hi=100)
         cfg = jobs.MartConfig(wide_table=args.wide, mart_table=args.mart, base_dir=args.base,
                                    key=args.key, features=[c for c in args.features.split(",") if c],
                                    k=args.k, seed=args.seed, apply_range=not args.no_range,
                                    repeatable=args.repeatable, sources=given["source"], sinks=given["sink"])
-        report = jobs.run_stages(spark, args.stages, cfg)
+        report = jobs.run_stages(spark, args.stages, cfg, resume=args.resume)
     else:
         options = dict(o.split("=", 1) for o in args.option)
         df = files.read_source(spark, args.format, args.input, **options)

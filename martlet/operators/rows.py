@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martlet.functions.expressions import all_of, to_number
-from martlet.operators.index import first_rows
+from martlet.operators.index import any_rows, first_rows
 
 
 def drop_incomplete(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
@@ -85,16 +85,16 @@ def stop_list_filter(df: DataFrame, col: str, values) -> DataFrame:
     return df.where(~F.col(col).isin(list(values)))
 
 
-def limit_rows(df: DataFrame, n: int, order_by: list[str | Column] | None = None) -> DataFrame:
-    """the first ``n`` rows in the order of ``order_by`` (names or sort columns), ties
+def limit_rows(df: DataFrame, n: int, order_by: list[str] | None = None) -> DataFrame:
+    """the first ``n`` rows in the order of ``order_by`` (names; ``-name`` descends), ties
     by a hash of the row, so the cap is reproducible. Without an order it is any ``n``
     rows, those of the first partitions.
 
-    ``n`` may be any part of the table: rows stay spread over range partitions, only
-    the one that holds the n-th row is cut, and no task collects the ``n`` rows.
+    ``n`` may be any part of the table: the key of the n-th row is found from the order
+    columns alone, and rows are filtered by it where they lie. No task collects the
+    ``n`` rows.
     """
-    order = [F.col(c) if isinstance(c, str) else c for c in order_by or []]
-    return first_rows(df, n, order)
+    return first_rows(df, n, order_by) if order_by else any_rows(df, n)
 
 
 def clean_numbers(df: DataFrame, cols: list[str]) -> DataFrame:

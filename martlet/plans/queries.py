@@ -545,18 +545,17 @@ _LINE_FEATS = ["l_quantity", "l_discount", "l_tax"]
 
 
 @register("kmeans_fit_invariants", """
-select cast(5 as bigint) as k, count(*) as n_rows, count(*) as sum_sizes, true as ids_in_range from lineitem
+select cast(5 as bigint) as k, count(*) as n_rows, count(*) as sum_sizes, true as ids_in_range, true as sizes_agree from lineitem
 """)
 def q_kmeans_fit_invariants(spark, sf):
+    """The summary's k and sizes (M5), and the sizes counted from every row's cluster."""
     feats = cluster.assemble(table(spark, sf, "lineitem"), _LINE_FEATS)
     model = cluster.fit_kmeans(feats, k=5, seed=42)
-    k = len(model.clusterCenters())
-    sizes = sum(model.summary.clusterSizes)
-    return model.transform(feats).agg(
-        F.lit(k).cast("bigint").alias("k"),
-        F.count(F.lit(1)).alias("n_rows"),
-        F.lit(sizes).cast("bigint").alias("sum_sizes"),
-        F.bool_and(F.col("prediction").between(0, k - 1)).alias("ids_in_range"))
+    summary = cluster.model_summary(model)
+    told = F.element_at(F.array(*[F.lit(n).cast("bigint") for n in summary["cluster_sizes"]]), F.col("prediction") + 1)
+    return cluster.cluster_sizes(model.transform(feats)).agg(
+        F.lit(summary["k"]).cast("bigint").alias("k"), F.sum("size").alias("n_rows"), F.sum(told).alias("sum_sizes"),
+        F.bool_and(F.col("prediction").between(0, summary["k"] - 1)).alias("ids_in_range"), F.bool_and(F.col("size") == told).alias("sizes_agree"))
 
 
 @register("clusterize_invariants", """

@@ -38,10 +38,11 @@ def read_table(spark: SparkSession, options: dict[str, str], table: str | None =
     return spark.read.format("jdbc").options(**opts).load()
 
 
-def validate_partitions(num_partitions: int, lo: int = 1, hi: int = 100) -> int:
+def validate_partitions(num_partitions: int, hi: int | None = None) -> int:
+    """A number of partitions of at least one, and of at most ``hi`` where a caller sets a limit."""
     n = int(num_partitions)
-    if not lo <= n <= hi:
-        raise ValueError(f"num_partitions must be between {lo} and {hi}")
+    if n < 1 or (hi is not None and n > hi):
+        raise ValueError("num_partitions must be at least 1" + (f" and at most {hi}" if hi is not None else ""))
     return n
 
 
@@ -55,7 +56,7 @@ def partition_bounds(spark: SparkSession, options: dict[str, str], table: str, c
 def read_partitioned(spark: SparkSession, options: dict[str, str], table: str, column: str,
                      num_partitions: int, bounds: tuple | None = None,
                      fetch_size: int | None = None) -> DataFrame:
-    """Parallel read in ``num_partitions`` key ranges (1..100)."""
+    """Parallel read in ``num_partitions`` key ranges."""
     n = validate_partitions(num_partitions)
     lo, hi = bounds if bounds is not None else partition_bounds(spark, options, table, column)
     opts = dict(options, dbtable=table, partitionColumn=column, lowerBound=str(lo),

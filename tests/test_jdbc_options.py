@@ -67,7 +67,7 @@ def test_partitioned_read_options_with_given_bounds():
 
 def test_partitioned_read_rejects_out_of_range_partitions():
     with pytest.raises(ValueError):
-        jdbc.read_partitioned(_Spark(), OPTS, "t", "k", 101, bounds=(0, 1))
+        jdbc.read_partitioned(_Spark(), OPTS, "t", "k", 0, bounds=(0, 1))
 
 
 def test_write_table_append_and_overwrite_options():

@@ -88,6 +88,19 @@ def test_command_line_exits_non_zero_on_unknown_stage():
     assert "unknown stages" in proc.stderr
 
 
+def test_command_line_limits_partitioned_reads_and_resumes(spark):
+    from martlet.__main__ import main
+
+    base = shared_dir(spark, "cli_resume")
+    tag = base.rsplit("-", 1)[-1]
+    args = ["stages", "preprocess", "--wide", f"w_{tag}", "--mart", f"m_{tag}", "--base", base, "--features", "fat_100g"]
+    with pytest.raises(ValueError, match="at most 100"):
+        main([*args, "--wide-source", "jdbc", "--wide-source-option", "numPartitions=101"])
+    from martlet.sources import tables
+    tables.publish(spark, _wide(spark), f"w_{tag}", f"{base}/w_{tag}")
+    assert "resumed" not in main(args)["preprocess"] and main([*args, "--resume"])["preprocess"]["resumed"]
+
+
 def test_clusterize_repeatable_by_key(spark):
     mart = dirty_part(spark, SF_CHECK)
     clean = jobs.preprocess(mart, "code", ["size_g", "price_g"])

@@ -63,7 +63,7 @@ def test_drop_incomplete_drops_nan_on_numbers(spark):
 def test_limit_rows_is_ordered(spark):
     df = spark.range(100).withColumn("k", 99 - F.col("id"))
     assert sorted(r.k for r in rows.limit_rows(df, 3, order_by=["k"]).collect()) == [0, 1, 2]
-    assert sorted(r.k for r in rows.limit_rows(df, 3, order_by=[F.desc("k")]).collect()) == [97, 98, 99]
+    assert sorted(r.k for r in rows.limit_rows(df, 3, order_by=["-k"]).collect()) == [97, 98, 99]
 
 
 @pytest.mark.parametrize("n", [0, 1, 49, 50, 51, 500, 999, 1000, 5000])
@@ -77,14 +77,34 @@ def test_limit_rows_cuts_anywhere(spark, n):
     assert rows.limit_rows(df, n).count() == min(n, 1000)
 
 
-def test_limit_rows_has_no_single_task(spark):
-    """Half the table, a third of it on one key: no top-n in one task, and every file a share of the rows."""
-    df = spark.range(40_000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"), "id")
-    half = rows.limit_rows(df, 20_000, order_by=["k"])
+def test_limit_rows_filters_where_rows_lie(spark, tmp_path):
+    """Half the table, a third of it on one key: no top-n in one task, no shuffle of rows, a bound that reaches the scan."""
+    spark.range(40_000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"), "id").repartition(8).write.parquet(f"{tmp_path}/t")
+    df = spark.read.parquet(f"{tmp_path}/t")
+    half = rows.limit_rows(df, 20_000, order_by=["k", "id"])
     plan = half._jdf.queryExecution().executedPlan().toString()
-    assert "TakeOrdered" not in plan and "GlobalLimit" not in plan and "Exchange" not in plan and "PushedFilters: [IsNotNull" in plan
-    per_file = [r["count"] for r in half.groupBy(F.input_file_name()).count().collect()]
-    assert sum(per_file) == 20_000 and max(per_file) < 2 * 40_000 / 8
+    assert "TakeOrdered" not in plan and "Limit" not in plan and "Exchange" not in plan and "LessThanOrEqual(k" in plan.replace("LessThan(k", "LessThanOrEqual(k")
+    assert sorted(map(tuple, half.collect())) == sorted(map(tuple, df.collect()))[:20_000]
+    inside = rows.limit_rows(df, 5_000, order_by=["k"])              # the cut is among the rows of the hot key
+    assert "Limit" not in inside._jdf.queryExecution().executedPlan().toString()
+    got = [r.k for r in inside.collect()]
+    assert len(got) == 5_000 and sorted(got) == sorted(r.k for r in df.collect())[:5_000]
+
+
+@pytest.mark.parametrize("order", [["a"], ["-a"], ["a", "-b"], ["-b", "a", "c"], ["c", "-a"], ["x", "a"], ["-x"], ["s", "-d"]])
+def test_limit_rows_follows_sparks_order(spark, order):
+    """NULLs, NaN, dates, text; ascending and descending."""
+    df = spark.range(300).selectExpr(
+        "if(id % 7 = 0, null, id % 11) as a", "if(id % 5 = 0, null, cast(id % 13 as string)) as b", "id as c",
+        "case when id % 9 = 0 then double('NaN') when id % 4 = 0 then null else id / 8 end as x", "date_add(date'2024-01-01', cast(id % 17 as int)) as d",
+        "decode(cast(array('é', 'z', 'A', '', 'zz')[cast(id % 5 as int)] as binary), 'UTF-8') as s")
+    names = [o.removeprefix("-") for o in order]
+    want = [tuple(r) for r in df.orderBy(*[F.desc(o[1:]) if o[0] == "-" else F.asc(o) for o in order]).select(*names).collect()]
+    for n in (1, 60, 150, 299):
+        got = rows.limit_rows(df, n, order_by=order)
+        again = got.orderBy(*[F.desc(o[1:]) if o[0] == "-" else F.asc(o) for o in order]).select(*names).collect()
+        assert repr([tuple(r) for r in again]) == repr(want[:n]) and got.columns == df.columns
+        assert got.select("c").distinct().count() == n
 
 
 def test_stop_list_filter_list_and_frame_agree(spark):

@@ -121,8 +121,8 @@ def test_jdbc_partition_validation_and_options():
     with pytest.raises(ValueError):
         jdbc.validate_partitions(0)
     with pytest.raises(ValueError):
-        jdbc.validate_partitions(101)
-    assert jdbc.validate_partitions("10") == 10
+        jdbc.validate_partitions(101, hi=100)
+    assert jdbc.validate_partitions("10") == 10 and jdbc.validate_partitions(5000) == 5000
     opts = jdbc.jdbc_options("jdbc:x://h/db", user="u", password="p", socket_timeout=300000)
     assert opts == {"url": "jdbc:x://h/db", "user": "u", "password": "p", "socket_timeout": "300000"}
     with pytest.raises(ValueError):
