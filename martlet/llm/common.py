@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from martlet.session import shared_dir
+from martlet.session import stage, unstage
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,19 +47,12 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     This cuts the lineage: what follows survives lost executors without
     computing ``df`` again, and a frame that several consumers read is made once.
     """
-    path = shared_dir(df.sparkSession, name)
-    df.write.parquet(path)
-    out = df.sparkSession.read.schema(df.schema).parquet(path)
-    out._martlet_path = path
-    return out
+    return stage(df, name)
 
 
 def discard(df: DataFrame) -> None:
     """Delete a materialised frame that nothing reads any more."""
-    spark, path = df.sparkSession, getattr(df, "_martlet_path", None)
-    if path:
-        target = spark._jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    unstage(df)
 
 
 def map_texts(df: DataFrame, fn: Callable[[list, list], dict[str, list]], schema: str,
