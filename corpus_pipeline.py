@@ -56,9 +56,9 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        before, made = docs, []
-        with scratch(spark, keep=lambda made=made: made[0]._martlet_path if made else None):
-            made.append(materialize(stage(spark, before, sf_dir), "stage-" + name.replace(" ", "-")))
-        docs = made[0]
+        before = docs
+        with scratch(spark) as kept:
+            docs = materialize(stage(spark, before, sf_dir), "stage-" + name.replace(" ", "-"))
+            kept.append(docs)
         discard(before)
     return STAGES[-1][1](spark, docs, sf_dir)

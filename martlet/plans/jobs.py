@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martlet.operators import cluster, columns, enrich, profile, rows
-from martlet.session import delete_path, shared_dir, stage, unstage
+from martlet.session import WIDE_ROWS, delete_path, shared_dir, stage, unstage
 from martlet.sources import colocated, tables
 
 # Columns of the product mart.
@@ -123,7 +123,7 @@ def explore(df: DataFrame, useful: list[str], metadata: list[str] | None = None,
     copy, and the pruned rows read their own columns of it. With ``strict`` a useful
     column that does not survive is an error.
     """
-    staged = stage(df, "explore")
+    staged = stage(df, "explore", maxRecordsPerFile=WIDE_ROWS)
     report = stage(profile.column_report(staged, digits=None), "explore-report")
     by_name = {r["column_name"]: r for r in report.select("column_name", "n_rows", "missing_pct").collect()}
     named = columns.drop_named(staged, metadata or [])

@@ -11,7 +11,7 @@ import contextlib
 import os
 import tempfile
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -87,22 +87,31 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return path
 
 
+#: Rows of a file of staged wide text tables: about 100 MB at 200 columns, so that later reads spread.
+WIDE_ROWS = 150_000
 #: Paths given out inside each open ``scratch``, the innermost last.
 _SCOPES: list[list[str]] = []
 
 
 @contextlib.contextmanager
-def scratch(spark: SparkSession, keep: Callable[[], str | None] = lambda: None) -> Iterator[None]:
-    """What ``shared_dir`` gives out inside is deleted at the end, but for the path that
-    ``keep`` names then: for a step whose result is written whole before it ends."""
+def scratch(spark: SparkSession) -> Iterator[list[DataFrame]]:
+    """Deletes at its end what was staged inside, but for the frames in the list that it
+    gives: for a step whose results are written whole before it ends."""
+    kept: list[DataFrame] = []
     _SCOPES.append([])
     try:
-        yield
+        yield kept
     finally:
-        kept = keep()
+        stay = {staged_path(df) for df in kept}
         for path in _SCOPES.pop():
-            if path != kept:
+            if path not in stay:
                 delete_path(spark, path)
+            elif _SCOPES:
+                _SCOPES[-1].append(path)
+
+
+def staged_path(df: DataFrame) -> str | None:
+    return getattr(df, "_martlet_staged", None)
 
 
 def stage(df: DataFrame, name: str, **write_options) -> DataFrame:
@@ -117,7 +126,7 @@ def stage(df: DataFrame, name: str, **write_options) -> DataFrame:
 
 def unstage(df: DataFrame) -> None:
     """Delete what ``stage`` wrote for a frame that nothing reads any more."""
-    path = getattr(df, "_martlet_staged", None)
+    path = staged_path(df)
     if path:
         delete_path(df.sparkSession, path)
 

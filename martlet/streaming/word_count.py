@@ -28,11 +28,12 @@ def start_word_count(spark: SparkSession, source_path: str, schema: T.StructType
                      table_name: str, table_base: str, checkpoint: str, fmt: str = "parquet",
                      available_now: bool = True, processing_time: str | None = None,
                      max_files_per_trigger: int | None = None,
-                     base_path: str | None = None) -> StreamingQuery:
+                     base_path: str | None = None, retain_seconds: float = 3600.0) -> StreamingQuery:
     """Start the stream; ``available_now`` processes what exists and stops.
 
     ``source_path`` is normally a directory new files land in; a single file
-    (or glob) also works when ``base_path`` names its directory.
+    (or glob) also works when ``base_path`` names its directory. Counts that an epoch
+    replaces stay for ``retain_seconds``, for readers that began before.
     """
     reader = spark.readStream.schema(schema).format(fmt)
     if base_path:
@@ -42,7 +43,7 @@ def start_word_count(spark: SparkSession, source_path: str, schema: T.StructType
     counts = word_counts_of(reader.load(source_path), text_col)
 
     def publish_epoch(batch: DataFrame, epoch_id: int) -> None:
-        tables.publish(batch.sparkSession, batch, table_name, table_base)
+        tables.publish(batch.sparkSession, batch, table_name, table_base, retain_seconds=retain_seconds)
 
     writer = (counts.writeStream.outputMode("complete")
               .option("checkpointLocation", checkpoint)

@@ -33,13 +33,13 @@ def test_a_cluster_without_a_shared_folder_is_an_error():
 def test_scratch_is_deleted_but_for_what_is_kept(spark):
     import os
 
-    from martlet.session import scratch, shared_dir, stage
-    made = []
-    with scratch(spark, keep=lambda: made[1]._martlet_staged):
-        made += [stage(spark.range(3), "a"), stage(spark.range(4), "b")]
-        with scratch(spark):
-            inner = stage(spark.range(5), "c")._martlet_staged
-        assert not os.path.exists(inner.removeprefix("file:"))
-    gone, kept = (m._martlet_staged.removeprefix("file:") for m in made)
-    assert not os.path.exists(gone) and made[1].count() == 4 and os.path.exists(kept)
-    assert shared_dir(spark, "outside") not in (gone, kept)
+    from martlet.session import scratch, stage
+    there = lambda df: os.path.exists(df._martlet_staged.removeprefix("file:"))
+    with scratch(spark) as kept:
+        one, two = stage(spark.range(3), "a"), stage(spark.range(4), "b")
+        kept.append(two)
+        with scratch(spark) as inner:
+            three, four = stage(spark.range(5), "c"), stage(spark.range(6), "d")
+            inner.append(four)
+        assert there(one) and not there(three) and there(four)
+    assert not there(one) and not there(four) and there(two) and two.count() == 4

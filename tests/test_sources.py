@@ -267,6 +267,12 @@ def test_files_with_different_headers_are_refused(spark, tmp_path):
         files.tolerant_load(spark, str(tmp_path), T.StructType.fromDDL("k string, t string"))
 
 
+def test_an_import_may_have_columns_of_any_name(spark, tmp_path):
+    (tmp_path / "a.tsv").write_text("value\tfile.name\tline\n1\tx\t2\ny\tx\t2\n")
+    found = files.tolerant_import(spark, str(tmp_path), T.StructType.fromDDL("value int, `file.name` string, line int"))
+    assert [tuple(r) for r in found.good.collect()] == [(1, "x", 2)] and [(r.line, r.reason) for r in found.rejected.collect()] == [(3, "value")]
+
+
 def test_an_import_without_rows(spark, tmp_path):
     (tmp_path / "a.tsv").write_text("k\tt\n")
     found = files.tolerant_import(spark, str(tmp_path), T.StructType.fromDDL("k int, t string"))
