@@ -25,6 +25,7 @@ from martlet.functions.expressions import all_of, any_of
 from martlet.session import stage, unstage
 
 _HASH = "__martlet_row_hash"
+_TIE = "__martlet_tie"
 _PLACE = "__martlet_place"
 _PART = "__martlet_part"
 _COUNT = "__martlet_count"
@@ -127,11 +128,11 @@ def first_rows(df: DataFrame, n: int, order: list[str], parts: int | None = None
     if room == found[_COUNT]:
         return df.where(reaches).where(F.coalesce(earlier, F.lit(False)) | F.coalesce(last, F.lit(False)))
     tied = df.where(last)
-    if names == [_HASH]:                                                           # equal rows: any of them
+    if names == [_TIE]:                                                            # equal rows: any of them
         kept = any_rows(tied, room)
     else:
-        hashed = tied.withColumn(_HASH, F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
-        kept = first_rows(hashed, room, [_HASH], parts).drop(_HASH)
+        hashed = tied.withColumn(_TIE, F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
+        kept = first_rows(hashed, room, [_TIE], parts).drop(_TIE)
     return df.where(reaches).where(earlier).unionByName(kept)
 
 
