@@ -36,10 +36,13 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from martlet.llm.common import materialize
+from martlet.session import scratch
 
 GRAM = 32
 #: Bytes of text that are hashed at a time, held back for local counts, and indexed together.
 CHUNK, HELD, BATCH = 1 << 19, 1 << 24, 1 << 20
+#: Slots that tell which doc_ids several rows share.
+_SLOTS = 1 << 20
 #: Windows of a string that are streamed one after the other.
 STREAMED = 512
 #: Copies of an anchor, or different strings of it, that one group holds. Beyond it, and
@@ -143,7 +146,7 @@ _ONCE, _AGAIN, _SETTLED = range(3)
 
 
 def _anchor_parts(batches, length: int, parts: int):
-    """Anchors of the rows (doc, text), counted within the task and dealt over ``parts``."""
+    """Anchors of the rows (own, text), counted within the task and dealt over ``parts``."""
 
     def rows(kind, part, anchors, docs):
         order = np.argsort(part, kind="stable")
@@ -241,20 +244,20 @@ _PLACE = np.dtype([("doc", "<i8"), ("mark", "<i8"), ("start", "<i8")])
 
 
 def _packed(batches):
-    """Rows (doc_id, doc, mark, text) with the text compressed, for the shuffles it takes part in."""
+    """Rows (doc_id, doc, mark, own, text) with the text compressed, for the shuffles it takes part in."""
     pack = zstandard.ZstdCompressor(level=3).compress
     for batch in batches:
         for at in range(0, batch.num_rows, 256):
             part = batch.slice(at, 256)
-            texts = pa.array([pack(t) for t in part.column(3).to_pylist()], pa.binary())
-            yield pa.RecordBatch.from_arrays([*part.columns[:3], texts], names=["doc_id", "doc", "mark", "packed"])
+            texts = pa.array([pack(t) for t in part.column(4).to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([*part.columns[:4], texts], names=["doc_id", "doc", "mark", "own", "packed"])
 
 
 def _unpack(packed: bytes) -> bytes:
     return zstandard.ZstdDecompressor().decompress(packed)
 
 
-def _cut_out(batches, length: int, hot: np.ndarray, unpack=_unpack):
+def _cut_out(batches, length: int, hot: np.ndarray):
     """Runs of windows with a repeated anchor that is not ``hot``, from rows (doc, mark, packed
     text, its repeated anchors). Equal ones of a task become one row with their places."""
     found: dict[tuple[int, bytes, bool], array] = {}
@@ -266,7 +269,7 @@ def _cut_out(batches, length: int, hot: np.ndarray, unpack=_unpack):
 
     size = 0
     for chunk in _chunks(batches, 2, CHUNK // 2):
-        texts = [unpack(r[2]) for r in chunk]
+        texts = [_unpack(r[2]) for r in chunk]
         text, start, windows, anchor, recurs = anchor_runs(texts, length)
         wanted = np.unique(np.array([a for r in chunk for a in r[3]], np.int64))
         keep = np.isin(anchor, wanted) & ~np.isin(anchor, hot)
@@ -492,7 +495,7 @@ def _hot_anchors(wanted: DataFrame) -> np.ndarray:
     return np.sort(counted.where(F.col("copies") > HOT_SHARE * total).select("anchors").toArrow().column(0).to_numpy())
 
 
-def _hot_stretches(docs: DataFrame, wanted: DataFrame, hot, length: int, most: int) -> DataFrame:
+def _hot_stretches(packed: DataFrame, wanted: DataFrame, hot, length: int, most: int) -> DataFrame:
     """Covered stretches of the runs of windows whose anchor is in ``hot`` (a broadcast array)."""
 
     def own(batches):
@@ -506,8 +509,8 @@ def _hot_stretches(docs: DataFrame, wanted: DataFrame, hot, length: int, most: i
 
     wanted = materialize(wanted.where("own is not null").select("own", "anchors").mapInArrow(own, "own bigint, anchors array<bigint>"), "passages-hot-docs")
     cut = materialize(
-        docs.join(wanted, "own").select("doc", F.xxhash64("bytes").alias("mark"), "bytes", "anchors").mapInArrow(
-            lambda it: _keyed(_cut_out(it, length, np.zeros(0, np.int64), bytes)),
+        packed.join(wanted, "own").select("doc", "mark", "packed", "anchors").mapInArrow(
+            lambda it: _keyed(_cut_out(it, length, np.zeros(0, np.int64))),
             f"id binary, {_CUT_DDL}, first_doc bigint, first_mark bigint, first_start bigint"), "passages-hot-cut")
     first = F.struct("first_doc", "first_mark", "first_start")
     strings = materialize(cut.groupBy("id", "anchor", "bytes").agg(F.max("recurs").alias("recurs"), F.min(first).alias("first"))
@@ -532,15 +535,12 @@ def _hot_stretches(docs: DataFrame, wanted: DataFrame, hot, length: int, most: i
 
 
 def covered_stretches(docs: DataFrame, packed: DataFrame, length: int = 100, hot: int = HOT) -> DataFrame:
-    """(doc, mark, start, end): covered bytes of ``docs(doc, bytes)``, which are also in
-    ``packed(doc, mark, packed)``; stretches may overlap."""
+    """(doc, mark, start, end): covered bytes of ``docs(own, bytes)``, which are also in
+    ``packed(own, doc, mark, packed)``; stretches may overlap. ``own`` tells apart what
+    rows with different texts have; rows that share it get each other's anchors too."""
     if length < GRAM:
         raise ValueError(f"length must be at least {GRAM}")
     parts = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # Anchors are told apart by document and text, so that no row gets the anchors of others
-    # that share its doc_id. Where two such hashes agree, both rows get anchors that are repeated anyway.
-    docs = docs.withColumn("own", F.xxhash64("doc", F.xxhash64("bytes")))
-    packed = packed.withColumn("own", F.xxhash64("doc", "mark"))
     counted = (docs.select("own", "bytes").mapInArrow(lambda it: _anchor_parts(it, length, parts), "part int, kind int, anchors array<bigint>, docs array<bigint>")
                .repartition("part").mapInArrow(lambda it: _repeated(it, parts, hot), "group int, anchors array<bigint>, docs array<bigint>, counted boolean"))
     wanted = materialize(counted.repartition("group").mapInArrow(_by_document, "own bigint, anchors array<bigint>, copies array<bigint>"), "passages-wanted")
@@ -549,7 +549,20 @@ def covered_stretches(docs: DataFrame, packed: DataFrame, length: int = 100, hot
     cut = (packed.join(wanted, "own").select("doc", "mark", "packed", "anchors")
            .mapInArrow(lambda it: _cut_out(it, length, shared.value), _CUT_DDL))
     covered = _indexed(cut, length)
-    return covered.unionByName(_hot_stretches(docs, wanted, shared, length, hot)) if len(anchors) else covered
+    return covered.unionByName(_hot_stretches(packed, wanted, shared, length, hot)) if len(anchors) else covered
+
+
+def _with_own(docs: DataFrame) -> DataFrame:
+    """``docs(doc, bytes)`` with ``own``: the doc, or a hash of doc and text where the doc may
+    be that of several rows, so that none of them gets the anchors of the others.
+
+    Which docs are shared is told by ``_SLOTS`` slots at most, a proven bound for the
+    broadcast; a doc that falls in the slot of a shared one is hashed too, which does no harm.
+    """
+    slot = F.pmod(F.xxhash64("doc"), F.lit(_SLOTS)).cast("int").alias("slot")
+    shared = materialize(docs.groupBy("doc").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(slot).distinct(), "passages-shared")
+    told = docs.select("*", slot).join(F.broadcast(shared.withColumn("shared", F.lit(True))), "slot", "left")
+    return told.withColumn("own", F.when(F.col("shared"), F.xxhash64("doc", F.xxhash64("bytes"))).otherwise(F.col("doc"))).drop("slot", "shared")
 
 
 def remove_repeats(docs: DataFrame, length: int = 100, hot: int = HOT) -> DataFrame:
@@ -572,10 +585,13 @@ def remove_repeats(docs: DataFrame, length: int = 100, hot: int = HOT) -> DataFr
     d = docs.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1)).alias("doc"),
                     F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("bytes"))
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    packed = d.select("doc_id", "doc", F.xxhash64("bytes").alias("mark"), "bytes").mapInArrow(
-        _packed, f"doc_id {id_type}, doc bigint, mark bigint, packed binary")
-    covered = covered_stretches(d, packed, length, hot)
-    per_doc = materialize(covered.groupBy("doc", "mark").agg(F.collect_set(F.struct("start", "end")).alias("covered")), "passages-covered")
+    d = _with_own(d)
+    packed = d.select("doc_id", "doc", F.xxhash64("bytes").alias("mark"), "own", "bytes").mapInArrow(
+        _packed, f"doc_id {id_type}, doc bigint, mark bigint, own bigint, packed binary")
+    with scratch(docs.sparkSession) as kept:
+        covered = covered_stretches(d, packed, length, hot)
+        per_doc = materialize(covered.groupBy("doc", "mark").agg(F.collect_set(F.struct("start", "end")).alias("covered")), "passages-covered")
+        kept.append(per_doc)
     schema = f"doc_id {id_type}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
     arrow = to_arrow_schema(StructType.fromDDL(schema))
 
