@@ -98,7 +98,7 @@ def shard_quotas(quotas: DataFrame, shards: int, slots: Column, seed: int) -> Da
 
 
 def mix(docs: DataFrame, weights=WEIGHTS, most: float = MOST_PASSES, blocks: int = 512, shards: int = 8,
-        seed: int = 7, whole_rows: bool = False) -> DataFrame:
+        seed: int = 7) -> DataFrame:
     """How often, and into which output shards, the mix takes each row of
     ``docs(doc_id, text, source)``.
 
@@ -109,19 +109,26 @@ def mix(docs: DataFrame, weights=WEIGHTS, most: float = MOST_PASSES, blocks: int
     table gives no rows; other columns are not read. The same input gives the
     same mix. A source comes within half its longest document of its target.
     Texts of any length are counted whole; rows that share a doc_id, or have none,
-    are rows of their own. ``whole_rows`` adds the row itself as ``row``.
+    are rows of their own.
 
     A source of any size is cut into ``blocks`` blocks by a hash of doc_id and text;
     block sums are partial aggregates, running sums go over at most ``blocks`` rows per
     source, and single rows are ordered only in the one block that the target cuts.
     """
-    own = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if whole_rows else []
+    return _mix(materialize(_sized(docs, blocks, seed), "mix-rows"), weights, most, shards, seed)
+
+
+def _sized(docs: DataFrame, blocks: int, seed: int, *more: Column) -> DataFrame:
+    """What the mix needs to know of every row: doc_id, source, text_hash, size and block, and ``more``."""
     text = F.xxhash64("text", F.lit(seed + 3))
-    rows = materialize(docs.select(
+    return docs.select(
         "doc_id", "source", text.alias("text_hash"),
         F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-        F.pmod(F.xxhash64("doc_id", text, F.lit(seed)), F.lit(blocks)).cast("int").alias("block"), *own), "mix-rows")
-    also = ["row"] if whole_rows else []
+        F.pmod(F.xxhash64("doc_id", text, F.lit(seed)), F.lit(blocks)).cast("int").alias("block"), *more)
+
+
+def _mix(rows: DataFrame, weights, most: float, shards: int, seed: int, also: tuple[str, ...] = ()) -> DataFrame:
+    """``mix`` of rows that ``_sized`` gives, written; columns named in ``also`` go along."""
     by_block = rows.groupBy("source", "block").agg(F.sum("size").alias("words"))
     sized = by_block.groupBy("source").agg(F.sum("words").alias("source_size"), F.count(F.lit(1)).alias("n_blocks"))
     goal = (targets(sized.drop("n_blocks"), weights, most).alias("t")
@@ -170,11 +177,15 @@ def mix(docs: DataFrame, weights=WEIGHTS, most: float = MOST_PASSES, blocks: int
         F.col("copies").cast("int").alias("copies"), drawn.alias("shards"), "source", *also)
 
 
-def mixed_documents(docs: DataFrame, seed: int = 7, **parameters) -> DataFrame:
+def mixed_documents(docs: DataFrame, weights=WEIGHTS, most: float = MOST_PASSES, blocks: int = 512, shards: int = 8,
+                    seed: int = 7) -> DataFrame:
     """The rows of ``docs`` as often as the mix takes them, in a hashed order
     inside each partition, with the columns of ``docs``. Every row is taken as often
-    as ``mix`` says of it, whatever it shares with others."""
-    taken = (mix(docs, seed=seed, whole_rows=True, **parameters).where(F.size("shards") > 0)
-             .select("row", F.posexplode("shards").alias("copy", "shard")))
+    as ``mix`` says of it, whatever it shares with others: rows are numbered where they
+    are written, the mix works on their sizes, and numbers bring the rows back once."""
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    rows = materialize(_sized(docs, blocks, seed, F.monotonically_increasing_id().alias("number"), whole), "mix-rows")
+    picks = _mix(rows.drop("row"), weights, most, shards, seed, ("number",)).where(F.size("shards") > 0).select("number", "shards")
+    taken = rows.select("number", "row").join(picks, "number").select("row", F.posexplode("shards").alias("copy", "shard"))
     return (taken.sortWithinPartitions("shard", F.xxhash64("row.doc_id", "row.text", "copy", F.lit(seed + 3)))
             .select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns]))
