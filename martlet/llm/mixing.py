@@ -181,11 +181,22 @@ def mixed_documents(docs: DataFrame, weights=WEIGHTS, most: float = MOST_PASSES,
                     seed: int = 7) -> DataFrame:
     """The rows of ``docs`` as often as the mix takes them, in a hashed order
     inside each partition, with the columns of ``docs``. Every row is taken as often
-    as ``mix`` says of it, whatever it shares with others: rows are numbered where they
-    are written, the mix works on their sizes, and numbers bring the rows back once."""
-    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    rows = materialize(_sized(docs, blocks, seed, F.monotonically_increasing_id().alias("number"), whole), "mix-rows")
-    picks = _mix(rows.drop("row"), weights, most, shards, seed, ("number",)).where(F.size("shards") > 0).select("number", "shards")
-    taken = rows.select("number", "row").join(picks, "number").select("row", F.posexplode("shards").alias("copy", "shard"))
+    as ``mix`` says of it, whatever it shares with others.
+
+    Rows meet their copies by 128 bits of doc_id, source and text, in the one shuffle
+    that texts take part in. Rows equal in all three lie in one block, so the mix takes the
+    first of them once more than the rest, or all equally often; they are numbered there.
+    """
+    key = [F.col("doc_id").isNull(), F.col("source").isNull(), "doc_id", "source", "text"]
+    keys = [F.xxhash64(*key).alias("k1"), F.xxhash64(F.lit(seed), *reversed(key)).alias("k2")]
+    picks = _mix(materialize(_sized(docs, blocks, seed, *keys), "mix-rows"), weights, most, shards, seed, ("k1", "k2"))
+    found = F.struct("copies", "shards")
+    alike = (picks.groupBy("k1", "k2").agg(F.max(found).alias("often"), F.min(found).alias("seldom"), F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("n"))
+             .where("copies > 0")
+             .select("k1", "k2", "often.shards", F.col("seldom.shards").alias("fewer"), (F.col("copies") - F.col("n") * F.col("seldom.copies")).alias("more")))
+    numbered = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *keys).withColumn(
+        "place", F.row_number().over(Window.partitionBy("k1", "k2").orderBy(F.lit(0))))
+    drawn = F.when(F.col("place") <= F.col("more"), F.col("shards")).otherwise(F.col("fewer"))
+    taken = numbered.join(alike, ["k1", "k2"]).select("row", F.posexplode(drawn).alias("copy", "shard"))
     return (taken.sortWithinPartitions("shard", F.xxhash64("row.doc_id", "row.text", "copy", F.lit(seed + 3)))
             .select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns]))

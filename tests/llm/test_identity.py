@@ -88,6 +88,18 @@ def test_mixed_documents_meet_the_targets_whatever_ids_are_shared(spark, ids):
     assert Counter(r["other"] for r in again.collect()) == times
 
 
+def test_equal_rows_are_taken_as_often_as_the_mix_says(spark):
+    docs = spark.range(900).selectExpr("id % 3 as doc_id", "if(id % 4 = 0, null, 'a') as source", "concat('w ', id % 5) as text", "'x' as other")
+    mixed = Counter(tuple(r) for r in mixing.mixed_documents(docs).collect())
+    want = Counter()
+    for r in mixing.mix(docs).collect():
+        want[r["doc_id"], r["source"]] += r["copies"]
+    got = Counter()
+    for (i, source, _, _), n in mixed.items():
+        got[i, source] += n
+    assert got == +want and sum(got.values())
+
+
 def test_blocks_of_a_hot_id_are_even(spark):
     docs = spark.range(6000).selectExpr("if(id % 3 = 0, null, id) as doc_id", "'a' as source", "concat('w', id) as text")
     words = docs.where("doc_id is null").select(F.pmod(F.xxhash64("doc_id", F.xxhash64("text", F.lit(10)), F.lit(7)), F.lit(512)).alias("b")).groupBy("b").count()
