@@ -1,3 +1,4 @@
+import re
 from types import SimpleNamespace
 
 import numpy as np
@@ -127,3 +128,21 @@ def test_profiles_of_an_empty_table(spark):
     assert [r.missing_pct for r in profile.missing_profile(e).collect()] == [None, None, None]
     assert profile.describe_numeric(e, ["x"]).first()["count"] == 0
     assert profile.boxplot_stats(spark, e, ["x"]).first()["q1"] is None
+
+
+def test_missing_profile_code_stays_compilable(spark):
+    """Above 8000 bytes HotSpot leaves a method to the interpreter, at some five times the cost of a cell."""
+    cells = [F.when((F.col("id") + j) % (j % 13 + 2) == 0, None).when((F.col("id") + j) % 11 == 0, "unknown")
+             .when((F.col("id") + j) % 17 == 0, "NaN").when((F.col("id") + j) % 19 == 0, "").otherwise(F.col("id").cast("string"))
+             .alias(f"w{j}") for j in range(60)]
+    wide = spark.range(2000).select(cells)
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        code = spark._jvm.PythonSQLUtils.explainString(profile.missing_profile(wide)._jdf.queryExecution(), "codegen")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:([0-9]+)", code)]
+    assert sizes and max(sizes) < 8000
+    got = {r.column_name: r.missing_pct for r in profile.missing_profile(wide).collect()}
+    assert got["w0"] == round(sum(i % 2 == 0 or i % 11 == 0 or i % 17 == 0 or i % 19 == 0 for i in range(2000)) / 20, 6) and len(got) == 60
