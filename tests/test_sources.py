@@ -379,3 +379,18 @@ def test_publish_proves_a_key_unique_before_the_switch(spark):
         tables.publish(spark, spark.range(100).selectExpr("id % 99 as id"), name, base, unique="id")
     assert spark.table(name).count() == 100 and tables.current_version(spark, base) == 1
     spark.sql(f"DROP VIEW {name}")
+
+
+def test_layout_of_few_files_is_sorted_in_small_pieces(spark):
+    """No task sorts a whole file's rows: the most memory that one takes falls with the number of pieces."""
+    df = spark.range(60_000, numPartitions=3).selectExpr(
+        "if(id % 6 = 0, 7, id * 7919 % 60013) as k", "id", "repeat(cast(id as string), 20) as wide", "array(id, null) as many",
+        "cast(id as decimal(20, 2)) as d", "timestamp_seconds(id) as t", "if(id % 5 = 0, null, named_struct('a', id, 'b', 'x')) as s")
+    path = tables.write_sorted(df, shared_dir(spark, "pieces"), "k", num_partitions=3)
+    back = spark.read.parquet(path)
+    assert back.dtypes == df.dtypes and back.count() == 60_000 and back.exceptAll(df).isEmpty()
+    placed = [(r.f, r.k) for r in back.select(F.col("_metadata.file_path").alias("f"), F.col("_metadata.row_index").alias("i"), "k")
+              .orderBy("f", "i").collect()]
+    assert len({f for f, _ in placed}) == 3 and [k for _, k in placed] == sorted(k for _, k in placed)
+    plan = tables._sorted_files(df, "k", 3, 32)._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning(k" in plan and ", 96)" in plan          # pieces of the sort by key
